@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tidegrid.catalog import base, grids
+from tidegrid.catalog import base, events, grids
 
 
 def queries() -> dict:

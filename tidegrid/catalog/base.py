@@ -21,11 +21,22 @@ DAILY = GridSpec(freq_seconds=86400, pad_seconds=0, tile_bins=20)
 FIVE_MINUTES = GridSpec()
 
 
+def rounded(x: Column) -> Column:
+    """Six digits, by way of nine, so that the last bits of a sum do not decide an exact half.
+
+    Whole-number arithmetic that stays in generated code; very large values take the slower built-in.  ``+ 0.0`` turns a
+    negative zero into zero.
+    """
+    size = F.abs(x)
+    nine = F.floor(size * F.lit(1e9) + F.lit(0.5))
+    six = F.call_function("div", nine + F.lit(500), F.lit(1000).cast("bigint"))
+    return F.when(size < 1e6, F.signum(x) * (six / F.lit(1e6))).otherwise(F.round(F.round(x, 9), DIGITS)) + F.lit(0.0)
+
+
 def _tidy_column(field: T.StructField) -> Column:
     col = F.col(f"`{field.name}`")
     if isinstance(field.dataType, (T.DoubleType, T.FloatType)):
-        # "+ 0.0" turns a negative zero into zero
-        return (F.round(col.cast("double"), DIGITS) + F.lit(0.0)).alias(field.name)
+        return rounded(col.cast("double")).alias(field.name)
     if isinstance(field.dataType, T.TimestampType):
         return col.cast("timestamp_ntz").alias(field.name)
     return col
@@ -118,7 +129,8 @@ W_SQL = "(PARTITION BY pump_serial ORDER BY ts)"
 
 
 def r(expr: str, name: str) -> str:
-    return f"round({expr}, {DIGITS}) + 0.0 AS {name}"
+    """The twin of ``rounded``: decimal arithmetic, half away from zero."""
+    return f"CAST(round(CAST(({expr}) AS DECIMAL(38, 9)), {DIGITS}) AS DOUBLE) + 0.0 AS {name}"
 
 
 def sin_cos_sql(ts: str = "ts") -> str:

@@ -1,10 +1,11 @@
-"""J1-J5, A1-A7, W1-W5, Q1 over the signal view of ``events``."""
+"""J1-J12, A1-A7, W1-W13, W16-W23, N1-N4, D1-D3, Q1 over the signal view of ``events``."""
 
 from __future__ import annotations
 
 from pyspark.sql import functions as F
 
 from tidegrid.catalog.base import (
+    DAILY,
     FIVE_MINUTES,
     HOURLY,
     SIG_SQL,
@@ -18,11 +19,14 @@ from tidegrid.catalog.base import (
     r,
     sin_cos_sql,
 )
-from tidegrid.config import GridSpec
-from tidegrid.operators import features, grid
-from tidegrid.signals import signal_events
+from tidegrid.catalog.events import HOUR_GRID, ORDER_SQL, hour_grid, order_events
+from tidegrid.config import GapRules, GridSpec, SplitRules, WindowSpecParams
+from tidegrid.operators import events as ev
+from tidegrid.operators import features, gaps, grid, joins, runs, windows
+from tidegrid.signals import read_table, signal_events
 
 NO_PAD = GridSpec(freq_seconds=300, pad_seconds=0)
+SIX_SQL = aligned_sql(SIX_HOURLY)
 
 Q1_SQL = f"""WITH {aligned_sql(NO_PAD)}
 SELECT pump_serial, ts, round(CASE WHEN bg IS NOT NULL THEN greatest(least(bg, 600.0), 20.0) END, 6) AS bg,
@@ -33,4 +37,613 @@ FROM grid"""
 
 @query("q01_event_grid", Q1_SQL)
 def q01(spark, sf):
-    return features.event_grid(grid.align(signal_events(spark, sf), NO_PAD), NO_PAD)
+    how = grid.Alignment(with_delta=True)
+    return features.event_grid(grid.align(signal_events(spark, sf), NO_PAD, how), NO_PAD)
+
+
+def six_grid(spark, sf, how=grid.Alignment()):
+    return grid.align(signal_events(spark, sf), SIX_HOURLY, how)
+
+
+@query("j01_master_grid", f"WITH {SIG_SQL}, {extent_sql(FIVE_MINUTES)} SELECT pump_serial, ts FROM pts")
+def j01(spark, sf):
+    return grid.master_grid(grid.extents(signal_events(spark, sf), FIVE_MINUTES), FIVE_MINUTES)
+
+
+@query("j02_grid_cgm_extent", f"""WITH {SIG_SQL}, {extent_sql(NO_PAD, "stream = 'cgm'")} SELECT pump_serial, ts FROM pts""")
+def j02(spark, sf):
+    return grid.master_grid(grid.extents(signal_events(spark, sf), NO_PAD, ["cgm"]), NO_PAD)
+
+
+@query(
+    "j03_join_on_grid",
+    f"""WITH {aligned_sql(HOURLY)} SELECT p.pump_serial, p.ts, round(cg.v, 6) AS bg, round(coalesce(bo.v, 0.0), 6) AS bolus_dose
+    FROM pts p LEFT JOIN cg ON cg.pump_serial = p.pump_serial AND cg.ts = p.ts
+    LEFT JOIN bo ON bo.pump_serial = p.pump_serial AND bo.ts = p.ts""",
+)
+def j03(spark, sf):
+    events = signal_events(spark, sf)
+    points = grid.master_grid(grid.extents(events, HOURLY), HOURLY)
+    streams = {"bg": grid.bin_last(events, "cgm", HOURLY), "bolus_dose": grid.bin_sum(events, "bolus", HOURLY)}
+    return grid.join_on_grid(points, streams, {"bolus_dose": 0.0})
+
+
+ASOF_SQL = """SELECT p.pump_serial, p.ts, round({value}, 6) AS value FROM pts p ASOF LEFT JOIN
+  (SELECT * FROM sig WHERE stream = 'cgm') s ON s.pump_serial = p.pump_serial AND p.ts >= s.ts"""
+
+
+@query("j04_asof_backward", f"WITH {SIG_SQL}, {extent_sql(HOURLY)} " + ASOF_SQL.format(value="s.value"))
+def j04(spark, sf):
+    return grid.asof(signal_events(spark, sf), "cgm", HOURLY)
+
+
+@query(
+    "j05_asof_with_tolerance",
+    f"WITH {SIG_SQL}, {extent_sql(HOURLY)} "
+    + ASOF_SQL.format(value="CASE WHEN p.ts - s.ts <= INTERVAL 30 MINUTE THEN s.value END"),
+)
+def j05(spark, sf):
+    return grid.asof(signal_events(spark, sf), "cgm", HOURLY, tolerance_seconds=1800)
+
+
+@query(
+    "j06_response_after_dose",
+    f"""WITH {aligned_sql(NO_PAD)}, x AS (SELECT pump_serial, ts, bolus_dose, bg AS pre_bg,
+      min(bg) OVER f AS min_bg, count(*) OVER f AS n_after FROM grid
+      WINDOW f AS (PARTITION BY pump_serial ORDER BY ts RANGE BETWEEN INTERVAL 1 SECOND FOLLOWING AND INTERVAL 4 HOUR FOLLOWING))
+    SELECT pump_serial, ts, round(bolus_dose, 6) AS bolus_dose, round(pre_bg, 6) AS pre_bg, round(min_bg, 6) AS min_bg,
+      {r('pre_bg - min_bg', 'drop_bg')} FROM x WHERE bolus_dose >= 2 AND n_after >= 12""",
+)
+def j06(spark, sf):
+    return joins.response_after_dose(grid.align(signal_events(spark, sf), NO_PAD), NO_PAD)
+
+
+BATCH_SQL = """bat AS (SELECT o_custkey AS pump_serial, year(o_orderdate) AS y, min(o_orderdate) AS l_start, max(o_orderdate) AS l_end
+  FROM orders GROUP BY 1, 2),
+ask AS (SELECT o_custkey AS pump_serial, o_orderkey AS range_id, o_orderdate - INTERVAL 60 DAY AS r_start, o_orderdate AS r_end
+  FROM orders WHERE o_orderpriority = '1-URGENT')"""
+
+
+@query(
+    "j07_overlapping_batches",
+    f"""WITH {BATCH_SQL} SELECT bat.pump_serial, y, range_id FROM bat JOIN ask ON bat.pump_serial = ask.pump_serial
+    AND l_start <= r_end AND r_start <= l_end""",
+)
+def j07(spark, sf):
+    orders = read_table(spark, sf, "orders").withColumns({"ts": F.col("o_orderdate").cast("timestamp"), "pump_serial": F.col("o_custkey")})
+    batches = orders.groupBy("pump_serial", F.year("ts").alias("y")).agg(F.min("ts").alias("l_start"), F.max("ts").alias("l_end"))
+    asked = orders.filter(F.col("o_orderpriority") == "1-URGENT").select(
+        "pump_serial", F.col("o_orderkey").alias("range_id"), F.expr("ts - interval 60 days").alias("r_start"), F.col("ts").alias("r_end")
+    )
+    return joins.overlap_join(batches, asked).select("pump_serial", F.col("y").cast("bigint").alias("y"), "range_id")
+
+
+@query(
+    "j08_chunks_not_done",
+    """SELECT DISTINCT o_custkey AS pump_serial, strftime(o_orderdate, '%Y-%m') AS month FROM orders
+    EXCEPT SELECT o_custkey, strftime(o_orderdate, '%Y-%m') FROM orders WHERE o_orderstatus = 'F'""",
+)
+def j08(spark, sf):
+    orders = read_table(spark, sf, "orders").select(
+        F.col("o_custkey").alias("pump_serial"), F.date_format("o_orderdate", "yyyy-MM").alias("month"), "o_orderstatus"
+    )
+    planned = orders.select("pump_serial", "month").distinct()
+    return joins.not_yet_done(planned, orders.filter(F.col("o_orderstatus") == "F"), ["pump_serial", "month"])
+
+
+@query(
+    "j09_device_lookup",
+    "SELECT event_id, user_id, c_name FROM events LEFT JOIN customer ON c_custkey = user_id",
+)
+def j09(spark, sf):
+    devices = read_table(spark, sf, "customer").select(F.col("c_custkey").alias("user_id"), "c_name")
+    return joins.dimension(read_table(spark, sf, "events").select("event_id", "user_id"), devices, ["user_id"], ["event_id"])
+
+
+@query(
+    "j10_definition_dispatch",
+    "SELECT event_id, event_type, coalesce(n_name, 'raw') AS definition FROM events LEFT JOIN nation ON n_nationkey = user_id",
+)
+def j10(spark, sf):
+    definitions = read_table(spark, sf, "nation").select(F.col("n_nationkey").cast("bigint").alias("user_id"), F.col("n_name").alias("definition"))
+    rows = read_table(spark, sf, "events").select("event_id", "event_type", "user_id")
+    joined = joins.dimension(rows, definitions, ["user_id"], ["event_id"])
+    return joined.select("event_id", "event_type", F.coalesce("definition", F.lit("raw")).alias("definition"))
+
+
+DAYS_SQL = f"{SIG_SQL}, days AS (SELECT pump_serial, CAST(min(ts) AS DATE) AS first_day, CAST(max(ts) AS DATE) AS last_day FROM sig GROUP BY 1)"
+
+
+def device_days(spark, sf):
+    span = signal_events(spark, sf).groupBy("pump_serial").agg(F.min("ts").alias("a"), F.max("ts").alias("b"))
+    return span.select("pump_serial", F.to_date("a").alias("first_day"), F.to_date("b").alias("last_day"))
+
+
+CHUNK_SQL = """SELECT pump_serial, first_day, last_day, i :: INT AS chunk, first_day + {n} * i :: INT AS chunk_start,
+  least(first_day + {n} * i :: INT + 7, last_day) AS chunk_end FROM days, unnest(generate_series(0, 400)) u(i)
+  WHERE first_day + {n} * i :: INT < last_day"""
+
+
+@query("j11_device_chunks", f"WITH {DAYS_SQL} SELECT pump_serial, chunk FROM ({CHUNK_SQL.format(n=7)})")
+def j11(spark, sf):
+    return joins.date_chunks(device_days(spark, sf), 7).select("pump_serial", "chunk")
+
+
+@query("d01_date_chunks", f"WITH {DAYS_SQL} {CHUNK_SQL.format(n=7)}")
+def d01(spark, sf):
+    return joins.date_chunks(device_days(spark, sf), 7)
+
+
+@query(
+    "d02_overlapping_ranges",
+    f"""WITH {DAYS_SQL}, x AS (SELECT sig.pump_serial, seq_num, first_day, date_diff('day', first_day, CAST(ts AS DATE)) AS e
+      FROM sig JOIN days ON days.pump_serial = sig.pump_serial)
+    SELECT pump_serial, seq_num, k::INT AS range_id, strftime(first_day + (k * 5)::INT, '%Y_%m') AS range_label
+    FROM x, unnest(generate_series(0, 10)) u(k) WHERE k * 5 <= e AND e < k * 5 + 10""",
+)
+def d02(spark, sf):
+    out = joins.overlapping_ranges(signal_events(spark, sf), device_days(spark, sf), days=10, step=5)
+    return out.select("pump_serial", "seq_num", "range_id", "range_label")
+
+
+@query(
+    "d03_batch_schedule",
+    f"""WITH {DAYS_SQL}, b AS (SELECT pump_serial, i::INT AS batch, first_day + 8 * i::INT AS batch_start,
+      least(first_day + 8 * i::INT + 7, last_day) AS batch_end FROM days, unnest(generate_series(0, 400)) u(i) WHERE first_day + 8 * i::INT < last_day)
+    SELECT *, pump_serial || '_' || strftime(batch_start, '%Y%m%d') || '_' || strftime(batch_end, '%Y%m%d') AS job_id FROM b""",
+)
+def d03(spark, sf):
+    return joins.batch_schedule(device_days(spark, sf), "custom", custom_days=7).drop("first_day", "last_day")
+
+
+@query(
+    "j12_complete_months",
+    f"""WITH {SIG_SQL}, m AS (SELECT pump_serial, CAST(ts AS DATE) AS day FROM sig GROUP BY 1, 2 HAVING count(DISTINCT stream) = 3)
+    SELECT seq_num FROM sig JOIN m ON m.pump_serial = sig.pump_serial AND m.day = CAST(ts AS DATE)""",
+)
+def j12(spark, sf):
+    events = signal_events(spark, sf).withColumn("day", F.to_date("ts"))
+    complete = events.groupBy("pump_serial", "day").agg(F.count_distinct("stream").alias("n")).filter(F.col("n") == 3)
+    return joins.only_known(events, complete, ["pump_serial", "day"]).select("seq_num")
+
+
+def _bin_sql(stream: str, agg: str) -> str:
+    return f"""WITH {SIG_SQL} SELECT pump_serial, {floor_sql('ts', 3600)} AS ts, {r(agg, 'value')}
+    FROM sig WHERE stream = '{stream}' GROUP BY 1, 2"""
+
+
+@query("a01_bg_bin_last", _bin_sql("cgm", "arg_max(value, ts)"))
+def a01(spark, sf):
+    return grid.bin_last(signal_events(spark, sf), "cgm", HOURLY)
+
+
+@query("a02_bin_mean", _bin_sql("basal", "avg(value)"))
+def a02(spark, sf):
+    return grid.bin_mean(signal_events(spark, sf), "basal", HOURLY)
+
+
+@query("a03_bg_bin_first", _bin_sql("cgm", "arg_min(value, ts)"))
+def a03(spark, sf):
+    return grid.bin_first(signal_events(spark, sf), "cgm", HOURLY)
+
+
+@query("a04_bg_bin_median", _bin_sql("cgm", "quantile_cont(value, 0.5)").replace("3600000000", "86400000000"))
+def a04(spark, sf):
+    return grid.resample(signal_events(spark, sf), "cgm", DAILY, "median")
+
+
+@query("a05_bolus_bin_sum", f"WITH {HOUR_GRID} SELECT pump_serial, ts, round(bolus_dose, 6) AS bolus_dose FROM grid")
+def a05(spark, sf):
+    return hour_grid(spark, sf).select("pump_serial", "ts", "bolus_dose")
+
+
+@query(
+    "a06_basal_bin_last_carried",
+    f"WITH {aligned_sql(HOURLY, basal='last')} SELECT pump_serial, ts, round(basal_rate, 6) AS basal_rate FROM grid",
+)
+def a06(spark, sf):
+    return hour_grid(spark, sf, grid.Alignment(basal_agg="last")).select("pump_serial", "ts", "basal_rate")
+
+
+@query(
+    "a06_basal_tail_only",
+    f"""WITH {aligned_sql(HOURLY, basal='last')}, z AS (SELECT pump_serial, max(ts) AS last_bin FROM ba GROUP BY 1)
+    SELECT g.pump_serial, g.ts, round(CASE WHEN ba.v IS NOT NULL OR g.ts > last_bin THEN basal_rate ELSE 0.0 END, 6) AS basal_rate
+    FROM grid g LEFT JOIN z ON z.pump_serial = g.pump_serial LEFT JOIN ba ON ba.pump_serial = g.pump_serial AND ba.ts = g.ts""",
+)
+def a06b(spark, sf):
+    how = grid.Alignment(basal_agg="last", basal_fill="tail_only")
+    return hour_grid(spark, sf, how).select("pump_serial", "ts", "basal_rate")
+
+
+@query(
+    "a07_basal_time_weighted",
+    f"""WITH {SIG_SQL}, b AS (SELECT * FROM sig WHERE stream = 'basal'),
+    e AS (SELECT pump_serial, {floor_sql('min(ts)', 60)} AS a, {ceil_sql('max(ts)', 60)} AS z FROM b GROUP BY 1),
+    m AS (SELECT pump_serial, unnest(generate_series(a, z, INTERVAL 1 MINUTE)) AS ts FROM e),
+    v AS (SELECT m.pump_serial, m.ts, b.value FROM m ASOF JOIN b ON b.pump_serial = m.pump_serial AND m.ts >= b.ts)
+    SELECT pump_serial, {floor_sql('ts', 3600)} AS ts, {r('avg(value)', 'value')} FROM v GROUP BY 1, 2""",
+)
+def a07(spark, sf):
+    return grid.basal_time_weighted(signal_events(spark, sf), HOURLY)
+
+
+@query("w01_first_difference", f"WITH {SIX_SQL} SELECT pump_serial, ts, {r(f'bg - lag(bg) OVER {W_SQL}', 'delta_bg')} FROM grid")
+def w01(spark, sf):
+    return features.add_delta(six_grid(spark, sf), SIX_HOURLY, "bg", "delta_bg").select("pump_serial", "ts", "delta_bg")
+
+
+W2_SQL = ", ".join(
+    [f"round(lag(bg, {k}) OVER {W_SQL}, 6) AS bg_lag_{k}" for k in (1, 2, 6, 12)]
+    + [r(f"bg - lag(bg, {k}) OVER {W_SQL}", f"bg_diff_{k}") for k in (1, 3, 6)]
+)
+
+
+@query("w02_lags_and_differences", f"WITH {SIX_SQL} SELECT pump_serial, ts, {W2_SQL} FROM grid")
+def w02(spark, sf):
+    return features.add_lags(six_grid(spark, sf), SIX_HOURLY).drop("bg", "basal_rate", "bolus_dose")
+
+
+def _trail(agg: str, col: str, k: int, name: str) -> str:
+    return r(f"{agg}({col}) OVER (PARTITION BY pump_serial ORDER BY ts ROWS BETWEEN {k - 1} PRECEDING AND CURRENT ROW)", name)
+
+
+W3_SQL = ", ".join(
+    [_trail("avg", "basal_rate", k, f"basal_mean_{k}") for k in (6, 12)]
+    + [_trail("sum", "bolus_dose", k, f"bolus_sum_{k}") for k in (6, 12, 24)]
+)
+
+
+@query("w03_rolling_mean_and_sum", f"WITH {HOUR_GRID} SELECT pump_serial, ts, {W3_SQL} FROM grid")
+def w03(spark, sf):
+    return features.add_rolling(hour_grid(spark, sf), HOURLY).drop("bg", "basal_rate", "bolus_dose")
+
+
+def _since_sql(cap: int) -> str:
+    last = f"max(CASE WHEN bolus_dose > 0 THEN ts END) OVER {W_SQL}"
+    return f"coalesce(least(date_diff('second', {last}, ts) / 60.0, {cap}.0), {cap}.0) AS time_since_last_bolus"
+
+
+@query("w04_minutes_since_bolus", f"WITH {aligned_sql(NO_PAD)} SELECT pump_serial, ts, {_since_sql(1440)} FROM grid")
+def w04(spark, sf):
+    out = features.add_minutes_since_bolus(grid.align(signal_events(spark, sf), NO_PAD), NO_PAD, 1440)
+    return out.select("pump_serial", "ts", "time_since_last_bolus")
+
+
+@query("w04_minutes_since_bolus_cap999", f"WITH {HOUR_GRID} SELECT pump_serial, ts, {_since_sql(999)} FROM grid")
+def w04b(spark, sf):
+    out = features.add_minutes_since_bolus(hour_grid(spark, sf), HOURLY, 999)
+    return out.select("pump_serial", "ts", "time_since_last_bolus")
+
+
+@query(
+    "w05_bg_slope",
+    f"""WITH {SIX_SQL} SELECT pump_serial, ts, {r(f'coalesce((bg - lag(bg, 3) OVER {W_SQL}) / 1080.0, 0.0)', 'bg_slope_15min')},
+    {r(f'coalesce((bg - lag(bg, 6) OVER {W_SQL}) / 2160.0, 0.0)', 'bg_slope_30min')} FROM grid""",
+)
+def w05(spark, sf):
+    return features.add_slopes(six_grid(spark, sf), SIX_HOURLY).drop("bg", "basal_rate", "bolus_dose")
+
+
+RUN_SQL = """k AS (SELECT *, count(bg) OVER (PARTITION BY pump_serial ORDER BY ts) AS grp,
+    min(ts) OVER (PARTITION BY pump_serial) AS g0, max(ts) OVER (PARTITION BY pump_serial) AS g1,
+    row_number() OVER (PARTITION BY pump_serial ORDER BY ts) AS rn,
+    last_value(CASE WHEN bg IS NOT NULL THEN ts END IGNORE NULLS) OVER (PARTITION BY pump_serial ORDER BY ts) AS p_ts,
+    last_value(bg IGNORE NULLS) OVER (PARTITION BY pump_serial ORDER BY ts) AS p_bg,
+    first_value(CASE WHEN bg IS NOT NULL THEN ts END IGNORE NULLS) OVER (PARTITION BY pump_serial ORDER BY ts ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS n_ts,
+    first_value(bg IGNORE NULLS) OVER (PARTITION BY pump_serial ORDER BY ts ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS n_bg
+  FROM grid),
+m AS (SELECT *, CASE WHEN bg IS NULL THEN count(*) FILTER (WHERE bg IS NULL) OVER (PARTITION BY pump_serial, grp) ELSE 0 END AS run_len FROM k)"""
+
+
+@query(
+    "w06_null_runs",
+    f"""WITH {HOUR_GRID}, {RUN_SQL} SELECT pump_serial, min(ts) AS run_start, max(ts) AS run_end, count(*) AS run_len,
+    any_value(p_ts) IS NOT NULL AS bounded_left, any_value(n_ts) IS NOT NULL AS bounded_right, (count(*) * 60)::DOUBLE AS run_minutes
+    FROM m WHERE bg IS NULL GROUP BY pump_serial, grp""",
+)
+def w06(spark, sf):
+    return runs.null_runs(hour_grid(spark, sf), HOURLY)
+
+
+LINE_SQL = "p_bg + (n_bg - p_bg) * date_diff('second', p_ts, ts) / date_diff('second', p_ts, n_ts)"
+FILL7_SQL = f"CASE WHEN bg IS NOT NULL THEN bg WHEN run_len <= 12 AND p_ts IS NOT NULL AND n_ts IS NOT NULL THEN {LINE_SQL} END"
+
+
+@query(
+    "w07_impute_short_gaps",
+    f"""WITH {HOUR_GRID}, {RUN_SQL}, f AS (SELECT *, {FILL7_SQL} AS v FROM m)
+    SELECT pump_serial, ts, {r('CASE WHEN v IS NOT NULL THEN greatest(least(v, 600.0), 20.0) END', 'bg')},
+    bg IS NULL AS mask_bg, v IS NULL AS mask_label FROM f""",
+)
+def w07(spark, sf):
+    return runs.impute_short_gaps(hour_grid(spark, sf), HOURLY).drop("basal_rate", "bolus_dose")
+
+
+@query(
+    "w08_impute_with_flags",
+    f"""WITH {HOUR_GRID}, {RUN_SQL}, f AS (SELECT *, {FILL7_SQL} AS v FROM m)
+    SELECT pump_serial, ts, {r('CASE WHEN v IS NOT NULL THEN greatest(least(v, 600.0), 20.0) END', 'bg')},
+    CAST(bg IS NULL AND v IS NOT NULL AS INT) AS bg_was_imputed, CAST(CASE WHEN bg IS NULL AND v IS NOT NULL THEN run_len ELSE 0 END AS INT) AS bg_impute_run_len,
+    CAST(bg IS NULL AND run_len > 12 AS INT) AS bg_hard_gap, coalesce(CAST(v < 20 OR v > 600 AS INT), 0) AS bg_clip_flag FROM f""",
+)
+def w08(spark, sf):
+    return runs.impute_with_flags(hour_grid(spark, sf), HOURLY).drop("basal_rate", "bolus_dose")
+
+
+@query(
+    "w09_edge_fill",
+    f"""WITH {SIX_SQL}, {RUN_SQL}, f AS (SELECT *, CASE WHEN bg IS NULL AND run_len <= 3 AND (p_ts IS NULL) <> (n_ts IS NULL) THEN coalesce(p_bg, n_bg) END AS e FROM m)
+    SELECT pump_serial, ts, round(coalesce(bg, e), 6) AS bg, CAST(e IS NOT NULL AS INT) AS bg_was_imputed,
+    CAST(CASE WHEN e IS NOT NULL THEN run_len ELSE 0 END AS INT) AS bg_impute_run_len FROM f""",
+)
+def w09(spark, sf):
+    return runs.edge_fill(six_grid(spark, sf), SIX_HOURLY).drop("basal_rate", "bolus_dose")
+
+
+@query(
+    "w10_fill_chain",
+    f"""WITH {HOUR_GRID}, {RUN_SQL}, d AS (SELECT *, date_diff('hour', p_ts, ts) AS l, date_diff('hour', ts, n_ts) AS rr FROM m),
+    f AS (SELECT *, CASE WHEN bg IS NOT NULL THEN bg WHEN l <= 6 THEN p_bg
+      WHEN p_ts IS NULL THEN CASE WHEN rr <= 24 THEN n_bg END
+      WHEN n_ts IS NULL THEN CASE WHEN l - 6 <= 24 THEN p_bg END
+      WHEN l - 6 <= 24 OR rr <= 24 THEN p_bg + (n_bg - p_bg) * (l - 6) / (l - 6 + rr) END AS v FROM d)
+    SELECT pump_serial, ts, {r('v', 'bg')}, round(basal_rate, 6) AS basal_rate,
+    CAST(v IS NOT NULL AND lag(v) OVER {W_SQL} IS NULL AS INT) AS cgm_gap_filled FROM f""",
+)
+def w10(spark, sf):
+    return runs.fill_chain(hour_grid(spark, sf), HOURLY).drop("bolus_dose")
+
+
+@query(
+    "w11_carry_without_limit",
+    f"""WITH {HOUR_GRID}, {RUN_SQL} SELECT pump_serial, ts, round(coalesce(p_bg, n_bg, 0.0), 6) AS bg FROM m""",
+)
+def w11(spark, sf):
+    return runs.forward_fill(hour_grid(spark, sf), HOURLY, "bg", then_back=True, default=0.0).select("pump_serial", "ts", "bg")
+
+
+STEP_SQL = f"""st AS (SELECT pump_serial, ts, lag(ts) OVER {W_SQL} AS prev_ts,
+  (epoch_us(ts) - epoch_us(lag(ts) OVER {W_SQL})) / 1000000.0 AS s FROM (SELECT DISTINCT pump_serial, ts FROM sig))"""
+
+
+@query(
+    "w12_gap_detection",
+    f"""WITH {SIG_SQL}, {STEP_SQL} SELECT pump_serial, prev_ts AS gap_start, ts AS gap_end, {r('s / 60.0', 'gap_minutes')} FROM st WHERE s > 7200""",
+)
+def w12(spark, sf):
+    return gaps.find_gaps(gaps.observed_times(signal_events(spark, sf)), 7200)
+
+
+@query(
+    "w12_gap_summary",
+    f"""WITH {SIG_SQL}, {STEP_SQL}, g AS (SELECT pump_serial, CASE WHEN s > 54000 THEN s / 60.0 END AS m FROM st)
+    SELECT pump_serial, count(m) AS n_gaps, {r('coalesce(sum(m), 0)', 'total_gap_minutes')}, {r('max(m)', 'max_gap_minutes')},
+    {r('avg(m)', 'mean_gap_minutes')}, {r('quantile_cont(m, 0.5)', 'median_gap_minutes')} FROM g GROUP BY 1""",
+)
+def w12b(spark, sf):
+    return gaps.gap_summary(gaps.observed_times(signal_events(spark, sf)), 54000)
+
+
+SEG_SQL = f"""sg AS (SELECT pump_serial, ts, 1 + sum(CASE WHEN s > 54000 THEN 1 ELSE 0 END) OVER {W_SQL} AS segment_id FROM st)"""
+
+
+@query(
+    "w13_segments",
+    f"""WITH {SIG_SQL}, {STEP_SQL}, {SEG_SQL} SELECT pump_serial, segment_id::BIGINT AS segment_id, min(ts) AS segment_start, max(ts) AS segment_end, count(*) AS n_rows
+    FROM sg GROUP BY 1, 2 HAVING count(*) >= 12""",
+)
+def w13(spark, sf):
+    return gaps.segment_table(gaps.with_segments(gaps.observed_times(signal_events(spark, sf))))
+
+
+@query(
+    "w13_segment_rows",
+    f"""WITH {SIG_SQL}, {STEP_SQL}, {SEG_SQL}, c AS (SELECT *, count(*) OVER (PARTITION BY pump_serial, segment_id) AS segment_rows FROM sg)
+    SELECT pump_serial, segment_id::BIGINT AS segment_id, ts, segment_rows FROM c WHERE segment_rows >= 12""",
+)
+def w13b(spark, sf):
+    return gaps.keep_long_segments(gaps.with_segments(gaps.observed_times(signal_events(spark, sf))))
+
+
+@query(
+    "w13_segment_summary",
+    f"""WITH {SIG_SQL}, {STEP_SQL}, {SEG_SQL}, t AS (SELECT pump_serial, segment_id, count(*) AS n FROM sg GROUP BY 1, 2 HAVING count(*) >= 12)
+    SELECT pump_serial, count(*) AS n_segments, sum(n)::BIGINT AS total_rows, {r('avg(n)', 'avg_rows')}, max(n) AS max_rows, min(n) AS min_rows FROM t GROUP BY 1""",
+)
+def w13c(spark, sf):
+    return gaps.segment_summary(gaps.segment_table(gaps.with_segments(gaps.observed_times(signal_events(spark, sf)))))
+
+
+LOOK, AHEAD, STRIDE = 12, 4, 3
+DENSE = grid.Alignment(bg_fill="unbounded", bg_asof=True)
+DENSE_SQL = f"""{SIX_SQL}, dn AS (SELECT p.pump_serial, p.ts, s.value AS bg, p.basal_rate, p.bolus_dose FROM grid p ASOF LEFT JOIN
+  (SELECT * FROM sig WHERE stream = 'cgm') s ON s.pump_serial = p.pump_serial AND p.ts >= s.ts)"""
+
+
+def dense_grid(spark, sf):
+    return six_grid(spark, sf, DENSE)
+
+
+def _items(n0: int, n1: int, col: str) -> str:
+    return ", ".join(f"lead({col}, {i}) OVER {W_SQL}" for i in range(n0, n1))
+
+
+@query(
+    "w16_sliding_windows",
+    f"""WITH {DENSE_SQL}, n AS (SELECT *, row_number() OVER {W_SQL} AS rn, count(*) OVER (PARTITION BY pump_serial) AS c,
+      [{_items(0, LOOK, 'round(bg, 6)')}] AS x_bg, [{_items(0, LOOK, 'round(bolus_dose, 6)')}] AS x_bo, [{_items(LOOK, LOOK + AHEAD, 'round(bg, 6)')}] AS y FROM dn),
+    k AS (SELECT *, list_count(x_bg) AS present, list_count(y) AS labels FROM n WHERE (rn - 1) % {STRIDE} = 0 AND rn + {LOOK + AHEAD - 1} <= c)
+    SELECT pump_serial, ts AS window_start, CAST(list_sum(x_bg) AS DECIMAL(18, 4)) :: DOUBLE AS sum_bg, CAST(list_sum(x_bo) AS DECIMAL(18,4)) :: DOUBLE AS sum_bolus,
+      x_bg[{LOOK}] AS last_bg, y[1] AS first_target, y[{AHEAD}] AS last_target, len(y) AS n_target
+    FROM k WHERE labels = {AHEAD} AND {LOOK} - present <= 0.1 * {2 * LOOK}""",
+)
+def w16(spark, sf):
+    rows = dense_grid(spark, sf).withColumn("segment_id", F.lit(1))
+    out = windows.sliding_windows(rows, SIX_HOURLY, ["bg", "bolus_dose"], params=WindowSpecParams(LOOK, AHEAD, STRIDE))
+
+    def total(col):
+        return F.aggregate(col, F.lit(0.0), lambda a, x: a + F.coalesce(F.round(x, 6), F.lit(0.0))).cast("decimal(18,4)").cast("double")
+
+    return out.select(
+        "pump_serial",
+        "window_start",
+        total("bg").alias("sum_bg"),
+        total("bolus_dose").alias("sum_bolus"),
+        F.col("bg")[LOOK - 1].alias("last_bg"),
+        F.col("target")[0].alias("first_target"),
+        F.col("target")[AHEAD - 1].alias("last_target"),
+        F.size("target").cast("bigint").alias("n_target"),
+    )
+
+
+@query(
+    "w17_latest_window",
+    f"""WITH {HOUR_GRID}, x AS (SELECT *, row_number() OVER (PARTITION BY pump_serial ORDER BY ts DESC) AS rn FROM grid)
+    SELECT pump_serial, min(ts) AS window_start, count(*) AS n, {r('sum(basal_rate)', 'sum_basal')}, {r('sum(bg)', 'sum_bg')}
+    FROM x WHERE rn <= 288 GROUP BY 1 HAVING count(*) = 288""",
+)
+def w17(spark, sf):
+    out = windows.latest_window(hour_grid(spark, sf), HOURLY, ["basal_rate", "bg"])
+    add = lambda c: F.aggregate(F.filter(c, lambda x: x.isNotNull()), F.lit(0.0), lambda a, x: a + x)
+    return out.select(
+        "pump_serial", "window_start", F.size("bg").cast("bigint").alias("n"), add("basal_rate").alias("sum_basal"), add("bg").alias("sum_bg")
+    )
+
+
+@query(
+    "w18_insulin_on_board",
+    f"""WITH {HOUR_GRID}, x AS (SELECT *, row_number() OVER {W_SQL} AS rn FROM grid)
+    SELECT a.pump_serial, a.ts, {r('sum(b.bolus_dose * exp(-0.0144 * (a.rn - b.rn + 1)))', 'iob')}
+    FROM x a JOIN x b ON a.pump_serial = b.pump_serial AND b.rn BETWEEN a.rn - 71 AND a.rn GROUP BY 1, 2""",
+)
+def w18(spark, sf):
+    return features.add_insulin_on_board(hour_grid(spark, sf), HOURLY).select("pump_serial", "ts", "iob")
+
+
+@query(
+    "w19_trend",
+    f"WITH {SIX_SQL} SELECT pump_serial, ts, {r(f'coalesce(bg - lag(bg, 6) OVER {W_SQL}, 0.0)', 'bg_trend')} FROM grid",
+)
+def w19(spark, sf):
+    return features.add_trend(six_grid(spark, sf), SIX_HOURLY).select("pump_serial", "ts", "bg_trend")
+
+
+def readings(spark, sf):
+    return signal_events(spark, sf).filter(F.col("stream") == "cgm").select("pump_serial", "ts", F.col("value").alias("bg"))
+
+
+@query(
+    "w20_rate_of_change",
+    f"""WITH {SIG_SQL}, c AS (SELECT pump_serial, value - lag(value) OVER {W_SQL} AS d,
+      (epoch_us(ts) - epoch_us(lag(ts) OVER {W_SQL})) / 60000000.0 AS m FROM sig WHERE stream = 'cgm'),
+    q AS (SELECT pump_serial, CASE WHEN m BETWEEN 4 AND 16 THEN abs(d / m) END AS rate FROM c)
+    SELECT pump_serial, count(rate) AS n_rates, count(*) FILTER (WHERE rate > 10) AS n_extreme, {r('max(rate)', 'max_rate')} FROM q GROUP BY 1""",
+)
+def w20(spark, sf):
+    return gaps.rate_report(readings(spark, sf))
+
+
+BLOCK_SQL = f"""c AS (SELECT pump_serial, value AS bg, (row_number() OVER {W_SQL} - 1) // 6 AS block, count(*) OVER (PARTITION BY pump_serial) AS n
+  FROM sig WHERE stream = 'cgm'),
+b AS (SELECT pump_serial, block, avg(bg) AS block_mean, stddev_samp(bg) AS block_std, max(bg) - min(bg) AS block_range FROM c WHERE block * 6 < n - 6 GROUP BY 1, 2)"""
+
+
+@query(
+    "w21_sensor_blocks",
+    f"WITH {SIG_SQL}, {BLOCK_SQL} SELECT pump_serial, block, {r('block_mean', 'block_mean')}, {r('block_std', 'block_std')}, {r('block_range', 'block_range')} FROM b",
+)
+def w21(spark, sf):
+    return gaps.sensor_windows(readings(spark, sf), size=6)
+
+
+@query(
+    "w21_sensor_trend",
+    f"""WITH {SIG_SQL}, {BLOCK_SQL}, t AS (SELECT pump_serial, count(*) AS n_blocks, regr_slope(block_mean, block) AS ms, regr_slope(block_std, block) AS ss
+      FROM b GROUP BY 1 HAVING count(*) >= 3)
+    SELECT pump_serial, n_blocks, {r('ms', 'mean_slope')}, {r('ss', 'std_slope')}, abs(ms) > 5 AS drift_detected, ss < -2 AS degradation_detected FROM t""",
+)
+def w21b(spark, sf):
+    return gaps.sensor_trend(readings(spark, sf), size=6)
+
+
+def _split_sql(train: str, upper: str) -> str:
+    return f"""WITH {SIG_SQL}, x AS (SELECT pump_serial, seq_num, row_number() OVER (PARTITION BY pump_serial ORDER BY ts, seq_num) AS rn,
+      count(*) OVER (PARTITION BY pump_serial) AS n FROM sig)
+    SELECT pump_serial, seq_num, CASE WHEN rn <= {train} THEN 'train' WHEN rn <= {upper} THEN 'validate' ELSE 'test' END AS subset FROM x"""
+
+
+@query("w22_chronological_split", _split_sql("(n * 70) // 100", "(n * 85) // 100"))
+def w22(spark, sf):
+    out = windows.chronological_split(signal_events(spark, sf), tile_seconds=86400, order=("ts", "seq_num"))
+    return out.select("pump_serial", "seq_num", "subset")
+
+
+@query("w22_split_truncated_double", _split_sql("floor(n * 0.7::DOUBLE)", "floor(n * 0.85::DOUBLE)"))
+def w22b(spark, sf):
+    rules = SplitRules(truncate_double=True)
+    out = windows.chronological_split(signal_events(spark, sf), rules, tile_seconds=86400, order=("ts", "seq_num"))
+    return out.select("pump_serial", "seq_num", "subset")
+
+
+@query(
+    "w23_uniform_spacing",
+    f"""WITH {SIG_SQL}, {STEP_SQL} SELECT pump_serial, count(s) AS n_steps, count(*) FILTER (WHERE s / 60.0 NOT BETWEEN 4.5 AND 5.5) AS n_irregular,
+    count(*) FILTER (WHERE s / 60.0 NOT BETWEEN 4.5 AND 5.5) = 0 AS uniform FROM st GROUP BY 1""",
+)
+def w23(spark, sf):
+    return gaps.spacing_report(gaps.observed_times(signal_events(spark, sf)))
+
+
+@query(
+    "n01_zscore",
+    f"""WITH {SIX_SQL}, s AS (SELECT pump_serial, avg(bg) AS m, stddev_samp(bg) AS d, avg(basal_rate) AS bm, stddev_samp(basal_rate) AS bd FROM grid GROUP BY 1)
+    SELECT g.pump_serial, ts, {r('CASE WHEN d > 0 THEN (bg - m) / d WHEN bg IS NOT NULL THEN 0.0 END', 'bg')},
+    {r('CASE WHEN bd > 0 THEN (basal_rate - bm) / bd ELSE 0.0 END', 'basal_rate')} FROM grid g JOIN s ON s.pump_serial = g.pump_serial""",
+)
+def n01(spark, sf):
+    return windows.zscore(six_grid(spark, sf), ["bg", "basal_rate"]).drop("bolus_dose")
+
+
+@query(
+    "n02_minmax",
+    f"""WITH {SIX_SQL}, s AS (SELECT pump_serial, min(bg) AS lo, max(bg) AS hi FROM grid GROUP BY 1)
+    SELECT g.pump_serial, ts, {r('CASE WHEN hi > lo THEN (bg - lo) / (hi - lo) WHEN bg IS NOT NULL THEN 0.0 END', 'bg')} FROM grid g JOIN s ON s.pump_serial = g.pump_serial""",
+)
+def n02(spark, sf):
+    return windows.minmax(six_grid(spark, sf), ["bg"]).select("pump_serial", "ts", "bg")
+
+
+ROBUST_SQL = f"""{SIX_SQL}, x AS (SELECT *, row_number() OVER {W_SQL} AS rn, count(*) OVER (PARTITION BY pump_serial) AS n FROM grid),
+sp AS (SELECT *, CASE WHEN rn <= (n * 70) // 100 THEN 'train' WHEN rn <= (n * 85) // 100 THEN 'validate' ELSE 'test' END AS subset FROM x),
+q AS (SELECT quantile_cont(bg, 0.25) AS b1, quantile_cont(bg, 0.5) AS b2, quantile_cont(bg, 0.75) AS b3,
+  quantile_cont(basal_rate, 0.25) AS a1, quantile_cont(basal_rate, 0.5) AS a2, quantile_cont(basal_rate, 0.75) AS a3 FROM sp WHERE subset = 'train')"""
+
+
+def split_six(spark, sf):
+    return windows.chronological_split(six_grid(spark, sf), tile_seconds=SIX_HOURLY.tile_seconds)
+
+
+@query(
+    "n03_robust_scale_train_fit",
+    f"""WITH {ROBUST_SQL} SELECT pump_serial, ts, subset, {r('(coalesce(bg, 0) - b2) / CASE WHEN b3 = b1 THEN 1 ELSE b3 - b1 END', 'bg')},
+    {r('(basal_rate - a2) / CASE WHEN a3 = a1 THEN 1 ELSE a3 - a1 END', 'basal_rate')} FROM sp, q""",
+)
+def n03(spark, sf):
+    rows = split_six(spark, sf)
+    params = windows.robust_params(rows.filter(F.col("subset") == "train"), ["bg", "basal_rate"])
+    return windows.robust_scale(rows, params, ["bg", "basal_rate"]).drop("bolus_dose")
+
+
+@query(
+    "n04_saved_scaler",
+    f"""WITH {ROBUST_SQL} SELECT 'bg' AS feature, {r('b2', 'center')}, {r('b3 - b1', 'scale')} FROM q
+    UNION ALL SELECT 'basal_rate', {r('a2', 'center')}, {r('a3 - a1', 'scale')} FROM q""",
+)
+def n04(spark, sf):
+    from tidegrid.session import scratch_dir
+
+    rows = split_six(spark, sf)
+    path = scratch_dir(spark, "scaler")
+    windows.save_params(windows.robust_params(rows.filter(F.col("subset") == "train"), ["bg", "basal_rate"]), path)
+    return windows.load_params(spark, path)

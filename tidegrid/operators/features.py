@@ -122,10 +122,9 @@ def event_grid(grid: DataFrame, spec: GridSpec, clip: tuple[float, float] = (20.
     The change is taken before clipping and the first row has none.
     """
 
-    def build(rows: DataFrame, w: WindowSpec) -> DataFrame:
-        return rows.withColumn("delta_bg", delta_col(w, "bg"))
-
-    out = tiles.with_halo(grid, build, seconds=spec.tile_seconds, before=spec.freq_seconds)
+    out = grid
+    if "delta_bg" not in grid.columns:
+        out = add_delta(grid, spec, "bg", "delta_bg")
     flags = {"bg_missing_flag": missing_col("bg")} | clip_cols("bg", *clip, flag="bg_clip_flag")
     out = out.withColumns(flags | tg.time_of_day(F.col("ts")))
     return out.select(

@@ -51,7 +51,7 @@ def _steps(start: str, end: str, spec: GridSpec) -> Column:
 
 def master_grid(extent: DataFrame, spec: GridSpec) -> DataFrame:
     """All grid points between ``grid_start`` and ``grid_end``; tiles are spread over tasks before they are expanded."""
-    spans = _tile_spans(extent, spec).repartition(*KEYS, TILE)
+    spans = tiles.spread(_tile_spans(extent, spec))
     return spans.select(*KEYS, F.explode(_steps("tile_from", "tile_to", spec)).alias("ts"))
 
 
@@ -120,6 +120,8 @@ class Alignment:
     * ``basal_fill``: ``carry`` (default, to the end of the grid); ``until_last`` stops at the bin of the last event;
       ``tail_only`` fills nothing between events and carries only past the last one.
     * ``basal_default``: value where no rate is known (``None`` keeps null).
+    * ``with_delta`` adds ``delta_bg``, the change from the previous grid point (only without a glucose fill, where it
+      follows from neighbouring bins and needs no window over the dense grid).
     """
 
     bg_agg: str = "last"
@@ -129,11 +131,12 @@ class Alignment:
     basal_agg: str = "asof"
     basal_fill: str = "carry"
     basal_default: float | None = 0.0
+    with_delta: bool = False
     extent_streams: tuple[str, ...] | None = None
 
 
 def align(events: DataFrame, spec: GridSpec, how: Alignment = Alignment()) -> DataFrame:
-    """Wide grid ``(pump_serial, ts, bg, basal_rate, bolus_dose)``.
+    """Wide grid ``(pump_serial, ts, bg, basal_rate, bolus_dose)`` from events unique per (device, time, stream).
 
     Only sparse rows are shuffled and sorted: events are pre-aggregated to bins, the state to carry is resolved between
     those bins, and the empty grid points are generated last, between one sparse row and the next.
@@ -152,7 +155,6 @@ def align(events: DataFrame, spec: GridSpec, how: Alignment = Alignment()) -> Da
         *KEYS,
         F.col("tile_from").alias("bin_ts"),
         F.lit(None).cast("timestamp").alias("ts"),
-        F.lit(None).cast("bigint").alias("seq_num"),
         F.lit(None).cast("string").alias("stream"),
         F.lit(None).cast("double").alias("value"),
         F.col("tile_to"),
@@ -161,7 +163,6 @@ def align(events: DataFrame, spec: GridSpec, how: Alignment = Alignment()) -> Da
         *KEYS,
         at.alias("bin_ts"),
         "ts",
-        F.col("seq_num").cast("bigint").alias("seq_num"),
         "stream",
         F.col("value").cast("double").alias("value"),
         F.lit(None).cast("timestamp").alias("tile_to"),
@@ -171,7 +172,7 @@ def align(events: DataFrame, spec: GridSpec, how: Alignment = Alignment()) -> Da
         return F.when(stream == name, col)
 
     def reduce_stream(name: str, agg: str) -> Column:
-        order = of(name, F.struct("ts", "seq_num"))
+        order = of(name, F.col("ts"))  # a plain time keeps the aggregation hash based
         if agg in ("last", "asof"):
             return F.max_by(value, order)
         if agg == "first":
@@ -200,7 +201,9 @@ def align(events: DataFrame, spec: GridSpec, how: Alignment = Alignment()) -> Da
     }
     if how.bg_fill != "none":
         items["bg_carry"] = tiles.Prev(F.col("bg_seen"), order)
-    carried = tiles.with_carry(bins, items)
+    if how.with_delta:
+        items["bin_carry"] = tiles.Prev(F.struct("bin_ts", "bg"), order)
+    carried = tiles.spread(tiles.with_carry(bins, items))
 
     w = tiles.in_tile(KEYS, ["bin_ts"])
     upto = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -223,6 +226,11 @@ def align(events: DataFrame, spec: GridSpec, how: Alignment = Alignment()) -> Da
             else []
         ),
         tile_to.isNotNull().alias("on_grid"),
+        *(
+            [F.coalesce(F.lag(F.struct("bin_ts", "bg")).over(w), F.col("bin_carry")).alias("bin_before")]
+            if how.with_delta
+            else []
+        ),
     )
     # With a grid taken from some streams only, events outside it have no grid point of their own.
     inside = sparse.filter(F.col("on_grid") & (F.col("run_to") >= F.col("run_from")))
@@ -250,6 +258,15 @@ def align(events: DataFrame, spec: GridSpec, how: Alignment = Alignment()) -> Da
         bg.alias("bg"),
         basal.alias("basal_rate"),
         F.coalesce(F.when(own, F.col("bolus")), F.lit(0.0)).alias("bolus_dose"),
+        *(
+            [
+                F.when(
+                    own & (F.col("bin_before.bin_ts") == tg.shift(F.col("ts"), -freq)), F.col("bg") - F.col("bin_before.bg")
+                ).alias("delta_bg")
+            ]
+            if how.with_delta
+            else []
+        ),
     )
 
 

@@ -131,6 +131,16 @@ def add_tile(df: DataFrame, seconds: int, ts: str = "ts") -> DataFrame:
     return df.withColumn(TILE, tile_of(F.col(ts), seconds))
 
 
+def spread(df: DataFrame, by: Sequence[str] = KEYS) -> DataFrame:
+    """Partition by (key, tile) with an explicit number of partitions.
+
+    Used right before rows are expanded: adaptive coalescing judges by the bytes before the expansion and would pack
+    thousands of tiles into one task.
+    """
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(n, *by, TILE)
+
+
 def in_tile(by: Sequence[str], order: Sequence[str], descending: bool = False) -> WindowSpec:
     cols = [F.col(c).desc() if descending else F.col(c) for c in order]
     return Window.partitionBy(*by, TILE).orderBy(*cols)
