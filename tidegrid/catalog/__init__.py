@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tidegrid.catalog import base, events, grids
+from tidegrid.catalog import base, events, grids, summaries
 
 
 def queries() -> dict:
