@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tidegrid.catalog import base, events, grids, summaries
+from tidegrid.catalog import base, events, grids, quality, summaries
 
 
 def queries() -> dict:

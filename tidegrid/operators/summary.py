@@ -125,8 +125,10 @@ def dose_correlation(grid: DataFrame, spec: GridSpec, lag_rows: int = 6) -> Data
     moved = tiles.with_halo(
         grid, build, seconds=spec.tile_seconds, before=reach if lag_rows > 0 else 0, after=reach if lag_rows < 0 else 0
     )
-    corr = F.corr("bg", "_dose")
-    return moved.groupBy(*KEYS).agg(F.when(~F.isnan(corr), corr).alias("correlation"))
+    # both sides of a pair must be present; a constant side gives no correlation
+    x, y = F.when(F.col("_dose").isNotNull(), F.col("bg")), F.when(F.col("bg").isNotNull(), F.col("_dose"))
+    spread = F.stddev_pop(x) * F.stddev_pop(y)
+    return moved.groupBy(*KEYS).agg(F.try_divide(F.covar_pop(x, y), F.when(spread > 0, spread)).alias("correlation"))
 
 
 def trend(rows: DataFrame, y: str, x: str, by: Sequence[str] = KEYS) -> DataFrame:
@@ -157,12 +159,12 @@ def _spread(col: str, prefix: str) -> list[Column]:
 
 
 def _with_medians(frame: DataFrame, rows: DataFrame, medians: dict[str, str]) -> DataFrame:
-    """Global medians joined to a one-row frame."""
-    out = frame.withColumn("_k", F.lit(1))
-    for name, col in medians.items():
-        keyed = rows.withColumn("_k", F.lit(1))
-        out = out.join(exact_percentiles(keyed, ["_k"], col, {name: 0.5}), "_k", "left")
-    return out.drop("_k")
+    """Global medians of several columns, in one pass, joined to a one-row frame."""
+    pairs = ", ".join(f"'{name}', CAST({col} AS DOUBLE)" for name, col in medians.items())
+    long = rows.select(F.expr(f"stack({len(medians)}, {pairs}) AS (_name, _value)"))
+    found = exact_percentiles(long, ["_name"], "_value", {"_median": 0.5})
+    wide = found.groupBy().agg(*[F.max(F.when(F.col("_name") == n, F.col("_median"))).alias(n) for n in medians])
+    return frame.withColumn("_k", F.lit(1)).join(wide.withColumn("_k", F.lit(1)), "_k").drop("_k")
 
 
 def cross_device_stats(scores: DataFrame) -> DataFrame:
