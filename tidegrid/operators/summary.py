@@ -114,15 +114,19 @@ def anomaly_counts(
     return counted.withColumns({"anomalies": worst, "anomaly_pct": worst / F.col("n_values") * 100})
 
 
-def dose_correlation(grid: DataFrame, spec: GridSpec, lag_rows: int = 6) -> DataFrame:
-    """Correlation of glucose with the dose ``lag_rows`` rows earlier (a negative number looks ahead)."""
-    reach = abs(lag_rows) * spec.freq_seconds
+def dose_correlation(grid: DataFrame, spec: GridSpec, lag_rows: int = 6, regular: bool = True) -> DataFrame:
+    """Correlation of glucose with the dose ``lag_rows`` rows earlier (a negative number looks ahead).
+
+    ``regular=False`` is for rows that are not a complete grid.
+    """
+    reach = abs(lag_rows) * (spec.freq_seconds if regular else 1)
+    halo = tiles.with_halo if regular else tiles.with_row_halo
 
     def build(rows: DataFrame, w: WindowSpec) -> DataFrame:
         moved = F.lag("bolus_dose", lag_rows).over(w) if lag_rows >= 0 else F.lead("bolus_dose", -lag_rows).over(w)
         return rows.withColumn("_dose", moved)
 
-    moved = tiles.with_halo(
+    moved = halo(
         grid, build, seconds=spec.tile_seconds, before=reach if lag_rows > 0 else 0, after=reach if lag_rows < 0 else 0
     )
     # both sides of a pair must be present; a constant side gives no correlation

@@ -14,6 +14,7 @@ from tidegrid.functions import timegrid as tg
 from tidegrid.operators import constant_runs, events as ev, features, gaps, grid as gr, joins, runs, summary, windows
 from tidegrid.quality import checks, sequences as seq
 from tidegrid.session import stage
+from tidegrid.sources import csv_files
 from tidegrid.tiles import KEYS, TILE
 
 SEGMENT = ("pump_serial", "segment_id")
@@ -192,7 +193,8 @@ def organised_features(filled: DataFrame, spec: GridSpec) -> DataFrame:
 def split_with_gaps(rows: DataFrame, tile_seconds: int, rules: SplitRules = SplitRules(), gap_hours: float = 15.0):
     """Q7: duplicates of overlapping chunks removed, chronological split, gap report, split summary."""
     rest = [c for c in rows.columns if c not in (*KEYS, "ts")]
-    unique = rows.groupBy(*KEYS, "ts").agg(*[F.first(c).alias(c) for c in rest])
+    # overlapping chunks repeat whole rows; the smallest decides where they differ, so a rerun gives the same
+    unique = rows.groupBy(*KEYS, "ts").agg(F.min(F.struct(*rest)).alias("_r")).select(*KEYS, "ts", "_r.*")
     split = windows.chronological_split(unique, rules, tile_seconds=tile_seconds)
     found = gaps.gap_summary(unique.select(*KEYS, "ts"), gap_hours * 3600, tile_seconds)
     return split, found, summary.split_summary(split)
@@ -290,3 +292,19 @@ def resequenced(merged: DataFrame, spec: GridSpec, rules: GapRules = GapRules(),
     labels = subsets.select(*SEGMENT, "subset")
     labelled = tiles.attach_group(tiles.add_tile(rows, spec.tile_seconds), labels, ["segment_id"]).drop(TILE)
     return labelled, subsets.withColumnRenamed("ts", "segment_start")
+
+
+def newest_files_grid(spark, root: str, spec: GridSpec = GridSpec(pad_seconds=0)) -> DataFrame:
+    """Q15: the newest month of stream files of each stream to a regular dataset.
+
+    Only the three stream names with their month reach the driver.
+    """
+    newest = csv_files.discover(spark, root).groupBy("stream").agg(F.max("month").alias("month"))
+    frames = [
+        csv_files.normalise(csv_files.read_stream(spark, f"{root}/*{csv_files.ROLE_WORDS[row.stream]}_{row.month}*", row.stream))
+        for row in newest.orderBy("stream").collect()
+    ]
+    events = frames[0]
+    for frame in frames[1:]:
+        events = events.unionByName(frame)
+    return bounded_fill_grid(events, spec)

@@ -53,7 +53,7 @@ def dataset_metrics(rows: DataFrame, spec: GridSpec, level: str, now: dt.datetim
         anomalies = summary.anomaly_counts(rows).select(*KEYS, "anomalies", "anomaly_pct")
         rates = gaps.rate_report(rows, tile_seconds=spec.tile_seconds)
         # the reference shift looks six rows ahead; the default here is six rows back
-        corr = summary.dose_correlation(rows, spec)
+        corr = summary.dose_correlation(rows, spec, regular=False)
         trend = gaps.sensor_trend(rows, tile_seconds=spec.tile_seconds).select(*KEYS, "mean_slope", "std_slope")
         drops = joins.response_after_dose(rows, spec).groupBy(*KEYS).agg(F.avg("drop_bg").alias("avg_drop"))
         for part in (anomalies, rates, corr, trend, drops):

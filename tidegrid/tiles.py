@@ -59,6 +59,35 @@ def with_halo(
     return build(rows, window).filter(F.col(CORE)).drop(TILE, CORE)
 
 
+def with_row_halo(
+    df: DataFrame,
+    build: Callable[[DataFrame, WindowSpec], DataFrame],
+    *,
+    seconds: int,
+    before: int = 0,
+    after: int = 0,
+    by: Sequence[str] = KEYS,
+    order: Sequence[str] = ("ts",),
+    rows_per_tile: int = 100_000,
+) -> DataFrame:
+    """``with_halo`` for rows without a regular spacing: the halo is counted in rows.
+
+    Rows are numbered first (see ``row_numbers``) and the tiles are blocks of row numbers, equal in size however dense
+    the data is.
+    """
+    numbered = row_numbers(df, seconds=seconds, by=by, order=order, number="_rn")
+    position = F.col("_rn") - 1
+    first = int_tile(F.greatest(position - after, F.lit(0)), rows_per_tile)
+    rows = numbered.withColumn(TILE, F.explode(F.sequence(first, int_tile(position + before, rows_per_tile))))
+    rows = rows.withColumn(CORE, F.col(TILE) == int_tile(position, rows_per_tile))
+    window = Window.partitionBy(*by, TILE).orderBy("_rn")
+    return build(rows, window).filter(F.col(CORE)).drop(TILE, CORE, "_rn")
+
+
+def int_tile(position: Column, size: int) -> Column:
+    return tg.int_div(position.cast("bigint"), size)
+
+
 @dataclass(frozen=True)
 class Prev:
     """Last non-null ``value`` strictly before the tile."""
