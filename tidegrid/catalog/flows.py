@@ -258,7 +258,7 @@ def q10b(spark, sf):
     f"""WITH {HOUR_GRID}, fd AS (SELECT pump_serial, CAST(min(ts) AS DATE) AS d0 FROM sig GROUP BY 1),
     x AS (SELECT g.*, d0, date_diff('day', d0, CAST(ts AS DATE)) AS e FROM grid g JOIN fd ON fd.pump_serial = g.pump_serial)
     SELECT pump_serial, k::INT AS range_id, strftime(d0 + (k * 5)::INT, '%Y_%m') AS range_label, count(*) AS n_rows, count(*) FILTER (WHERE bg < 39 OR bg > 401) AS n_anomalies
-    FROM x, unnest(generate_series(0, 10)) u(k) WHERE (e >= k * 5 OR (k = 0 AND e < 0)) AND e < k * 5 + 10 AND e >= 0 GROUP BY 1, 2, 3""",
+    FROM x, unnest(generate_series(0, 10)) u(k) WHERE (e >= k * 5 OR (k = 0 AND e < 0)) AND e < k * 5 + 10 GROUP BY 1, 2, 3""",
 )
 def q11(spark, sf):
     out = dataflows.monthly_ranges(signal_events(spark, sf), HOURLY, days=10, step=5)
@@ -269,9 +269,9 @@ def q11(spark, sf):
 
 @query(
     "q12_multi_device_merge",
-    f"""WITH {SIX_SQL} SELECT pump_serial, min(ts) AS first_ts, max(ts) AS last_ts, count(*) AS n_rows, round(avg(bg), 2) AS bg_mean,
-    round(stddev_samp(bg), 2) AS bg_std, round(avg(basal_rate), 2) AS basal_mean, round(stddev_samp(basal_rate), 2) AS basal_std,
-    round(sum(bolus_dose), 2) AS bolus_sum FROM grid GROUP BY 1""",
+    f"""WITH {SIX_SQL} SELECT pump_serial, min(ts) AS first_ts, max(ts) AS last_ts, count(*) AS n_rows, CAST(round(CAST(avg(bg) AS DECIMAL(38, 9)), 2) AS DOUBLE) AS bg_mean,
+    CAST(round(CAST(stddev_samp(bg) AS DECIMAL(38, 9)), 2) AS DOUBLE) AS bg_std, CAST(round(CAST(avg(basal_rate) AS DECIMAL(38, 9)), 2) AS DOUBLE) AS basal_mean, CAST(round(CAST(stddev_samp(basal_rate) AS DECIMAL(38, 9)), 2) AS DOUBLE) AS basal_std,
+    CAST(round(CAST(sum(bolus_dose) AS DECIMAL(38, 9)), 2) AS DOUBLE) AS bolus_sum FROM grid GROUP BY 1""",
 )
 def q12(spark, sf):
     rows = six_grid(spark, sf)
@@ -289,7 +289,17 @@ def q13(spark, sf):
     return rows.select("pump_serial", "segment_id", "ts", "bg", "basal_rate", "mask_label")
 
 
-@query("q14_resequenced_and_split")
+Q14_SIG = f"""sig AS (WITH {HOUR_GRID}, o AS (SELECT * FROM grid WHERE bg IS NOT NULL OR bolus_dose > 0)
+  SELECT pump_serial, ts, 0 AS seq_num, 'cgm' AS stream, bg AS value FROM o WHERE bg IS NOT NULL
+  UNION ALL SELECT pump_serial, ts, 0, 'basal', basal_rate FROM o UNION ALL SELECT pump_serial, ts, 0, 'bolus', bolus_dose FROM o WHERE bolus_dose > 0)"""
+
+
+@query(
+    "q14_resequenced_and_split",
+    f"""WITH {Q14_SIG}{SEQ_SQL[len(SIG_SQL):]}, t AS (SELECT pump_serial, segment_id, min(ts) AS segment_start, count(*) AS n_rows, avg((bg IS NOT NULL)::INT) AS cov FROM sx GROUP BY 1, 2),
+    x AS (SELECT *, row_number() OVER (PARTITION BY pump_serial ORDER BY segment_start) AS rn, count(*) OVER (PARTITION BY pump_serial) AS n FROM t)
+    SELECT pump_serial, segment_id, segment_start, n_rows, {r('cov', 'bg_coverage')}, CASE WHEN rn <= (n * 70) // 100 THEN 'train' WHEN rn <= (n * 85) // 100 THEN 'validate' ELSE 'test' END AS subset FROM x""",
+)
 def q14(spark, sf):
     merged = hour_grid(spark, sf)
     observed = merged.filter(F.col("bg").isNotNull() | (F.col("bolus_dose") > 0))

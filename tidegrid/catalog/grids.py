@@ -274,7 +274,7 @@ def w01(spark, sf):
 
 
 W2_SQL = ", ".join(
-    [f"round(lag(bg, {k}) OVER {W_SQL}, 6) AS bg_lag_{k}" for k in (1, 2, 6, 12)]
+    [r(f"lag(bg, {k}) OVER {W_SQL}", f"bg_lag_{k}") for k in (1, 2, 6, 12)]
     + [r(f"bg - lag(bg, {k}) OVER {W_SQL}", f"bg_diff_{k}") for k in (1, 3, 6)]
 )
 

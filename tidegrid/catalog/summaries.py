@@ -23,9 +23,9 @@ def bulk(spark, sf):
 
 @query(
     "a08_device_summary",
-    f"""WITH {SIX_SQL} SELECT pump_serial, min(ts) AS first_ts, max(ts) AS last_ts, count(*) AS n_rows, round(avg(bg), 2) AS bg_mean,
-    round(stddev_samp(bg), 2) AS bg_std, round(avg(basal_rate), 2) AS basal_mean, round(stddev_samp(basal_rate), 2) AS basal_std,
-    round(sum(bolus_dose), 2) AS bolus_sum FROM grid GROUP BY 1""",
+    f"""WITH {SIX_SQL} SELECT pump_serial, min(ts) AS first_ts, max(ts) AS last_ts, count(*) AS n_rows, CAST(round(CAST(avg(bg) AS DECIMAL(38, 9)), 2) AS DOUBLE) AS bg_mean,
+    CAST(round(CAST(stddev_samp(bg) AS DECIMAL(38, 9)), 2) AS DOUBLE) AS bg_std, CAST(round(CAST(avg(basal_rate) AS DECIMAL(38, 9)), 2) AS DOUBLE) AS basal_mean, CAST(round(CAST(stddev_samp(basal_rate) AS DECIMAL(38, 9)), 2) AS DOUBLE) AS basal_std,
+    CAST(round(CAST(sum(bolus_dose) AS DECIMAL(38, 9)), 2) AS DOUBLE) AS bolus_sum FROM grid GROUP BY 1""",
 )
 def a08(spark, sf):
     return summary.device_summary(six_grid(spark, sf))
@@ -271,13 +271,12 @@ def a22(spark, sf):
 )
 def a23(spark, sf):
     rows = jobs(spark, sf)
-    failed = F.collect_list(F.when(F.col("final_status") == "failed", F.col("start_time")))  # a handful per device
     sync = rows.groupBy("pump_serial").agg(
         F.max(F.when(F.col("final_status") == "completed", F.col("start_time"))).alias("last_successful_sync"),
         F.sum("total_records").alias("total_records"),
-        failed.alias("failed_ranges"),
     )
-    return summary.sync_status(sync, rows.filter(F.col("final_status") == "completed"))
+    status = F.col("final_status")
+    return summary.sync_status(sync, rows.filter(status == "completed"), rows.filter(status == "failed"))
 
 
 @query(

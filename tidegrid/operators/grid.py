@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from tidegrid import tiles
 from tidegrid.config import MAX_VALID_YEAR, MIN_VALID_YEAR, GridSpec
 from tidegrid.functions import timegrid as tg
+from tidegrid.functions.quantiles import exact_percentiles
 from tidegrid.tiles import KEYS, TILE
 
 
@@ -73,12 +74,9 @@ def bin_sum(events: DataFrame, stream: str, spec: GridSpec) -> DataFrame:
 
 
 def bin_median(events: DataFrame, stream: str, spec: GridSpec) -> DataFrame:
-    """Equal readings are counted first, so the buffer of a bin holds its distinct values only."""
-    rows = _one_stream(events, stream)
-    counted = rows.groupBy(*KEYS, tg.floor_to(F.col("ts"), spec.freq_seconds).alias("ts"), "value").agg(
-        F.count(F.lit(1)).alias("n")
-    )
-    return counted.groupBy(*KEYS, "ts").agg(F.percentile("value", 0.5, F.col("n")).alias("value"))
+    """Exact median per bin, without holding a bin's values in one buffer."""
+    rows = _one_stream(events, stream).select(*KEYS, tg.floor_to(F.col("ts"), spec.freq_seconds).alias("ts"), "value")
+    return exact_percentiles(rows, [*KEYS, "ts"], "value", {"median": 0.5}).withColumnRenamed("median", "value")
 
 
 def _one_stream(events: DataFrame, stream: str) -> DataFrame:

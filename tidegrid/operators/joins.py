@@ -76,7 +76,7 @@ def overlapping_ranges(rows: DataFrame, starts: DataFrame, days: int = 30, step:
     A row belongs to range ``k`` and, while inside, to earlier ones: a short array, no join against ranges.
     """
     joined = tiles.lookup(rows, starts.select(*KEYS, "first_day"), KEYS, salt_by=[ts], how="inner")
-    elapsed = F.datediff(F.col(ts), F.col("first_day"))
+    elapsed = F.greatest(F.datediff(F.col(ts), F.col("first_day")), F.lit(0))  # grid padding may start a day early
     last = F.floor(elapsed / step).cast("int")
     first = F.greatest(F.floor((elapsed - days) / step).cast("int") + 1, F.lit(0))
     out = joined.withColumn("range_id", F.explode(F.sequence(first, last)))

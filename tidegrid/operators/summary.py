@@ -25,16 +25,20 @@ def share(condition: Column) -> Column:
 
 
 def device_summary(rows: DataFrame) -> DataFrame:
-    """Figures of each device, rounded to 2 digits."""
+    """Figures of each device, rounded to 2 digits (by way of 9, so that summation order cannot decide a half)."""
+
+    def two(x: Column) -> Column:
+        return F.round(F.round(x, 9), 2)
+
     return rows.groupBy(*KEYS).agg(
         F.min("ts").alias("first_ts"),
         F.max("ts").alias("last_ts"),
         F.count(F.lit(1)).alias("n_rows"),
-        F.round(F.avg("bg"), 2).alias("bg_mean"),
-        F.round(F.stddev_samp("bg"), 2).alias("bg_std"),
-        F.round(F.avg("basal_rate"), 2).alias("basal_mean"),
-        F.round(F.stddev_samp("basal_rate"), 2).alias("basal_std"),
-        F.round(F.sum("bolus_dose"), 2).alias("bolus_sum"),
+        two(F.avg("bg")).alias("bg_mean"),
+        two(F.stddev_samp("bg")).alias("bg_std"),
+        two(F.avg("basal_rate")).alias("basal_mean"),
+        two(F.stddev_samp("basal_rate")).alias("basal_std"),
+        two(F.sum("bolus_dose")).alias("bolus_sum"),
     )
 
 
@@ -264,15 +268,13 @@ def batch_summary(jobs: DataFrame, by: Sequence[str] = KEYS) -> DataFrame:
     )
 
 
-def sync_status(sync: DataFrame, files: DataFrame) -> DataFrame:
-    """Last sync, records, failed ranges and number of files per device."""
+def sync_status(sync: DataFrame, files: DataFrame, failed_ranges: DataFrame) -> DataFrame:
+    """Last sync, records, failed ranges and number of files per device; files and ranges come as rows."""
     counted = files.groupBy(*KEYS).agg(F.count(F.lit(1)).alias("n_files"))
-    return sync.join(counted, list(KEYS), "left").select(
-        *KEYS,
-        "last_successful_sync",
-        "total_records",
-        F.size("failed_ranges").cast("bigint").alias("n_failed_ranges"),
-        F.coalesce("n_files", F.lit(0)).alias("n_files"),
+    failed = failed_ranges.groupBy(*KEYS).agg(F.count(F.lit(1)).alias("n_failed_ranges"))
+    joined = sync.join(counted, list(KEYS), "left").join(failed, list(KEYS), "left")
+    return joined.fillna(0, ["n_files", "n_failed_ranges"]).select(
+        *KEYS, "last_successful_sync", "total_records", "n_failed_ranges", "n_files"
     )
 
 
