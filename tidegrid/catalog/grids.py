@@ -101,7 +101,7 @@ def j06(spark, sf):
 BATCH_SQL = """bat AS (SELECT o_custkey AS pump_serial, year(o_orderdate) AS y, min(o_orderdate) AS l_start, max(o_orderdate) AS l_end
   FROM orders GROUP BY 1, 2),
 ask AS (SELECT o_custkey AS pump_serial, o_orderkey AS range_id, o_orderdate - INTERVAL 60 DAY AS r_start, o_orderdate AS r_end
-  FROM orders WHERE o_orderpriority = '1-URGENT')"""
+  FROM orders)"""
 
 
 @query(
@@ -112,7 +112,7 @@ ask AS (SELECT o_custkey AS pump_serial, o_orderkey AS range_id, o_orderdate - I
 def j07(spark, sf):
     orders = read_table(spark, sf, "orders").withColumns({"ts": F.col("o_orderdate").cast("timestamp"), "pump_serial": F.col("o_custkey")})
     batches = orders.groupBy("pump_serial", F.year("ts").alias("y")).agg(F.min("ts").alias("l_start"), F.max("ts").alias("l_end"))
-    asked = orders.filter(F.col("o_orderpriority") == "1-URGENT").select(
+    asked = orders.select(
         "pump_serial", F.col("o_orderkey").alias("range_id"), F.expr("ts - interval 60 days").alias("r_start"), F.col("ts").alias("r_end")
     )
     return joins.overlap_join(batches, asked).select("pump_serial", F.col("y").cast("bigint").alias("y"), "range_id")
