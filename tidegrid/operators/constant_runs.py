@@ -21,8 +21,7 @@ def _is_placeholder() -> Column:
 
 def _with_run_start(grid: DataFrame, spec: GridSpec) -> DataFrame:
     """``run_start`` of the maximal run each placeholder row belongs to, found from the last other row before it."""
-    other = F.when(~_is_placeholder(), F.struct("ts"))
-    ctx = tiles.fill_context(grid, other, seconds=spec.tile_seconds, sides=("prev",))
+    ctx = tiles.fill_context(grid, {"ts": F.col("ts")}, ~_is_placeholder(), seconds=spec.tile_seconds, sides=("prev",))
     start = F.when(
         _is_placeholder(),
         F.coalesce(tg.shift(F.col("prev.ts"), spec.freq_seconds), F.col("first_ts")),
@@ -32,8 +31,8 @@ def _with_run_start(grid: DataFrame, spec: GridSpec) -> DataFrame:
 
 def _with_basal_origin(grid: DataFrame, spec: GridSpec) -> DataFrame:
     """Time and value of the last known basal rate before each row, for steps across missing rates."""
-    seen = F.when(F.col("basal_rate").isNotNull(), F.struct(F.col("ts").alias("ts"), F.col("basal_rate").alias("v")))
-    ctx = tiles.fill_context(grid, seen, seconds=spec.tile_seconds, sides=("prev",))
+    values = {"ts": F.col("ts"), "v": F.col("basal_rate")}
+    ctx = tiles.fill_context(grid, values, F.col("basal_rate").isNotNull(), seconds=spec.tile_seconds, sides=("prev",))
     moved = F.abs(F.col("basal_rate") - F.col("prev.v")) > BASAL_STEP
     return ctx.withColumn("_step_from", F.when(moved, F.col("prev.ts"))).drop("prev", "first_ts", "last_ts")
 

@@ -56,8 +56,8 @@ def with_segments(
 ) -> DataFrame:
     """``segment_id`` counted from ``first``: a new segment starts after a gap longer than the limit."""
     tiled = tiles.add_tile(rows, tile_seconds)
-    carried = tiles.with_carry(tiled, {"_carry": tiles.Prev(F.col("ts"), F.col("ts"))})
-    before = F.coalesce(F.lag("ts").over(tiles.in_tile(KEYS, ["ts"])), F.col("_carry"))
+    carried = tiles.with_carry(tiled, {"_carry": tiles.Prev({"ts": F.col("ts")}, F.col("ts"))})
+    before = F.coalesce(F.lag("ts").over(tiles.in_tile(KEYS, ["ts"])), F.col("_carry.ts"))
     opens = F.coalesce(tg.seconds_between(F.col("ts"), before) > rules.max_gap_seconds, F.lit(False))
     flagged = carried.withColumn("_opens", opens.cast("int")).drop("_carry")
     counted = tiles.with_carry(flagged, {"_base": tiles.Running(F.col("_opens"))})

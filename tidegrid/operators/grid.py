@@ -189,18 +189,18 @@ def align(events: DataFrame, spec: GridSpec, how: Alignment = Alignment()) -> Da
         )
         .withColumn(TILE, tiles.tile_of(F.col("bin_ts"), spec.tile_seconds))
     )
-    bins = bins.withColumn("bg_seen", F.when(F.col("bg").isNotNull(), F.struct(F.col("bg_src").alias("ts"), F.col("bg").alias("v"))))
-    bins = bins.withColumn("basal_seen", F.when(F.col("basal").isNotNull(), F.struct(F.col("bin_ts").alias("ts"), F.col("basal").alias("v"))))
-
     order = F.col("bin_ts")
+    basal_seen = tiles.Prev({"ts": F.col("bin_ts"), "v": F.col("basal")}, order, F.col("basal").isNotNull())
+    bg_seen = tiles.Prev({"ts": F.col("bg_src"), "v": F.col("bg")}, order, F.col("bg").isNotNull())
+    bin_seen = tiles.Prev({"ts": F.col("bin_ts"), "v": F.col("bg")}, order)
     items: dict = {
-        "basal_carry": tiles.Prev(F.col("basal_seen"), order),
-        "basal_last": tiles.Total(F.max("basal_seen.ts"), F.max),
+        "basal_carry": basal_seen,
+        "basal_last": tiles.Total(F.max(F.when(F.col("basal").isNotNull(), F.col("bin_ts"))), F.max),
     }
     if how.bg_fill != "none":
-        items["bg_carry"] = tiles.Prev(F.col("bg_seen"), order)
+        items["bg_carry"] = bg_seen
     if how.with_delta:
-        items["bin_carry"] = tiles.Prev(F.struct("bin_ts", "bg"), order)
+        items["bin_carry"] = bin_seen
     carried = tiles.spread(tiles.with_carry(bins, items))
 
     w = tiles.in_tile(KEYS, ["bin_ts"])
@@ -217,15 +217,15 @@ def align(events: DataFrame, spec: GridSpec, how: Alignment = Alignment()) -> Da
         "bg",
         "bolus",
         "basal_last",
-        F.coalesce(F.last("basal_seen", ignorenulls=True).over(upto), F.col("basal_carry")).alias("basal_now"),
+        F.coalesce(F.last(basal_seen.struct(), ignorenulls=True).over(upto), F.col("basal_carry")).alias("basal_now"),
         *(
-            [F.coalesce(F.last("bg_seen", ignorenulls=True).over(upto), F.col("bg_carry")).alias("bg_now")]
+            [F.coalesce(F.last(bg_seen.struct(), ignorenulls=True).over(upto), F.col("bg_carry")).alias("bg_now")]
             if how.bg_fill != "none"
             else []
         ),
         tile_to.isNotNull().alias("on_grid"),
         *(
-            [F.coalesce(F.lag(F.struct("bin_ts", "bg")).over(w), F.col("bin_carry")).alias("bin_before")]
+            [F.coalesce(F.lag(bin_seen.struct()).over(w), F.col("bin_carry")).alias("bin_before")]
             if how.with_delta
             else []
         ),
@@ -259,7 +259,7 @@ def align(events: DataFrame, spec: GridSpec, how: Alignment = Alignment()) -> Da
         *(
             [
                 F.when(
-                    own & (F.col("bin_before.bin_ts") == tg.shift(F.col("ts"), -freq)), F.col("bg") - F.col("bin_before.bg")
+                    own & (F.col("bin_before.ts") == tg.shift(F.col("ts"), -freq)), F.col("bg") - F.col("bin_before.v")
                 ).alias("delta_bg")
             ]
             if how.with_delta

@@ -16,8 +16,12 @@ from tidegrid.operators.features import clip_cols
 from tidegrid.tiles import KEYS
 
 
+def _values(col: str) -> dict[str, Column]:
+    return {"ts": F.col("ts"), "v": F.col(col)}
+
+
 def _seen(col: str) -> Column:
-    return F.when(F.col(col).isNotNull(), F.struct(F.col("ts").alias("ts"), F.col(col).alias("v")))
+    return F.when(F.col(col).isNotNull(), F.struct(*[c.alias(n) for n, c in _values(col).items()]))
 
 
 def null_runs(grid: DataFrame, spec: GridSpec, col: str = "bg", include_open_end: bool = True) -> DataFrame:
@@ -26,7 +30,7 @@ def null_runs(grid: DataFrame, spec: GridSpec, col: str = "bg", include_open_end
     A run is named by its border: the last reading before it, which every row of the run knows through the carry.
     """
     step = spec.freq_seconds
-    ctx = tiles.fill_context(grid.select(*KEYS, "ts", col), _seen(col), seconds=spec.tile_seconds)
+    ctx = tiles.fill_context(grid.select(*KEYS, "ts", col), _values(col), F.col(col).isNotNull(), seconds=spec.tile_seconds)
     runs = (
         ctx.filter(F.col(col).isNull())
         .groupBy(*KEYS, F.col("prev.ts").alias("before_ts"))
@@ -164,7 +168,7 @@ def fill_chain(grid: DataFrame, spec: GridSpec, carry_limit: int = 6, line_limit
     ``cgm_gap_filled`` is 1 for a value whose previous row is still empty after the fill (or does not exist).
     """
     step = spec.freq_seconds
-    ctx = tiles.fill_context(grid, _seen("bg"), seconds=spec.tile_seconds)
+    ctx = tiles.fill_context(grid, _values("bg"), F.col("bg").isNotNull(), seconds=spec.tile_seconds)
     ts, bg = F.col("ts"), F.col("bg")
     from_left = tg.bins_between(ts, F.col("prev.ts"), step)
     to_right = tg.bins_between(F.col("next.ts"), ts, step)
@@ -194,7 +198,7 @@ def fill_chain(grid: DataFrame, spec: GridSpec, carry_limit: int = 6, line_limit
 def forward_fill(grid: DataFrame, spec: GridSpec, col: str, then_back: bool = False, default: float | None = None) -> DataFrame:
     """Last value without limit, optionally the first following value for leading nulls, optionally a constant."""
     sides = ("prev", "next") if then_back else ("prev",)
-    ctx = tiles.fill_context(grid, _seen(col), seconds=spec.tile_seconds, sides=sides)
+    ctx = tiles.fill_context(grid, _values(col), F.col(col).isNotNull(), seconds=spec.tile_seconds, sides=sides)
     parts = [F.col(col), F.col("prev.v")]
     if then_back:
         parts.append(F.col("next.v"))

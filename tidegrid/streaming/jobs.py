@@ -92,14 +92,14 @@ def carry_state(stream: DataFrame, path: str, tile_seconds: int = 86400, cap: in
         if batch_id > 0:
             state = spark.read.parquet(f"{path}/state/batch={batch_id - 1}")
             rows = rows.unionByName(state.withColumn("seed", F.lit(True)))
-        basal = F.when(F.col("stream") == "basal", F.struct("value"))
-        dose = F.when((F.col("stream") == "bolus") & (F.col("value") > 0), F.struct("ts"))
-        tiled = tiles.add_tile(rows, tile_seconds)
         order = F.struct("ts", "seq_num")
-        carried = tiles.with_carry(tiled, {"_b": tiles.Prev(basal, order), "_d": tiles.Prev(dose, order)})
+        basal = tiles.Prev({"value": F.col("value")}, order, F.col("stream") == "basal")
+        dose = tiles.Prev({"ts": F.col("ts")}, order, (F.col("stream") == "bolus") & (F.col("value") > 0))
+        tiled = tiles.add_tile(rows, tile_seconds)
+        carried = tiles.with_carry(tiled, {"_b": basal, "_d": dose})
         upto = tiles.in_tile(KEYS, ["ts", "seq_num"]).rowsBetween(Window.unboundedPreceding, 0)
-        rate = F.coalesce(F.last(basal, ignorenulls=True).over(upto), F.col("_b"))["value"]
-        last = F.coalesce(F.last(dose, ignorenulls=True).over(upto), F.col("_d"))["ts"]
+        rate = F.coalesce(F.last(basal.struct(), ignorenulls=True).over(upto), F.col("_b"))["value"]
+        last = F.coalesce(F.last(dose.struct(), ignorenulls=True).over(upto), F.col("_d"))["ts"]
         minutes = F.least(tg.minutes_between(F.col("ts"), last), F.lit(float(cap)))
         out = carried.select(
             *KEYS, "ts", "seq_num", "seed", F.coalesce(rate, F.lit(0.0)).alias("basal_rate"),

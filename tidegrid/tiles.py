@@ -90,18 +90,23 @@ def int_tile(position: Column, size: int) -> Column:
 
 @dataclass(frozen=True)
 class Prev:
-    """Last non-null ``value`` strictly before the tile."""
+    """``values`` of the last eligible row strictly before the tile, as a struct (null when there is none).
 
-    value: Column
+    The values are aggregated as plain columns, which keeps the per-tile summary a hash aggregation.
+    """
+
+    values: dict[str, Column]
     order: Column
+    eligible: Column | None = None
 
+    def struct(self) -> Column:
+        packed = F.struct(*[c.alias(n) for n, c in self.values.items()])
+        return packed if self.eligible is None else F.when(self.eligible, packed)
 
-@dataclass(frozen=True)
-class Next:
-    """First non-null ``value`` strictly after the tile."""
 
-    value: Column
-    order: Column
+@dataclass(frozen=True)
+class Next(Prev):
+    """``values`` of the first eligible row strictly after the tile."""
 
 
 @dataclass(frozen=True)
@@ -121,19 +126,20 @@ class Total:
 
 def summarise(df: DataFrame, by: Sequence[str], tile: str, items: dict) -> DataFrame:
     """One row per (key, tile): what each tile receives from the other tiles of its key."""
-    aggregates = []
+    aggregates, packed = [], {}
     for name, item in items.items():
         if isinstance(item, Prev):
-            eligible = F.when(item.value.isNotNull(), item.order)
-            aggregates.append(F.max_by(item.value, eligible).alias(name))
-        elif isinstance(item, Next):
-            eligible = F.when(item.value.isNotNull(), item.order)
-            aggregates.append(F.min_by(item.value, eligible).alias(name))
+            pick, extreme = (F.min_by, F.min) if isinstance(item, Next) else (F.max_by, F.max)
+            order = item.order if item.eligible is None else F.when(item.eligible, item.order)
+            aggregates += [pick(c, order).alias(f"{name}__{n}") for n, c in item.values.items()]
+            aggregates.append(extreme(order).isNotNull().alias(f"{name}__any"))
+            fields = F.struct(*[F.col(f"{name}__{n}").alias(n) for n in item.values])
+            packed[name] = F.when(F.col(f"{name}__any"), fields)
         elif isinstance(item, Running):
             aggregates.append(F.sum(item.value).alias(name))
         else:
             aggregates.append(item.value.alias(name))
-    per_tile = df.groupBy(*by, tile).agg(*aggregates)
+    per_tile = df.groupBy(*by, tile).agg(*aggregates).withColumns(packed)
 
     along = Window.partitionBy(*by).orderBy(tile).rowsBetween(Window.unboundedPreceding, -1)
     against = Window.partitionBy(*by).orderBy(F.col(tile).desc()).rowsBetween(Window.unboundedPreceding, -1)
@@ -141,9 +147,8 @@ def summarise(df: DataFrame, by: Sequence[str], tile: str, items: dict) -> DataF
     folded = []
     for name, item in items.items():
         if isinstance(item, Prev):
-            folded.append(F.last(name, ignorenulls=True).over(along).alias(name))
-        elif isinstance(item, Next):
-            folded.append(F.last(name, ignorenulls=True).over(against).alias(name))
+            frame = against if isinstance(item, Next) else along
+            folded.append(F.last(name, ignorenulls=True).over(frame).alias(name))
         elif isinstance(item, Running):
             folded.append(F.coalesce(F.sum(name).over(along), F.lit(0)).alias(name))
         else:
@@ -186,9 +191,9 @@ def previous_row(
 ) -> DataFrame:
     """Struct column ``into`` with ``cols`` of the preceding row of the same key (null on the first row)."""
     tiled = add_tile(df, seconds, order[0])
-    value = F.struct(*cols)
-    carried = with_carry(tiled, {"_carry": Prev(value, F.struct(*order))}, by=by)
-    lagged = F.lag(value).over(in_tile(by, order))
+    item = Prev({c: F.col(c) for c in cols}, F.col(order[0]) if len(order) == 1 else F.struct(*order))
+    carried = with_carry(tiled, {"_carry": item}, by=by)
+    lagged = F.lag(item.struct()).over(in_tile(by, order))
     return carried.withColumn(into, F.coalesce(lagged, F.col("_carry"))).drop("_carry", TILE)
 
 
@@ -213,38 +218,33 @@ def row_numbers(
 
 def fill_context(
     df: DataFrame,
-    value: Column,
+    values: dict[str, Column],
+    eligible: Column,
     *,
     seconds: int,
     by: Sequence[str] = KEYS,
     ts: str = "ts",
-    inclusive: bool = False,
     sides: Sequence[str] = ("prev", "next"),
-    prefix: str = "",
 ) -> DataFrame:
-    """Nearest non-null ``value`` on both sides of each row, at any distance, plus the first and last time of the key.
+    """Nearest eligible row on both sides of each row, at any distance, plus the first and last time of the key.
 
-    Adds ``{prefix}prev`` / ``{prefix}next`` (``value`` should be a struct holding the time it belongs to) and
-    ``{prefix}first_ts`` / ``{prefix}last_ts``.
+    Adds structs ``prev`` / ``next`` with ``values`` and the columns ``first_ts`` / ``last_ts``.
     """
-    tiled = add_tile(df, seconds, ts).withColumn("_v", value)
+    tiled = add_tile(df, seconds, ts)
     order = F.col(ts)
-    items: dict = {
-        f"{prefix}first_ts": Total(F.min(ts), F.min),
-        f"{prefix}last_ts": Total(F.max(ts), F.max),
-    }
+    before, after = Prev(values, order, eligible), Next(values, order, eligible)
+    items: dict = {"first_ts": Total(F.min(ts), F.min), "last_ts": Total(F.max(ts), F.max)}
     if "prev" in sides:
-        items["_p"] = Prev(F.col("_v"), order)
+        items["_p"] = before
     if "next" in sides:
-        items["_n"] = Next(F.col("_v"), order)
-    out = with_carry(tiled, items, by=by)
-    edge = 0 if inclusive else -1
+        items["_n"] = after
+    out = with_carry(tiled, items, by=by).withColumn("_v", before.struct())
     if "prev" in sides:
-        frame = in_tile(by, [ts]).rowsBetween(Window.unboundedPreceding, edge)
-        out = out.withColumn(f"{prefix}prev", F.coalesce(F.last("_v", ignorenulls=True).over(frame), F.col("_p"))).drop("_p")
+        frame = in_tile(by, [ts]).rowsBetween(Window.unboundedPreceding, -1)
+        out = out.withColumn("prev", F.coalesce(F.last("_v", ignorenulls=True).over(frame), F.col("_p"))).drop("_p")
     if "next" in sides:
-        frame = in_tile(by, [ts], descending=True).rowsBetween(Window.unboundedPreceding, edge)
-        out = out.withColumn(f"{prefix}next", F.coalesce(F.last("_v", ignorenulls=True).over(frame), F.col("_n"))).drop("_n")
+        frame = in_tile(by, [ts], descending=True).rowsBetween(Window.unboundedPreceding, -1)
+        out = out.withColumn("next", F.coalesce(F.last("_v", ignorenulls=True).over(frame), F.col("_n"))).drop("_n")
     return out.drop("_v", TILE)
 
 
