@@ -6,6 +6,8 @@ the limited fill chain, W11 carries without limit.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
@@ -54,25 +56,35 @@ def null_runs(grid: DataFrame, spec: GridSpec, col: str = "bg", include_open_end
     )
 
 
-def short_gap_cols(w: WindowSpec, spec: GridSpec, limit: int, col: str = "bg") -> dict[str, Column]:
-    """Columns over a tile window that sees ``limit + 1`` rows on both sides.
+def with_neighbours(rows: DataFrame, by: Sequence[str] = KEYS, col: str = "bg") -> DataFrame:
+    """Readings around each row inside its tile (``_prev``, ``_next``) and the first and last time of the tile.
 
-    ``_fill`` is the straight line between the bounding readings where the gap has at most ``limit`` bins, ``_left`` and
-    ``_right`` count null rows on each side (cut at the limit), ``_hard`` marks gaps longer than the limit.
+    With a halo of ``limit + 1`` rows on both sides, a distance up to ``limit`` bins is exact, and a tile that ends closer
+    than that to a row ends there because the series does.
     """
-    step = spec.freq_seconds
-    seen = _seen(col)
-    before = F.last(seen, ignorenulls=True).over(w.rowsBetween(-(limit + 1), -1))
-    after = F.first(seen, ignorenulls=True).over(w.rowsBetween(1, limit + 1))
-    rows_before = F.count(F.lit(1)).over(w.rowsBetween(-(limit + 1), -1))
-    rows_after = F.count(F.lit(1)).over(w.rowsBetween(1, limit + 1))
-    left = F.coalesce(tg.bins_between(F.col("ts"), before["ts"], step) - 1, rows_before)
-    right = F.coalesce(tg.bins_between(after["ts"], F.col("ts"), step) - 1, rows_after)
+    whole = Window.partitionBy(*by, tiles.TILE)
+    seen = rows.withColumn("_v", _seen(col))
+    near = {"_prev": tiles.nearest("lag", "_v", by), "_next": tiles.nearest("lead", "_v", by)}
+    return seen.withColumns(near).withColumns({"_t0": F.min("ts").over(whole), "_t1": F.max("ts").over(whole)}).drop("_v")
+
+
+NEIGHBOURS = ("_prev", "_next", "_t0", "_t1")
+
+
+def short_gap_cols(spec: GridSpec, limit: int, col: str = "bg") -> dict[str, Column]:
+    """Columns over rows with neighbours.
+
+    ``_fill`` is the straight line between the bounding readings where the gap has at most ``limit`` bins, ``_run_len`` the
+    length of the gap as far as the tile shows it, ``_hard`` marks gaps longer than the limit.
+    """
+    step, ts = spec.freq_seconds, F.col("ts")
+    left = F.coalesce(tg.bins_between(ts, F.col("_prev.ts"), step) - 1, tg.bins_between(ts, F.col("_t0"), step))
+    right = F.coalesce(tg.bins_between(F.col("_next.ts"), ts, step) - 1, tg.bins_between(F.col("_t1"), ts, step))
     length = left + right + 1
-    share = (tg.micros(F.col("ts")) - tg.micros(before["ts"])) / (tg.micros(after["ts"]) - tg.micros(before["ts"]))
-    line = before["v"] + (after["v"] - before["v"]) * share
+    t0, t1 = tg.micros(F.col("_prev.ts")), tg.micros(F.col("_next.ts"))
+    line = F.col("_prev.v") + (F.col("_next.v") - F.col("_prev.v")) * ((tg.micros(ts) - t0) / (t1 - t0))
     absent = F.col(col).isNull()
-    bounded = before.isNotNull() & after.isNotNull()
+    bounded = F.col("_prev").isNotNull() & F.col("_next").isNotNull()
     return {
         "_fill": F.when(absent & bounded & (length <= limit), line),
         "_run_len": F.when(absent, length).otherwise(F.lit(0)),
@@ -87,7 +99,7 @@ def impute_short_gaps(
     limit = rules.max_impute_bins
 
     def build(rows: DataFrame, w: WindowSpec) -> DataFrame:
-        return rows.withColumns({k: v for k, v in short_gap_cols(w, spec, limit).items() if k == "_fill"})
+        return with_neighbours(rows).withColumn("_fill", short_gap_cols(spec, limit)["_fill"]).drop(*NEIGHBOURS)
 
     reach = (limit + 1) * spec.freq_seconds
     filled = tiles.with_halo(grid, build, seconds=spec.tile_seconds, before=reach, after=reach)
@@ -106,7 +118,7 @@ def impute_with_flags(
     limit = rules.max_impute_bins
 
     def build(rows: DataFrame, w: WindowSpec) -> DataFrame:
-        return rows.withColumns(short_gap_cols(w, spec, limit))
+        return with_neighbours(rows).withColumns(short_gap_cols(spec, limit)).drop(*NEIGHBOURS)
 
     reach = (limit + 1) * spec.freq_seconds
     out = tiles.with_halo(grid, build, seconds=spec.tile_seconds, before=reach, after=reach)
@@ -123,28 +135,20 @@ def impute_with_flags(
 
 
 def edge_fill(grid: DataFrame, spec: GridSpec, rules: GapRules = GapRules()) -> DataFrame:
-    """A leading or trailing null run of at most three bins takes the nearest value.
-
-    With a frame of ``limit + 1`` rows that holds fewer rows than that, the row is that close to the first or last row.
-    """
-    limit = rules.max_edge_bins
+    """A leading or trailing null run of at most three bins takes the nearest value."""
+    limit, step = rules.max_edge_bins, spec.freq_seconds
 
     def build(rows: DataFrame, w: WindowSpec) -> DataFrame:
-        ahead, behind = w.rowsBetween(1, limit), w.rowsBetween(-limit, -1)
-        seen = _seen("bg")
-        nxt, prv = F.first(seen, ignorenulls=True).over(ahead), F.last(seen, ignorenulls=True).over(behind)
-        all_before = F.count(F.lit(1)).over(w.rowsBetween(-limit, -1))
-        all_after = F.count(F.lit(1)).over(w.rowsBetween(1, limit))
-        real_before = F.count("bg").over(w.rowsBetween(-limit, -1))
-        real_after = F.count("bg").over(w.rowsBetween(1, limit))
         absent = F.col("bg").isNull()
-        step = spec.freq_seconds
-        lead_len = all_before + tg.bins_between(nxt["ts"], F.col("ts"), step)
-        tail_len = all_after + tg.bins_between(F.col("ts"), prv["ts"], step)
-        leading = absent & (all_before < limit) & (real_before == 0) & (lead_len <= limit)
-        trailing = absent & (all_after < limit) & (real_after == 0) & (tail_len <= limit)
-        edge_len = F.when(leading, lead_len).when(trailing, tail_len)
-        return rows.withColumns({"_edge": F.when(leading, nxt["v"]).when(trailing, prv["v"]), "_edge_len": edge_len})
+        lead_len = tg.bins_between(F.col("_next.ts"), F.col("_t0"), step)
+        tail_len = tg.bins_between(F.col("_t1"), F.col("_prev.ts"), step)
+        leading = absent & F.col("_prev").isNull() & (lead_len <= limit)
+        trailing = absent & F.col("_next").isNull() & (tail_len <= limit)
+        edge = {
+            "_edge": F.when(leading, F.col("_next.v")).when(trailing, F.col("_prev.v")),
+            "_edge_len": F.when(leading, lead_len).when(trailing, tail_len),
+        }
+        return with_neighbours(rows).withColumns(edge).drop(*NEIGHBOURS)
 
     reach = (limit + 1) * spec.freq_seconds
     out = tiles.with_halo(grid, build, seconds=spec.tile_seconds, before=reach, after=reach)

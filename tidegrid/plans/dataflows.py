@@ -82,8 +82,7 @@ def sequence_rows(labelled: DataFrame, spec: GridSpec, rules: GapRules = GapRule
     low, high = Ranges().bg_clip
 
     def build(rows: DataFrame, w: WindowSpec) -> DataFrame:
-        fill = runs.short_gap_cols(w, spec, limit)["_fill"]
-        rows = rows.withColumn("_fill", fill)
+        rows = runs.with_neighbours(rows, SEGMENT).withColumn("_fill", runs.short_gap_cols(spec, limit)["_fill"])
         value = F.coalesce("bg", "_fill")
         rows = rows.withColumns(
             {
@@ -99,7 +98,7 @@ def sequence_rows(labelled: DataFrame, spec: GridSpec, rules: GapRules = GapRule
                 "bg_slope_15min": features.slope_col(w, "bg", 3, step),
                 "bg_slope_30min": features.slope_col(w, "bg", 6, step),
             }
-        ).drop("_fill")
+        ).drop("_fill", *runs.NEIGHBOURS)
 
     before = max((limit + 1 + 6) * step, cap * 60)
     out = tiles.with_halo(

@@ -175,9 +175,17 @@ def spread(df: DataFrame, by: Sequence[str] = KEYS) -> DataFrame:
     return df.repartition(n, *by, TILE)
 
 
-def in_tile(by: Sequence[str], order: Sequence[str], descending: bool = False) -> WindowSpec:
-    cols = [F.col(c).desc() if descending else F.col(c) for c in order]
-    return Window.partitionBy(*by, TILE).orderBy(*cols)
+def in_tile(by: Sequence[str], order: Sequence[str]) -> WindowSpec:
+    return Window.partitionBy(*by, TILE).orderBy(*order)
+
+
+def nearest(side: str, name: str, by: Sequence[str], order: str = "ts") -> Column:
+    """Nearest non-null value of column ``name`` strictly before (``lag``) or after (``lead``) a row within its tile.
+
+    One forward pass over the sorted tile for either side; the Python functions have no IGNORE NULLS, the SQL form has.
+    """
+    keys = ", ".join(f"`{k}`" for k in [*by, TILE])
+    return F.expr(f"{side}(`{name}`, 1) IGNORE NULLS OVER (PARTITION BY {keys} ORDER BY `{order}`)")
 
 
 def previous_row(
@@ -239,12 +247,12 @@ def fill_context(
     if "next" in sides:
         items["_n"] = after
     out = with_carry(tiled, items, by=by).withColumn("_v", before.struct())
+    found = {}
     if "prev" in sides:
-        frame = in_tile(by, [ts]).rowsBetween(Window.unboundedPreceding, -1)
-        out = out.withColumn("prev", F.coalesce(F.last("_v", ignorenulls=True).over(frame), F.col("_p"))).drop("_p")
+        found["prev"] = F.coalesce(nearest("lag", "_v", by, ts), F.col("_p"))
     if "next" in sides:
-        frame = in_tile(by, [ts], descending=True).rowsBetween(Window.unboundedPreceding, -1)
-        out = out.withColumn("next", F.coalesce(F.last("_v", ignorenulls=True).over(frame), F.col("_n"))).drop("_n")
+        found["next"] = F.coalesce(nearest("lead", "_v", by, ts), F.col("_n"))
+    out = out.withColumns(found).drop("_p", "_n")
     return out.drop("_v", TILE)
 
 
