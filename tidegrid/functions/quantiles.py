@@ -13,17 +13,24 @@ BUCKETS = 1024
 
 
 def exact_percentiles(
-    df: DataFrame, keys: Sequence[str], value: str, probs: dict[str, float], buckets: int = BUCKETS
+    df: DataFrame,
+    keys: Sequence[str],
+    value: str,
+    probs: dict[str, float],
+    buckets: int = BUCKETS,
+    weight: str | None = None,
 ) -> DataFrame:
     """``probs`` maps an output column to a probability; the result has one row per key with non-null values.
 
     The built-in ``percentile`` holds every distinct value of a key in one aggregation buffer.  Here equal values are
     counted first, the counts fall into value buckets per key, and only the few buckets that hold a wanted rank are
-    sorted, so no task ever sees all values of a hot key.
+    sorted, so no task ever sees all values of a hot key.  ``weight`` names a column of row counts for counted input.
     """
     keys = list(keys)
     counts = (
-        df.filter(F.col(value).isNotNull()).groupBy(*keys, F.col(value).alias("_v")).agg(F.count(F.lit(1)).alias("_n"))
+        df.filter(F.col(value).isNotNull()).groupBy(*keys, F.col(value).alias("_v")).agg(
+            (F.count(F.lit(1)) if weight is None else F.sum(weight)).alias("_n")
+        )
     )
     bounds = counts.groupBy(*keys).agg(
         F.min("_v").alias("_lo"), F.max("_v").alias("_hi"), F.sum("_n").alias("_total")

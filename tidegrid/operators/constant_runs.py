@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, WindowSpec
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidegrid import tiles
@@ -13,71 +13,71 @@ from tidegrid.tiles import KEYS, TILE
 REACH = 6  # bins looked at on both sides of a run
 BASAL_STEP = 0.05
 MIN_RUN = 2
+BUCKET_BINS = 64  # width of the time buckets in which runs and rows meet
 
 
 def _is_placeholder() -> Column:
     return F.coalesce(F.col("bg") == PLACEHOLDER_BG, F.lit(False))
 
 
-def _with_run_start(grid: DataFrame, spec: GridSpec) -> DataFrame:
-    """``run_start`` of the maximal run each placeholder row belongs to, found from the last other row before it."""
-    ctx = tiles.fill_context(grid, {"ts": F.col("ts")}, ~_is_placeholder(), seconds=spec.tile_seconds, sides=("prev",))
-    start = F.when(
-        _is_placeholder(),
-        F.coalesce(tg.shift(F.col("prev.ts"), spec.freq_seconds), F.col("first_ts")),
+def _marked(grid: DataFrame, spec: GridSpec) -> DataFrame:
+    """Adds ``run_start`` of the maximal run of each placeholder row, and ``_step_from``, the time of the rate before a
+    basal step (the last known one, also across missing rates).  Both come from one carry."""
+    other = tiles.Prev({"ts": F.col("ts")}, F.col("ts"), ~_is_placeholder())
+    basal = tiles.Prev({"ts": F.col("ts"), "v": F.col("basal_rate")}, F.col("ts"), F.col("basal_rate").isNotNull())
+    first = tiles.Total(F.min("ts"), F.min)
+    tiled = tiles.add_tile(grid, spec.tile_seconds)
+    carried = tiles.with_carry(tiled, {"_oc": other, "_bc": basal, "_first": first})
+    near = carried.withColumns({"_o": other.struct(), "_b": basal.struct()})
+    near = near.withColumns(
+        {
+            "_o": F.coalesce(tiles.nearest("lag", "_o", KEYS), F.col("_oc")),
+            "_b": F.coalesce(tiles.nearest("lag", "_b", KEYS), F.col("_bc")),
+        }
     )
-    return ctx.withColumn("run_start", start).drop("prev", "first_ts", "last_ts")
-
-
-def _with_basal_origin(grid: DataFrame, spec: GridSpec) -> DataFrame:
-    """Time and value of the last known basal rate before each row, for steps across missing rates."""
-    values = {"ts": F.col("ts"), "v": F.col("basal_rate")}
-    ctx = tiles.fill_context(grid, values, F.col("basal_rate").isNotNull(), seconds=spec.tile_seconds, sides=("prev",))
-    moved = F.abs(F.col("basal_rate") - F.col("prev.v")) > BASAL_STEP
-    return ctx.withColumn("_step_from", F.when(moved, F.col("prev.ts"))).drop("prev", "first_ts", "last_ts")
+    start = F.coalesce(tg.shift(F.col("_o.ts"), spec.freq_seconds), F.col("_first"))
+    moved = F.abs(F.col("basal_rate") - F.col("_b.v")) > BASAL_STEP
+    return near.withColumns(
+        {"run_start": F.when(_is_placeholder(), start), "_step_from": F.when(moved, F.col("_b.ts"))}
+    ).drop("_o", "_b", "_oc", "_bc", "_first", TILE)
 
 
 def placeholder_runs(grid: DataFrame, spec: GridSpec) -> DataFrame:
     """One row per run of at least two placeholder values with its evidence, verdict and confidence."""
-    marked = _with_basal_origin(_with_run_start(grid.select(*KEYS, "ts", "bg", "basal_rate", "bolus_dose"), spec), spec)
-    return _runs(marked, spec)
+    return _runs(_marked(grid.select(*KEYS, "ts", "bg", "basal_rate", "bolus_dose"), spec), spec)
 
 
 def _runs(marked: DataFrame, spec: GridSpec) -> DataFrame:
-    step = spec.freq_seconds
-
-    def build(rows: DataFrame, w: WindowSpec) -> DataFrame:
-        value = F.when(F.col("bg").isNotNull() & ~_is_placeholder(), F.col("bg"))
-        bolus = F.max(F.coalesce(F.col("bolus_dose") > 0, F.lit(False))).over(w.rowsBetween(-REACH, REACH))
-        origin = F.max("_step_from").over(w.rowsBetween(-(REACH - 1), REACH))
-        return rows.withColumns(
-            {
-                "_bolus": bolus,
-                "_origin": origin,
-                "_before": F.first(value, ignorenulls=True).over(w.rowsBetween(-REACH, -1)),
-                "_after": F.first(value, ignorenulls=True).over(w.rowsBetween(1, REACH)),
-            }
-        )
-
-    reach = REACH * step
-    rows = tiles.with_halo(marked, build, seconds=spec.tile_seconds, before=reach, after=reach)
-    # A basal step counts if it starts no earlier than six bins before the run; origins grow with time, so the latest
-    # one in the frame decides.
-    stepped = F.coalesce(F.col("_origin") >= tg.shift(F.col("run_start"), -reach), F.lit(False))
+    """Runs with the evidence found within six bins around them.
+
+    Runs are few; they meet the rows near them in short time buckets, so nothing is computed for the other rows and the
+    number of pairs per bucket stays small.
+    """
     runs = (
-        rows.filter(F.col("run_start").isNotNull())
-        .withColumn("_active", F.col("_bolus") | stepped)
+        marked.filter(F.col("run_start").isNotNull())
         .groupBy(*KEYS, "run_start")
-        .agg(
-            F.max("ts").alias("run_end"),
-            F.count(F.lit(1)).alias("run_len"),
-            F.max("_active").alias("has_insulin_activity"),
-            F.min_by("_before", "ts").alias("_before"),
-            F.max_by("_after", "ts").alias("_after"),
-        )
+        .agg(F.max("ts").alias("run_end"), F.count(F.lit(1)).alias("run_len"))
         .filter(F.col("run_len") >= MIN_RUN)
     )
-    return _judge(runs)
+    reach, bucket = REACH * spec.freq_seconds, BUCKET_BINS * spec.freq_seconds
+    around = runs.withColumns({"_lo": tg.shift(F.col("run_start"), -reach), "_hi": tg.shift(F.col("run_end"), reach)})
+    cut = around.withColumn(
+        "_k", F.explode(F.sequence(tiles.tile_of(F.col("_lo"), bucket), tiles.tile_of(F.col("_hi"), bucket)))
+    )
+    rows = marked.select(*KEYS, "ts", "bg", "bolus_dose", "_step_from", tiles.tile_of(F.col("ts"), bucket).alias("_k"))
+    near = rows.join(cut, [*KEYS, "_k"]).filter(F.col("ts").between(F.col("_lo"), F.col("_hi")))
+    # a basal step counts if it starts no earlier than six bins before the run
+    active = F.coalesce(F.col("bolus_dose") > 0, F.lit(False)) | F.coalesce(F.col("_step_from") >= F.col("_lo"), F.lit(False))
+    reading = F.col("bg").isNotNull() & ~_is_placeholder()
+    before, after = reading & (F.col("ts") < F.col("run_start")), reading & (F.col("ts") > F.col("run_end"))
+    found = near.groupBy(*KEYS, "run_start").agg(
+        F.max("run_end").alias("run_end"),
+        F.max("run_len").alias("run_len"),
+        F.max(active).alias("has_insulin_activity"),
+        F.min_by("bg", F.when(before, F.col("ts"))).alias("_before"),
+        F.min_by("bg", F.when(after, F.col("ts"))).alias("_after"),
+    )
+    return _judge(found)
 
 
 def _judge(runs: DataFrame) -> DataFrame:
@@ -107,9 +107,12 @@ def repair_placeholders(grid: DataFrame, spec: GridSpec) -> DataFrame:
 
     The verdicts travel back per (device, tile, run), so a very long run does not meet in one task.
     """
-    marked = _with_run_start(grid, spec)
-    runs = _runs(_with_basal_origin(marked, spec), spec).select(*KEYS, "run_start", "run_len", "replaced")
-    rows = tiles.attach_group(tiles.add_tile(marked, spec.tile_seconds), runs, ["run_start"]).drop(TILE)
+    marked = _marked(grid, spec)
+    runs = _runs(marked, spec).select(*KEYS, "run_start", "run_end", "run_len", "replaced")
+    runs = runs.withColumn("_first", F.col("run_start"))
+    rows = tiles.attach_span(
+        marked.drop("_step_from"), runs, "_first", "run_end", ["run_start"], seconds=spec.tile_seconds
+    ).drop("_first", "run_end")
     in_run = F.col("run_len").isNotNull()
     replaced = F.coalesce(F.col("replaced"), F.lit(False))
     return rows.withColumns(

@@ -38,17 +38,20 @@ def find_gaps(times: DataFrame, longer_than_seconds: float, tile_seconds: int =
 
 def gap_summary(times: DataFrame, longer_than_seconds: float, tile_seconds: int = RAW_TILE_SECONDS) -> DataFrame:
     """Count, total, longest, mean and median gap per device; devices without a gap have count 0."""
-    rows = steps(times, tile_seconds)
-    is_gap = F.col("step_seconds") > longer_than_seconds
-    minutes = F.when(is_gap, F.col("step_seconds") / 60.0)
-    totals = rows.groupBy(*KEYS).agg(
-        F.count(minutes).alias("n_gaps"),
-        F.coalesce(F.sum(minutes), F.lit(0.0)).alias("total_gap_minutes"),
-        F.max(minutes).alias("max_gap_minutes"),
-        F.avg(minutes).alias("mean_gap_minutes"),
+    found = find_gaps(times, longer_than_seconds, tile_seconds)
+    # gaps of equal length are counted once; totals and median share that one aggregation
+    counted = found.groupBy(*KEYS, "gap_minutes").agg(F.count(F.lit(1)).alias("n"))
+    totals = counted.groupBy(*KEYS).agg(
+        F.sum("n").alias("n_gaps"),
+        F.sum(F.col("gap_minutes") * F.col("n")).alias("total_gap_minutes"),
+        F.max("gap_minutes").alias("max_gap_minutes"),
     )
-    medians = exact_percentiles(rows.withColumn("_m", minutes), KEYS, "_m", {"median_gap_minutes": 0.5})
-    return totals.join(medians, list(KEYS), "left")
+    medians = exact_percentiles(counted, KEYS, "gap_minutes", {"median_gap_minutes": 0.5}, weight="n")
+    devices = times.select(*KEYS).distinct()
+    out = devices.join(totals, list(KEYS), "left").join(medians, list(KEYS), "left")
+    out = out.fillna(0, ["n_gaps"]).fillna(0.0, ["total_gap_minutes"])
+    mean = F.try_divide(F.col("total_gap_minutes"), F.when(F.col("n_gaps") > 0, F.col("n_gaps")).cast("double"))
+    return out.withColumn("mean_gap_minutes", mean)
 
 
 def with_segments(
@@ -85,9 +88,10 @@ def segment_summary(segments: DataFrame) -> DataFrame:
 
 def keep_long_segments(rows: DataFrame, rules: GapRules = GapRules(), tile_seconds: int = RAW_TILE_SECONDS) -> DataFrame:
     """Rows of the kept segments only; the lengths travel per (segment, tile), so one long segment is no hot key."""
-    lengths = segment_table(rows, rules).select(*KEYS, "segment_id", F.col("n_rows").alias("segment_rows"))
-    attached = tiles.attach_group(tiles.add_tile(rows, tile_seconds), lengths, ["segment_id"])
-    return attached.filter(F.col("segment_rows").isNotNull()).drop(TILE)
+    table = segment_table(rows, rules).withColumnRenamed("n_rows", "segment_rows")
+    return tiles.attach_span(rows, table, "segment_start", "segment_end", ["segment_id"], seconds=tile_seconds, how="inner").drop(
+        "segment_start", "segment_end"
+    )
 
 
 def spacing_report(times: DataFrame, minutes: float = 5.0, slack: float = 0.5, tile_seconds: int = RAW_TILE_SECONDS) -> DataFrame:

@@ -280,3 +280,21 @@ def attach_group(df: DataFrame, stats: DataFrame, group: Sequence[str], *, by: S
     keys = [*by, *group]
     pairs = df.select(*by, TILE, *group).distinct()
     return df.join(pairs.join(stats, keys), [*by, TILE, *group], "left")
+
+
+def attach_span(
+    df: DataFrame,
+    spans: DataFrame,
+    start: str,
+    end: str,
+    group: Sequence[str],
+    *,
+    seconds: int,
+    by: Sequence[str] = KEYS,
+    ts: str = "ts",
+    how: str = "left",
+) -> DataFrame:
+    """``attach_group`` for groups with known first and last time: the group table is cut into tiles by itself."""
+    low, high = tile_of(F.col(start), seconds), tile_of(F.col(end), seconds)
+    cut = spans.withColumn(TILE, F.explode(F.sequence(low, high)))
+    return add_tile(df, seconds, ts).join(cut, [*by, TILE, *group], how).drop(TILE)
