@@ -20,9 +20,14 @@ def union_sources(frames: dict[str, DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), tagged)
 
 
+def _month():
+    return F.date_format("ts", "yyyyMM")
+
+
 def store_batch(df: DataFrame, path: str, partitions: Sequence[str] = KEYS) -> None:
-    """Compressed Parquet; rows of a partition are spread by time too, so a hot device is written by many tasks."""
-    spread = df.repartition(*partitions, F.to_date("ts")) if "ts" in df.columns else df
+    """Compressed Parquet; a partition is written month by month, so a busy device is no single task and a quiet one
+    does not fall into many small files."""
+    spread = df.repartition(*partitions, _month()) if "ts" in df.columns else df
     spread.write.mode("overwrite").option("compression", "gzip").partitionBy(*partitions).parquet(path)
 
 
@@ -76,7 +81,7 @@ def dataset_metadata(df: DataFrame, role: str, by: Sequence[str] = ("pump_serial
 
 def write_dataset(df: DataFrame, path: str, role: str, by: Sequence[str] = ("pump_serial", "month")) -> None:
     """CSV partitions with a header line, and the metadata as a side table."""
-    df.repartition(*by, F.to_date("ts")).write.mode("overwrite").option("header", True).partitionBy(*by).csv(f"{path}/data")
+    df.repartition(*by, _month()).write.mode("overwrite").option("header", True).partitionBy(*by).csv(f"{path}/data")
     dataset_metadata(df, role, by).write.mode("overwrite").parquet(f"{path}/metadata")
 
 
@@ -92,14 +97,14 @@ def replace_partitions(df: DataFrame, path: str, partitions: Sequence[str]) -> N
 
 def write_sequences(rows: DataFrame, segments: DataFrame, path: str, partitions: Sequence[str] = ("pump_serial", "segment_id")) -> None:
     """Sequence rows by device and segment, and one JSON record per sequence beside them."""
-    rows.repartition(*partitions, F.to_date("ts")).write.mode("overwrite").partitionBy(*partitions).parquet(f"{path}/rows")
+    rows.repartition(*partitions, _month()).write.mode("overwrite").partitionBy(*partitions).parquet(f"{path}/rows")
     segments.write.mode("overwrite").json(f"{path}/segments")
 
 
 def write_split(rows: DataFrame, summary: DataFrame, path: str) -> None:
     """S16."""
     by = ["pump_serial", "subset"]
-    rows.repartition(*by, F.to_date("ts")).write.mode("overwrite").partitionBy(*by).parquet(f"{path}/rows")
+    rows.repartition(*by, _month()).write.mode("overwrite").partitionBy(*by).parquet(f"{path}/rows")
     summary.write.mode("overwrite").json(f"{path}/summary")
 
 
