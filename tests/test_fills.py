@@ -161,3 +161,17 @@ def test_year_guard_and_cgm_extent(events):
     rows = events([(1, 0, "cgm", 100), (1, 10, "cgm", 100), (1, -20, "basal", 3), (2, 60 * 24 * 366 * 8, "cgm", 9)])
     out = gr.align(rows, SPEC, gr.Alignment(extent_streams=("cgm",)))
     assert ordered(out, "pump_serial", "basal_rate") == [(1, 3.0)] * 3
+
+
+def test_time_weighted_basal_equals_minute_carry(events):
+    """Bins from intervals against a walk over every minute."""
+    rnd = random.Random(8)
+    changes = sorted((rnd.uniform(0, 400), rnd.uniform(0, 3)) for _ in range(25))
+    rows = events([(1, m, "basal", v) for m, v in changes])
+    first, last = -(-changes[0][0] // 1), -(-changes[-1][0] // 1)
+    per_bin = {}
+    for minute in range(int(first), int(last) + 1):
+        per_bin.setdefault(minute // 5, []).append([v for m, v in changes if m <= minute][-1])
+    for how, pick in (("mean", lambda x: sum(x) / len(x)), ("last", lambda x: x[-1])):
+        out = one_column(gr.basal_time_weighted(rows, GridSpec(pad_seconds=0, tile_bins=6), how), "value")
+        assert close(out, [pick(per_bin[k]) for k in sorted(per_bin)])

@@ -153,8 +153,7 @@ CAL_SQL = f"""hour(ts)::INT AS hour, (isodow(ts) - 1)::INT AS day_of_week, month
     {CAL_SQL} FROM grid""",
 )
 def q06(spark, sf):
-    filled = dataflows.organised_grid(signal_events(spark, sf), HOUR)
-    return dataflows.organised_features(filled, HOUR)
+    return dataflows.organised_dataset(signal_events(spark, sf), HOUR)
 
 
 @query(

@@ -277,10 +277,25 @@ def asof(events: DataFrame, stream: str, spec: GridSpec, tolerance_seconds: int
 
 
 def basal_time_weighted(events: DataFrame, spec: GridSpec, how: str = "mean") -> DataFrame:
-    """Carry the rate on a one-minute grid, then mean (or last) of each bin."""
-    minute = GridSpec(freq_seconds=60, pad_seconds=0, tile_bins=spec.tile_seconds // 60)
-    basal = events.filter(F.col("stream") == "basal")
-    carried = asof(basal, "basal", minute).filter(F.col("value").isNotNull())
-    aggregate = F.avg("value") if how == "mean" else F.max_by("value", "ts")
-    bins = carried.withColumn("bin_ts", tg.floor_to(F.col("ts"), spec.freq_seconds)).groupBy(*KEYS, "bin_ts")
-    return bins.agg(aggregate.alias("value")).withColumnRenamed("bin_ts", "ts")
+    """The rate carried over whole minutes, then mean (or last) of each bin.
+
+    A rate holds from its minute to the minute before the next one, so a bin is the mean of its rates weighted by their
+    minutes; rows are made per rate and bin, not per minute.
+    """
+    minute, freq = 60, spec.freq_seconds
+    rates = (
+        _one_stream(events, "basal")
+        .groupBy(*KEYS, tg.ceil_to(F.col("ts"), minute).alias("from_ts"))
+        .agg(F.max_by("value", "ts").alias("rate"))
+    )
+    tiled = tiles.add_tile(rates, spec.tile_seconds, "from_ts")
+    carried = tiles.with_carry(tiled, {"_next": tiles.Next({"ts": F.col("from_ts")}, F.col("from_ts"))})
+    following = F.coalesce(F.lead("from_ts").over(tiles.in_tile(KEYS, ["from_ts"])), F.col("_next.ts"))
+    held = carried.select(*KEYS, "rate", "from_ts", F.coalesce(tg.shift(following, -minute), F.col("from_ts")).alias("to_ts"))
+    bounds = held.withColumns({"_a": tg.floor_to(F.col("from_ts"), freq), "_z": tg.floor_to(F.col("to_ts"), freq)})
+    bins = bounds.withColumn("bin_ts", F.explode(_steps("_a", "_z", spec)))
+    low = F.greatest(F.col("from_ts"), F.col("bin_ts"))
+    high = F.least(F.col("to_ts"), tg.shift(F.col("bin_ts"), freq - minute))
+    weighted = bins.withColumn("_n", tg.bins_between(high, low, minute) + 1)
+    value = F.sum(F.col("rate") * F.col("_n")) / F.sum("_n") if how == "mean" else F.max_by("rate", "from_ts")
+    return weighted.groupBy(*KEYS, "bin_ts").agg(value.alias("value")).withColumnRenamed("bin_ts", "ts")
