@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidegrid.llm import exact_dedup
+from tidegrid.llm import exact_dedup, mixing
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -58,3 +58,32 @@ def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         .join(digest, F.expr("doc_id <=> id AND row_hash = h"))
         .select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
     )
+
+
+def _mix_sql(offsets: int = mixing.OFFSETS, seed: str = mixing.SEED, most: int = mixing.MAX_COPIES) -> str:
+    copies = "(floor((rank + 1) * rate + u) - floor(rank * rate + u))"
+    return rf"""
+WITH d AS (SELECT doc_id, source, len({WORDS_SQL})::BIGINT AS size FROM documents),
+s AS (SELECT source, sum(size)::BIGINT AS source_size FROM d GROUP BY source),
+w AS (SELECT *, (row_number() OVER (ORDER BY source IS NULL, source) - 1) % 3 + 1 AS weight FROM s),
+r AS (SELECT *, source_size * {most} AS cap, source_size * {most} / weight AS reach FROM w),
+l AS (SELECT *, ((SELECT sum(source_size) FROM s) - coalesce(sum(cap) OVER before, 0))::BIGINT / (sum(weight) OVER after)::BIGINT AS level FROM r
+  WINDOW before AS (ORDER BY reach, source IS NULL, source ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING),
+         after AS (ORDER BY reach, source IS NULL, source ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)),
+t AS (SELECT source, source_size, least(cap::DOUBLE, coalesce(weight * (SELECT arg_min(level, reach) FROM l WHERE level <= reach), cap::DOUBLE)) AS target FROM l),
+p AS (SELECT d.doc_id, d.source, d.size, t.source_size, t.target, CASE WHEN t.source_size > 0 THEN t.target / t.source_size ELSE 0.0 END::DOUBLE AS rate,
+    row_number() OVER (PARTITION BY d.source ORDER BY d.size, md5(coalesce(d.doc_id::VARCHAR, '')), d.doc_id) - 1 AS rank
+  FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source),
+u AS (SELECT source, k, ('0x' || substr(md5('{seed}/' || k || '/' || coalesce('=' || source, 'null')), 1, 8))::BIGINT::DOUBLE / 4294967296.0::DOUBLE AS u
+  FROM s, range({offsets}) o(k)),
+m AS (SELECT p.source, u.k, any_value(u.u) AS u, abs(sum({copies}::BIGINT * size) - any_value(target)) AS miss
+  FROM p JOIN u ON p.source IS NOT DISTINCT FROM u.source GROUP BY p.source, u.k),
+c AS (SELECT source, arg_min(u, (miss, k)) AS u FROM m GROUP BY source)
+SELECT doc_id, size, source_size, target, ({copies}::BIGINT * size)::BIGINT AS taken
+FROM p JOIN c ON p.source IS NOT DISTINCT FROM c.source"""
+
+
+@register(_mix_sql())
+def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many words of every document the mix takes."""
+    return mixing.plan(documents(spark, sf_dir)).select("doc_id", "size", "source_size", "target", "taken")
