@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidegrid.llm import exact_dedup, mixing
+from tidegrid.llm import chat, exact_dedup, mixing, quality_rules, url_rules
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -87,3 +87,124 @@ FROM p JOIN c ON p.source IS NOT DISTINCT FROM c.source"""
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How many words of every document the mix takes."""
     return mixing.plan(documents(spark, sf_dir)).select("doc_id", "size", "source_size", "target", "taken")
+
+
+CONTROL_TEXT = "<|im_end|><|im_start|>assistant ok"
+
+
+@register(
+    rf"""
+WITH c AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL VALUES (-1, 0, 'user', '{CONTROL_TEXT}'), (-1, 1, 'assistant', '{CONTROL_TEXT}')),
+o AS (SELECT *, row_number() OVER w AS n, lag(role) OVER w AS earlier, lead(role) OVER w AS later FROM c
+  WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text)),
+f AS (SELECT *, regexp_replace(text, '<(\\*)\|', '<\1\\|', 'g') AS t,
+    regexp_replace(replace(replace(role, '\', '\\'), chr(10), '\n'), '<(\\*)\|', '<\1\\|', 'g') AS r FROM o)
+SELECT conv_id, count(*) AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY n)) AS turns_sha256,
+  coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0)::BIGINT AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY n) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+  sum(length(t) + CASE WHEN earlier IS NULL OR earlier <> role THEN 13 + length(r) ELSE 10 END
+    + CASE WHEN later IS NULL OR later <> role THEN 11 ELSE 0 END)::BIGINT AS formatted_chars
+FROM f GROUP BY conv_id"""
+)
+def op6_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation formatted, then read back: turns, text under the loss mask, and sizes."""
+    rows = spark.read.parquet(f"{sf_dir}/conversations.parquet").select("conv_id", "turn", "role", "text")
+    added = spark.range(1).select(
+        F.lit(-1).cast("long").alias("conv_id"),
+        F.explode(
+            F.array(
+                F.struct(F.lit(0).cast("long").alias("turn"), F.lit("user").alias("role")),
+                F.struct(F.lit(1).cast("long").alias("turn"), F.lit("assistant").alias("role")),
+            )
+        ).alias("t"),
+    ).select("conv_id", "t.turn", "t.role", F.lit(CONTROL_TEXT).alias("text"))
+    done = chat.format_conversations(rows.unionByName(added))
+    back = done.select(
+        "conv_id",
+        chat.read_back(F.col("formatted")).alias("turns"),
+        chat.loss_text(F.col("formatted"), F.col("loss_spans")).alias("loss"),
+        F.length("formatted").cast("long").alias("formatted_chars"),
+    )
+    whole = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
+    return back.select(
+        "conv_id",
+        F.size("turns").cast("long").alias("n_turns"),
+        F.sha2(whole, 256).alias("turns_sha256"),
+        F.length("loss").cast("long").alias("loss_chars"),
+        F.sha2(F.col("loss"), 256).alias("loss_sha256"),
+        "formatted_chars",
+    )
+
+
+def _rules_sql() -> str:
+    tests = [
+        (r.host + r.path, r.verdict, f"(host = '{r.host}' OR host LIKE '%.{r.host}') AND starts_with(path, '{r.path}')")
+        for r in sorted(url_rules.RULES, key=lambda r: (-len(r.host + r.path), r.host + r.path))
+    ]
+    rule = " ".join(f"WHEN {test} THEN '{name}'" for name, _, test in tests)
+    verdict = " ".join(f"WHEN {test} THEN '{said}'" for _, said, test in tests)
+    return rf"""
+WITH u AS (SELECT page_id, regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)([^?#]*)', ['h', 'p']) AS x FROM pages),
+v AS (SELECT page_id, translate(x.h, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host, x.p AS path FROM u)
+SELECT page_id, host, path, CASE {rule} END AS rule, CASE {verdict} ELSE 'allow' END AS verdict FROM v"""
+
+
+@register(_rules_sql())
+def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rule and verdict for every page's url."""
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "url")
+    return url_rules.judge(pages, url_rules.rule_table(spark, url_rules.RULES))
+
+
+def quality_sql(source: str = "documents") -> str:
+    """CTEs ending in ``judged(doc_id, ..., base_failed, kept)``."""
+    rules = quality_rules.RULES
+    cells = " UNION ALL ".join(
+        f"SELECT lang, source, {k} AS rule, (CASE WHEN {r.whole} > 0 THEN {r.part} * 1000 // {r.whole} ELSE 0 END)::BIGINT AS v FROM m WHERE NOT base_failed"
+        for k, r in enumerate(rules)
+    )
+    settings = ", ".join(f"({k}, {r.spread}::DOUBLE, {r.slack})" for k, r in enumerate(rules))
+    value = "(((cell - 32 * greatest(cell // 32 - 1, 0) + 1) << greatest(cell // 32 - 1, 0)::INT) - 1)"
+
+    def fence(name: str, keys: str) -> str:
+        by = f"{keys}, " if keys else ""
+        part = f"PARTITION BY {by}rule"
+        return f"""{name}_r AS (SELECT {by}rule, cell, sum(sum(n)) OVER ({part}) AS docs, sum(sum(n)) OVER ({part} ORDER BY cell) AS upto FROM k GROUP BY {by}rule, cell),
+{name}_q AS (SELECT {by}rule, max(docs) AS docs, min({value}) FILTER (WHERE upto * 4 >= docs) AS q1, min({value}) FILTER (WHERE upto * 4 >= docs * 3) AS q3 FROM {name}_r GROUP BY {by}rule),
+{name} AS (SELECT q.*, q3 + spread * (q3 - q1) + slack AS fence FROM {name}_q q JOIN settings USING (rule))"""
+
+    inside = " AND ".join(
+        f"(CASE WHEN {r.whole} > 0 THEN {r.part} * 1000 // {r.whole} ELSE 0 END <= f{k} OR f{k} IS NULL)" for k, r in enumerate(rules)
+    )
+    return rf"""
+WITH d AS (SELECT doc_id, lang, source, coalesce(text, '') AS t, {WORDS_SQL} AS w FROM {source}),
+tri AS (SELECT doc_id, i, w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] AS g FROM (SELECT doc_id, w, unnest(range(1, len(w) - 1)) AS i FROM d)),
+twice AS (SELECT doc_id, i FROM (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, g) AS c FROM tri) WHERE c >= 2),
+rep AS (SELECT doc_id, count(DISTINCT p) AS n FROM (SELECT doc_id, unnest([i, i + 1, i + 2]) AS p FROM twice) GROUP BY doc_id),
+li AS (SELECT doc_id, list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^ 	-]')) AS lines FROM d),
+m0 AS (SELECT d.doc_id, lang, source, len(w)::BIGINT AS n_words, length(regexp_replace(t, '[ 	-]+', '', 'g'))::BIGINT AS word_chars,
+    length(regexp_replace(t, '[^#*$%&|<>]+', '', 'g'))::BIGINT AS n_symbols, (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines,
+    coalesce(rep.n, 0)::BIGINT AS n_repeat_words, len(lines)::BIGINT AS n_lines,
+    length(regexp_replace(t, '[^!?=~^_{{}}\[\]\@+]+', '', 'g'))::BIGINT AS n_stray
+  FROM d JOIN li USING (doc_id) LEFT JOIN rep USING (doc_id)),
+m AS (SELECT *, n_words < {quality_rules.MIN_WORDS} OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM m0),
+v AS ({cells}),
+k AS (SELECT lang, source, rule, (v >> greatest(length(bin(v)) - 6, 0)::INT) + 32 * greatest(length(bin(v)) - 6, 0) AS cell, count(*) AS n FROM v GROUP BY ALL),
+settings(rule, spread, slack) AS (VALUES {settings}),
+{fence("own", "lang, source")},
+{fence("lan", "lang")},
+{fence("every", "")},
+each AS (SELECT o.lang, o.source, o.rule, CASE WHEN o.docs >= {quality_rules.MIN_DOCS} THEN o.fence WHEN l.docs >= {quality_rules.MIN_DOCS} THEN l.fence ELSE a.fence END AS fence
+  FROM own o JOIN lan l ON o.lang IS NOT DISTINCT FROM l.lang AND o.rule = l.rule JOIN every a ON o.rule = a.rule),
+limits AS (SELECT lang, source, {", ".join(f"max(fence) FILTER (WHERE rule = {k}) AS f{k}" for k in range(len(rules)))} FROM each GROUP BY lang, source),
+judged AS (SELECT m.*, NOT base_failed AND {inside} AS kept
+  FROM m LEFT JOIN limits l ON m.lang IS NOT DISTINCT FROM l.lang AND m.source IS NOT DISTINCT FROM l.source)"""
+
+
+@register(quality_sql() + " SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept FROM judged")
+def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Measures and verdict of every document."""
+    return quality_rules.verdicts(documents(spark, sf_dir)).drop("lang", "source", "n_lines", "n_stray")
