@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidegrid.llm import chat, exact_dedup, mixing, quality_rules, url_rules
+from tidegrid.llm import chat, exact_dedup, mixing, packing, quality_rules, url_rules
+from tidegrid.llm.frames import ship
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -15,10 +17,15 @@ ORACLE: dict[str, str] = {}
 
 def register(sql: str | None = None):
     def add(fn: Callable[[SparkSession, str], DataFrame]):
-        QUERIES[fn.__name__] = fn
+        @functools.wraps(fn)
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            ship(spark)
+            return fn(spark, sf_dir)
+
+        QUERIES[fn.__name__] = run
         if sql is not None:
             ORACLE[fn.__name__] = sql
-        return fn
+        return run
 
     return add
 
@@ -184,8 +191,10 @@ WITH d AS (SELECT doc_id, lang, source, coalesce(text, '') AS t, {WORDS_SQL} AS
 tri AS (SELECT doc_id, i, w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] AS g FROM (SELECT doc_id, w, unnest(range(1, len(w) - 1)) AS i FROM d)),
 twice AS (SELECT doc_id, i FROM (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, g) AS c FROM tri) WHERE c >= 2),
 rep AS (SELECT doc_id, count(DISTINCT p) AS n FROM (SELECT doc_id, unnest([i, i + 1, i + 2]) AS p FROM twice) GROUP BY doc_id),
-li AS (SELECT doc_id, list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^ 	-]')) AS lines FROM d),
-m0 AS (SELECT d.doc_id, lang, source, len(w)::BIGINT AS n_words, length(regexp_replace(t, '[ 	-]+', '', 'g'))::BIGINT AS word_chars,
+li AS (SELECT doc_id, list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^ 	-
+]')) AS lines FROM d),
+m0 AS (SELECT d.doc_id, lang, source, len(w)::BIGINT AS n_words, length(regexp_replace(t, '[ 	-
+]+', '', 'g'))::BIGINT AS word_chars,
     length(regexp_replace(t, '[^#*$%&|<>]+', '', 'g'))::BIGINT AS n_symbols, (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines,
     coalesce(rep.n, 0)::BIGINT AS n_repeat_words, len(lines)::BIGINT AS n_lines,
     length(regexp_replace(t, '[^!?=~^_{{}}\[\]\@+]+', '', 'g'))::BIGINT AS n_stray
@@ -208,3 +217,16 @@ judged AS (SELECT m.*, NOT base_failed AND {inside} AS kept
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Measures and verdict of every document."""
     return quality_rules.verdicts(documents(spark, sf_dir)).drop("lang", "source", "n_lines", "n_stray")
+
+
+def vocabulary() -> str:
+    """The public vocabulary of the packing query; installed with the library on every executor."""
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+@register()
+def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every piece of every document and its place in a sequence of at most 2048 ids."""
+    return packing.pack(documents(spark, sf_dir), vocabulary()).drop("ids")
