@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidegrid.llm import chat, exact_dedup, mixing, packing, quality_rules, url_rules
+from tidegrid.llm import chat, exact_dedup, mixing, packing, quality_rules, substring_dedup, url_rules
 from tidegrid.llm.frames import ship
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -230,3 +230,20 @@ def vocabulary() -> str:
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every piece of every document and its place in a sequence of at most 2048 ids."""
     return packing.pack(documents(spark, sf_dir), vocabulary()).drop("ids")
+
+
+@register(
+    rf"""
+WITH d AS (SELECT doc_id, {WORDS_SQL} AS w FROM documents),
+v AS (SELECT doc_id, i, sha256(array_to_string(w[i:i + 49], ' ')) AS g FROM (SELECT doc_id, w, unnest(range(1, len(w) - 48)) AS i FROM d)),
+hit AS (SELECT doc_id, i FROM (SELECT doc_id, i, min(doc_id) OVER (PARTITION BY g) AS low FROM v) WHERE low < doc_id),
+gone AS (SELECT DISTINCT doc_id, unnest(range(i, i + 50)) AS p FROM hit),
+kept AS (SELECT a.doc_id, string_agg(a.word, ' ' ORDER BY a.p) AS t, count(*) AS n
+  FROM (SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS p FROM d) a ANTI JOIN gone g ON a.doc_id = g.doc_id AND a.p = g.p GROUP BY a.doc_id)
+SELECT d.doc_id, len(w)::BIGINT AS n_words, len(w)::BIGINT - coalesce(n, 0) AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
+FROM d LEFT JOIN kept k ON d.doc_id = k.doc_id"""
+)
+def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of every document without the passages that smaller documents have."""
+    done = substring_dedup.remove_repeats(documents(spark, sf_dir))
+    return done.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
