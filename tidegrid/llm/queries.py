@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidegrid.llm import chat, exact_dedup, mixing, packing, quality_rules, substring_dedup, url_rules
+from tidegrid.llm import chat, exact_dedup, mixing, ngram_join, packing, quality_rules, substring_dedup, url_rules
 from tidegrid.llm.frames import ship
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -34,6 +34,21 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def near_sql(source: str = "documents") -> str:
+    """CTEs ending in ``near(doc_id, n_shingles, component_id)``."""
+    lower = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    return rf"""
+WITH RECURSIVE tw AS (SELECT doc_id, regexp_extract_all({lower}, '[^\x20\x09-\x0D]+') AS w FROM {source}),
+sh AS (SELECT DISTINCT doc_id, md5(array_to_string(w[i:i + 4], ' ')) AS s FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i FROM tw WHERE len(w) > 0)),
+sz AS (SELECT doc_id, count(*) AS n FROM sh GROUP BY doc_id),
+common AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM sh a JOIN sh b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY 1, 2),
+linked AS (SELECT a, b FROM common JOIN sz x ON x.doc_id = a JOIN sz y ON y.doc_id = b WHERE 100 * c >= 75 * (x.n + y.n - c)),
+ways AS (SELECT a, b FROM linked UNION ALL SELECT b, a FROM linked),
+reach(a, b) AS (SELECT a, b FROM ways UNION SELECT r.a, w.b FROM reach r JOIN ways w ON w.a = r.b),
+near AS (SELECT tw.doc_id, coalesce(any_value(sz.n), 0)::BIGINT AS n_shingles, least(tw.doc_id, coalesce(min(r.b), tw.doc_id)) AS component_id
+  FROM tw LEFT JOIN sz ON sz.doc_id = tw.doc_id LEFT JOIN reach r ON r.a = tw.doc_id GROUP BY tw.doc_id)"""
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(QUERIES)
 
@@ -247,3 +262,9 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What is left of every document without the passages that smaller documents have."""
     done = substring_dedup.remove_repeats(documents(spark, sf_dir))
     return done.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
+@register(near_sql() + " SELECT doc_id, n_shingles, component_id FROM near")
+def op1_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's number of shingles and the smallest document it is linked with, directly or not."""
+    return ngram_join.near_duplicates(documents(spark, sf_dir)).select("doc_id", "n_shingles", "component_id")
