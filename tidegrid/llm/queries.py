@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidegrid.llm import chat, exact_dedup, mixing, ngram_join, packing, quality_rules, substring_dedup, url_rules
+from tidegrid.llm import chat, discriminant, exact_dedup, mixing, ngram_join, packing, quality_rules, substring_dedup, url_rules
 from tidegrid.llm.frames import ship
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -268,3 +268,9 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op1_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's number of shingles and the smallest document it is linked with, directly or not."""
     return ngram_join.near_duplicates(documents(spark, sf_dir)).select("doc_id", "n_shingles", "component_id")
+
+
+@register()
+def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's quality score, trained on the labels outside fold 0."""
+    return discriminant.classify(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
