@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidegrid.llm import chat, discriminant, exact_dedup, mixing, ngram_join, packing, quality_rules, substring_dedup, url_rules
+from tidegrid.llm import chat, discriminant, exact_dedup, hidden_markov, mixing, ngram_join, packing, quality_rules, substring_dedup, url_rules
 from tidegrid.llm.frames import ship
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -274,3 +274,9 @@ def op1_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's quality score, trained on the labels outside fold 0."""
     return discriminant.classify(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
+@register()
+def op3_hidden_markov(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's log10 probability under the model, beside that of single words."""
+    return hidden_markov.score(documents(spark, sf_dir))
