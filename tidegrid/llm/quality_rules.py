@@ -114,7 +114,8 @@ def measured(docs: DataFrame, text_col: str = "text") -> tuple[DataFrame, dict[s
             yield pa.RecordBatch.from_arrays([*batch.columns, *(pa.array(figures[m], pa.int64()) for m in MEASURES)], names=labels)
 
     schema = ", ".join(f"`{n.replace('`', '``')}` {t}" for n, t in [*docs.dtypes, *((n, "long") for n in names.values())])
-    return docs.mapInArrow(add, schema), names
+    plain = docs.toDF(*[f"c{k}" for k in range(len(docs.columns))])  # mapInArrow cannot take names with dots
+    return plain.mapInArrow(add, schema), names
 
 
 def base_failed(names: dict[str, str], min_words: int = MIN_WORDS) -> Column:
