@@ -1,6 +1,6 @@
 """Packing documents into sequences along a space-filling curve.
 
-Each document's token ids are hashed into a vector of counts, its direction is projected to a few dimensions by fixed random
+Each document's byte pairs are hashed into a vector of counts, its direction is projected to a few dimensions by fixed random
 signs, and the quantised point's place on a Hilbert curve is the document's key.  Documents are range-sorted by that key and laid end to
 end; the line is cut every ``length`` ids, so neighbours on the curve share sequences and no sequence but the last could be
 short.  The rest is cut into powers of two, which need no padding.
@@ -67,33 +67,32 @@ def _projection(seed: int = 7) -> np.ndarray:
     return np.where(draws & np.uint64(1), 1.0, -1.0).reshape(SLOTS, DIMENSIONS).astype(np.float32)
 
 
-def curve_keys(ids: list[np.ndarray]) -> np.ndarray:
-    counts = np.zeros((len(ids), SLOTS), np.float32)
-    for row, own in enumerate(ids):
-        counts[row] = np.bincount((own * np.uint32(2654435761)) >> np.uint32(22), minlength=SLOTS)
+def curve_keys(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """Keys of texts: counts of hashed byte pairs, their direction projected and quantised by its normal share."""
+    pair = data[:-1].astype(np.int64) * 40503 + data[1:].astype(np.int64) * 30011
+    slot = ((pair >> 4) ^ pair) & (SLOTS - 1)
+    counts = np.zeros((len(offsets) - 1, SLOTS), np.float32)
+    for row, (a, b) in enumerate(zip(offsets[:-1], offsets[1:], strict=True)):
+        if b - a > 1:
+            counts[row] = np.bincount(slot[a : b - 1], minlength=SLOTS)
     np.sqrt(counts, out=counts)
-    counts /= np.linalg.norm(counts, axis=1, keepdims=True)
+    counts /= np.maximum(np.linalg.norm(counts, axis=1, keepdims=True), 1e-9)
     spots = counts @ _projection()
     normal = 0.5 * (1.0 + np.vectorize(math.erf, otypes=[np.float64])(spots / math.sqrt(2.0)))
     return hilbert_keys(np.minimum((normal * (1 << BITS)).astype(np.int64), (1 << BITS) - 1), BITS)
 
 
-def tokenised(docs: DataFrame, vocabulary: str, end_id: int = END_ID, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id, doc_tokens, curve, ids`` (little-endian unsigned 32-bit) per document, the end id included."""
+def keyed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``doc_id, text, curve`` per document."""
 
-    def encode(batches):
-        run = encoder(vocabulary)
+    def place(batches):
         for batch in batches:
-            for at in range(0, batch.num_rows, _OUT_ROWS):
-                part = batch.slice(at, _OUT_ROWS)
-                own = [np.append(ids, np.uint32(end_id)).astype("<u4") for ids in run(t or "" for t in part.column(1).to_pylist())]
-                yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array([len(x) for x in own], pa.int64()), pa.array(curve_keys(own), pa.int64()), pa.array([x.tobytes() for x in own], pa.binary())],
-                    names=["doc_id", "doc_tokens", "curve", "ids"],
-                )
+            for row, to, data, offsets in tb.chunks(batch.column(1)):
+                part = batch.slice(row, to - row)
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(curve_keys(data, offsets), pa.int64())], names=["doc_id", "text", "curve"])
 
-    light = docs.select(col(id_col).cast("long").alias("doc_id"), col(text_col).alias("text"))
-    return light.mapInArrow(encode, "doc_id long, doc_tokens long, curve long, ids binary")
+    light = docs.select(col(id_col).cast("long").alias("doc_id"), F.coalesce(col(text_col), F.lit("")).alias("text"))
+    return light.mapInArrow(place, "doc_id long, text string, curve long")
 
 
 def cut(begin: int, size: int, total: int, length: int) -> list[tuple[int, int, int, int]]:
@@ -122,19 +121,22 @@ PIECE = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long,
 
 def pack(docs: DataFrame, vocabulary: str, length: int = LENGTH, end_id: int = END_ID, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per piece; ``ids`` are the piece's ids."""
-    along = ["curve", "doc_id", "ids"]
-    ranged = tokenised(docs, vocabulary, end_id, id_col, text_col).repartitionByRange(*along).sortWithinPartitions(*along)
+    # the cheap keys are computed twice (Spark samples them for the ranges), the token ids once, behind the shuffle
+    ranged = keyed(docs, id_col, text_col).repartitionByRange("curve", "doc_id").sortWithinPartitions("curve", "doc_id", "text")
 
     def laid(batches):
-        part, at = TaskContext.get().partitionId(), 0
+        run, part, at = encoder(vocabulary), TaskContext.get().partitionId(), 0
         for batch in batches:
-            sizes = batch.column(1).to_numpy()
-            ends = at + np.cumsum(sizes)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), batch.column(3), pa.array([part] * len(sizes), pa.int32()), pa.array(ends - sizes, pa.int64())],
-                names=["doc_id", "doc_tokens", "ids", "part", "at"],
-            )
-            at = int(ends[-1]) if len(ends) else at
+            for row in range(0, batch.num_rows, _OUT_ROWS):
+                some = batch.slice(row, _OUT_ROWS)
+                own = [np.append(ids, np.uint32(end_id)).astype("<u4") for ids in run(some.column(1).to_pylist())]
+                sizes = np.array([len(x) for x in own], np.int64)
+                ends = at + np.cumsum(sizes)
+                at = int(ends[-1])
+                yield pa.RecordBatch.from_arrays(
+                    [some.column(0), pa.array(sizes), pa.array([x.tobytes() for x in own], pa.binary()), pa.array([part] * len(own), pa.int32()), pa.array(ends - sizes)],
+                    names=["doc_id", "doc_tokens", "ids", "part", "at"],
+                )
 
     line = stage(ranged.mapInArrow(laid, "doc_id long, doc_tokens long, ids binary, part int, at long"), "pack-line")
     totals = line.groupBy("part").agg(F.sum("doc_tokens").alias("n"))
