@@ -4,11 +4,13 @@ from __future__ import annotations
 
 import random
 
+import pytest
 from conftest import at, ordered
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tidegrid.config import GridSpec
-from tidegrid.operators import events as ev, gaps, grid as gr
+from tidegrid.operators import events as ev, grid as gr
 from tidegrid.streaming import jobs
 
 
@@ -50,33 +52,57 @@ def test_latest_rows_over_overlapping_batches(spark, events, tmp_path):
     assert ordered(found.select(*frame.columns)) == ordered(ev.dedup_last(frame))
 
 
-def test_bins_equal_batch(spark, events, tmp_path):
-    frame, folder = feed(events, tmp_path)
-    out = str(tmp_path / "bins")
-    jobs.run_to_files(jobs.binned(stream_of(spark, frame, folder)), out)
-    found = {(r.pump_serial, r.ts): r.bg for r in spark.read.parquet(f"{out}/data").collect()}
-    batch = {(r.pump_serial, r.ts): r.value for r in gr.bin_last(frame, "cgm", GridSpec()).collect()}
-    closed = max(t for _, t in found)
-    assert closed >= at(240 * 17 - 120)
-    assert {k: v for k, v in found.items() if v is not None} == {k: v for k, v in batch.items() if k[1] <= closed}
-
-
-def test_sessions_equal_segments(spark, events, tmp_path):
-    rows = [(1, m, "cgm", 100) for m in (0, 5, 905, 1805 + 1 / 60, 1810 + 1 / 60)] + [(2, 20000, "cgm", 100)]
-    frame = events(rows)
-    folder = tmp_path / "in"
-    frame.coalesce(1).write.parquet(str(folder))
-    out = str(tmp_path / "sessions")
-    jobs.run_to_files(jobs.sessions(stream_of(spark, frame, str(folder))), out)
-    found = sorted((r.segment_start, r.segment_end, r.n_rows) for r in spark.read.parquet(f"{out}/data").collect())
-    table = gaps.segment_table(gaps.with_segments(gaps.observed_times(frame)), keep_short=True).filter("pump_serial = 1")
-    assert found == sorted((r.segment_start, r.segment_end, r.n_rows) for r in table.collect())
-    assert [n for *_, n in found] == [3, 2]
-
-
-def test_carry_state_crosses_batches(spark, events, tmp_path):
-    frame, folder = feed(events, tmp_path, parts=4)
-    found = jobs.carry_state(stream_of(spark, frame, folder), str(tmp_path / "carry"), tile_seconds=7200)
+ARRIVALS = {"by_device": "pump_serial", "by_time": "ts", "shuffled": "xxhash64(seq_num)"}
+
+
+@pytest.fixture(params=[(order, files) for order in ARRIVALS for files in (1, 1000)], ids=lambda p: f"{p[0]}-{p[1]}")
+def arrivals(request, spark, events, tmp_path):
+    """The same events in five files, dealt in different orders, one file or all files per batch."""
+    rnd, (order, files_per_batch) = random.Random(5), request.param
+    rows, minute = [], 0.0
+    for _ in range(200):
+        minute += rnd.choice([1.0, 3.5, 40.0, 900.0, 901.0])
+        rows.append((rnd.choice([1, 1, 1, 2, 3]), minute, rnd.choice(["cgm", "basal", "bolus"]), rnd.uniform(1, 200)))
+    frame = events(rows).cache()
+    folder = str(tmp_path / "in")
+    frame.withColumn("k", F.ntile(5).over(Window.orderBy(F.expr(ARRIVALS[order]), "seq_num"))).repartition(5, "k").drop("k").write.parquet(folder)
+    return frame, lambda: jobs.read_files(spark, folder, frame.schema, files_per_batch=files_per_batch)
+
+
+def test_bins_equal_batch(arrivals, tmp_path):
+    frame, stream = arrivals
+    rows = jobs.binned(stream(), str(tmp_path / "bins")).collect()
+    found = {(r.pump_serial, r.ts): r.bg for r in rows if r.bg is not None}
+    assert found == {(r.pump_serial, r.ts): r.value for r in gr.bin_last(frame, "cgm", GridSpec()).collect()}
+    doses = {(r.pump_serial, r.ts): r.value for r in gr.bin_sum(frame, "bolus", GridSpec()).collect()}
+    assert {(r.pump_serial, r.ts): r.bolus_dose for r in rows if r.bolus_dose} == pytest.approx(doses)
+    assert sum(r.n_events for r in rows) == frame.count()
+
+
+def test_sessions_equal_segments(arrivals, tmp_path):
+    frame, stream = arrivals
+    found = jobs.sessions(stream(), str(tmp_path / "sessions")).collect()
+    times, expected = {}, []
+    for r in sorted(frame.collect(), key=lambda r: (r.pump_serial, r.ts)):
+        times.setdefault(r.pump_serial, []).append(r.ts)
+    for device, own in times.items():
+        start = 0
+        for i in range(1, len(own) + 1):
+            if i == len(own) or (own[i] - own[i - 1]).total_seconds() > 15 * 3600:
+                expected.append((device, own[start], own[i - 1], i - start))
+                start = i
+    assert sorted(tuple(r) for r in found) == expected
+
+
+def test_sliding_counts_every_event_in_its_ranges(arrivals, tmp_path):
+    frame, stream = arrivals
+    found = jobs.sliding(stream(), str(tmp_path / "sliding"), "2 days", "1 day").collect()
+    assert sum(r.n_events for r in found) == 2 * frame.count()
+
+
+def test_carry_state_is_by_time_not_by_arrival(arrivals, tmp_path):
+    frame, stream = arrivals
+    found = jobs.carry_state(stream(), str(tmp_path / "carry"), tile_seconds=7200)
     got = {r.seq_num: (r.basal_rate, r.time_since_last_bolus) for r in found.collect()}
     rate, dose, expected = {}, {}, {}
     for r in sorted(frame.collect(), key=lambda r: (r.ts, r.seq_num)):

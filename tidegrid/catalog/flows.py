@@ -580,41 +580,42 @@ def t3(spark, sf):
     return streams.latest_rows(event_stream(spark, sf), scratch_dir(spark, "latest"))
 
 
-MARK_SQL = "wm AS (SELECT date_trunc('millisecond', max(ts)) - INTERVAL 10 MINUTE AS mark FROM sig)"
+FILES = 4
+
+
+def shuffled_stream(spark, sf):
+    """The events in several files, every device's rows spread over all of them in no order, read a file per batch."""
+    folder = scratch_dir(spark, "arrivals")
+    events = signal_events(spark, sf)
+    part = F.pmod(F.xxhash64("seq_num"), F.lit(FILES))
+    events.repartitionByRange(FILES, part, F.xxhash64("ts")).write.parquet(folder)
+    return streams.read_files(spark, folder, events.schema, files_per_batch=1)
 
 
 @query(
     "t4_bins",
-    f"""WITH {SIG_SQL}, {MARK_SQL}, b AS (SELECT pump_serial, {floor_sql('ts', 300)} AS t, round(arg_max(value, ts) FILTER (WHERE stream = 'cgm'), 6) AS bg,
-      {r("coalesce(sum(value) FILTER (WHERE stream = 'bolus'), 0)", 'bolus_dose')}, count(*) AS n_events FROM sig GROUP BY 1, 2)
-    SELECT pump_serial, t AS ts, bg, bolus_dose, n_events FROM b, wm WHERE t + INTERVAL 5 MINUTE <= mark""",
+    f"""WITH {SIG_SQL} SELECT pump_serial, {floor_sql('ts', 300)} AS ts, round(arg_max(value, ts) FILTER (WHERE stream = 'cgm'), 6) AS bg,
+      {r("coalesce(sum(value) FILTER (WHERE stream = 'bolus'), 0)", 'bolus_dose')}, count(*) AS n_events FROM sig GROUP BY 1, 2""",
 )
 def t4(spark, sf):
-    path = scratch_dir(spark, "bins")
-    streams.run_to_files(streams.binned(event_stream(spark, sf)), path)
-    return spark.read.parquet(f"{path}/data")
+    return streams.binned(shuffled_stream(spark, sf), scratch_dir(spark, "bins"))
 
 
 @query(
     "t5_sessions",
-    f"""WITH {SIG_SQL}, {MARK_SQL}, {STEP_SQL}, {SEG_SQL}, t AS (SELECT pump_serial, segment_id, min(ts) AS segment_start, max(ts) AS segment_end, count(*) AS n_rows FROM sg GROUP BY 1, 2)
-    SELECT pump_serial, segment_start, segment_end, n_rows FROM t, wm WHERE segment_end + INTERVAL 15 HOUR <= mark""",
+    f"""WITH {SIG_SQL}, {STEP_SQL}, {SEG_SQL} SELECT pump_serial, min(ts) AS segment_start, max(ts) AS segment_end, count(*) AS n_rows FROM sg GROUP BY pump_serial, segment_id""",
 )
 def t5(spark, sf):
-    path = scratch_dir(spark, "sessions")
-    streams.run_to_files(streams.sessions(event_stream(spark, sf)), path)
-    return spark.read.parquet(f"{path}/data")
+    return streams.sessions(shuffled_stream(spark, sf), scratch_dir(spark, "sessions"))
 
 
 @query(
     "t6_sliding_ranges",
-    f"""WITH {SIG_SQL}, {MARK_SQL}, s AS (SELECT pump_serial, make_timestamp((epoch_us(ts) // 432000000000 - k) * 432000000000) AS range_start FROM sig, unnest([0, 1]) u(k))
-    SELECT pump_serial, range_start, count(*) AS n_events FROM s, wm WHERE range_start + INTERVAL 10 DAY <= mark GROUP BY 1, 2""",
+    f"""WITH {SIG_SQL}, s AS (SELECT pump_serial, make_timestamp((epoch_us(ts) // 432000000000 - k) * 432000000000) AS range_start FROM sig, unnest([0, 1]) u(k))
+    SELECT pump_serial, range_start, count(*) AS n_events FROM s GROUP BY 1, 2""",
 )
 def t6(spark, sf):
-    path = scratch_dir(spark, "sliding")
-    streams.run_to_files(streams.sliding(event_stream(spark, sf), "10 days", "5 days"), path)
-    return spark.read.parquet(f"{path}/data")
+    return streams.sliding(shuffled_stream(spark, sf), scratch_dir(spark, "sliding"), "10 days", "5 days")
 
 
 @query(
@@ -624,7 +625,7 @@ def t6(spark, sf):
     SELECT pump_serial, ts, seq_num, round(coalesce(b, 0.0), 6) AS basal_rate, {r('coalesce(least((epoch_us(ts) - epoch_us(d)) / 60000000.0, 1440.0), 1440.0)', 'time_since_last_bolus')} FROM o""",
 )
 def t7(spark, sf):
-    return streams.carry_state(event_stream(spark, sf), scratch_dir(spark, "carry"))
+    return streams.carry_state(shuffled_stream(spark, sf), scratch_dir(spark, "carry"))
 
 
 @query(

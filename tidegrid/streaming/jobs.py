@@ -1,7 +1,9 @@
 """Structured Streaming forms of the core steps (T-1 to T-8).
 
 All jobs read a growing folder of Parquet files, keep their progress in a checkpoint below the shared folder and run with
-``availableNow``, so a restart continues where the last run stopped.  Results go to files, never through the driver.
+``availableNow``, so a restart continues where the last run stopped.  Results go to files, never through the driver.  No
+result depends on how many files a batch takes or in which order rows arrive: batches are reduced to mergeable rows, written
+idempotently, and merged when read.
 """
 
 from __future__ import annotations
@@ -9,7 +11,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -54,64 +56,85 @@ def latest_rows(stream: DataFrame, path: str) -> DataFrame:
     return dedup_last(stream.sparkSession.read.parquet(f"{path}/data").drop("batch"))
 
 
-def binned(stream: DataFrame, bin_text: str = "5 minutes", delay: str = "10 minutes") -> DataFrame:
+def run_partials(stream: DataFrame, path: str, partial: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """Reduce every batch to mergeable rows in a folder of its own, and return all of them.
+
+    No watermark decides what counts: a row may arrive in any batch, and a batch repeated after a failure replaces its folder.
+    """
+
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        write_batch(partial(batch), f"{path}/data", batch_id)
+
+    run_batches(stream, path, handle)
+    return stream.sparkSession.read.parquet(f"{path}/data").drop("batch")
+
+
+def binned(stream: DataFrame, path: str, bin_text: str = "5 minutes") -> DataFrame:
     """T-4: last reading and dose total per bin; the last value is by time and sequence, not by arrival."""
     kind, order = F.col("stream"), F.struct("ts", "seq_num")
-    bins = stream.withWatermark("ts", delay).groupBy(*KEYS, F.window("ts", bin_text)).agg(
-        F.max_by(F.when(kind == "cgm", F.col("value")), F.when(kind == "cgm", order)).alias("bg"),
-        F.sum(F.when(kind == "bolus", F.col("value"))).alias("bolus_dose"),
-        F.count(F.lit(1)).alias("n_events"),
+
+    def partial(batch: DataFrame) -> DataFrame:
+        read = kind == "cgm"
+        return batch.groupBy(*KEYS, F.window("ts", bin_text).getField("start").alias("bin_ts")).agg(
+            F.max_by(F.when(read, F.col("value")), F.when(read, order)).alias("bg"),
+            F.max(F.when(read, order)).alias("bg_order"),
+            F.sum(F.when(kind == "bolus", F.col("value"))).alias("bolus_dose"),
+            F.count(F.lit(1)).alias("n_events"),
+        )
+
+    merged = run_partials(stream, path, partial).groupBy(*KEYS, "bin_ts").agg(
+        F.max_by("bg", "bg_order").alias("bg"), F.coalesce(F.sum("bolus_dose"), F.lit(0.0)).alias("bolus_dose"), F.sum("n_events").alias("n_events")
     )
-    return bins.select(*KEYS, F.col("window.start").alias("ts"), "bg", F.coalesce("bolus_dose", F.lit(0.0)).alias("bolus_dose"), "n_events")
+    return merged.withColumnRenamed("bin_ts", "ts")
+
 
+def sessions(stream: DataFrame, path: str, gap: str = "15 hours") -> DataFrame:
+    """T-5: segments between gaps longer than ``gap``.
 
-def sessions(stream: DataFrame, gap: str = "15 hours", delay: str = "10 minutes") -> DataFrame:
-    """T-5: segments between gaps longer than ``gap`` as session windows."""
-    rows = stream.withWatermark("ts", delay).groupBy(*KEYS, F.session_window("ts", gap))
-    grouped = rows.agg(F.min("ts").alias("segment_start"), F.max("ts").alias("segment_end"), F.count(F.lit(1)).alias("n_rows"))
-    return grouped.select(*KEYS, "segment_start", "segment_end", "n_rows")
+    A batch is reduced to its own segments; segments of all batches are merged where they overlap or lie no further apart than the
+    gap, each reaching from its start to its end plus the gap.
+    """
+
+    def joined(rows: DataFrame, start: str, end: str, reach: Column, n: Column) -> DataFrame:
+        grouped = rows.groupBy(*KEYS, F.session_window(start, reach)).agg(
+            F.min(start).alias("segment_start"), F.max(end).alias("segment_end"), F.sum(n).alias("n_rows")
+        )
+        return grouped.select(*KEYS, "segment_start", "segment_end", "n_rows")
 
+    segments = run_partials(stream, path, lambda batch: joined(batch, "ts", "ts", F.lit(gap), F.lit(1)))
+    length = tg.micros(F.col("segment_end")) - tg.micros(F.col("segment_start"))
+    reach = F.concat(length.cast("string"), F.lit(f" microseconds {gap}"))
+    return joined(segments, "segment_start", "segment_end", reach, F.col("n_rows"))
 
-def sliding(stream: DataFrame, width: str = "30 days", step: str = "15 days", delay: str = "10 minutes") -> DataFrame:
+
+def sliding(stream: DataFrame, path: str, width: str = "30 days", step: str = "15 days") -> DataFrame:
     """T-6."""
-    rows = stream.withWatermark("ts", delay).groupBy(*KEYS, F.window("ts", width, step))
-    return rows.agg(F.count(F.lit(1)).alias("n_events")).select(*KEYS, F.col("window.start").alias("range_start"), "n_events")
+
+    def partial(batch: DataFrame) -> DataFrame:
+        return batch.groupBy(*KEYS, F.window("ts", width, step).getField("start").alias("range_start")).agg(F.count(F.lit(1)).alias("n_events"))
+
+    return run_partials(stream, path, partial).groupBy(*KEYS, "range_start").agg(F.sum("n_events").alias("n_events"))
 
 
 def carry_state(stream: DataFrame, path: str, tile_seconds: int = 86400, cap: int = 1440) -> DataFrame:
     """T-7: at every event the basal rate in force and the minutes since the last dose, across batches.
 
-    The state is one row per device (last rate, last dose time).  It enters a batch as seed events and is folded with the
-    batch afterwards; inside a batch the tiled carry does the work, so a busy device is no single task.  Batches are
-    expected in time order.
+    Batches are stored as they come, and the carry is resolved over all of them by time: an event that arrives late changes the
+    state of the events behind it, so no state taken in order of arrival could be right.  The tiled carry reduces a busy
+    device to a row per tile.
     """
-    spark = stream.sparkSession
-
-    def handle(batch: DataFrame, batch_id: int) -> None:
-        rows = batch.select(*KEYS, "ts", "seq_num", "stream", "value").withColumn("seed", F.lit(False))
-        if batch_id > 0:
-            state = spark.read.parquet(f"{path}/state/batch={batch_id - 1}")
-            rows = rows.unionByName(state.withColumn("seed", F.lit(True)))
-        order = F.struct("ts", "seq_num")
-        basal = tiles.Prev({"value": F.col("value")}, order, F.col("stream") == "basal")
-        dose = tiles.Prev({"ts": F.col("ts")}, order, (F.col("stream") == "bolus") & (F.col("value") > 0))
-        tiled = tiles.add_tile(rows, tile_seconds)
-        carried = tiles.with_carry(tiled, {"_b": basal, "_d": dose})
-        upto = tiles.in_tile(KEYS, ["ts", "seq_num"]).rowsBetween(Window.unboundedPreceding, 0)
-        rate = F.coalesce(F.last(basal.struct(), ignorenulls=True).over(upto), F.col("_b"))["value"]
-        last = F.coalesce(F.last(dose.struct(), ignorenulls=True).over(upto), F.col("_d"))["ts"]
-        minutes = F.least(tg.minutes_between(F.col("ts"), last), F.lit(float(cap)))
-        out = carried.select(
-            *KEYS, "ts", "seq_num", "seed", F.coalesce(rate, F.lit(0.0)).alias("basal_rate"),
-            F.coalesce(minutes, F.lit(float(cap))).alias("time_since_last_bolus"),
-        )
-        write_batch(out.filter(~F.col("seed")).drop("seed"), f"{path}/data", batch_id)
-        relevant = (F.col("stream") == "basal") | ((F.col("stream") == "bolus") & (F.col("value") > 0))
-        newest = rows.filter(relevant).groupBy(*KEYS, "stream").agg(F.max_by(F.struct("ts", "seq_num", "value"), order).alias("s"))
-        write_batch(newest.select(*KEYS, "s.ts", "s.seq_num", "stream", "s.value"), f"{path}/state", batch_id)
-
-    run_batches(stream, path, handle)
-    return spark.read.parquet(f"{path}/data").drop("batch")
+    rows = run_partials(stream, path, lambda batch: batch.select(*KEYS, "ts", "seq_num", "stream", "value"))
+    order = F.struct("ts", "seq_num")
+    basal = tiles.Prev({"value": F.col("value")}, order, F.col("stream") == "basal")
+    dose = tiles.Prev({"ts": F.col("ts")}, order, (F.col("stream") == "bolus") & (F.col("value") > 0))
+    carried = tiles.with_carry(tiles.add_tile(rows, tile_seconds), {"_b": basal, "_d": dose})
+    upto = tiles.in_tile(KEYS, ["ts", "seq_num"]).rowsBetween(Window.unboundedPreceding, 0)
+    rate = F.coalesce(F.last(basal.struct(), ignorenulls=True).over(upto), F.col("_b"))["value"]
+    last = F.coalesce(F.last(dose.struct(), ignorenulls=True).over(upto), F.col("_d"))["ts"]
+    minutes = F.least(tg.minutes_between(F.col("ts"), last), F.lit(float(cap)))
+    return carried.select(
+        *KEYS, "ts", "seq_num", F.coalesce(rate, F.lit(0.0)).alias("basal_rate"), F.coalesce(minutes, F.lit(float(cap))).alias("time_since_last_bolus")
+    )
 
 
 def guarded(stream: DataFrame, path: str, now: dt.datetime) -> tuple[DataFrame, DataFrame]:
