@@ -3,12 +3,14 @@ from __future__ import annotations
 import base64
 import datetime as dt
 import json
+import os
 import struct
 
 import pytest
 from conftest import at, ordered
 from pyspark.sql import functions as F
 
+from tidegrid.plans import dataflows
 from tidegrid.sources import csv_files, history_log, store
 
 
@@ -98,6 +100,34 @@ def test_stream_files(spark, tmp_path):
     assert len(csv_files.most_recent(files).collect()) == 3
 
 
+def test_columns_by_header_name_and_device_by_path(spark, tmp_path):
+    for serial in (7, 8):
+        (tmp_path / f"pump_{serial}").mkdir()
+    (tmp_path / "pump_7" / "cgmreading_20240301_a.csv").write_text("# made: x\nsgv,created_at\n120,2024-03-01 00:00:00+00:00\n,2024-03-01 02:05:00.250+02:00\n5,never\n")
+    (tmp_path / "pump_8" / "cgmreading_20240301_a.csv").write_text('"created_at","sgv","note"\n2024-03-01T00:10:00Z,130,"a,b"\n')
+    (tmp_path / "pump_7" / "basal_20240301_a.csv").write_text("created_at,value\n2024-03-01 00:00:00,\n")
+    (tmp_path / "pump_7" / "bolus_20240301_a.csv").write_text("created_at,bolus\n2024-03-01,2.5\n")
+    rows = csv_files.read_streams(spark, str(tmp_path)).orderBy("stream", "pump_serial", "seq_num").collect()
+    assert [(r.pump_serial, r.stream, r.ts, r.value) for r in rows] == [
+        (7, "basal", at(0), 0.0), (7, "bolus", at(0), 2.5), (7, "cgm", at(0), 120.0), (7, "cgm", at(5) + dt.timedelta(milliseconds=250), None), (8, "cgm", at(10), 130.0),
+    ]
+    raw = csv_files.read_stream(spark, f"{tmp_path}/*/cgmreading_*", "cgm")
+    assert [tuple(r) for r in csv_files.reject_counts(raw).collect()] == [(7, "cgm", 1)]
+    (tmp_path / "pump_8" / "basal_20240301_a.csv").write_text("time,value\n2024-03-01,1\n")
+    with pytest.raises(ValueError, match="created_at"):
+        csv_files.read_streams(spark, str(tmp_path))
+
+
+def test_newest_file_of_each_device_and_stream(spark, tmp_path):
+    for k, (serial, name) in enumerate([(7, "cgmreading_20240301_a"), (7, "cgmreading_20240201_b"), (8, "cgmreading_20240301_a")]):
+        (tmp_path / f"pump_{serial}").mkdir(exist_ok=True)
+        file = tmp_path / f"pump_{serial}" / f"{name}.csv"
+        file.write_text(f"created_at,sgv\n2024-03-01 00:0{k}:00,10{k}\n")
+        os.utime(file, (1_700_000_000 + k, 1_700_000_000 + k))
+    rows = dataflows.newest_files_grid(spark, str(tmp_path)).filter("bg IS NOT NULL").collect()
+    assert {(r.pump_serial, r.bg) for r in rows} == {(7, 101.0), (8, 102.0)}
+
+
 def test_multi_line_config(spark, tmp_path):
     (tmp_path / "c.json").write_text(json.dumps({"pumps": [{"serial": "1", "device_id": "a"}, {"serial": "2", "device_id": "b"}]}, indent=2))
     rows = csv_files.read_config(spark, str(tmp_path / "c.json")).orderBy("serial").collect()

@@ -306,18 +306,18 @@ def q14(spark, sf):
 
 
 def write_stream_files(spark, sf, label):
-    """The three streams as CSV below one folder per stream and month."""
+    """The three streams as two-column CSV files, one per device and month; times as the source tools write them, the columns of the
+    basal files the other way round."""
     root = scratch_dir(spark, label)
     events = signal_events(spark, sf)
     for stream, word in csv_files.ROLE_WORDS.items():
-        rows = events.filter(F.col("stream") == stream).select(
-            "pump_serial",
-            F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias("created_at"),
-            F.col("value").alias(csv_files.ROLE_COLUMNS[stream]),
-            "seq_num",
-            F.concat(F.lit(f"{word}_"), F.date_format("ts", "yyyyMM"), F.lit("01_x")).alias("file"),
-        )
-        rows.write.mode("append").option("header", True).partitionBy("file").csv(root)
+        time = F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS" if stream == "cgm" else "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
+        time = F.concat(time, F.lit("+00:00")) if stream != "bolus" else time
+        columns = [time.alias("created_at"), F.col("value").alias(csv_files.ROLE_COLUMNS[stream])]
+        file = F.concat(F.lit(f"{word}_"), F.date_format("ts", "yyyyMM"), F.lit("01_x")).alias("file")
+        rows = events.filter(F.col("stream") == stream).repartition("pump_serial")
+        rows = rows.select(*(columns[::-1] if stream == "basal" else columns), F.col("pump_serial").alias("pump"), file)
+        rows.write.mode("append").option("header", True).partitionBy("pump", "file").csv(root)
     return root
 
 
@@ -343,7 +343,11 @@ ALL_SIG = f"WITH {SIG_SQL} SELECT pump_serial, ts, seq_num, stream, round(value,
 def s01(spark, sf):
     path = scratch_dir(spark, "merged")
     rows = features.event_grid(hour_grid(spark, sf), HOURLY).withColumnRenamed("ts", "timestamp")
-    rows.write.option("header", True).partitionBy("pump_serial").csv(path)
+    # the columns in another order than the schema, differently for the two halves of the devices
+    names = [c for c in rows.columns if c != "pump_serial"]
+    for part, order in enumerate((names[::-1], names[3:] + names[:3])):
+        some = rows.filter(F.pmod("pump_serial", F.lit(2)) == part)
+        some.select("pump_serial", *order).repartition("pump_serial").write.mode("append").option("header", True).partitionBy("pump_serial").csv(path)
     schema = T.StructType([*csv_files.MERGED_SCHEMA.fields, T.StructField("pump_serial", T.LongType())])
     return csv_files.read_merged(spark, path, schema)
 
@@ -370,9 +374,9 @@ def s02(spark, sf):
     )
 
 
-@query("s03_stream_files", ALL_SIG)
+@query("s03_stream_files", f"WITH {SIG_SQL} SELECT pump_serial, ts, stream, round(value, 6) AS value FROM sig")
 def s03(spark, sf):
-    return csv_files.read_streams(spark, write_stream_files(spark, sf, "streams"))
+    return csv_files.read_streams(spark, write_stream_files(spark, sf, "streams")).drop("seq_num")
 
 
 @query(
@@ -381,7 +385,9 @@ def s03(spark, sf):
 )
 def s04(spark, sf):
     events = signal_events(spark, sf)
-    text = F.when(F.col("stream") == "bolus", F.lit("??")).otherwise(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"))
+    offset = F.concat(F.date_format(F.col("ts") + F.expr("INTERVAL 2 HOURS"), "yyyy-MM-dd HH:mm:ss.SSSSSS"), F.lit("+02:00"))
+    plain = F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
+    text = F.when(F.col("stream") == "bolus", F.lit("??")).when(F.col("stream") == "basal", offset).otherwise(plain)
     return csv_files.normalise(events.withColumn("created_at", text).drop("ts"))
 
 

@@ -235,8 +235,9 @@ def from_utc(ts: Column, zone: str) -> Column:
 
 
 def parse_date(text: Column, formats: Sequence[str] = DATE_FORMATS) -> Column:
-    """First format that fits, null when none does."""
-    return F.coalesce(*[F.try_to_timestamp(text, F.lit(f)) for f in formats])
+    """Any ISO form (space or T, fraction, offset), else the first format that fits, null when none does."""
+    iso = F.when(F.trim(text).rlike(r"^\d{4}-\d{2}-\d{2}"), F.try_to_timestamp(F.trim(text)))
+    return F.coalesce(iso, *[F.try_to_timestamp(text, F.lit(f)) for f in formats])
 
 
 def name_contains(name: Column, wanted: Sequence[str]) -> Column:

@@ -300,15 +300,18 @@ def resequenced(merged: DataFrame, spec: GridSpec, rules: GapRules = GapRules(),
 
 
 def newest_files_grid(spark, root: str, spec: GridSpec = GridSpec(pad_seconds=0)) -> DataFrame:
-    """Q15: the newest month of stream files of each stream to a regular dataset.
+    """Q15: the newest stream file of each device and stream to a regular dataset.
 
-    Only the three stream names with their month reach the driver.
+    The chosen paths go through the driver, as the listing they come from does.
     """
-    newest = csv_files.discover(spark, root).groupBy("stream").agg(F.max("month").alias("month"))
-    frames = [
-        csv_files.normalise(csv_files.read_stream(spark, f"{root}/*{csv_files.ROLE_WORDS[row.stream]}_{row.month}*", row.stream))
-        for row in newest.orderBy("stream").collect()
-    ]
+    newest = csv_files.most_recent(csv_files.discover(spark, root), ("serial", "stream")).collect()
+    frames = []
+    for stream in csv_files.ROLE_WORDS:
+        paths = sorted(r.path for r in newest if r.stream == stream)
+        if paths:
+            frames.append(csv_files.normalise(csv_files.read_stream(spark, paths, stream)))
+    if not frames:
+        raise ValueError(f"no stream files below {root}")
     events = frames[0]
     for frame in frames[1:]:
         events = events.unionByName(frame)

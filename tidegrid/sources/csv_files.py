@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidegrid.operators.events import parse_date
+from tidegrid.session import stage
 from tidegrid.tiles import KEYS
 
 # Columns of the three stream files, the name each value gets, and the word in the file name.
@@ -29,39 +32,77 @@ MERGED_SCHEMA = T.StructType(
 )
 
 
+def _lines(spark: SparkSession, path) -> DataFrame:
+    """Lines with their file and a number that grows along the file (a line is at least a byte long)."""
+    raw = spark.read.text(path).withColumnRenamed("value", "_line")
+    block = F.col("_metadata.file_block_start")
+    in_task = F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1)
+    return raw.select("*", F.col("_metadata.file_path").alias("file_path"), block.alias("_block"), (block + in_task).alias("place"))
+
+
+def read_by_name(spark: SparkSession, path, types: dict[str, T.DataType], required: Sequence[str]) -> DataFrame:
+    """CSV files whose columns are found by the header line of each file, whatever their order; ``#`` lines are skipped.
+
+    Adds ``file_path`` and ``place``.  A column that a file does not have is null, unless it is required: then reading fails.
+    Columns of partition folders count as well.
+    """
+    lines = _lines(spark, path).filter(~F.col("_line").startswith("#") & (F.trim("_line") != ""))
+    folders = [c for c in lines.columns if c in types]
+    first = lines.filter("_block = 0").groupBy("file_path").agg(F.min_by("_line", "place").alias("_header"))
+    names = F.transform(F.split("_header", ","), lambda x: F.trim(F.replace(x, F.lit('"'), F.lit(""))))
+    headers = stage(first.withColumn("_names", names), "csv-headers")
+    wanted = [r for r in required if r not in folders]
+    lacking = headers.filter(F.size(F.array_except(F.array(*[F.lit(r) for r in wanted]).cast("array<string>"), "_names")) > 0) if wanted else None
+    if lacking is not None and (bad := lacking.limit(3).collect()):
+        raise ValueError(f"required columns {wanted} missing: " + "; ".join(f"{r.file_path} has {r['_names']}" for r in bad))
+    width = headers.agg(F.max(F.size("_names"))).first()[0] or 1
+    cells = F.from_csv("_line", ", ".join(f"c{i} string" for i in range(width)))
+    rows = lines.join(headers, "file_path").filter(F.col("_line") != F.col("_header")).withColumn("_cells", cells)
+    listed = F.array(*[F.col(f"_cells.c{i}") for i in range(width)])
+
+    def named(name: str, kind: T.DataType):
+        text = F.col(name).cast("string") if name in folders else F.trim(F.get(listed, F.array_position("_names", F.lit(name)).cast("int") - 1))
+        return (parse_date(text) if isinstance(kind, T.TimestampType) else text.try_cast(kind)).alias(name)
+
+    return rows.select(*[named(n, k) for n, k in types.items()], "file_path", "place")
+
+
 def read_merged(spark: SparkSession, path, schema: T.StructType = MERGED_SCHEMA) -> DataFrame:
-    """``#`` lines skipped, explicit schema (never inferred), times in UTC."""
-    return spark.read.schema(schema).option("comment", "#").option("header", True).csv(path)
+    """Columns by header name, explicit types (never inferred), times in UTC; a file without a time column fails."""
+    types = {f.name: f.dataType for f in schema.fields}
+    return read_by_name(spark, path, types, ["timestamp"]).select(*types)
 
 
 def read_headers(spark: SparkSession, path) -> DataFrame:
-    """``# key: value`` lines as one map per file; a header has a handful of lines."""
-    lines = spark.read.text(path).select(F.col("_metadata.file_path").alias("file_path"), F.col("value"))
-    marked = lines.filter(F.col("value").startswith("#") & F.col("value").contains(":"))
-    parts = F.split(F.regexp_replace("value", r"^#\s*", ""), ":", 2)
+    """``# key: value`` lines as one map per file.  Headers stand at the top: only the first split of a file is looked at."""
+    lines = _lines(spark, path).filter("_block = 0")
+    marked = lines.filter(F.col("_line").startswith("#") & F.col("_line").contains(":"))
+    parts = F.split(F.regexp_replace("_line", r"^#\s*", ""), ":", 2)
     pairs = marked.select("file_path", F.trim(parts[0]).alias("key"), F.trim(parts[1]).alias("text"))
     unique = pairs.groupBy("file_path", "key").agg(F.max("text").alias("text"))
     return unique.groupBy("file_path").agg(F.map_from_entries(F.collect_list(F.struct("key", "text"))).alias("header"))
 
 
-def _stream_schema(stream: str, serial_type: T.DataType) -> T.StructType:
-    return T.StructType(
-        [
-            T.StructField("pump_serial", serial_type),
-            T.StructField("created_at", T.StringType()),
-            T.StructField(ROLE_COLUMNS[stream], T.DoubleType()),
-            T.StructField("seq_num", T.LongType()),
-        ]
-    )
+def serial_of(path):
+    """The device of a file: the last ``pump_<serial>`` or ``pump=<serial>`` in its path."""
+    return F.regexp_extract(path, r"^.*pump(?:_serial)?[_=](\w+?)(?:/|_|\.|$)", 1)
 
 
 def read_stream(spark: SparkSession, path, stream: str, serial_type: T.DataType = T.LongType()) -> DataFrame:
-    """S3: one stream file set to ``(pump_serial, ts, seq_num, value)``; a missing value is 0 except for glucose."""
-    raw = spark.read.schema(_stream_schema(stream, serial_type)).option("header", True).option("comment", "#").csv(path)
+    """S3: stream files (a time and one value column) as ``(pump_serial, created_at, seq_num, value, stream)``.
+
+    The device comes from the path and the sequence from the order in the file, unless the file has such columns.  A
+    missing value is 0 except for glucose.
+    """
+    types = {"pump_serial": serial_type, "created_at": T.StringType(), "seq_num": T.LongType(), ROLE_COLUMNS[stream]: T.DoubleType()}
+    raw = read_by_name(spark, path, types, ["created_at", ROLE_COLUMNS[stream]])
     value = F.col(ROLE_COLUMNS[stream])
     if stream != "cgm":
         value = F.coalesce(value, F.lit(0.0))
-    return raw.select("pump_serial", "created_at", "seq_num", value.alias("value"), F.lit(stream).alias("stream"))
+    serial = F.coalesce("pump_serial", serial_of(F.col("file_path")).try_cast(serial_type))
+    return raw.select(
+        serial.alias("pump_serial"), "created_at", F.coalesce("seq_num", "place").alias("seq_num"), value.alias("value"), F.lit(stream).alias("stream")
+    )
 
 
 def normalise(frame: DataFrame) -> DataFrame:
@@ -70,11 +111,14 @@ def normalise(frame: DataFrame) -> DataFrame:
     return parsed.filter(F.col("ts").isNotNull()).select(*KEYS, "ts", "seq_num", "stream", "value")
 
 
+def reject_counts(frame: DataFrame) -> DataFrame:
+    """What ``normalise`` drops: rows without a readable time per device and stream."""
+    return frame.filter(parse_date(F.col("created_at")).isNull()).groupBy(*KEYS, "stream").agg(F.count(F.lit(1)).alias("n_rejected"))
+
+
 def read_streams(spark: SparkSession, root: str, serial_type: T.DataType = T.LongType()) -> DataFrame:
-    """S3 + S4: the three streams below ``root`` as one long event table."""
-    frames = [
-        normalise(read_stream(spark, f"{root}/*{word}_*", stream, serial_type)) for stream, word in ROLE_WORDS.items()
-    ]
+    """S3 + S4: the three streams below ``root`` (directly, or in a folder per device) as one long event table."""
+    frames = [normalise(read_stream(spark, f"{root}/{{,*/}}*{word}_*", stream, serial_type)) for stream, word in ROLE_WORDS.items()]
     return frames[0].unionByName(frames[1]).unionByName(frames[2])
 
 
@@ -84,9 +128,8 @@ def discover(spark: SparkSession, root: str) -> DataFrame:
     word = F.regexp_extract("path", r"(cgmreading|basal|bolus)_(\d{6})", 1)
     month = F.regexp_extract("path", r"(cgmreading|basal|bolus)_(\d{6})", 2)
     stream = F.when(word == "cgmreading", "cgm").when(word != "", word)
-    return files.select("path", "modificationTime", "length", stream.alias("stream"), month.alias("month")).filter(
-        F.col("stream").isNotNull()
-    )
+    named = files.select("path", "modificationTime", "length", stream.alias("stream"), month.alias("month"), serial_of(F.col("path")).alias("serial"))
+    return named.filter(F.col("stream").isNotNull())
 
 
 def complete_months(files: DataFrame) -> DataFrame:
@@ -95,10 +138,10 @@ def complete_months(files: DataFrame) -> DataFrame:
     return files.join(full, "month", "left_semi")
 
 
-def most_recent(files: DataFrame) -> DataFrame:
-    """Newest file of each stream; the path decides ties."""
+def most_recent(files: DataFrame, by: Sequence[str] = ("stream",)) -> DataFrame:
+    """Newest file of each stream (or of each device and stream); the path decides ties."""
     newest = F.struct("modificationTime", "path")
-    return files.groupBy("stream").agg(F.max_by("path", newest).alias("path"), F.max("modificationTime").alias("modificationTime"))
+    return files.groupBy(*by).agg(F.max_by("path", newest).alias("path"), F.max("modificationTime").alias("modificationTime"))
 
 
 def read_config(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
