@@ -78,14 +78,14 @@ def family(seed: int, size: int, first: int, every: int, length: int = 120):
     return rows
 
 
-@pytest.mark.parametrize(("common", "hubs"), [(2, 1), (3, 2), (16, 16)])
-def test_common_signatures_lose_no_link(docs, common, hubs):
+@pytest.mark.parametrize(("common", "block"), [(2, 4), (3, 50), (16, 1024)])
+def test_common_signatures_lose_no_link(docs, common, block):
     """Large groups at and around the threshold, and a passage that unlike documents share: whatever counts as common."""
     rows = family(1, 30, 0, 9) + family(2, 12, 100, 14, 60)
     passage = words(50, 70)
     rows += [(200 + k, f"{words(300 + k, 25)} {passage} {words(400 + k, 10)}") for k in range(25)]
     rows += [(300 + k, f"{words(600 + k // 2, 30)} {passage} {words(700 + k, 3)}") for k in range(12)]
-    assert near_found(docs(rows), common=common, hubs=hubs) == Counter(linked_groups(rows))
+    assert near_found(docs(rows), common=common, block=block) == Counter(linked_groups(rows))
 
 
 @pytest.mark.parametrize("n", [1, 2, 3, 5, 7, 8, 14, 15, 26, 27, 60, 156, 157, 279, 280, 300, 497, 700, 1500])

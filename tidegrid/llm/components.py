@@ -20,8 +20,9 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     pairs = links.select(F.col(a).alias("x"), F.col(b).alias("y")).filter("x <> y")
     edges = stage(pairs.select(F.least("x", "y").alias("low"), F.greatest("x", "y").alias("high")).distinct(), "components-edges")
     nodes = edges.select(F.col("low").alias("node")).union(edges.select("high")).distinct()
-    before = None
     for _ in range(MAX_ROUNDS):
+        if _are_stars(edges):
+            break
         # large star: the larger neighbours of a node are tied to the smallest node around it
         both = edges.unionByName(edges.select(F.col("high").alias("low"), F.col("low").alias("high")))
         least = both.groupBy(F.col("low").alias("center")).agg(F.min("high").alias("m")).select("center", F.least("center", "m").alias("m"))
@@ -31,11 +32,14 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         low = large.groupBy(F.col("high").alias("center")).agg(F.min("low").alias("m"))
         tied = large.join(low, F.col("high") == F.col("center")).select(F.col("m"), F.explode(F.array("low", "high")).alias("high"))
         edges = stage(tied.filter("m <> high").select(F.col("m").alias("low"), "high").distinct(), "components-edges")
-        after = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("low", "high").cast("decimal(38,0)"))).first()
-        if after == before:
-            break
-        before = after
     else:
         raise RuntimeError(f"components did not settle in {MAX_ROUNDS} rounds")
     found = edges.groupBy(F.col("high").alias("node")).agg(F.min("low").alias("component"))
     return nodes.join(found, "node", "left").select("node", F.coalesce("component", "node").alias("component"))
+
+
+def _are_stars(edges: DataFrame) -> bool:
+    """Every node is either a center or has one center: nothing is left to do."""
+    ends = edges.select(F.col("low").alias("node"), F.lit(0).alias("high")).union(edges.select("high", F.lit(1)))
+    odd = ends.groupBy("node").agg(F.sum("high").alias("centers"), F.count(F.lit(1)).alias("n")).filter("centers > 1 OR (centers = 1 AND n > 1)")
+    return odd.isEmpty()

@@ -10,8 +10,9 @@ Three refinements keep this exact and bounded:
 * A signature without features says nothing and is not sent, as long as a set keeps enough usable groups for the argument above; a
   set that does not (tiny ones, by bad luck) sends those too.
 * A signature that many sets have (a passage found everywhere) does not make all pairs.  A set with more usable groups than k plus
-  its common signatures shares a rare signature with every similar set, so rare signatures suffice for it.  Only sets that
-  are *not* so covered meet again over common signatures, hub by hub, and only across components that are still apart.
+  its common signatures shares a rare signature with every similar set, so rare signatures suffice for it.  Only sets that are *not* so
+  covered meet again, where common signatures tie them together and components are still apart: their sketches are compared block by
+  block, each pair of blocks in a task of its own, and only pairs that may link are written.
 * Candidates are thinned by parity sketches (bit j is the parity of the features hashed to j; sketches of similar sets differ in at most k
   bits), then verified on the whole sets.
 
@@ -31,6 +32,7 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -44,7 +46,8 @@ SHINGLE = 5
 #: two sets link when ``UNION_PARTS * intersection >= SHARED_PARTS * union``
 SHARED_PARTS, UNION_PARTS = 3, 4
 COMMON = 16
-HUBS = 16
+BLOCK = 1024
+FEW_PAIRS = 20_000
 _FLUSH = 1 << 21
 NULL_IDS = 1 << 62
 
@@ -238,6 +241,42 @@ def sketches_allow(n_a: int, n_b: int, a: bytes, b: bytes) -> bool:
     return (_folded(a, size) ^ _folded(b, size)).bit_count() <= int(most_different(np.int64(n_a + n_b)))
 
 
+def _compare_blocks(table: pa.Table) -> pa.Table:
+    """Pairs of nodes of two blocks (or of one), in different components, that ``sketches_allow``."""
+    order = pa.compute.sort_indices(table, [("node", "ascending")])
+    table = table.take(order)
+    node, own, group, n = (table.column(c).to_numpy() for c in ("node", "own", "c_node", "n"))
+    low, high = table.column("low")[0].as_py(), table.column("high")[0].as_py()
+    sketch = table.column("sketch").to_pylist()
+    width = np.array([len(x) for x in sketch], np.int64)
+
+    def sketches(rows: np.ndarray, size: int) -> np.ndarray:
+        whole = np.frombuffer(b"".join(sketch[i] for i in rows), np.uint64).reshape(len(rows), -1, size // 8)
+        return np.bitwise_xor.reduce(whole, axis=1)
+
+    found = []
+    for w_a in np.unique(width[own == low]):
+        a_rows = np.flatnonzero((own == low) & (width == w_a))
+        for w_b in np.unique(width[own == high]):
+            b_rows = np.flatnonzero((own == high) & (width == w_b))
+            size = int(min(w_a, w_b))
+            if 4 * size < max(w_a, w_b):  # such sizes cannot be similar
+                continue
+            right = sketches(b_rows, size)
+            for at in range(0, len(a_rows), 64):
+                some = a_rows[at : at + 64]
+                apart = np.bitwise_count(sketches(some, size)[:, None, :] ^ right[None, :, :]).sum(axis=2, dtype=np.int64)
+                n_a, n_b = n[some][:, None], n[b_rows][None, :]
+                yes = (apart <= most_different(n_a + n_b)) & (UNION_PARTS * np.minimum(n_a, n_b) >= SHARED_PARTS * np.maximum(n_a, n_b))
+                yes &= group[some][:, None] != group[b_rows][None, :]
+                i, j = np.nonzero(yes)
+                found.append(np.stack([node[some[i]], node[b_rows[j]]], axis=1))
+    pairs = np.concatenate(found) if found else np.empty((0, 2), np.int64)
+    if low == high:
+        pairs = pairs[pairs[:, 0] < pairs[:, 1]]
+    return pa.table({"a": pa.array(pairs[:, 0], pa.int64()), "b": pa.array(pairs[:, 1], pa.int64())})
+
+
 def similar(a: np.ndarray, b: np.ndarray) -> bool:
     shared = len(np.intersect1d(a, b, assume_unique=True))
     return UNION_PARTS * shared >= SHARED_PARTS * (len(a) + len(b) - shared) and shared > 0
@@ -409,8 +448,8 @@ def _features(shingle: int):
 class _Join:
     """The tables of one run of the join; each is staged in the shared folder."""
 
-    def __init__(self, docs: DataFrame, id_col: str, text_col: str, shingle: int, common: int, hubs: int):
-        self.light, self.shingle, self.common, self.hubs = _light(docs, id_col, text_col), shingle, common, hubs
+    def __init__(self, docs: DataFrame, id_col: str, text_col: str, shingle: int, common: int, block: int):
+        self.light, self.shingle, self.common, self.block = _light(docs, id_col, text_col), shingle, common, block
         self.sets = stage(self.light.mapInArrow(_describe(shingle), _SETS_DDL), "join-sets")
         sized = self.sets.filter("n > 0")
         # equal sets are one: a star around the smallest node
@@ -419,8 +458,8 @@ class _Join:
         self.copies = stage(sized.join(groups, ["f1", "f2", "n"]).filter("node > first").select("node", "first").distinct(), "join-copies")
         several = sized.select("node", "f1", "f2").distinct().groupBy("node").count().filter("count > 1").select("node")
         self.moved = stage(self.copies.join(several, "node", "left_anti"), "join-moved")
-        self.links = self.copies.select(F.col("node").alias("a"), F.col("first").alias("b"))
-        self.component = None
+        self.sketches = stage(sized.select("node", "n", "sketch").distinct(), "join-sketches")
+        self.component = stage(components(self.copies, "node", "first"), "join-components")
 
     def representative(self, nodes: DataFrame, name: str) -> DataFrame:
         """Replace column ``name`` by the smallest node with an equal set."""
@@ -432,7 +471,9 @@ class _Join:
         """Distinct pairs whose sketches allow a link."""
         pairs = self.representative(self.representative(pairs, "a"), "b").filter("a <> b")
         pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-        sketch = self.sets.select("node", "n", "sketch").distinct()
+        pairs = stage(pairs, "join-pairs")
+        ids = stage(pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct(), "join-ids")
+        sketch = self.sketches.join(checked_broadcast(ids), "node", "left_semi")
         a, b = (sketch.select(F.col("node").alias(x), F.col("n").alias(f"n_{x}"), F.col("sketch").alias(f"s_{x}")) for x in "ab")
         both = pairs.join(a, "a").join(b, "b").select("a", "b", "n_a", "n_b", "s_a", "s_b")
         return stage(both.mapInArrow(_allow, "a long, b long").distinct(), "join-possible")
@@ -446,27 +487,35 @@ class _Join:
         both = pairs.join(a, "a").join(b, "b").select("a", "b", "f_a", "f_b")
         return stage(both.mapInArrow(_verify, "a long, b long").distinct(), "join-links")
 
-    def connect(self, links: DataFrame) -> None:
-        self.links = self.links.unionByName(links)
-        self.component = stage(components(self.links), "join-components")
+    def named(self, pairs: DataFrame, *columns: str) -> DataFrame:
+        """Add ``c_<column>``: the component so far of each of these node columns."""
+        for x in columns:
+            known = self.component.select(F.col("node").alias(f"_{x}"), F.col("component").alias(f"_c{x}"))
+            pairs = pairs.join(known, F.col(x) == F.col(f"_{x}"), "left").withColumn(f"c_{x}", F.coalesce(f"_c{x}", x)).drop(f"_{x}", f"_c{x}")
+        return pairs
 
-    def apart(self, pairs: DataFrame) -> DataFrame:
-        """Pairs whose documents are not connected so far."""
-        known = self.component
-        a, b = (known.select(F.col("node").alias(f"_{x}"), F.col("component").alias(f"_c{x}")) for x in "ab")
-        joined = pairs.join(a, F.col("a") == F.col("_a"), "left").join(b, F.col("b") == F.col("_b"), "left")
-        return joined.filter(F.coalesce("_ca", "a") != F.coalesce("_cb", "b")).select(*pairs.columns)
+    def connect(self, links: DataFrame) -> None:
+        """Merge components along new links; only the components themselves are walked."""
+        if links.isEmpty():
+            return
+        between = stage(self.named(links, "a", "b").filter("c_a <> c_b").select("c_a", "c_b").distinct(), "join-between")
+        merged = components(between, "c_a", "c_b").select(F.col("node").alias("_old"), F.col("component").alias("_new"))
+        nodes = self.component.unionByName(merged.select(F.col("_old").alias("node"), F.col("_old").alias("component"))).distinct()
+        self.component = stage(nodes.join(merged, F.col("component") == F.col("_old"), "left").select("node", F.coalesce("_new", "component").alias("component")), "join-components")
 
     def settle(self, pairs: DataFrame) -> None:
-        """Verify candidates: one per document first, then what is still apart."""
+        """Verify candidates: one per document first, then what is still apart; a few are verified at once."""
         possible = self.possible(pairs)
-        if possible.isEmpty():
-            if self.component is None:
-                self.connect(possible)
+        n = possible.count()
+        if n == 0:
+            return
+        if n <= FEW_PAIRS:
+            self.connect(self.verified(possible))
             return
         one = stage(possible.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"), "join-first")
         self.connect(self.verified(one))
-        rest = stage(self.apart(possible.join(one, ["a", "b"], "left_anti")), "join-rest")
+        rest = self.named(possible.join(one, ["a", "b"], "left_anti"), "a", "b").filter("c_a <> c_b").select("a", "b")
+        rest = stage(rest, "join-rest")
         if not rest.isEmpty():
             self.connect(self.verified(rest))
 
@@ -497,27 +546,29 @@ class _Join:
         return marked.join(short, ["node", "kind"], "left_semi").select("mark", "node")
 
     def meet_again(self, often: DataFrame) -> None:
-        """Common signatures among uncovered nodes: hubs against all, until every signature lies in one component."""
-        rows = stage(self.representative(self.uncovered(often), "node").distinct(), "join-uncovered")
-        while True:
-            known = self.component.select(F.col("node").alias("_n"), F.col("component").alias("_c"))
-            placed = rows.join(known, F.col("node") == F.col("_n"), "left").select("mark", "node", F.coalesce("_c", "node").alias("c"))
-            split = placed.groupBy("mark").agg(F.min("c").alias("x"), F.max("c").alias("y")).filter("x < y").select("mark")
-            rows = stage(placed.join(split, "mark", "left_semi"), "join-split")
-            if rows.isEmpty():
-                return
-            salt = F.pmod(F.xxhash64("node"), F.lit(self.hubs))
-            hub = stage(rows.groupBy("mark", salt.alias("salt")).agg(F.min_by(F.struct("node", "c"), "node").alias("h")), "join-hubs")
-            hub = hub.select("mark", F.col("h.node").alias("a"), F.col("h.c").alias("hc"))
-            pairs = rows.join(hub, "mark").filter("a <> node AND c <> hc").select("a", F.col("node").alias("b")).distinct()
-            self.settle(pairs)
-            rows = rows.select("mark", "node").join(hub.select("mark", F.col("a").alias("node")), ["mark", "node"], "left_anti")
+        """Uncovered nodes against each other: all pairs across components of a cluster, in blocks of sketches.
+
+        A cluster is what common signatures tie together, so it holds every pair that shares one.
+        """
+        rows = stage(self.named(self.representative(self.uncovered(often), "node").distinct(), "node"), "join-uncovered")
+        facts = rows.groupBy("mark").agg(F.min("node").alias("hub"), F.min("c_node").alias("x"), F.max("c_node").alias("y"))
+        ties = rows.join(facts.filter("x < y").select("mark", "hub"), "mark").select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct()
+        clusters = stage(components(ties), "join-clusters")
+        if clusters.isEmpty():
+            return
+        sizes = clusters.groupBy("component").agg(F.ceil(F.count(F.lit(1)) / self.block).cast("int").alias("blocks"))
+        placed = self.named(clusters.join(sizes, "component").withColumnRenamed("component", "cluster"), "node")
+        own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
+        other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
+        dealt = placed.withColumn("own", own).withColumn("other", other)
+        dealt = dealt.withColumns({"low": F.least("own", "other"), "high": F.greatest("own", "other")}).join(self.sketches, "node")
+        dealt = dealt.select("cluster", "low", "high", "own", "node", "c_node", "n", "sketch")
+        pairs = dealt.groupBy("cluster", "low", "high").applyInArrow(_compare_blocks, "a long, b long")
+        self.settle(pairs)
 
     def result(self) -> DataFrame:
-        known = self.component.select(F.col("node").alias("_n"), "component")
-        out = self.sets.join(known, F.col("node") == F.col("_n"), "left")
-        named = F.coalesce("component", "node")
-        return out.select(
+        named = F.col("c_node")
+        return self.named(self.sets, "node").select(
             F.when(F.col("node") < NULL_IDS, F.col("node")).alias("doc_id"),
             F.col("n").alias("n_shingles"),
             F.when(named < NULL_IDS, named).alias("component_id"),
@@ -527,14 +578,14 @@ class _Join:
 
 
 def near_duplicates(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, common: int = COMMON, hubs: int = HUBS
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, common: int = COMMON, block: int = BLOCK
 ) -> DataFrame:
     """One row per row of ``docs``: ``doc_id, n_shingles, component_id, node, component``.
 
-    ``common``: from how many sets on a signature counts as common; ``hubs``: members of a common signature compared with all others per
-    round.  Both change the work, not the result.
+    ``common``: from how many sets on a signature counts as common; ``block``: uncovered sets per block.  Both change the work, not
+    the result.
     """
-    return _Join(docs, id_col, text_col, shingle, common, hubs).run()
+    return _Join(docs, id_col, text_col, shingle, common, block).run()
 
 
 def representatives(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
