@@ -142,6 +142,22 @@ def test_fingerprint_sees_changes(grid):
     assert [r.intact for r in store.verify(rows.limit(2), rows).collect()] == [False]
 
 
+def test_fingerprint_sees_a_changed_pair(grid):
+    rows = grid([5.0, 5.0, 7.0]).withColumn("ts", F.lit("2024-01-01").cast("timestamp"))
+    other = rows.withColumn("bg", F.when(F.col("bg") == 5, 9.0).otherwise(F.col("bg")))
+    assert [r.intact for r in store.verify(other, rows).collect()] == [False]
+    assert [r.intact for r in store.verify(rows, rows).collect()] == [True]
+
+
+def test_sinks_write_a_file_per_folder_and_month(events, spark, tmp_path):
+    rows = events([(d, 60.0 * 24 * k, "cgm", 1.0) for d in (1, 2) for k in range(60)]).repartition(8).withColumn("segment_id", F.col("seq_num") % 5)
+    store.append_dataset(rows, str(tmp_path / "a"))
+    store.write_sequences(rows, rows.groupBy("pump_serial", "segment_id").count(), str(tmp_path / "s"))
+    files = lambda p: sorted(str(f.parent.relative_to(p)) for f in p.rglob("part-*"))
+    assert len(files(tmp_path / "a")) <= 4  # two devices, two months
+    assert files(tmp_path / "s" / "rows") == [f"pump_serial={d}/month=2024{m}" for d in (1, 2) for m in ("03", "04")]
+
+
 def test_replace_partitions_is_idempotent(events, spark, tmp_path):
     rows = events([(1, 0, "cgm", 1), (2, 5, "cgm", 2)])
     path = str(tmp_path / "d")

@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import math
 import random
 
 import numpy as np
@@ -7,8 +8,9 @@ import pytest
 from conftest import one_column
 from pyspark.sql import functions as F
 
+from tidegrid import tiles
 from tidegrid.config import GridSpec, SplitRules, WindowSpecParams
-from tidegrid.functions.quantiles import exact_percentiles
+from tidegrid.functions.quantiles import exact_percentiles, in_buckets
 from tidegrid.operators import features, windows
 from tidegrid.plans import dataflows
 
@@ -21,14 +23,41 @@ def test_exact_percentiles_match_numpy(spark):
     rows = [(k, v) for k, values in data.items() for v in values] + [(6, None), (1, None)]
     frame = spark.createDataFrame(rows, "k long, v double")
     probs = {"a": 0.0, "b": 0.25, "c": 0.5, "d": 0.75, "e": 1.0}
-    for buckets in (3, 1024):
-        out = {r.k: r for r in exact_percentiles(frame, ["k"], "v", probs, buckets).collect()}
+    for buckets, busy in ((3, 0), (256, 0), (256, 50), (256, 10**6)):
+        out = {r.k: r for r in exact_percentiles(frame, ["k"], "v", probs, buckets, busy=busy).collect()}
         assert set(out) == set(data)
         for k, values in data.items():
             for name, p in probs.items():
                 assert out[k][name] == pytest.approx(np.percentile(values, p * 100)), (k, name)
 
 
+def test_an_outlier_does_not_fill_a_bucket(spark):
+    values = spark.range(100_000).select(F.lit(1).alias("k"), (F.col("id") / 1e5).alias("_v")).union(spark.sql("SELECT 1, 1e9D"))
+    sizes = in_buckets(values.withColumn("_n", F.lit(1)), ["k"]).groupBy("_bucket").count().collect()
+    assert max(r["count"] for r in sizes) < 0.02 * 100_000 and sum(r["count"] for r in sizes) == 100_001
+
+
+def test_lookup_copies_by_need_and_splits_a_hot_key(spark):
+    rows = spark.range(30_000).select(F.when(F.col("id") < 10_000, 0).otherwise(F.col("id")).alias("k"), F.col("id").alias("ts"))
+    table = rows.select("k").distinct().withColumn("x", F.col("k") * 2)
+    plain = sorted(tuple(r) for r in rows.join(table, "k", "left").collect())
+    for limit in (0, 10**6):
+        out = tiles.lookup(rows, table, ["k"], salt_by=["ts"], broadcast_rows=limit, salts=64)
+        assert sorted(tuple(r) for r in out.collect()) == plain
+    salted = rows.withColumn("s", F.pmod(F.xxhash64("ts"), F.lit(64)))
+    hot = [r["count"] for r in salted.filter("k = 0").groupBy("s").count().collect()]
+    assert len(hot) == 64 and max(hot) < 2 * 10_000 / 64
+    assert salted.filter("k <> 0").select("k", "s").distinct().count() == 20_000  # a quiet key is not copied
+
+
+@pytest.mark.parametrize("tile_bins", [16, 2016, 1_000_000])
+def test_insulin_on_board_does_not_depend_on_the_tile(grid, tile_bins):
+    doses = [1.0 if k % 40 == 3 else 0.0 for k in range(200)]
+    out = one_column(features.add_insulin_on_board(grid([100.0] * 200, bolus=doses), GridSpec(pad_seconds=0, tile_bins=tile_bins)), "iob")
+    expected = [sum(doses[j] * math.exp(-0.0144 * (i - j + 1)) for j in range(max(0, i - 71), i + 1)) for i in range(200)]
+    assert out == pytest.approx(expected)
+
+
 def test_split_sizes(grid):
     rows = grid([100.0] * 90)
     sizes = lambda rules: [

@@ -23,22 +23,48 @@ from tidegrid.catalog.events import HOUR_GRID, ORDER_SQL, hour_grid, order_event
 from tidegrid.config import GapRules, GridSpec, SplitRules, WindowSpecParams
 from tidegrid.operators import events as ev
 from tidegrid.operators import features, gaps, grid, joins, runs, windows
+from tidegrid.plans import dataflows
 from tidegrid.signals import read_table, signal_events
 
 NO_PAD = GridSpec(freq_seconds=300, pad_seconds=0)
 SIX_SQL = aligned_sql(SIX_HOURLY)
 
-Q1_SQL = f"""WITH {aligned_sql(NO_PAD)}
+# event times to the second, ties to the even one; the last of equal (device, time, stream)
+SECONDS_SQL = SIG_SQL.replace("pump_serial, ts,", "pump_serial, make_timestamp(round_even(epoch_us(ts) / 1000000, 0)::BIGINT * 1000000) AS ts,", 1).replace(
+    "value > 0))", "value > 0) QUALIFY row_number() OVER (PARTITION BY pump_serial, ts, stream ORDER BY seq_num DESC) = 1)"
+)
+
+Q1_SQL = f"""WITH {aligned_sql(NO_PAD).replace(SIG_SQL, SECONDS_SQL)}
 SELECT pump_serial, ts, round(CASE WHEN bg IS NOT NULL THEN greatest(least(bg, 600.0), 20.0) END, 6) AS bg,
   {r(f'bg - lag(bg) OVER {W_SQL}', 'delta_bg')}, round(basal_rate, 6) AS basal_rate, round(bolus_dose, 6) AS bolus_dose,
   {sin_cos_sql()}, coalesce(CAST(bg < 20 OR bg > 600 AS INT), 0) AS bg_clip_flag, CAST(bg IS NULL AS INT) AS bg_missing_flag
 FROM grid"""
 
 
+def raw_events(spark, sf):
+    """The given events as a device sends them, with what Q1 must drop: an older copy of every bolus and reading with another
+    value, a rate from 1999 for every device, and event types without a stream."""
+    kind, value = F.col("event_type"), F.col("value")
+    name = F.when(kind.isin("view", "signup"), "CgmReading").when(kind == "click", "BasalDelivery").when(kind == "purchase", "BolusDelivery")
+    given = read_table(spark, sf, "events").select(
+        F.col("user_id").alias("pump_serial"),
+        F.col("ts").cast("timestamp").alias("ts"),
+        F.col("event_id").alias("seq_num"),
+        F.coalesce(name, F.lit("AlarmActivated")).alias("name"),
+        (value * 2.0).alias("sgv"),
+        (value * 20.0).alias("commandedRate"),
+        (value * 50.0).alias("deliveredTotal"),
+    )
+    older = given.filter("name IN ('CgmReading', 'BolusDelivery')").withColumns(
+        {"seq_num": F.col("seq_num") - 10**9, "sgv": F.col("sgv") + 50.0, "deliveredTotal": F.col("deliveredTotal") + 2000.0}
+    )
+    early = given.filter("name = 'BasalDelivery'").withColumns({"ts": F.lit("1999-05-05").cast("timestamp"), "commandedRate": F.lit(7000.0)})
+    return given.unionByName(older).unionByName(early)
+
+
 @query("q01_event_grid", Q1_SQL)
 def q01(spark, sf):
-    how = grid.Alignment(with_delta=True)
-    return features.event_grid(grid.align(signal_events(spark, sf), NO_PAD, how), NO_PAD)
+    return dataflows.event_grid(dataflows.device_events(raw_events(spark, sf)), NO_PAD)
 
 
 def six_grid(spark, sf, how=grid.Alignment()):

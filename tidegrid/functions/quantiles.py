@@ -1,4 +1,4 @@
-"""Exact interpolated percentiles per key, distributed by value range."""
+"""Exact interpolated percentiles per key, distributed by ranges of value that hold about equally many values."""
 
 from __future__ import annotations
 
@@ -8,8 +8,22 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidegrid import tiles
+from tidegrid.session import stage
 
-BUCKETS = 1024
+BUCKETS = 256
+BUSY = 50_000
+
+
+def in_buckets(counts: DataFrame, keys: Sequence[str], buckets: int = BUCKETS, busy: int = BUSY) -> DataFrame:
+    """Counted values ``(keys, _v, _n)`` with ``_bucket``, which grows with the value, and the key's ``_total``."""
+    keys = list(keys)
+    sizes = stage(counts.groupBy(*keys).agg(F.count(F.lit(1)).alias("_distinct"), F.sum("_n").alias("_total")), "percentile-sizes")
+    large = sizes.filter(F.col("_distinct") > busy).select(*keys)
+    shares = [(i + 1) / buckets for i in range(buckets - 1)]
+    borders = F.array_distinct(F.percentile_approx("_v", shares, 20 * buckets)).alias("_borders")
+    bounds = sizes.join(counts.join(large, keys, "left_semi").groupBy(*keys).agg(borders), keys, "left")
+    place = F.when(F.col("_borders").isNull(), 0).otherwise(F.size(F.filter("_borders", lambda b: b < F.col("_v"))))
+    return tiles.lookup(counts, bounds, keys, salt_by=["_v"], how="inner").withColumn("_bucket", place)
 
 
 def exact_percentiles(
@@ -19,12 +33,14 @@ def exact_percentiles(
     probs: dict[str, float],
     buckets: int = BUCKETS,
     weight: str | None = None,
+    busy: int = BUSY,
 ) -> DataFrame:
     """``probs`` maps an output column to a probability; the result has one row per key with non-null values.
 
     The built-in ``percentile`` holds every distinct value of a key in one aggregation buffer.  Here equal values are
-    counted first, the counts fall into value buckets per key, and only the few buckets that hold a wanted rank are
-    sorted, so no task ever sees all values of a hot key.  ``weight`` names a column of row counts for counted input.
+    counted first.  A key with more than ``busy`` distinct values is cut into ``buckets`` by borders from a mergeable quantile sketch
+    of those values, so buckets are about equal in size however the values lie; counts between borders are exact, and only the
+    few buckets that hold a wanted rank are sorted.  ``weight`` names a column of row counts for counted input.
     """
     keys = list(keys)
     counts = (
@@ -32,14 +48,8 @@ def exact_percentiles(
             (F.count(F.lit(1)) if weight is None else F.sum(weight)).alias("_n")
         )
     )
-    bounds = counts.groupBy(*keys).agg(
-        F.min("_v").alias("_lo"), F.max("_v").alias("_hi"), F.sum("_n").alias("_total")
-    )
-    width = F.col("_hi") - F.col("_lo")
-    bucketed = tiles.lookup(counts, bounds, keys, salt_by=["_v"], how="inner").withColumn(
-        "_bucket",
-        F.when(width > 0, F.floor((F.col("_v") - F.col("_lo")) / width * F.lit(float(buckets)))).otherwise(F.lit(0)),
-    )
+    counts = stage(counts, "percentile-counts")
+    bucketed = in_buckets(counts, keys, buckets, busy)
     position = {name: F.lit(float(p)) * (F.col("_total") - 1) for name, p in probs.items()}
     ranks = [f(position[name]) for name in probs for f in (F.floor, F.ceil)]
 

@@ -127,9 +127,13 @@ def dedup_first(df: DataFrame, on: Sequence[str] = ("pump_serial", "ts", "stream
 
 
 def _dedup(df: DataFrame, on: Sequence[str], pick, order: str) -> DataFrame:
+    """One aggregate per column: with columns of fixed width that is a hash aggregation (a struct would be sorted).
+
+    Among rows of equal order every column comes from the same row, because all of them see the rows in one sequence.
+    """
     rest = [c for c in df.columns if c not in on]
-    kept = df.groupBy(*on).agg(pick(F.struct(*rest), F.col(order)).alias("_kept"))
-    return kept.select(*[F.col(c) if c in on else F.col(f"_kept.{c}").alias(c) for c in df.columns])
+    kept = df.groupBy(*on).agg(*[pick(c, order).alias(f"_kept_{c}") for c in rest])
+    return kept.select(*[F.col(c) if c in on else F.col(f"_kept_{c}").alias(c) for c in df.columns])
 
 
 def spread_duplicates(

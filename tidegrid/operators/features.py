@@ -49,16 +49,11 @@ def rolling_cols(w: WindowSpec, basal: str = "basal_rate", bolus: str = "bolus_d
     return means | {f"bolus_sum_{k}": F.sum(bolus).over(trailing(k)) for k in (6, 12, 24)}
 
 
-def insulin_on_board_col(w: WindowSpec, spec: GridSpec, bolus: str = "bolus_dose") -> Column:
-    """Decayed sum of the last 72 rows, age 1 for the current row.
-
-    ``sum(x_i * e^(k * pos_i)) * e^(-k * (pos + 1))`` keeps it a plain sliding sum; positions count from the tile start,
-    so the exponent stays small.
-    """
-    origin = F.col(tiles.TILE) * F.lit(spec.tile_seconds * tg.MICROS)
-    pos = (tg.micros(F.col("ts")) - origin) / F.lit(float(spec.freq_seconds * tg.MICROS))
-    weighted = F.sum(F.col(bolus) * F.exp(F.lit(IOB_DECAY) * pos)).over(w.rowsBetween(-(IOB_ROWS - 1), 0))
-    return weighted * F.exp(F.lit(-IOB_DECAY) * (pos + 1.0))
+def insulin_on_board_col(w: WindowSpec, bolus: str = "bolus_dose") -> Column:
+    """Decayed sum of the last 72 rows, age 1 for the current row: ``sum(x_i * e^(-k * age_i))`` over an array of at most 72."""
+    doses = F.collect_list(F.coalesce(bolus, F.lit(0.0))).over(w.rowsBetween(-(IOB_ROWS - 1), 0))
+    decayed = F.transform(doses, lambda x, i: x * F.exp(F.lit(-IOB_DECAY) * (F.size(doses) - i)))
+    return F.aggregate(decayed, F.lit(0.0), lambda a, x: a + x)
 
 
 def clip_cols(col: str, low: float, high: float, flag: str) -> dict[str, Column]:
@@ -109,7 +104,7 @@ def add_slopes(grid: DataFrame, spec: GridSpec) -> DataFrame:
 
 
 def add_insulin_on_board(grid: DataFrame, spec: GridSpec) -> DataFrame:
-    return _on_tiles(grid, spec, IOB_ROWS, lambda w: {"iob": insulin_on_board_col(w, spec)})
+    return _on_tiles(grid, spec, IOB_ROWS, lambda w: {"iob": insulin_on_board_col(w)})
 
 
 def add_trend(grid: DataFrame, spec: GridSpec) -> DataFrame:

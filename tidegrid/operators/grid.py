@@ -133,9 +133,12 @@ class Alignment:
     extent_streams: tuple[str, ...] | None = None
 
 
-def align(events: DataFrame, spec: GridSpec, how: Alignment = Alignment()) -> DataFrame:
+def align(events: DataFrame, spec: GridSpec, how: Alignment = Alignment(), extent_of: DataFrame | None = None) -> DataFrame:
     """Wide grid ``(pump_serial, ts, bg, basal_rate, bolus_dose)`` from events unique per (device, time, stream).
 
+    Events outside the valid years neither widen the grid nor enter it.  ``extent_of`` may name events with the same times from
+    before a deduplication, so that the extents need not repeat it.
+
     Only sparse rows are shuffled and sorted: events are pre-aggregated to bins, the state to carry is resolved between
     those bins, and the empty grid points are generated last, between one sparse row and the next.
     """
@@ -148,7 +151,7 @@ def align(events: DataFrame, spec: GridSpec, how: Alignment = Alignment()) -> Da
         up = up | (stream == "basal")
     at = F.when(up, tg.ceil_to(F.col("ts"), freq)).otherwise(tg.floor_to(F.col("ts"), freq))
 
-    spans = _tile_spans(extents(events, spec, how.extent_streams), spec)
+    spans = _tile_spans(extents(events if extent_of is None else extent_of, spec, how.extent_streams), spec)
     skeleton = spans.select(
         *KEYS,
         F.col("tile_from").alias("bin_ts"),
@@ -157,7 +160,7 @@ def align(events: DataFrame, spec: GridSpec, how: Alignment = Alignment()) -> Da
         F.lit(None).cast("double").alias("value"),
         F.col("tile_to"),
     )
-    rows = events.filter(value.isNotNull()).select(
+    rows = events.filter(value.isNotNull() & tg.valid_year(F.col("ts"), MIN_VALID_YEAR, MAX_VALID_YEAR)).select(
         *KEYS,
         at.alias("bin_ts"),
         "ts",

@@ -29,9 +29,26 @@ SEQUENCE_FEATURES = (
 )
 
 
+def device_events(raw: DataFrame) -> DataFrame:
+    """Decoded device events to the canonical event table.
+
+    ``raw`` has ``pump_serial, ts, seq_num, name`` and the attributes ``sgv``, ``commandedRate`` (milliunits an hour) and
+    ``deliveredTotal`` (milliunits).  Unknown types, times before 2020 and events without a usable value go.
+    """
+    stream = ev.category(F.col("name"))
+    value = (
+        F.when(stream == "cgm", ev.glucose_value([F.col("sgv")]))
+        .when(stream == "basal", F.when(F.col("commandedRate").isNotNull(), ev.basal_value(F.col("commandedRate"), None, None)))
+        .when(stream == "bolus", ev.bolus_value(F.col("deliveredTotal")))
+    )
+    timed = raw.withColumn("ts", ev.event_time([F.col("ts")])).filter(F.col("ts").isNotNull())
+    return ev.drop_early(timed.select(*KEYS, "ts", "seq_num", stream.alias("stream"), value.alias("value"))).filter(F.col("value").isNotNull())
+
+
 def event_grid(events: DataFrame, spec: GridSpec = GridSpec(pad_seconds=0)) -> DataFrame:
-    """Q1: events to the nine standard columns."""
-    return features.event_grid(gr.align(ev.dedup_last(events), spec, gr.Alignment(with_delta=True)), spec)
+    """Q1: events to the nine standard columns; of events with one device, time and stream the last counts."""
+    aligned = gr.align(ev.dedup_last(events), spec, gr.Alignment(with_delta=True), extent_of=events)
+    return features.event_grid(aligned, spec)
 
 
 def bounded_fill_grid(events: DataFrame, spec: GridSpec = GridSpec(pad_seconds=0), fill_edges: bool = True) -> DataFrame:

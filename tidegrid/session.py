@@ -49,7 +49,15 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         base = os.path.join(tempfile.gettempdir(), "tidegrid-scratch")
-    return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex[:12]}"
+    return f"{base.rstrip('/')}/tidegrid-{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex[:12]}"
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Remove every table this application staged.  Call it when no result that was read from them is needed any more;
+    tables of applications that ended without it can be removed by their folder."""
+    folder = scratch_dir(spark, "x").rsplit("/", 1)[0]
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def stage(df: DataFrame, label: str) -> DataFrame:

@@ -8,6 +8,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidegrid.session import stage
 from tidegrid.tiles import KEYS
 
 # File roles and the standard name of each.
@@ -38,10 +39,15 @@ def load_batch(spark: SparkSession, path: str, schema=None) -> DataFrame:
 
 
 def fingerprint(df: DataFrame, by: Sequence[str] = KEYS) -> DataFrame:
-    """Order-insensitive fingerprint and row count per batch."""
+    """Order-insensitive fingerprint and row count per batch.
+
+    The sum beside the exclusive-or does not cancel where a pair of equal rows changes into another pair.
+    """
     cols = sorted(c for c in df.columns if c not in by)
     value = F.xxhash64(*cols)
-    return df.groupBy(*by).agg(F.bit_xor(value).alias("fingerprint"), F.count(F.lit(1)).alias("n_rows"))
+    total = F.sum(value.cast("decimal(38,0)")).cast("string")
+    both = F.concat_ws(":", F.hex(F.bit_xor(value)), total).alias("fingerprint")
+    return df.groupBy(*by).agg(both, F.count(F.lit(1)).alias("n_rows"))
 
 
 def verify(stored: DataFrame, expected: DataFrame, by: Sequence[str] = KEYS) -> DataFrame:
@@ -85,19 +91,27 @@ def write_dataset(df: DataFrame, path: str, role: str, by: Sequence[str] = ("pum
     dataset_metadata(df, role, by).write.mode("overwrite").parquet(f"{path}/metadata")
 
 
+def _by_folder(df: DataFrame, partitions: Sequence[str]) -> DataFrame:
+    """Rows of a folder (and month) together, so that a folder gets a file per month and not one per task."""
+    return df.repartition(*partitions, *([_month()] if "ts" in df.columns else []))
+
+
 def append_dataset(df: DataFrame, path: str, partitions: Sequence[str] = KEYS) -> None:
     """Plain append."""
-    df.write.mode("append").partitionBy(*partitions).parquet(path)
+    _by_folder(df, partitions).write.mode("append").partitionBy(*partitions).parquet(path)
 
 
 def replace_partitions(df: DataFrame, path: str, partitions: Sequence[str]) -> None:
     """S12, idempotent: only the partitions present in ``df`` are replaced."""
-    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partitions).parquet(path)
+    _by_folder(df, partitions).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partitions).parquet(path)
 
 
-def write_sequences(rows: DataFrame, segments: DataFrame, path: str, partitions: Sequence[str] = ("pump_serial", "segment_id")) -> None:
-    """Sequence rows by device and segment, and one JSON record per sequence beside them."""
-    rows.repartition(*partitions, _month()).write.mode("overwrite").partitionBy(*partitions).parquet(f"{path}/rows")
+def write_sequences(rows: DataFrame, segments: DataFrame, path: str) -> None:
+    """Sequence rows in folders by device and month, sorted by segment and time inside, so that a segment's rows are
+    found by the file statistics; one JSON record per sequence beside them."""
+    dated = rows.withColumn("month", _month())
+    by = [*KEYS, "month"]
+    dated.repartition(*by).sortWithinPartitions(*by, "segment_id", "ts").write.mode("overwrite").partitionBy(*by).parquet(f"{path}/rows")
     segments.write.mode("overwrite").json(f"{path}/segments")
 
 
@@ -110,6 +124,6 @@ def write_split(rows: DataFrame, summary: DataFrame, path: str) -> None:
 
 def write_accepted(rows: DataFrame, verdicts: DataFrame, path: str, by: Sequence[str] = KEYS) -> None:
     """Batches judged valid go to the dataset, the others to quarantine; nothing is deleted."""
-    valid = verdicts.filter("is_valid").select(*by)
-    rows.join(valid, list(by), "left_semi").write.mode("overwrite").partitionBy(*by).parquet(f"{path}/accepted")
-    rows.join(valid, list(by), "left_anti").write.mode("overwrite").partitionBy(*by).parquet(f"{path}/quarantine")
+    valid = stage(verdicts.filter("is_valid").select(*by), "valid-batches")
+    for place, how in (("accepted", "left_semi"), ("quarantine", "left_anti")):
+        _by_folder(rows.join(valid, list(by), how), by).write.mode("overwrite").partitionBy(*by).parquet(f"{path}/{place}")

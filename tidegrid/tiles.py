@@ -22,6 +22,7 @@ from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from tidegrid.functions import timegrid as tg
+from tidegrid.session import stage
 
 KEYS = ("pump_serial",)
 TILE = "_tile"
@@ -263,16 +264,22 @@ def lookup(
     *,
     salt_by: Sequence[str],
     how: str = "left",
-    salts: int = 32,
+    broadcast_rows: int = 100_000,
+    salts: int | None = None,
 ) -> DataFrame:
     """Join a table with one row per key to many rows of possibly hot keys.
 
-    The table is repeated ``salts`` times and the rows of a key are spread over the salts by a hash of ``salt_by``, so a
-    hot key is read by ``salts`` tasks.  Spark still broadcasts the table on its own when its measured size allows.
+    The table is staged and counted: up to ``broadcast_rows`` rows it is broadcast.  Beyond that the rows of a key are spread over
+    salts by a hash of ``salt_by``, and a table row is copied only to the salts its key really has, so a quiet key is hardly
+    copied and a hot one is read by many tasks.  ``salts`` defaults to four per shuffle partition.
     """
-    spread = table.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    salted = df.withColumn("_salt", F.pmod(F.xxhash64(*salt_by), F.lit(salts)).cast("int"))
-    return salted.join(spread, [*on, "_salt"], how).drop("_salt")
+    staged = stage(table, "lookup")
+    if staged.count() <= broadcast_rows:
+        return df.join(F.broadcast(staged), list(on), how)
+    n = salts or 4 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    salted = df.withColumn("_salt", F.pmod(F.xxhash64(*salt_by), F.lit(n)).cast("int"))
+    present = salted.select(*on, "_salt").distinct()
+    return salted.join(present.join(staged, list(on)), [*on, "_salt"], how).drop("_salt")
 
 
 def attach_group(df: DataFrame, stats: DataFrame, group: Sequence[str], *, by: Sequence[str] = KEYS) -> DataFrame:
