@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tidegrid.catalog import base, events, flows, grids, quality, summaries
+from tidegrid.catalog import base, events, flows, grids, quality, summaries, whole
 
 
 def queries() -> dict:

@@ -6,7 +6,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from tidegrid.catalog.base import DAILY, HOURLY, SIG_SQL, SIX_HOURLY, W_SQL, aligned_sql, query, r, sin_cos_sql
+from tidegrid.catalog.base import DAILY, HOURLY, ORACLE, SIG_SQL, SIX_HOURLY, W_SQL, aligned_sql, query, r, sin_cos_sql
 from tidegrid.catalog.events import HOUR_GRID, hour_grid
 from tidegrid.catalog.grids import NO_PAD, RUN_SQL, SIX_SQL, STEP_SQL, BLOCK_SQL, readings, six_grid
 from tidegrid.catalog.summaries import ANOMALY_SQL, BULK_SQL, CGM_SQL, JOBS_SQL, PLATEAU_SQL, bulk, jobs, plateau_grid
@@ -377,9 +377,16 @@ def v18(spark, sf):
     return sequences.sequence_metadata(weekly_sequences(spark, sf), SIX_HOURLY)
 
 
-@query("v18_sequence_metadata_json")
+@query("v18_sequence_metadata_json", ORACLE["v18_sequence_metadata"])
 def v18b(spark, sf):
-    return sequences.metadata_json(sequences.sequence_metadata(weekly_sequences(spark, sf), SIX_HOURLY))
+    """The JSON record of every sequence, read back field by field."""
+    metadata = sequences.sequence_metadata(weekly_sequences(spark, sf), SIX_HOURLY)
+    texts = sequences.metadata_json(metadata)
+    kinds = {f.name: f.dataType.simpleString() for f in metadata.schema.fields}
+    parts = {part: [n for n in names if n in kinds] for part, names in sequences.METADATA_PARTS.items()}
+    schema = ", ".join(f"{part} struct<{', '.join(f'{n}:{kinds[n]}' for n in names)}>" for part, names in parts.items())
+    back = texts.select(F.from_json("metadata", schema).alias("m"))
+    return back.select(*[F.col(f"m.{part}.{n}").alias(n) for part, names in parts.items() for n in names])
 
 
 @query(

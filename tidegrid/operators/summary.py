@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, WindowSpec
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from tidegrid import tiles
@@ -193,6 +193,15 @@ def split_summary(rows: DataFrame, by: Sequence[str] = KEYS) -> DataFrame:
     return per.join(total, list(by)).withColumn("pct", F.col("n_rows") / F.col("_n") * 100).drop("_n")
 
 
+def split_members(table: DataFrame, by: Sequence[str] = KEYS) -> DataFrame:
+    """The members of each subset, one row each with their position in time.
+
+    ``table`` has one row per sequence: ``subset``, ``segment_id``, ``segment_start``, ``n_rows``.
+    """
+    within = Window.partitionBy(*by, "subset").orderBy("segment_start", "segment_id")
+    return table.select(*by, "subset", F.row_number().over(within).alias("position"), "segment_id", "segment_start", "n_rows")
+
+
 def job_performance(jobs: DataFrame) -> DataFrame:
     """Duration and throughput over all jobs."""
     positive = F.when(F.col("throughput_records_per_second") > 0, F.col("throughput_records_per_second"))
@@ -285,6 +294,18 @@ def sync_rollup(files: DataFrame) -> DataFrame:
     )
 
 
+def sync_overall(files: DataFrame) -> DataFrame:
+    """A24 over all devices."""
+    per = sync_rollup(files)
+    return per.agg(
+        F.count(F.lit(1)).alias("n_devices"),
+        F.coalesce(F.sum("n_files"), F.lit(0)).cast("bigint").alias("n_files"),
+        F.coalesce(F.sum("n_records"), F.lit(0)).cast("bigint").alias("n_records"),
+        F.count_if("success").alias("n_successful"),
+        F.coalesce(F.bool_and("success"), F.lit(False)).alias("success"),
+    )
+
+
 def completeness(times: DataFrame, freq_seconds: int = 300, gap_minutes: float = 60.0, tile_seconds: int = RAW_TILE_SECONDS) -> DataFrame:
     """Rows against expected rows, large gaps, longest step."""
     rows = gaps.steps(times, tile_seconds)

@@ -14,7 +14,7 @@ from tidegrid.functions import timegrid as tg
 from tidegrid.operators import constant_runs, events as ev, features, gaps, grid as gr, joins, runs, summary, windows
 from tidegrid.quality import checks, sequences as seq
 from tidegrid.session import stage
-from tidegrid.sources import csv_files
+from tidegrid.sources import csv_files, store
 from tidegrid.tiles import KEYS, TILE
 
 SEGMENT = ("pump_serial", "segment_id")
@@ -158,6 +158,25 @@ def validated_sequences(rows: DataFrame, spec: GridSpec) -> tuple[DataFrame, Dat
     return kept.drop("_accepted", TILE), checked, seq.sequence_report(checked)
 
 
+def sequences_from_files(spark, root: str, path: str, spec: GridSpec = GridSpec(), rules: GapRules = GapRules()) -> DataFrame:
+    """Q4 from monthly stream files to the sink: complete months, sequences, checks, accepted rows and their metadata.
+
+    Returns the report per device; rows and metadata lie below ``path``.
+    """
+    files = csv_files.complete_months(csv_files.discover(spark, root)).collect()  # a listing, as it is in the driver anyway
+    if not files:
+        raise ValueError(f"no month with all three streams below {root}")
+    events = None
+    for stream in csv_files.ROLE_WORDS:
+        own = csv_files.normalise(csv_files.read_stream(spark, sorted(f.path for f in files if f.stream == stream), stream))
+        events = own if events is None else events.unionByName(own)
+    rows = stage(raw_sequences(stage(events, "file-events"), spec, rules), "sequences")
+    kept, _, report = validated_sequences(rows, spec)
+    kept = stage(kept, "accepted")
+    store.write_sequences(kept, seq.sequence_metadata(kept, spec), path)
+    return report
+
+
 def gap_aware_grid(
     events: DataFrame, spec: GridSpec = GridSpec(pad_seconds=0), repair: bool = True, extent: Sequence[str] | None = ("cgm",)
 ) -> DataFrame:
@@ -208,9 +227,13 @@ def organised_features(filled: DataFrame, spec: GridSpec) -> DataFrame:
 
 def split_with_gaps(rows: DataFrame, tile_seconds: int, rules: SplitRules = SplitRules(), gap_hours: float = 15.0):
     """Q7: duplicates of overlapping chunks removed, chronological split, gap report, split summary."""
-    rest = [c for c in rows.columns if c not in (*KEYS, "ts")]
-    # overlapping chunks repeat whole rows; the smallest decides where they differ, so a rerun gives the same
-    unique = rows.groupBy(*KEYS, "ts").agg(F.min(F.struct(*rest)).alias("_r")).select(*KEYS, "ts", "_r.*")
+    if "seq_num" in rows.columns:
+        unique = ev.dedup_last(rows, [*KEYS, "ts"])
+    else:
+        # without a sequence the smallest decides where repeated rows differ, so a rerun gives the same
+        rest = [c for c in rows.columns if c not in (*KEYS, "ts")]
+        unique = rows.groupBy(*KEYS, "ts").agg(F.min(F.struct(*rest)).alias("_r")).select(*KEYS, "ts", "_r.*")
+    unique = stage(unique, "unique")
     split = windows.chronological_split(unique, rules, tile_seconds=tile_seconds)
     found = gaps.gap_summary(unique.select(*KEYS, "ts"), gap_hours * 3600, tile_seconds)
     return split, found, summary.split_summary(split)
@@ -254,7 +277,7 @@ def inference_windows(grid: DataFrame, spec: GridSpec, scaler: DataFrame | None
 
     def build(rows: DataFrame, w: WindowSpec) -> DataFrame:
         return rows.withColumns(
-            {"bg_trend_30min": features.delta_col(w, "bg", 6, 0.0), "insulin_on_board": features.insulin_on_board_col(w, spec)}
+            {"bg_trend_30min": features.delta_col(w, "bg", 6, 0.0), "insulin_on_board": features.insulin_on_board_col(w)}
         )
 
     out = tiles.with_halo(grid, build, seconds=spec.tile_seconds, before=features.IOB_ROWS * spec.freq_seconds)
@@ -292,6 +315,12 @@ def monthly_ranges(events: DataFrame, spec: GridSpec, days: int = 30, step: int
     return joins.overlapping_ranges(flagged, starts, days, step)
 
 
+def client_streams(events: DataFrame) -> dict[str, DataFrame]:
+    """Q13: the three stream outputs of the client: guarded, unique events by stream."""
+    clean = stage(ev.dedup_last(ev.drop_early(events)), "client-events")
+    return {stream: clean.filter(F.col("stream") == stream) for stream in ("cgm", "basal", "bolus")}
+
+
 def client_sequences(events: DataFrame, spec: GridSpec, rules: GapRules = GapRules(), first_only: bool = False) -> DataFrame:
     """Q13: guarded, valued and unique events to sequences; the older form keeps the first sequence of a device."""
     rows = raw_sequences(ev.drop_early(events), spec, rules, repair=False)

@@ -11,7 +11,9 @@ from tidegrid import tiles
 from tidegrid.config import RAW_TILE_SECONDS, GridSpec
 from tidegrid.functions import timegrid as tg
 from tidegrid.operators import gaps, joins, runs, summary
+from tidegrid.operators.events import parse_date
 from tidegrid.operators.summary import share
+from tidegrid.session import stage
 from tidegrid.tiles import KEYS
 
 LEVELS = {"basic": 1, "standard": 2, "comprehensive": 3}
@@ -78,6 +80,48 @@ def _ladder(*rungs: tuple[Column, str, str], default: tuple[str, str] = ("PASS",
     return status.otherwise(default[0]), severity.otherwise(default[1])
 
 
+SIGNALS = ("bg", "basal_rate", "bolus_dose")
+
+
+def schema_checks(rows: DataFrame) -> DataFrame:
+    """V7 row 1, over the whole dataset: ``check_name, status, severity, value``.
+
+    An empty dataset gives ``dataset_empty`` alone.  The value is the number of missing columns or of unreadable times where
+    the check fails, else the number of rows.
+    """
+    missing = [c for c in ("ts", *KEYS) if c not in rows.columns]
+    signals = [c for c in SIGNALS if c in rows.columns]
+    bad_times = F.lit(0).cast("bigint")
+    if not missing and dict(rows.dtypes)["ts"] == "string":
+        bad_times = F.count_if(F.col("ts").isNotNull() & parse_date(F.col("ts")).isNull())
+    figures = rows.agg(F.count(F.lit(1)).alias("n"), bad_times.alias("bad"))
+    if missing or not signals:
+        status, severity, value = F.lit("FAIL"), F.lit("CRITICAL"), F.lit(len(missing) or len(SIGNALS))
+    else:
+        status = F.when(F.col("bad") > 0, "FAIL").otherwise("PASS")
+        severity = F.when(F.col("bad") > 0, "HIGH").otherwise("LOW")
+        value = F.when(F.col("bad") > 0, F.col("bad")).otherwise(F.col("n"))
+    empty = F.col("n") == 0
+    return figures.select(
+        F.when(empty, "dataset_empty").otherwise("schema").alias("check_name"),
+        F.when(empty, "FAIL").otherwise(status).alias("status"),
+        F.when(empty, "CRITICAL").otherwise(severity).alias("severity"),
+        F.when(empty, 0).otherwise(value).cast("double").alias("value"),
+    )
+
+
+def dataset_checks(rows: DataFrame, spec: GridSpec, level: str, now: dt.datetime) -> DataFrame:
+    """V7: all checks per device; a dataset that is empty or lacks its columns gives the schema row alone, without a device."""
+    schema = stage(schema_checks(rows), "schema-check")
+    if schema.filter("status = 'FAIL'").isEmpty():
+        have = rows.withColumns({c: F.lit(None).cast("double") for c in SIGNALS if c not in rows.columns})
+        if dict(rows.dtypes)["ts"] == "string":
+            have = have.withColumn("ts", parse_date(F.col("ts")))
+        return checks_from_metrics(dataset_metrics(have, spec, level, now), level)
+    kind = dict(rows.dtypes).get(KEYS[0], "bigint")
+    return schema.select(F.lit(None).cast(kind).alias(KEYS[0]), "check_name", "status", "severity", "value")
+
+
 def checks_from_metrics(metrics: DataFrame, level: str) -> DataFrame:
     """V7: one row per emitted check."""
     c, depth = F.col, LEVELS[level]

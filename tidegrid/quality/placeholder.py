@@ -79,8 +79,27 @@ def batch_report(scored: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     )
 
 
-def monthly_validity(rows: DataFrame, by: Sequence[str] = ("pump_serial", "month"), min_rows: int = 100, min_days: int = 20) -> DataFrame:
-    """Enough rows, more than one distinct reading, at least 80 % of readings in 50-400, at least 20 days."""
+REQUIRED_COLUMNS = ("ts", "bg", "basal_rate", "bolus_dose")
+
+
+def monthly_validity(
+    rows: DataFrame,
+    by: Sequence[str] = ("pump_serial", "month"),
+    min_rows: int = 100,
+    min_days: int = 20,
+    required: Sequence[str] = (),
+) -> DataFrame:
+    """The required columns, enough rows, more than one distinct reading, at least 80 % of readings in 50-400, at least 20 days.
+
+    With ``required`` the result names the ``missing_columns``; a dataset that lacks one is invalid, also where it is the time or
+    the reading itself.
+    """
+    if required:
+        missing = [c for c in required if c not in rows.columns]
+        lacking = {c: F.lit(None).cast("timestamp" if c == "ts" else "double") for c in ("ts", "bg") if c not in rows.columns}
+        found = monthly_validity(rows.withColumns(lacking), by, min_rows, min_days)
+        out = found.withColumn("missing_columns", F.lit(", ".join(missing)))
+        return out.withColumn("is_valid", F.coalesce("is_valid", F.lit(False)) & F.lit(not missing))
     base = rows.groupBy(*by).agg(
         F.count(F.lit(1)).alias("n_rows"),
         F.count("bg").alias("n_readings"),
@@ -94,7 +113,8 @@ def monthly_validity(rows: DataFrame, by: Sequence[str] = ("pump_serial", "month
         & F.coalesce(F.col("realistic_share") >= 0.8, F.lit(False))
         & (F.col("span_days") >= min_days)
     )
-    return base.join(distinct, list(by)).withColumn("is_valid", ok)
+    joined = base.join(distinct, list(by), "left").fillna(0, ["n_distinct"])
+    return joined.withColumn("is_valid", ok)
 
 
 def availability(rows: DataFrame) -> DataFrame:

@@ -142,17 +142,19 @@ def sequence_metadata(rows: DataFrame, spec: GridSpec, by: Sequence[str] = SEGME
     )
 
 
+METADATA_PARTS = {
+    "sequence_info": ["sequence_id", *SEGMENT],
+    "temporal_info": ["start_time", "end_time", "length_intervals", "duration_hours"],
+    "data_quality": ["bg_coverage", "bins_imputed", "bins_masked", "quality_score", "bg_completeness", "basal_completeness", "bolus_activity"],
+    "value_ranges": ["bg_min", "bg_max", "basal_min", "basal_max", "bolus_total"],
+    "validation_ready": ["tensor_ready", "training_recommendation"],
+}
+
+
 def metadata_json(metadata: DataFrame, by: Sequence[str] = SEGMENT) -> DataFrame:
     """V18 as one nested JSON text per sequence."""
-    nested = F.struct(
-        F.struct("sequence_id", *by).alias("sequence_info"),
-        F.struct("start_time", "end_time", "length_intervals", "duration_hours").alias("temporal_info"),
-        F.struct("bg_coverage", "bins_imputed", "bins_masked", "quality_score", "bg_completeness", "basal_completeness", "bolus_activity").alias(
-            "data_quality"
-        ),
-        F.struct("bg_min", "bg_max", "basal_min", "basal_max", "bolus_total").alias("value_ranges"),
-        F.struct("tensor_ready", "training_recommendation").alias("validation_ready"),
-    )
+    parts = METADATA_PARTS | {"sequence_info": ["sequence_id", *by]}
+    nested = F.struct(*[F.struct(*names).alias(part) for part, names in parts.items()])
     return metadata.select(*by, F.to_json(nested, {"ignoreNullFields": "false"}).alias("metadata"))
 
 
