@@ -24,6 +24,7 @@ from tidegrid.config import GapRules, GridSpec, SplitRules, WindowSpecParams
 from tidegrid.operators import events as ev
 from tidegrid.operators import features, gaps, grid, joins, runs, windows
 from tidegrid.plans import dataflows
+from tidegrid.session import stage
 from tidegrid.signals import read_table, signal_events
 
 NO_PAD = GridSpec(freq_seconds=300, pad_seconds=0)
@@ -418,7 +419,7 @@ def w09(spark, sf):
     CAST(v IS NOT NULL AND lag(v) OVER {W_SQL} IS NULL AS INT) AS cgm_gap_filled FROM f""",
 )
 def w10(spark, sf):
-    return runs.fill_chain(hour_grid(spark, sf), HOURLY).drop("bolus_dose")
+    return runs.fill_chain(stage(hour_grid(spark, sf), "hourly"), HOURLY).drop("bolus_dose")
 
 
 @query(
@@ -656,7 +657,7 @@ def split_six(spark, sf):
     {r('(basal_rate - a2) / CASE WHEN a3 = a1 THEN 1 ELSE a3 - a1 END', 'basal_rate')} FROM sp, q""",
 )
 def n03(spark, sf):
-    rows = split_six(spark, sf)
+    rows = stage(split_six(spark, sf), "split")  # once for the fit, once for the rows
     params = windows.robust_params(rows.filter(F.col("subset") == "train"), ["bg", "basal_rate"])
     return windows.robust_scale(rows, params, ["bg", "basal_rate"]).drop("bolus_dose")
 

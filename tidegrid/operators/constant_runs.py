@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tidegrid import tiles
 from tidegrid.config import PLACEHOLDER_BG, GridSpec
 from tidegrid.functions import timegrid as tg
+from tidegrid.session import stage
 from tidegrid.tiles import KEYS, TILE
 
 REACH = 6  # bins looked at on both sides of a run
@@ -107,7 +108,7 @@ def repair_placeholders(grid: DataFrame, spec: GridSpec) -> DataFrame:
 
     The verdicts travel back per (device, tile, run), so a very long run does not meet in one task.
     """
-    marked = _marked(grid, spec)
+    marked = stage(_marked(grid, spec), "marked")  # read for the runs, for their surroundings and for the result
     runs = _runs(marked, spec).select(*KEYS, "run_start", "run_end", "run_len", "replaced")
     runs = runs.withColumn("_first", F.col("run_start"))
     rows = tiles.attach_span(

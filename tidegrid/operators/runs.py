@@ -172,7 +172,8 @@ def fill_chain(grid: DataFrame, spec: GridSpec, carry_limit: int = 6, line_limit
     ``cgm_gap_filled`` is 1 for a value whose previous row is still empty after the fill (or does not exist).
     """
     step = spec.freq_seconds
-    ctx = tiles.fill_context(grid, _values("bg"), F.col("bg").isNotNull(), seconds=spec.tile_seconds)
+    rate = {"basal": (_values("basal_rate"), F.col("basal_rate").isNotNull())}
+    ctx = tiles.fill_context(grid, _values("bg"), F.col("bg").isNotNull(), seconds=spec.tile_seconds, also=rate)
     ts, bg = F.col("ts"), F.col("bg")
     from_left = tg.bins_between(ts, F.col("prev.ts"), step)
     to_right = tg.bins_between(F.col("next.ts"), ts, step)
@@ -195,8 +196,9 @@ def fill_chain(grid: DataFrame, spec: GridSpec, carry_limit: int = 6, line_limit
     before_is_reading = F.coalesce(from_left == 1, F.lit(False))
     before_has_value = before_is_reading | reached(from_left - 1, F.when(bg.isNotNull(), F.lit(1)).otherwise(to_right + 1))
     opens = filled.isNotNull() & ((ts == F.col("first_ts")) | ~before_has_value)
-    out = ctx.withColumns({"cgm_gap_filled": opens.cast("int"), "bg": filled}).drop("prev", "next", "first_ts", "last_ts")
-    return forward_fill(out, spec, "basal_rate")
+    carried = F.coalesce("basal_rate", F.col("basal.v"))
+    out = ctx.withColumns({"cgm_gap_filled": opens.cast("int"), "bg": filled, "basal_rate": carried})
+    return out.drop("prev", "next", "first_ts", "last_ts", "basal")
 
 
 def forward_fill(grid: DataFrame, spec: GridSpec, col: str, then_back: bool = False, default: float | None = None) -> DataFrame:

@@ -312,6 +312,7 @@ def suggestions(rows: DataFrame, tile_seconds: int = RAW_TILE_SECONDS) -> DataFr
 def quality_report(grid: DataFrame, spec: GridSpec, gap_hours: float = 18.0) -> DataFrame:
     """Continuity, basal and glucose patterns, completeness, GOOD or NEEDS_ATTENTION."""
     size = spec.tile_seconds
+    grid = stage(grid, "report-input")  # read by three reports
     times = gaps.steps(gaps.observed_times(grid), size).groupBy(*KEYS).agg(
         F.count(F.lit(1)).alias("n_rows"),
         F.count_if(F.col("step_seconds") > gap_hours * 3600).alias("n_gaps"),

@@ -234,10 +234,12 @@ def fill_context(
     by: Sequence[str] = KEYS,
     ts: str = "ts",
     sides: Sequence[str] = ("prev", "next"),
+    also: dict[str, tuple[dict[str, Column], Column]] | None = None,
 ) -> DataFrame:
     """Nearest eligible row on both sides of each row, at any distance, plus the first and last time of the key.
 
-    Adds structs ``prev`` / ``next`` with ``values`` and the columns ``first_ts`` / ``last_ts``.
+    Adds structs ``prev`` / ``next`` with ``values`` and the columns ``first_ts`` / ``last_ts``; ``also`` names further structs of
+    values from the last row before that is eligible for them, out of the same carry.
     """
     tiled = add_tile(df, seconds, ts)
     order = F.col(ts)
@@ -247,13 +249,16 @@ def fill_context(
         items["_p"] = before
     if "next" in sides:
         items["_n"] = after
-    out = with_carry(tiled, items, by=by).withColumn("_v", before.struct())
-    found = {}
+    others = {name: Prev(own, order, eligible_too) for name, (own, eligible_too) in (also or {}).items()}
+    items |= {f"_{name}_carry": item for name, item in others.items()}
+    own_structs = {f"_{name}_own": item.struct() for name, item in others.items()}
+    out = with_carry(tiled, items, by=by).withColumns({"_v": before.struct()} | own_structs)
+    found = {name: F.coalesce(nearest("lag", f"_{name}_own", by, ts), F.col(f"_{name}_carry")) for name in others}
     if "prev" in sides:
         found["prev"] = F.coalesce(nearest("lag", "_v", by, ts), F.col("_p"))
     if "next" in sides:
         found["next"] = F.coalesce(nearest("lead", "_v", by, ts), F.col("_n"))
-    out = out.withColumns(found).drop("_p", "_n")
+    out = out.withColumns(found).drop("_p", "_n", *[f"_{name}_{x}" for name in others for x in ("own", "carry")])
     return out.drop("_v", TILE)
 
 
