@@ -10,13 +10,12 @@ from pyspark.sql import functions as F
 
 from tidegrid.operators.events import dedup_last
 from tidegrid.operators.summary import device_summary
-from tidegrid.tiles import KEYS
 
 
 def merge_batches(batches: Sequence[DataFrame], on: Sequence[str] = ("pump_serial", "ts", "stream")) -> DataFrame:
-    """Union, keep the last of each duplicate, in (device, time) order."""
+    """Union, keep the last of each duplicate.  Order is left to the writer (``sortWithinPartitions``) or to L1."""
     merged = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), batches)
-    return dedup_last(merged, on).orderBy(*KEYS, "ts")
+    return dedup_last(merged, on)
 
 
 def concat_halves(first: DataFrame, second: DataFrame, on: Sequence[str] = ("pump_serial", "ts", "stream")) -> DataFrame:
@@ -25,7 +24,7 @@ def concat_halves(first: DataFrame, second: DataFrame, on: Sequence[str] = ("pum
 
 
 def merge_devices(frames: dict[str, DataFrame]) -> tuple[DataFrame, DataFrame]:
-    """Q12: one dataset of all devices in (device, time) order, and its summary per device."""
+    """Q12: one dataset of all devices, and its summary per device."""
     tagged = [frame.withColumn("source", F.lit(name)) for name, frame in frames.items()]
     merged = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), tagged)
-    return merged.orderBy(*KEYS, "ts"), device_summary(merged)
+    return merged, device_summary(merged)
