@@ -42,4 +42,4 @@ def _are_stars(edges: DataFrame) -> bool:
     """Every node is either a center or has one center: nothing is left to do."""
     ends = edges.select(F.col("low").alias("node"), F.lit(0).alias("high")).union(edges.select("high", F.lit(1)))
     odd = ends.groupBy("node").agg(F.sum("high").alias("centers"), F.count(F.lit(1)).alias("n")).filter("centers > 1 OR (centers = 1 AND n > 1)")
-    return odd.isEmpty()
+    return odd.count() == 0

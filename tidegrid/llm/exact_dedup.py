@@ -45,10 +45,10 @@ def classify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", pr
         ),
         "dedup-light",
     )
-    by_length = light.groupBy("chars").count().filter("count > 1").select("chars")
-    alike = light.join(by_length, "chars", "left_semi")
-    by_prefix = alike.groupBy("chars", "prefix_hash").count().filter("count > 1").select("chars", "prefix_hash")
-    alive = stage(alike.join(by_prefix, ["chars", "prefix_hash"], "left_semi"), "dedup-alive")
+    by_length = stage(light.groupBy("chars").count().filter("count > 1").select("chars"), "dedup-lengths")
+    alike = light.join(checked_broadcast(by_length), "chars", "left_semi")
+    by_prefix = stage(alike.groupBy("chars", "prefix_hash").count().filter("count > 1").select("chars", "prefix_hash"), "dedup-prefixes")
+    alive = stage(alike.join(checked_broadcast(by_prefix), ["chars", "prefix_hash"], "left_semi"), "dedup-alive")
 
     # the whole content is read for the surviving rows only
     ids = stage(alive.select(F.col("doc_id").alias("alive_id"), F.col("row_hash").alias("alive_hash")).distinct(), "dedup-ids")

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 BROADCAST_ROWS = 200_000
+BATCH_ROWS = 1024
 SPACES = r"[\x20\x09-\x0D]+"
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -17,10 +18,14 @@ _SHIPPED: set[str] = set()
 
 
 def ship(spark: SparkSession) -> None:
-    """Send this package to the Python workers, once per application, as ``--py-files`` would.
+    """Send this package to the Python workers, once per application, as ``--py-files`` would, and keep Arrow batches small.
 
-    The archive is handed to Spark, whose file service brings it to every executor; no executor reads the driver's folder.
+    The archive is handed to Spark, whose file service brings it to every executor; no executor reads the driver's folder.  Whole texts
+    are long rows: Spark's default of 10,000 rows a batch would hold tens of megabytes on both sides of every worker.
     """
+    rows = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(rows)) <= BATCH_ROWS:
+        spark.conf.set(rows, str(BATCH_ROWS))
     context = spark.sparkContext
     if context.applicationId in _SHIPPED:
         return

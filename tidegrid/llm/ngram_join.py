@@ -48,7 +48,7 @@ SHARED_PARTS, UNION_PARTS = 3, 4
 COMMON = 16
 BLOCK = 1024
 FEW_PAIRS = 20_000
-_FLUSH = 1 << 21
+_FLUSH = 1 << 20
 NULL_IDS = 1 << 62
 
 
@@ -496,7 +496,7 @@ class _Join:
 
     def connect(self, links: DataFrame) -> None:
         """Merge components along new links; only the components themselves are walked."""
-        if links.isEmpty():
+        if links.count() == 0:
             return
         between = stage(self.named(links, "a", "b").filter("c_a <> c_b").select("c_a", "c_b").distinct(), "join-between")
         merged = components(between, "c_a", "c_b").select(F.col("node").alias("_old"), F.col("component").alias("_new"))
@@ -516,7 +516,7 @@ class _Join:
         self.connect(self.verified(one))
         rest = self.named(possible.join(one, ["a", "b"], "left_anti"), "a", "b").filter("c_a <> c_b").select("a", "b")
         rest = stage(rest, "join-rest")
-        if not rest.isEmpty():
+        if rest.count():
             self.connect(self.verified(rest))
 
     def run(self) -> DataFrame:
@@ -551,13 +551,17 @@ class _Join:
         A cluster is what common signatures tie together, so it holds every pair that shares one.
         """
         rows = stage(self.named(self.representative(self.uncovered(often), "node").distinct(), "node"), "join-uncovered")
-        facts = rows.groupBy("mark").agg(F.min("node").alias("hub"), F.min("c_node").alias("x"), F.max("c_node").alias("y"))
-        ties = rows.join(facts.filter("x < y").select("mark", "hub"), "mark").select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct()
-        clusters = stage(components(ties), "join-clusters")
-        if clusters.isEmpty():
+        facts = rows.groupBy("mark").agg(F.min("c_node").alias("hub"), F.max("c_node").alias("y"))
+        split = stage(facts.filter("hub < y").select("mark", "hub"), "join-split")
+        # components, not nodes, are tied: a large group that is connected already is one end of a tie
+        apart = stage(rows.join(checked_broadcast(split), "mark").select("hub", "node", "c_node").distinct(), "join-apart")
+        tied = stage(components(apart.select("hub", "c_node").distinct(), "hub", "c_node"), "join-clusters")
+        if tied.count() == 0:
             return
+        nodes = apart.select("node", "c_node").distinct()
+        clusters = nodes.join(tied.withColumnRenamed("node", "c_node"), "c_node").select("node", "c_node", "component")
         sizes = clusters.groupBy("component").agg(F.ceil(F.count(F.lit(1)) / self.block).cast("int").alias("blocks"))
-        placed = self.named(clusters.join(sizes, "component").withColumnRenamed("component", "cluster"), "node")
+        placed = clusters.join(sizes, "component").withColumnRenamed("component", "cluster")
         own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
         other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
         dealt = placed.withColumn("own", own).withColumn("other", other)
