@@ -328,18 +328,34 @@ def _describe(shingle: int):
     return describe
 
 
-def _send(shingle: int, buckets: int):
-    """Packed (bucket, marks, nodes) rows; of equal sets in a batch only the smallest node's is sent."""
+def _send(shingle: int, buckets: int, common: int):
+    """Packed (bucket, marks, nodes) rows; of equal sets in a batch only the smallest node's is sent.
 
-    def flush(marks, nodes):
-        mark, node = np.concatenate(marks), np.concatenate(nodes)
-        bucket = ((mark >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)
+    Of a signature that is common within a batch already, its bucket gets just enough nodes to see that; the others go, with the whole
+    signature, to a bucket below zero, which any task may take.  So a signature that every document has does not gather them in
+    one task.
+    """
+
+    def rows_of(mark, node, bucket, wide):
         order = np.lexsort((node, bucket))
         mark, node, bucket = mark[order], node[order], bucket[order]
         heads = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1]))
-        rows = []
-        for i, j in zip(heads, np.append(heads[1:], len(bucket)), strict=True):
-            rows.append((int(bucket[i]), tb.pack(mark[i:j].astype(np.uint32)), _pack_nodes(node[i:j])))
+        packed = mark.view(np.int64) if wide else mark.astype(np.uint32)
+        return [(int(bucket[i]), tb.pack(packed[i:j]), _pack_nodes(node[i:j])) for i, j in zip(heads, np.append(heads[1:], len(bucket)), strict=True)]
+
+    def flush(marks, nodes):
+        mark, node = np.concatenate(marks), np.concatenate(nodes)
+        bucket = (((mark >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)).astype(np.int64)
+        order = np.lexsort((node, mark))
+        mark, node, bucket = mark[order], node[order], bucket[order]
+        heads = np.flatnonzero(np.append(True, mark[1:] != mark[:-1]))
+        counts = np.diff(np.append(heads, len(mark)))
+        spare = np.arange(len(mark)) - np.repeat(heads, counts) > common
+        rows = rows_of(mark[~spare], node[~spare], bucket[~spare], False)
+        if spare.any():
+            wide = (bucket[spare].astype(np.uint64) << np.uint64(32)) | (mark[spare] & np.uint64(0xFFFFFFFF))
+            aside = -1 - (node[spare] % buckets)
+            rows += rows_of(wide, node[spare], aside, True)
         return rows
 
     def send(batches):
@@ -390,9 +406,12 @@ def _meet(common: int):
     """Pairs of nodes over rare signatures; (node, node, mark) rows of the common ones."""
 
     def meet(sent: pa.Table) -> pa.Table:
-        mark = np.concatenate([np.frombuffer(m, np.uint32) for m in sent.column("marks").to_pylist()])
-        node = np.concatenate([_unpack_nodes(n) for n in sent.column("nodes").to_pylist()])
         bucket = sent.column("bucket")[0].as_py()
+        kind = np.uint32 if bucket >= 0 else np.int64
+        mark = np.concatenate([np.frombuffer(m, kind) for m in sent.column("marks").to_pylist()])
+        node = np.concatenate([_unpack_nodes(n) for n in sent.column("nodes").to_pylist()])
+        if bucket < 0:  # of common signatures, beyond what their own bucket needs
+            return pa.Table.from_arrays([pa.array(node), pa.array(node), pa.array(mark)], schema=_MET)
         order = np.lexsort((node, mark))
         mark, node = mark[order], node[order]
         new = np.append(True, (mark[1:] != mark[:-1]) | (node[1:] != node[:-1]))
@@ -521,7 +540,7 @@ class _Join:
 
     def run(self) -> DataFrame:
         buckets = tt.parts(self.light, 2)
-        sent = self.light.mapInArrow(_send(self.shingle, buckets), _SENT_DDL)
+        sent = self.light.mapInArrow(_send(self.shingle, buckets, self.common), _SENT_DDL)
         met = stage(sent.groupBy("bucket").applyInArrow(_meet(self.common), _MET_DDL), "join-met")
         pairs = met.filter("mark < 0").select("a", "b")
         often = met.filter("mark >= 0").select("mark", F.col("a").alias("node"))
