@@ -14,6 +14,7 @@ import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from llm_fixtures import docs, messy  # noqa: F401  (fixtures)
 from llm_texts import changed, words
 
 import corpus_pipeline

@@ -11,6 +11,7 @@ import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from llm_fixtures import docs, messy  # noqa: F401  (fixtures)
 from pyspark.sql import functions as F
 
 from tidegrid.llm import chat, exact_dedup, mixing, quality_rules, queries, url_rules
