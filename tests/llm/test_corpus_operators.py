@@ -367,6 +367,44 @@ def test_likelihood_rises_with_training(docs):
     assert path == sorted(path) and path[-1] > path[0]
 
 
+def test_words_of_one_class_have_emissions_of_their_own(docs):
+    """Two words of one class, equally often, in texts of two kinds: each is likelier among its own kind."""
+    text = " ".join(f"n{k}" for k in range(400))
+    hashes = tb.words(*tb.utf8(pa.array([text]))).hashes % np.uint64(hidden_markov.FREQUENT_CLASSES)
+    seen = {}
+    one, other = next((seen[h], k) for k, h in enumerate(hashes) if h in seen or seen.setdefault(h, k) is None)
+    kinds = [[*words(900 + k, 12).split(" "), f"n{(one, other)[k]}"] for k in (0, 1)]
+    held = [k for k in range(1000) if zlib.crc32(str(k).encode()) % 7 == 2][:4]
+    rows = [(1000 + k, " ".join(kinds[k % 2] * 6)) for k in range(80) if zlib.crc32(str(1000 + k).encode()) % 7 != 2]
+    of_kind = Counter(t.split(" ")[0] for _, t in rows)
+    least = min(of_kind.values())
+    rows = [r for first in of_kind for r in [x for x in rows if x[1].startswith(first)][:least]]
+    asked = [(held[2 * k + j], " ".join([*kinds[k][:12], kinds[k ^ j][12], *kinds[k][:12]])) for k in (0, 1) for j in (0, 1)]
+    score = {r.doc_id: r.score for r in hidden_markov.score(docs(rows + asked)).collect()}
+    assert score[held[0]] > score[held[1]] + 0.5 and score[held[2]] > score[held[3]] + 0.5
+
+
+def test_emissions_of_all_words_add_up(docs):
+    rows = [(k, " ".join(random.Random(k).choices(words(900 + k % 3, 25).split(" "), k=80))) for k in range(90)]
+    corpus = hidden_markov.encoded(docs(rows))
+    totals = hidden_markov.class_counts(corpus.rows.filter("NOT held_out"))
+    model, _ = hidden_markov.train_model(corpus.rows, totals, states=3, iterations=2)
+    trained, path = hidden_markov.train_words(corpus, model, iterations=3)
+    assert len(path) == 3 and path[-1] > path[0]
+    known = Counter(w for i, t in rows if zlib.crc32(str(i).encode()) % 7 != 2 for w in WORD.findall(ascii_lower(t)))
+    total = np.zeros(3)
+    for tile, part in itertools.groupby(sorted(trained.told.filter("tile >= 0").collect(), key=lambda r: r.tile), key=lambda r: r.tile):
+        told = hidden_markov.tt.table([tuple(r) for r in part], hidden_markov._TOLD)
+        emit, _ = hidden_markov._own_emissions(told, trained.model, trained.words, trained.end, 0.1)
+        keys = np.frombuffer(b"".join(r.keys for r in corpus.asked.filter(f"tile = {tile}").orderBy("bucket").collect()), np.uint64)
+        for word in list(known):
+            at = np.flatnonzero(keys == tb.words(*tb.utf8(pa.array([word]))).hashes[0])
+            if len(at):
+                total += known.pop(word) * emit[hidden_markov.OWN_WORDS + at[0]]
+    assert not known
+    np.testing.assert_allclose(total + emit[hidden_markov.OWN_END] + emit[hidden_markov.OWN_UNKNOWN], 1.0, atol=1e-9)
+
+
 # ---- empty tables, queries and the pipeline -------------------------------------------------------------------------
 
 

@@ -1,15 +1,18 @@
 """A hidden Markov language model, trained by Baum-Welch counts aggregated across partitions.
 
-Words are emitted in two steps, so that the part every state needs stays of fixed size while the vocabulary may grow with the corpus: a
-state emits a class, the class emits the word by its share of the class in the training corpus, P(word | state) = P(class | state) *
-count(word) / count(class).  Words with at least ``FREQUENT`` of all training tokens are spread over classes of their own kind by
-hash; the others are classed by their last bytes, which tell languages and word forms apart.  One class is the end of
-a text; words never seen in training are one event of their own, with the Good-Turing share of the words seen once.
+Every word seen in training has an emission probability of its own in every state, so what training gathers grows with the vocabulary.  A
+model of word classes of fixed size is trained first and only starts the states: a state emits a class, the class emits the word by
+its share of the class, P(word | state) = P(class | state) * count(word) / count(class).  Words with at least ``FREQUENT`` of all training
+tokens are classed by hash, the others by their last bytes, which tell languages and word forms apart.  Then ``WORD_ITERATIONS``
+of Baum-Welch reestimate each word by itself, the class counting as ``PRIOR`` further occurrences of the word.  The end of a text is a
+symbol; words never seen in training are one event of their own, with the Good-Turing share of the words seen once.
 
 Corpus counts: a tile of documents asks once per distinct word, buckets of words add up and answer every tile (``tiles_of_text``), and
-the tile writes each document as a row of class numbers.  Every iteration reads those rows, runs the scaled forward-backward
-recursion on many sequences at once, and adds the expected counts of all partitions by shuffling (partitions first by
-salted groups); only the summed parameters, of fixed size, reach the driver.  Training cuts texts into segments of
+the tile writes each document as a row of class numbers and of word numbers within the tile.  Every iteration reads those rows and runs the
+scaled forward-backward recursion on many sequences at once.  The classes' expected counts are added by shuffling (partitions first
+by salted groups), and the sums, of fixed size, reach the driver.  Those of words never do: a tile sends each bucket the states' shares
+of its words, the bucket adds them up by word and answers every tile; the driver gets sums over all words.  Shares travel in half
+precision; a state's emissions are normalised by the sum of what is sent, so they add up to 1.  Training cuts texts into segments of
 ``SEGMENT`` tokens (all of them are used; a segment that continues a text starts from the states' overall shares).  Scoring runs the exact
 scaled forward recursion over whole texts in double precision.
 
@@ -32,16 +35,18 @@ from pyspark.sql import functions as F
 from tidegrid.llm import textbatch as tb
 from tidegrid.llm import tiles_of_text as tt
 from tidegrid.llm.frames import col
-from tidegrid.session import stage
+from tidegrid.session import stage, unstage
 
 FOLDS, HELD_FOLD = 7, 2
 STATES, ITERATIONS, SEGMENT = 8, 5, 256
+WORD_ITERATIONS, PRIOR = 3, 1.0
 FREQUENT = 2e-5
 FREQUENT_CLASSES, FORM_CLASSES = 4096, 4096
 WORD_CLASSES = FREQUENT_CLASSES + FORM_CLASSES
 END, UNKNOWN = WORD_CLASSES, WORD_CLASSES + 1
 CLASSES = WORD_CLASSES + 2
 SMOOTHING = 100.0
+OWN_END, OWN_UNKNOWN, OWN_WORDS = 0, 1, 2  # word numbers within a tile: the tile's words, in order of their fingerprints, begin at OWN_WORDS
 SEED_TEXTS = 96
 
 # ---- counts and encoding --------------------------------------------------------------------------------------------
@@ -52,9 +57,17 @@ _TELL = pa.schema([("tile", pa.int32()), ("bucket", pa.int32()), ("counts", pa.b
 _TELL_DDL = "tile int, bucket int, counts binary, distinct long, once long"
 _DOC = pa.schema(
     [("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("log_next", pa.float64()), ("log_count", pa.float64()),
-     ("classes", pa.binary()), ("distinct", pa.int64()), ("once", pa.int64())]
+     ("classes", pa.binary()), ("distinct", pa.int64()), ("once", pa.int64()), ("tile", pa.int32()), ("words", pa.binary()),
+     ("bucket", pa.int32()), ("keys", pa.binary()), ("counts", pa.binary()), ("kinds", pa.binary())]
 )
-_DOC_DDL = "doc_id long, held_out boolean, n_tokens long, n_known long, log_next double, log_count double, classes binary, distinct long, once long"
+_DOC_DDL = (
+    "doc_id long, held_out boolean, n_tokens long, n_known long, log_next double, log_count double, classes binary, distinct long, once long, "
+    "tile int, words binary, bucket int, keys binary, counts binary, kinds binary"
+)
+_SENT = pa.schema([("bucket", pa.int32()), ("tile", pa.int32()), ("shares", pa.binary())])
+_SENT_DDL = "bucket int, tile int, shares binary"
+_TOLD = pa.schema([("tile", pa.int32()), ("bucket", pa.int32()), ("shares", pa.binary()), ("sums", pa.list_(pa.float64()))])
+_TOLD_DDL = "tile int, bucket int, shares binary, sums array<double>"
 
 
 def held_out(id_column: Column, folds: int = FOLDS, fold: int = HELD_FOLD) -> Column:
@@ -105,13 +118,14 @@ def _forms(w: tb.Words) -> np.ndarray:
     return (tb.mix(out) % np.uint64(FORM_CLASSES)).astype(np.int64)
 
 
-def _encode(tokens: int, train_docs: int):
+def _encode(tokens: int, train_docs: int, buckets: int):
     frequent = max(2.0, FREQUENT * tokens)
 
     def encode(documents: pa.Table, told: pa.Table) -> pa.Table:
         if documents.num_rows == 0:
             distinct, once = (sum(told.column(c).to_pylist()) for c in ("distinct", "once"))
-            return tt.table([(None, None, 0, 0, 0.0, 0.0, None, distinct, once)], _DOC)
+            return tt.table([(None, None, 0, 0, 0.0, 0.0, None, distinct, once, *[None] * 6)], _DOC)
+        tile = documents.column("tile")[0].as_py()
         ids = documents.column("doc_id").to_numpy()
         found = list(_words_of(documents))
         words = np.unique(np.concatenate([w.hashes for _, w, _ in found]))
@@ -119,12 +133,16 @@ def _encode(tokens: int, train_docs: int):
         answers = told.column("counts").to_pylist()
         known = np.frombuffer(b"".join(answers[i] for i in order), np.int64)
         end_next, end_log = math.log10(train_docs + 1), 0.0
-        rows = []
+        rows, trained, kinds = [], np.zeros(len(words), np.uint32), np.empty(len(words), np.uint16)
         for row, w, held in found:
-            count = known[np.searchsorted(words, w.hashes)] if len(w.hashes) else np.empty(0, np.int64)
+            place = np.searchsorted(words, w.hashes)
+            count = known[place] if len(place) else np.empty(0, np.int64)
             often = (w.hashes % np.uint64(FREQUENT_CLASSES)).astype(np.int64)
             classes = np.where(count >= frequent, often, FREQUENT_CLASSES + _forms(w))
             classes = np.where(count > 0, classes, UNKNOWN).astype(np.uint16)
+            numbers = np.where(count > 0, place + OWN_WORDS, OWN_UNKNOWN).astype(np.uint32)
+            kinds[place] = classes
+            trained += np.bincount(place[~held[w.text_of()]], minlength=len(words)).astype(np.uint32)
             logs = np.append(0.0, np.cumsum(np.log10(count + 1.0)))
             shares = np.append(0.0, np.cumsum(np.log10(np.maximum(count, 1))))
             seen = np.append(0, np.cumsum(count > 0))
@@ -133,8 +151,10 @@ def _encode(tokens: int, train_docs: int):
                 own = np.append(classes[a:b], np.uint16(END))
                 rows.append(
                     (int(ids[row + text]), bool(is_held), int(b - a + 1), int(seen[b] - seen[a]) + (train_docs > 0), float(logs[b] - logs[a]) + end_next,
-                     float(shares[b] - shares[a]) + end_log, own.tobytes(), 0, 0)
+                     float(shares[b] - shares[a]) + end_log, own.tobytes(), 0, 0, tile, np.append(numbers[a:b], np.uint32(OWN_END)).tobytes(), *[None] * 4)
                 )
+        for bucket, _, *packed in tt.sent(tile, buckets, words, trained, kinds):
+            rows.append((None, None, 0, 0, 0.0, 0.0, None, 0, 0, tile, None, bucket, *packed))
         return tt.table(rows, _DOC)
 
     return encode
@@ -145,13 +165,15 @@ class Corpus(NamedTuple):
     tokens: int
     distinct: int
     once: int
+    texts: int
+    asked: DataFrame  # bucket, tile, keys, counts, kinds: the words of every tile
 
 
 def encoded(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Corpus:
     """Every document as a row of class numbers, and the sizes of the training corpus."""
     own = col(id_col).cast("long")
     text = F.coalesce(col(text_col), F.lit(""))
-    buckets = tiles = tt.parts(docs, 2)
+    buckets = tiles = tt.parts(docs, 1)
 
     def count(batches):
         words = texts = 0
@@ -167,10 +189,12 @@ def encoded(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     texts = texts.withColumn("tile", F.pmod(F.xxhash64("doc_id", "text"), F.lit(tiles)).cast("int"))
     texts = texts.withColumn("doc_id", F.coalesce("doc_id", F.lit(int(tt.NO_ID))))
     told = texts.groupBy("tile").applyInArrow(_ask(buckets), _ASK_DDL).groupBy("bucket").applyInArrow(_tell, _TELL_DDL)
-    rows = texts.groupBy("tile").cogroup(told.groupBy("tile")).applyInArrow(_encode(words + train_docs, train_docs), _DOC_DDL)
-    rows = stage(rows, "hmm-encoded")
-    distinct, once = rows.filter("classes IS NULL").agg(F.sum("distinct"), F.sum("once")).first()
-    return Corpus(rows.filter("classes IS NOT NULL").drop("distinct", "once"), words + train_docs, int(distinct or 0) + (train_docs > 0), int(once or 0))
+    rows = texts.groupBy("tile").cogroup(told.groupBy("tile")).applyInArrow(_encode(words + train_docs, train_docs, buckets), _DOC_DDL)
+    rows = stage(rows, "hmm-encoded", drop_shuffles=True)
+    distinct, once = rows.filter("classes IS NULL AND bucket IS NULL").agg(F.sum("distinct"), F.sum("once")).first()
+    asked = rows.filter("bucket IS NOT NULL").select("bucket", "tile", "keys", "counts", "kinds")
+    texts = rows.filter("classes IS NOT NULL").drop("distinct", "once", *asked.columns[2:], "bucket")
+    return Corpus(texts, words + train_docs, int(distinct or 0) + (train_docs > 0), int(once or 0), train_docs, asked)
 
 
 # ---- the model ------------------------------------------------------------------------------------------------------
@@ -200,7 +224,7 @@ def expected_counts(model: Model, sequences: list[np.ndarray], begins: np.ndarra
     order = np.argsort([-len(s) for s in sequences], kind="stable")
     lengths = np.array([len(sequences[i]) for i in order])
     longest, states = int(lengths[0]), len(model.start)
-    grid = np.full((longest, len(order)), END, np.int64)
+    grid = np.zeros((longest, len(order)), np.int64)
     for column, i in enumerate(order):
         grid[: lengths[column], column] = sequences[i]
     active = np.searchsorted(-lengths, -np.arange(1, longest + 1), side="right")
@@ -229,16 +253,15 @@ def expected_counts(model: Model, sequences: list[np.ndarray], begins: np.ndarra
         gamma[t, :n] = posterior
     valid = np.arange(len(order))[None, :] < active[:, None]
     flat, weight = grid[valid], gamma[valid]
-    emit = np.stack([np.bincount(flat, weights=weight[:, j], minlength=CLASSES) for j in range(states)], axis=1)
+    emit = np.stack([np.bincount(flat, weights=weight[:, j], minlength=len(model.emit)) for j in range(states)], axis=1)
     counts = {"emit": emit, "step": transitions * model.step, "start": gamma[0][begins[order]].sum(axis=0).astype(np.float64)}
     return counts, float(np.log(scale[valid]).sum())
 
 
-def _segments(classes: list[bytes], size: int) -> tuple[list[np.ndarray], np.ndarray]:
+def _segments(texts: list[bytes], size: int, kind=np.uint16) -> tuple[list[np.ndarray], np.ndarray]:
     out, begins = [], []
-    for packed in classes:
-        own = np.frombuffer(packed, np.uint16)
-        own = np.where(own == UNKNOWN, END, own)  # training texts have no unknown words
+    for packed in texts:
+        own = np.frombuffer(packed, kind)  # training texts have no unknown words
         for at in range(0, len(own), size):
             out.append(own[at : at + size])
             begins.append(at == 0)
@@ -347,6 +370,134 @@ def word_emissions(model: Model, totals: np.ndarray, unknown: float) -> np.ndarr
     return emit
 
 
+# ---- every word by itself -------------------------------------------------------------------------------------------
+
+
+class WordModel(NamedTuple):
+    model: Model  # emit: (classes, states), the prior
+    told: DataFrame  # tile, bucket, shares: of each word of the tile, how its occurrences are dealt to the states
+    words: np.ndarray  # (states,): occurrences of all words
+    end: np.ndarray  # (states,): probability of the end of a text
+
+
+def _update(prior: np.ndarray, weight: float):
+    """A bucket's words: shares of the tiles added up, the class's share as ``weight`` occurrences; and sums for the driver (tile -1)."""
+    states = prior.shape[1]
+
+    def update(asked: pa.Table, sent: pa.Table) -> pa.Table:
+        by_tile = dict(zip(sent.column("tile").to_pylist(), sent.column("shares").to_pylist(), strict=True)) if sent.num_rows else {}
+        tiles = asked.column("tile").to_pylist()
+        keys, sizes = tt.unpacked(asked.column("keys"), np.uint64)
+        own, _ = tt.unpacked(asked.column("counts"), np.uint32)
+        kinds, _ = tt.unpacked(asked.column("kinds"), np.uint16)
+        words, first, place = np.unique(keys, return_index=True, return_inverse=True)
+        count = np.bincount(place, weights=own, minlength=len(words))
+        total = weight * prior[kinds[first]]
+        at = 0
+        for tile, size in zip(tiles, sizes, strict=True):
+            if tile in by_tile:
+                shares = np.frombuffer(by_tile[tile], np.float16).reshape(-1, states)
+                total[place[at : at + size]] += own[at : at + size, None] * shares.astype(np.float64)  # a tile has a word once
+            at += size
+        shares = (total / total.sum(axis=1, keepdims=True)).astype(np.float16)
+        answer = shares[place]
+        ends = np.append(0, np.cumsum(sizes))
+        bucket = (asked if asked.num_rows else sent).column("bucket")[0].as_py()
+        rows = [(tile, bucket, tb.pack(answer[ends[k] : ends[k + 1]]), None) for k, tile in enumerate(tiles)]
+        rows.append((-1, bucket, None, (count[:, None] * shares.astype(np.float64)).sum(axis=0).tolist()))
+        return tt.table(rows, _TOLD)
+
+    return update
+
+
+def _sums(rows: DataFrame, column: str, size: int) -> np.ndarray:
+    found = rows.select(F.posexplode(column).alias("k", "x")).groupBy("k").agg(F.sum("x").alias("x")).collect()
+    out = np.zeros(size)
+    for k, x in found:
+        out[k] = x
+    return out
+
+
+def _own_emissions(told: pa.Table, m: Model, words: np.ndarray, end: np.ndarray, unknown: float) -> tuple[np.ndarray, list[tuple[int, int]]]:
+    """What a tile's words get from every state, their counts in the corpus left out; and (bucket, words) in the order of fingerprints."""
+    order = np.argsort(told.column("bucket").to_numpy())
+    packed = told.column("shares").to_pylist()
+    states = len(m.start)
+    buckets = told.column("bucket").to_pylist()
+    shares = np.frombuffer(b"".join(packed[k] for k in order), np.float16).reshape(-1, states).astype(np.float64)
+    word = shares * ((1.0 - end) * (1.0 - unknown) / np.where(words > 0, words, 1.0))
+    return np.concatenate([end[None], unknown * (1.0 - end)[None], word]), [(buckets[k], len(packed[k]) // (2 * states)) for k in order]
+
+
+def _expect(model: Model, words: np.ndarray, end: np.ndarray, segment: int):
+    """A tile's expected counts: the shares of its words to their buckets; end, transitions, starts and likelihood for the driver (bucket -1)."""
+    states = len(model.start)
+
+    def expect(texts: pa.Table, told: pa.Table) -> pa.Table:
+        if texts.num_rows == 0:
+            return _SENT.empty_table()
+        emit, sizes = _own_emissions(told, model, words, end, 0.0)
+        own = model._replace(emit=emit)
+        total, step, start, likelihood = np.zeros(emit.shape), np.zeros((states, states)), np.zeros(states), 0.0
+        sequences, begins = _segments(texts.column("words").to_pylist(), segment, np.uint32)
+        for at in range(0, len(sequences), 1024):
+            counts, more = expected_counts(own, sequences[at : at + 1024], begins[at : at + 1024])
+            total += counts["emit"]
+            step += counts["step"]
+            start += counts["start"]
+            likelihood += more
+        tile = texts.column("tile")[0].as_py()
+        of_words = total[OWN_WORDS:]
+        shares = (of_words / np.maximum(of_words.sum(axis=1, keepdims=True), 1e-30)).astype(np.float16)
+        rows, at = [], 0
+        for bucket, size in sizes:
+            rows.append((bucket, tile, tb.pack(shares[at : at + size])))
+            at += size
+        rows.append((-1, tile, tb.pack(np.concatenate([total[OWN_END], step.reshape(-1), start, [likelihood]]))))
+        return tt.table(rows, _SENT)
+
+    return expect
+
+
+def train_words(corpus: Corpus, model: Model, iterations: int = WORD_ITERATIONS, segment: int = SEGMENT, weight: float = PRIOR) -> tuple[WordModel, list[float]]:
+    """Baum-Welch with an emission of its own for every word, from the classes' model; also the log likelihoods (without the
+    words' counts, which are constant) before each update."""
+    states = len(model.start)
+    prior = model.emit * model.overall + 1e-12
+    prior /= prior.sum(axis=1, keepdims=True)
+    none = corpus.asked.sparkSession.createDataFrame([], _SENT_DDL)
+
+    def updated(sent: DataFrame) -> tuple[DataFrame, np.ndarray]:
+        both = corpus.asked.groupBy("bucket").cogroup(sent.groupBy("bucket"))
+        told = stage(both.applyInArrow(_update(prior, weight), _TOLD_DDL), "hmm-told", drop_shuffles=True)
+        return told, _sums(told.filter("tile = -1"), "sums", states)
+
+    told, words = updated(none)
+    end, path = model.emit[END], []
+    train = corpus.rows.filter("NOT held_out").select("tile", "words")
+    width = states * states + 2 * states + 1
+    for _ in range(iterations if corpus.tokens else 0):
+        sent = train.groupBy("tile").cogroup(told.filter("tile >= 0").groupBy("tile")).applyInArrow(_expect(model, words, end, segment), _SENT_DDL)
+        sent = stage(sent, "hmm-sent", drop_shuffles=True)
+
+        def unpack(batches):
+            for batch in batches:
+                yield pa.RecordBatch.from_arrays([pa.array([np.frombuffer(x, np.float64).tolist() for x in batch.column(0).to_pylist()], pa.list_(pa.float64()))], names=["sums"])
+
+        sums = _sums(sent.filter("bucket = -1").select("shares").mapInArrow(unpack, "sums array<double>"), "sums", width)
+        before = told
+        told, words = updated(sent.filter("bucket >= 0"))
+        unstage(before)
+        unstage(sent)
+        ends, step, start, extra = np.split(sums, np.cumsum([states, states * states, states]))
+        path.append(float(extra[0]))
+        share = corpus.texts / corpus.tokens
+        end = (ends + SMOOTHING * share) / (words + ends + SMOOTHING)
+        step, start, overall = step.reshape(states, states) + 1.0, start + 1.0, words + ends + 1.0
+        model = Model(start / start.sum(), overall / overall.sum(), step / step.sum(axis=1, keepdims=True), model.emit)
+    return WordModel(model, told, words, end), path
+
+
 def log10_likelihood(model: Model, emit: np.ndarray, sequences: list[np.ndarray]) -> np.ndarray:
     """Exact scaled forward recursion over whole sequences, all of a batch side by side."""
     order = np.argsort([-len(s) for s in sequences], kind="stable")
@@ -373,27 +524,27 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", state
     corpus = encoded(docs, id_col, text_col)
     totals = class_counts(corpus.rows.filter("NOT held_out"))
     model, _ = train_model(corpus.rows, totals, states, iterations)
+    trained, _ = train_words(corpus, model)
     unknown = min(max(corpus.once, 1) / max(corpus.tokens, 1), 0.5) if corpus.tokens else 0.5
-    emit = word_emissions(model, totals, unknown)
     base = math.log10(corpus.tokens + corpus.distinct + 1)
-
-    def run(batches):
-        for batch in batches:
-            for at in range(0, batch.num_rows, 4096):
-                part = batch.slice(at, 4096)
-                own = log10_likelihood(model, emit, [np.frombuffer(x, np.uint16) for x in part.column(1).to_pylist()])
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(own + part.column(2).to_numpy())], names=["row", "score"])
-
-    rows = corpus.rows
-    facts = F.struct("doc_id", "held_out", "n_tokens", "n_known", "log_next").alias("row")
-    kind = "struct<doc_id:bigint,held_out:boolean,n_tokens:bigint,n_known:bigint,log_next:double>"
-    done = rows.select(facts, "classes", "log_count").mapInArrow(run, f"row {kind}, score double")
+    model, words, end = trained.model, trained.words, trained.end
+    facts = ["doc_id", "held_out", "n_tokens", "n_known", "log_next"]
+
+    def run(texts: pa.Table, told: pa.Table) -> pa.Table:
+        emit, _ = _own_emissions(told, model, words, end, unknown)
+        own = [np.frombuffer(x, np.uint32) for x in texts.column("words").to_pylist()]
+        scores = np.concatenate([log10_likelihood(model, emit, own[at : at + 4096]) for at in range(0, len(own), 4096)] or [np.empty(0)])
+        return texts.select(facts).append_column("score", pa.array(scores + texts.column("log_count").to_numpy()))
+
+    rows = corpus.rows.select("tile", *facts, "log_count", "words")
+    kind = "doc_id long, held_out boolean, n_tokens long, n_known long, log_next double, score double"
+    done = rows.groupBy("tile").cogroup(trained.told.filter("tile >= 0").groupBy("tile")).applyInArrow(run, kind)
     return done.select(
-        F.nullif("row.doc_id", F.lit(int(tt.NO_ID))).alias("doc_id"),
-        "row.held_out",
-        "row.n_tokens",
-        "row.n_known",
+        F.nullif("doc_id", F.lit(int(tt.NO_ID))).alias("doc_id"),
+        "held_out",
+        "n_tokens",
+        "n_known",
         F.lit(corpus.tokens).cast("long").alias("train_tokens"),
-        (F.col("row.log_next") - F.col("row.n_tokens") * F.lit(base)).alias("base_score"),
+        (F.col("log_next") - F.col("n_tokens") * F.lit(base)).alias("base_score"),
         "score",
     )

@@ -17,6 +17,8 @@ RUNTIME_CONF = {
     "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition": "true",
 }
 
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 
 def configure(spark: SparkSession) -> SparkSession:
     """Apply the runtime settings the operators rely on (UTC clock, adaptive execution)."""
@@ -60,8 +62,24 @@ def clear_scratch(spark: SparkSession) -> None:
     path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
-def stage(df: DataFrame, label: str) -> DataFrame:
-    """Write ``df`` to the shared folder and read it back: cuts lineage and survives the loss of executors."""
-    path = scratch_dir(df.sparkSession, label)
-    df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+def stage(df: DataFrame, label: str, drop_shuffles: bool = False) -> DataFrame:
+    """Write ``df`` to the shared folder and read it back: cuts lineage and survives the loss of executors.
+
+    With ``drop_shuffles`` the shuffle files of the write go when it is done, not when the driver happens to collect its garbage.
+    """
+    spark, path = df.sparkSession, scratch_dir(df.sparkSession, label)
+    before = spark.conf.get(SHUFFLE_CLEANUP)
+    if drop_shuffles:
+        spark.conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        df.write.mode("overwrite").parquet(path)
+    finally:
+        spark.conf.set(SHUFFLE_CLEANUP, before)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def unstage(df: DataFrame) -> None:
+    """Remove a table written by ``stage`` that nothing will read again."""
+    for folder in {file.rsplit("/", 1)[0] for file in df.inputFiles()}:
+        path = df.sparkSession.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(df.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
