@@ -227,6 +227,14 @@ def test_rules_by_hand(spark, rules):
     assert found == {i: judged_by_hand(u, rules) for i, u in enumerate(URLS + URLS[:3])}
 
 
+def test_a_host_may_hold_line_breaks(spark):
+    urls = ["http://a\nb.net/x", "http://a\n.net/x", "http://net\n/x", "http://b\nnet/x", "http://b.net\n/x", "http://a.net/\n/"]
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    found = {r.page_id: tuple(r)[1:] for r in url_rules.judge(pages, url_rules.rule_table(spark, url_rules.RULES)).collect()}
+    assert [found[k] for k in range(len(urls))] == [judged_by_hand(u) for u in urls]
+    assert [found[k][3] for k in range(len(urls))] == ["block", "block", "allow", "allow", "allow", "block"]
+
+
 def test_a_rule_is_filed_under_tokens_that_its_urls_must_have():
     assert url_rules.literal_tokens(url_rules.Rule("example.net", "/en/", "allow")) == ["en", "example", "net"]
     assert url_rules.literal_tokens(url_rules.Rule("net", "/de", "allow")) == ["net"]

@@ -63,9 +63,8 @@ def literal_tokens(rule: Rule) -> list[str]:
 
 
 def pattern(rule: Rule) -> str:
-    """On ``host + newline + path``; an empty host fits every host."""
-    host = rf"(?:[^\n]*\.)?{re.escape(rule.host)}" if rule.host else r"[^\n]*"
-    return rf"^{host}\n{re.escape(rule.path)}"
+    """Of hosts, which may hold any character but ``/?#``; an empty host fits every host."""
+    return rf"(?s)^(?:.*\.)?{re.escape(rule.host)}\z" if rule.host else ""
 
 
 def url_tokens(host: Column, path: Column) -> Column:
@@ -80,11 +79,12 @@ def rule_table(spark: SparkSession, rules: Sequence[Rule]) -> DataFrame:
             F.lit(r.host + r.path).alias("rule"),
             F.lit(r.verdict).alias("verdict"),
             F.lit(pattern(r)).alias("pattern"),
+            F.lit(r.path).alias("rule_path"),
             F.array(*[F.lit(t) for t in literal_tokens(r) or [""]]).alias("tokens"),
         )
         for r in rules
     ]
-    empty = "array<struct<rule:string,verdict:string,pattern:string,tokens:array<string>>>"
+    empty = "array<struct<rule:string,verdict:string,pattern:string,rule_path:string,tokens:array<string>>>"
     return spark.range(1).select(F.inline(F.array(*rows) if rows else F.array().cast(empty)))
 
 
@@ -95,18 +95,18 @@ def judge(pages: DataFrame, rules: DataFrame, id_col: str = "page_id", url_col:
     places = stage(located.select("host", "path").distinct().withColumn("place", F.monotonically_increasing_id()), "url-places")
     tokens = places.select("place", F.explode(url_tokens(F.col("host"), F.col("path"))).alias("token"))
 
-    wanted = rules.select("rule", "verdict", "pattern", F.explode("tokens").alias("token"))
+    wanted = rules.select("rule", "verdict", "pattern", "rule_path", F.explode("tokens").alias("token"))
     in_rules = stage(wanted.select("token").distinct(), "url-rule-tokens")
     frequency = tokens.join(checked_broadcast(in_rules), "token").groupBy("token").agg(F.count(F.lit(1)).alias("urls"))
     rarest = (
         wanted.join(frequency, "token", "left")
-        .groupBy("rule", "verdict", "pattern")
+        .groupBy("rule", "verdict", "pattern", "rule_path")
         .agg(F.min(F.struct(F.coalesce("urls", F.lit(0)).alias("urls"), "token"))["token"].alias("token"))
     )
     index = stage(rarest, "url-rule-index")
 
     candidates = tokens.join(checked_broadcast(index), "token").join(places, "place")
-    fitting = candidates.filter(F.expr("concat(host, '\\n', path) rlike pattern"))
+    fitting = candidates.filter(F.expr("host rlike pattern AND startswith(path, rule_path)"))
     best = fitting.groupBy("host", "path").agg(F.min(F.struct((-F.length("rule")).alias("shortness"), "rule", "verdict")).alias("best"))
     return (
         located.join(best, ["host", "path"], "left")
