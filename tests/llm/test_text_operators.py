@@ -271,6 +271,22 @@ def test_plain_conversation_layout(spark):
     assert [r.formatted[s.start : s.start + s.length] for s in r.loss_spans] == ["yes", "sure"]
 
 
+def test_long_conversations_grow_with_their_turns(spark):
+    """4,000 turns by hand; and no array is built again for every block or turn."""
+    rows = [("c", k, "assistant" if k % 3 else "user", "x" * (k % 7)) for k in range(4000)]
+    done = chat.format_conversations(spark.createDataFrame(rows, "conv_id string, turn int, role string, text string"))
+    plan = done._jdf.queryExecution().optimizedPlan().toString()
+    assert "AS begins#" in plan and plan.count("filter(sequence(") == 1
+    r, spans, text = done.first(), [], ""
+    for k, (_, _, role, own) in enumerate(rows):
+        new = k == 0 or rows[k - 1][2] != role
+        text += (("<|im_end|>\n" if k else "") + f"<|im_start|>{role}\n") if new else "<|im_sep|>"
+        if role == "assistant":
+            spans.append((len(text), len(own)))
+        text += own
+    assert r.formatted == text + "<|im_end|>\n" and [tuple(x) for x in r.loss_spans] == spans
+
+
 # ---- empty tables ---------------------------------------------------------------------------------------------------
 
 

@@ -44,10 +44,15 @@ def unescape_role(role: Column) -> Column:
     return F.array_join(F.transform(F.split(parked, r"\\n"), lambda part: F.replace(part, F.lit("\n"), F.lit("\\"))), "\n")
 
 
-def merged(turns: Column) -> Column:
-    """Sorted turn structs -> array of (role, texts): adjacent turns of one role together."""
+def block_begins(turns: Column) -> Column:
+    """Where the role changes in an array of sorted turn structs."""
     numbers = F.sequence(F.lit(0), F.size(turns) - 1)
-    begins = F.filter(numbers, lambda i: (i == 0) | (F.get(turns, i)["role"] != F.get(turns, F.greatest(i - 1, F.lit(0)))["role"]))
+    return F.filter(numbers, lambda i: (i == 0) | (F.get(turns, i)["role"] != F.get(turns, F.greatest(i - 1, F.lit(0)))["role"]))
+
+
+def merged(turns: Column, begins: Column) -> Column:
+    """Sorted turn structs -> array of (role, texts): adjacent turns of one role together.  ``begins`` is a column, not an
+    expression, which would be evaluated anew for every block."""
     return F.transform(
         begins,
         lambda b, j: F.struct(
@@ -69,7 +74,8 @@ def format_conversations(
         F.coalesce(col(text_col), F.lit("")).alias("text"),
     )
     collected = rows.groupBy(col(conv_col).alias("conv_id")).agg(F.sort_array(F.collect_list(turn)).alias("turns"))
-    blocks = collected.select("conv_id", merged(F.col("turns")).alias("blocks"))
+    begun = collected.withColumn("begins", block_begins(F.col("turns")))
+    blocks = begun.select("conv_id", merged(F.col("turns"), F.col("begins")).alias("blocks"))
     # per block: header, body and end, and the lengths of its escaped texts
     written = blocks.select(
         "conv_id",
@@ -83,7 +89,7 @@ def format_conversations(
         ).alias("blocks"),
     )
     text = F.array_join(
-        F.transform("blocks", lambda b: F.concat(b["header"], F.aggregate(F.slice(b["texts"], 2, F.greatest(F.size(b["texts"]) - 1, F.lit(0))), F.get(b["texts"], 0), lambda a, t: F.concat(a, F.lit(SEP), t)), F.lit(f"{END}\n"))),
+        F.transform("blocks", lambda b: F.concat(b["header"], F.array_join(b["texts"], SEP), F.lit(f"{END}\n"))),
         "",
     )
     # one flat list of pieces (length of what stands before the text, length of the text, trained); starts are running sums
@@ -101,18 +107,32 @@ def format_conversations(
             ),
         )
     )
+    whole = written.select("conv_id", text.alias("formatted"), pieces.alias("pieces"))
+    return whole.select("conv_id", "formatted", spans_of(F.col("pieces")).alias("loss_spans"))
+
+
+def spans_of(pieces: Column) -> Column:
+    """Running starts, within chunks of about the root of the number of pieces: an array that grows turn by turn is copied at every
+    step, which over all pieces at once would be quadratic."""
+    width = F.ceil(F.sqrt(F.size(pieces))).cast("int")
+    chunks = F.transform(F.sequence(F.lit(0), F.size(pieces) - 1, width), lambda at: F.slice(pieces, at + 1, width))
     span = "array<struct<start:int,length:int>>"
-    state = F.struct(F.lit(0).alias("at"), F.array().cast(span).alias("spans"))
+
+    def all_of(p: Column) -> Column:
+        return p["before"] + p["length"] + p["after"]
 
     def advance(s: Column, p: Column) -> Column:
         start = s["at"] + p["before"]
         own = F.array(F.struct(start.alias("start"), p["length"].alias("length")))
-        return F.struct(
-            (start + p["length"] + p["after"]).alias("at"),
-            F.when(p["trained"], F.concat(s["spans"], own)).otherwise(s["spans"]).alias("spans"),
-        )
+        return F.struct((s["at"] + all_of(p)).alias("at"), F.when(p["trained"], F.concat(s["spans"], own)).otherwise(s["spans"]).alias("spans"))
+
+    def within(s: Column, chunk: Column) -> Column:
+        first = F.struct(s["at"].alias("at"), F.array().cast(span).alias("spans"))
+        done = F.aggregate(chunk, first, advance)
+        return F.struct(F.aggregate(chunk, s["at"], lambda at, p: at + all_of(p)).alias("at"), F.concat(s["chunks"], F.array(done["spans"])).alias("chunks"))
 
-    return written.select("conv_id", text.alias("formatted"), F.aggregate(pieces, state, advance, lambda s: s["spans"]).alias("loss_spans"))
+    begin = F.struct(F.lit(0).alias("at"), F.array().cast(f"array<{span}>").alias("chunks"))
+    return F.aggregate(chunks, begin, within, lambda s: F.flatten(s["chunks"]))
 
 
 def read_back(formatted: Column) -> Column:
