@@ -8,7 +8,20 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidegrid.llm import chat, discriminant, exact_dedup, hidden_markov, mixing, ngram_join, packing, quality_rules, substring_dedup, url_rules
+from tidegrid.llm import (
+    ball_tree,
+    chat,
+    discriminant,
+    exact_dedup,
+    hidden_markov,
+    mixing,
+    ngram_join,
+    packing,
+    quality_rules,
+    substring_dedup,
+    subword,
+    url_rules,
+)
 from tidegrid.llm.frames import ship
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -280,3 +293,34 @@ def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_hidden_markov(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's log10 probability under the model, beside that of single words."""
     return hidden_markov.score(documents(spark, sf_dir))
+
+
+@register()
+def op11_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document."""
+    return subword.classify(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
+TERMS_SQL = (
+    "regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
+    r"'[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
+)
+
+
+@register(
+    rf"""
+WITH t AS (SELECT doc_id, {TERMS_SQL} AS w FROM documents),
+l AS (SELECT doc_id, len(w)::BIGINT AS n FROM t WHERE len(w) > 0),
+c AS (SELECT count(*)::BIGINT AS docs, sum(n)::BIGINT AS terms FROM l),
+i AS (SELECT DISTINCT item_id, unnest({TERMS_SQL}) AS term FROM benchmark),
+f AS (SELECT doc_id, term, count(*)::BIGINT AS tf FROM (SELECT doc_id, unnest(w) AS term FROM t) WHERE term IN (SELECT term FROM i) GROUP BY ALL),
+d AS (SELECT term, floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * df + 1)::DOUBLE))::BIGINT AS weight
+  FROM (SELECT term, count(*)::BIGINT AS df FROM f GROUP BY term), c),
+s AS (SELECT item_id, doc_id, sum(weight * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 90 + ((90 * n * docs) // terms)))))::BIGINT AS score
+  FROM f JOIN d USING (term) JOIN l USING (doc_id) JOIN i USING (term), c GROUP BY ALL),
+r AS (SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INT AS rank, doc_id, score FROM s WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM r WHERE rank <= 10"""
+)
+def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten best documents of every benchmark item."""
+    return ball_tree.rank(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))

@@ -98,12 +98,15 @@ def chunks(column, size: int = CHUNK_BYTES) -> Iterator[tuple[int, int, np.ndarr
         row = to
 
 
-def words(data: np.ndarray, offsets: np.ndarray, lower: bool = False) -> Words:
-    """Find and fingerprint the words of the texts ``data[offsets[i]:offsets[i+1]]``."""
+def words(data: np.ndarray, offsets: np.ndarray, lower: bool = False, separators: np.ndarray = _SPACE) -> Words:
+    """Find and fingerprint the words of the texts ``data[offsets[i]:offsets[i+1]]``.
+
+    ``separators`` flags the 256 byte values that end a word: white space, or white space and more.
+    """
     if lower:
         data = _LOWER[data]
     n = len(data)
-    inside = ~_SPACE[data]
+    inside = ~separators[data]
     begins = inside.copy()
     begins[1:] &= ~inside[:-1]
     heads = offsets[:-1][offsets[:-1] < n]
@@ -121,7 +124,7 @@ def words(data: np.ndarray, offsets: np.ndarray, lower: bool = False) -> Words:
     table = powers(_STEP, int((ends - starts).max()) + 1)
     # behind a word's end only separators follow, which count as 0
     place = np.minimum(place, len(table) - 1)
-    values = _BYTE[data[starts[0] :]] * table[place]
+    values = np.where(separators, _U(0), _BYTE)[data[starts[0] :]] * table[place]
     hashes = np.add.reduceat(values, starts - starts[0])
     return Words(mix(hashes + (ends - starts).astype(_U)), first, starts, ends, data)
 
