@@ -17,6 +17,7 @@ from tidegrid.llm import (
     mixing,
     ngram_join,
     packing,
+    prefix_trie,
     quality_rules,
     substring_dedup,
     subword,
@@ -324,3 +325,35 @@ SELECT item_id, rank, doc_id, score FROM r WHERE rank <= 10"""
 def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The ten best documents of every benchmark item."""
     return ball_tree.rank(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+CRC32_SQL = (
+    "xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split({0}, ''), lambda x: ascii(x)::BIGINT)), lambda c, b: "
+    "list_reduce([xor(c, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda y, z: CASE WHEN y & 1 = 1 THEN xor(y >> 1, 3988292384) ELSE y >> 1 END)), 4294967295)"
+)
+
+
+@register(
+    rf"""
+WITH o AS (SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST) AS n, coalesce(role, '') AS role, coalesce(text, '') AS text
+  FROM conversations WHERE conv_id IS NOT NULL),
+c AS (SELECT conv_id, conv_id - conv_id % 100 AS base, {CRC32_SQL.format("conv_id::VARCHAR")} % 6 AS h FROM (SELECT DISTINCT conv_id FROM o)),
+b AS (SELECT c.conv_id, 0 AS part, n, role, text FROM c JOIN o ON o.conv_id = c.base AND n <= h
+  UNION ALL SELECT c.conv_id, 1, n, role, text FROM c JOIN o ON o.conv_id = c.conv_id AND n > h),
+r AS (SELECT conv_id, row_number() OVER w AS depth, length(text) AS chars, md5(array_to_string(array_agg(md5(length(role) || '/' || role || text)) OVER w, '')) AS key
+  FROM b WINDOW w AS (PARTITION BY conv_id ORDER BY part, n)),
+p AS (SELECT *, lag(key) OVER (PARTITION BY conv_id ORDER BY depth) AS above
+  FROM (SELECT * FROM r UNION ALL SELECT conv_id, 0, 0, 'root' FROM c)),
+n AS (SELECT key, any_value(above) AS above, any_value(depth) AS depth, any_value(chars) AS chars, min(conv_id) AS conv_id, count(*) AS n_convs FROM p GROUP BY key),
+k AS (SELECT above AS key, count(*) AS n_children FROM n GROUP BY above),
+x AS (SELECT n.*, coalesce(n_children, 0) AS n_children FROM n LEFT JOIN k USING (key)),
+t AS (SELECT p.key, count(*) FILTER (WHERE x.n_children = 0) AS n_leaves, sum((x.n_convs - 1) * x.chars)::BIGINT AS saved_tokens
+  FROM x JOIN p ON p.conv_id = x.conv_id AND p.depth <= x.depth GROUP BY p.key),
+e AS (SELECT key, sha256(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id)) AS ends FROM (SELECT conv_id, arg_max(key, depth) AS key FROM p GROUP BY conv_id) GROUP BY key)
+SELECT x.conv_id, x.depth::BIGINT AS depth, u.conv_id AS parent_conv_id, x.n_convs::BIGINT AS n_convs, x.n_children::BIGINT AS n_children,
+  n_leaves::BIGINT AS n_leaves, saved_tokens, coalesce(ends, sha256('')) AS ends_sha256
+FROM x JOIN t ON t.key = x.key LEFT JOIN x u ON u.key = x.above LEFT JOIN e ON e.key = x.key"""
+)
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The trie of the rebuilt conversations."""
+    return prefix_trie.rebuilt(spark.read.parquet(f"{sf_dir}/conversations.parquet"))

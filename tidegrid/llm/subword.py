@@ -190,7 +190,7 @@ def fit(b: Bags, labels: np.ndarray, epochs: int = EPOCHS) -> Model:
         share = float(y.mean()) if len(y) else 0.5
         odds = float(np.log(max(share, 1e-9)) - np.log(max(1 - share, 1e-9)))
         return Model(None, 0.0, 0.0, odds)
-    back = np.arange(len(y)) % HELD_BACK == HELD_BACK - 1
+    back = np.random.default_rng(SEED).permutation(len(y)) % HELD_BACK == 0
     if min(np.bincount(y[back].astype(int), minlength=2).min(), np.bincount(y[~back].astype(int), minlength=2).min()) < 3:
         back[:] = False  # too few to hold any back
     table, bias = _embed(_part(b, np.flatnonzero(~back)), y[~back], epochs)
