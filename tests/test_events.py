@@ -139,3 +139,10 @@ def test_chunks_and_schedule(spark):
     batches = joins.batch_schedule(days, "custom", 7).orderBy("batch").collect()
     assert [(r.batch_start.day, r.batch_end.day) for r in batches] == [(1, 8), (9, 16), (17, 20)]
     assert batches[0].job_id == "1_20240101_20240108"
+
+
+def test_dedup_keeps_numbered_rows_and_never_loses_a_value(spark):
+    rows = [(1, at(0), "cgm", None, 5.0), (1, at(0), "cgm", None, 5.0), (1, at(5), "cgm", 3, 6.0), (1, at(5), "cgm", None, 7.0), (1, at(5), "cgm", 1, 8.0)]
+    frame = spark.createDataFrame(rows, "pump_serial long, ts timestamp, stream string, seq_num long, value double")
+    assert {(r.ts, r.seq_num, r.value) for r in ev.dedup_last(frame).collect()} == {(at(0), None, 5.0), (at(5), 3, 6.0)}
+    assert {(r.ts, r.seq_num, r.value) for r in ev.dedup_first(frame).collect()} == {(at(0), None, 5.0), (at(5), 1, 8.0)}

@@ -631,7 +631,7 @@ def t6(spark, sf):
     SELECT pump_serial, ts, seq_num, round(coalesce(b, 0.0), 6) AS basal_rate, {r('coalesce(least((epoch_us(ts) - epoch_us(d)) / 60000000.0, 1440.0), 1440.0)', 'time_since_last_bolus')} FROM o""",
 )
 def t7(spark, sf):
-    return streams.carry_state(shuffled_stream(spark, sf), scratch_dir(spark, "carry"))
+    return streams.carry_state(shuffled_stream(spark, sf), scratch_dir(spark, "carry"), tile_seconds=10 * 86400)
 
 
 @query(

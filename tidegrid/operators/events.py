@@ -118,21 +118,24 @@ def bolus_value(
 
 def dedup_last(df: DataFrame, on: Sequence[str] = ("pump_serial", "ts", "stream"), order: str = "seq_num") -> DataFrame:
     """Keep the row with the highest sequence number; pre-aggregated, so a hot key never meets in one sort."""
-    return _dedup(df, on, F.max_by, order)
+    return _dedup(df, on, F.max_by, order, -1)
 
 
 def dedup_first(df: DataFrame, on: Sequence[str] = ("pump_serial", "ts", "stream"), order: str = "seq_num") -> DataFrame:
     """P8."""
-    return _dedup(df, on, F.min_by, order)
+    return _dedup(df, on, F.min_by, order, 1)
 
 
-def _dedup(df: DataFrame, on: Sequence[str], pick, order: str) -> DataFrame:
+def _dedup(df: DataFrame, on: Sequence[str], pick, order: str, side: int) -> DataFrame:
     """One aggregate per column: with columns of fixed width that is a hash aggregation (a struct would be sorted).
 
-    Among rows of equal order every column comes from the same row, because all of them see the rows in one sequence.
+    Among rows of equal order every column comes from the same row, because all of them see the rows in one sequence.  A row without
+    a sequence number stays only where its group has none with one.
     """
     rest = [c for c in df.columns if c not in on]
-    kept = df.groupBy(*on).agg(*[pick(c, order).alias(f"_kept_{c}") for c in rest])
+    unnumbered = F.lit(float("inf") * side) if dict(df.dtypes)[order] in ("double", "float") else F.lit(side * (2**63 - 1))
+    place = F.coalesce(F.col(order), unnumbered)
+    kept = df.groupBy(*on).agg(*[pick(c, place).alias(f"_kept_{c}") for c in rest])
     return kept.select(*[F.col(c) if c in on else F.col(f"_kept_{c}").alias(c) for c in df.columns])
 
 

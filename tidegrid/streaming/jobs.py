@@ -17,7 +17,10 @@ from pyspark.sql import types as T
 
 from tidegrid import tiles
 from tidegrid.functions import timegrid as tg
-from tidegrid.operators.events import dedup_last, time_is_valid
+from tidegrid.operators.events import time_is_valid
+from tidegrid.session import stage
+from tidegrid.sources.merge_tree import MergeTree
+from tidegrid.streaming import state
 from tidegrid.tiles import KEYS
 
 
@@ -43,17 +46,14 @@ def write_batch(frame: DataFrame, path: str, batch_id: int) -> None:
     frame.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
 
 
-def latest_rows(stream: DataFrame, path: str) -> DataFrame:
+def latest_rows(stream: DataFrame, path: str, **layout: int) -> DataFrame:
     """T-3: keep the last of each (device, time, stream) over all batches.
 
-    Each batch is reduced and stored on its own, and batches are merged when read, so no batch rewrites the history.
+    A batch is upserted into a merge tree: it writes its own run and merges only the partitions it touches (``sources.merge_tree``).
     """
-
-    def handle(batch: DataFrame, batch_id: int) -> None:
-        write_batch(dedup_last(batch), f"{path}/data", batch_id)
-
-    run_batches(stream, path, handle)
-    return dedup_last(stream.sparkSession.read.parquet(f"{path}/data").drop("batch"))
+    table = MergeTree(stream.sparkSession, f"{path}/data", stream.schema, ["pump_serial", "ts", "stream"], ["seq_num"], **layout)
+    run_batches(stream, path, table.upsert)
+    return table.read()
 
 
 def run_partials(stream: DataFrame, path: str, partial: Callable[[DataFrame], DataFrame]) -> DataFrame:
@@ -116,25 +116,119 @@ def sliding(stream: DataFrame, path: str, width: str = "30 days", step: str = "1
     return run_partials(stream, path, partial).groupBy(*KEYS, "range_start").agg(F.sum("n_events").alias("n_events"))
 
 
-def carry_state(stream: DataFrame, path: str, tile_seconds: int = 86400, cap: int = 1440) -> DataFrame:
+CARRIED = T.StructType(
+    [
+        T.StructField("pump_serial", T.LongType()),
+        T.StructField(tiles.TILE, T.LongType()),
+        T.StructField("ts", T.TimestampType()),
+        T.StructField("seq_num", T.LongType()),
+        T.StructField("copy", T.LongType()),
+        T.StructField("stream", T.StringType()),
+        T.StructField("value", T.DoubleType()),
+        T.StructField("basal_rate", T.DoubleType()),
+        T.StructField("dose_us", T.LongType()),
+        T.StructField("batch", T.LongType()),
+    ]
+)
+
+
+def _resolved(events: DataFrame) -> DataFrame:
+    """Rate and last dose at every event from its own tile, and ``copy`` among events of one time and number."""
+    order = [F.col("ts"), F.col("seq_num"), F.coalesce("stream", F.lit("")), F.col("value")]
+    by = [*KEYS, tiles.TILE]
+    upto = Window.partitionBy(*by).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    copy = F.row_number().over(Window.partitionBy(*by, "ts", "seq_num").orderBy(*order[2:])) - 1
+    rate = F.last(F.when(F.col("stream") == "basal", F.col("value")), ignorenulls=True).over(upto)
+    dose = F.last(F.when((F.col("stream") == "bolus") & (F.col("value") > 0), tg.micros(F.col("ts"))), ignorenulls=True).over(upto)
+    return events.withColumns({"copy": copy.cast("bigint"), "basal_rate": rate, "dose_us": dose})
+
+
+class CarriedState:
+    """T-7: at every event the basal rate in force and the time of the last dose, kept up to date batch by batch.
+
+    ``rows`` has every event with what its own tile knows, ``tails`` what every tile hands on; both are merge trees.  A batch reads its
+    files, the state of the tiles they touch, and partitions it merges; nothing else of the history.
+    """
+
+    def __init__(self, spark: SparkSession, path: str, tile_seconds: int = 86400, keep_ms: int | None = None, **layout: int):
+        self.spark, self.path, self.tile_seconds, self.keep_ms = spark, path, tile_seconds, keep_ms
+        self.rows = MergeTree(spark, f"{path}/rows", CARRIED, [*KEYS, "ts", "seq_num", "copy"], ["batch"], **layout)
+        self.tails = MergeTree(spark, f"{path}/tails", CARRIED, [*KEYS, tiles.TILE], ["batch"], **layout)
+
+    def run(self, stream: DataFrame) -> None:
+        """Take in what arrived since the last run."""
+        events = stream.select(
+            F.col("pump_serial").cast("long").alias("pump_serial"),
+            tiles.tile_of(F.col("ts"), self.tile_seconds).cast("long").alias(tiles.TILE),
+            tg.micros(F.col("ts")).alias("us"),
+            F.coalesce(F.col("seq_num").cast("long"), F.lit(state.NO_NUMBER)).alias("seq_num"),
+            "stream",
+            F.col("value").cast("double").alias("value"),
+        ).filter("us IS NOT NULL")
+        mode = "none" if self.keep_ms is None else "processingTime"
+        keyed = events.groupBy(*KEYS, tiles.TILE)
+        changes = keyed.transformWithStateInPandas(state.tile_processor(self.keep_ms), state.OUTPUT, "Update", mode)
+        before = self.spark.conf.get(state.PROVIDER)
+        self.spark.conf.set(state.PROVIDER, state.ROCKSDB)
+        try:
+            writer = changes.writeStream.outputMode("update").foreachBatch(self._take).option("checkpointLocation", f"{self.path}/_progress")
+            writer.trigger(availableNow=True).start().awaitTermination()
+        finally:
+            self.spark.conf.set(state.PROVIDER, before)
+
+    def _take(self, batch: DataFrame, batch_id: int) -> None:
+        start = F.timestamp_micros(F.col(tiles.TILE) * F.lit(self.tile_seconds * tg.MICROS))
+        changed = stage(batch, "carry-batch").withColumns({"ts": F.coalesce(F.timestamp_micros("us"), start), "batch": F.lit(batch_id).cast("long")})
+        found, tails = changed.filter("us IS NOT NULL"), changed.filter("us IS NULL")
+        if self.keep_ms is not None:
+            found, tails = self._with_expired(found, tails, batch_id)
+        names = CARRIED.fieldNames()
+        self.rows.upsert(found.select(*names), batch_id)
+        self.tails.upsert(tails.select(*names), batch_id)
+
+    def _with_expired(self, found: DataFrame, tails: DataFrame, batch_id: int) -> tuple[DataFrame, DataFrame]:
+        """Tiles that lost their state are resolved from the table and the batch; only the partitions of such tiles are read."""
+        by = [*KEYS, tiles.TILE]
+        new = found.filter("fresh").select(*by, "ts").distinct()
+        names = CARRIED.fieldNames()
+        stored = self.rows.read(self.rows.places(new)).select(*names).join(new.select(*by).distinct(), by, "left_semi")
+        stored = stage(stored.filter(F.col("batch") < batch_id), "carry-expired")
+        lost = stored.select(*by).distinct()
+        again = _resolved(stored.unionByName(found.join(lost, by, "left_semi").select(*names))).withColumn("batch", F.lit(batch_id).cast("long"))
+        again = stage(again, "carry-again")
+        last = again.groupBy(*by).agg(
+            F.min("ts").alias("ts"), F.max_by("basal_rate", F.when(F.col("basal_rate").isNotNull(), F.struct("ts", "seq_num", "copy"))).alias("basal_rate"),
+            F.max("dose_us").alias("dose_us"),
+        )
+        start = F.timestamp_micros(F.col(tiles.TILE) * F.lit(self.tile_seconds * tg.MICROS))
+        nothing = [F.lit(None).cast(CARRIED[n].dataType).alias(n) for n in ("seq_num", "copy", "stream", "value")]
+        last = last.select(*by, start.alias("ts"), *nothing, "basal_rate", "dose_us", F.lit(batch_id).cast("long").alias("batch"))
+        rows = found.join(lost, by, "left_anti").select(*names).unionByName(again.select(*names))
+        return rows, tails.join(lost, by, "left_anti").select(*names).unionByName(last.select(*names))
+
+    def read(self, cap: int = 1440) -> DataFrame:
+        """``ts, seq_num, basal_rate, time_since_last_bolus`` of every event."""
+        along = Window.partitionBy(*KEYS).orderBy(tiles.TILE).rowsBetween(Window.unboundedPreceding, -1)
+        earlier = self.tails.read().select(
+            *KEYS, tiles.TILE, F.last("basal_rate", ignorenulls=True).over(along).alias("_rate"), F.last("dose_us", ignorenulls=True).over(along).alias("_dose")
+        )
+        rows = self.rows.read().join(earlier, [*KEYS, tiles.TILE])
+        since = (tg.micros(F.col("ts")) - F.coalesce("dose_us", "_dose")) / F.lit(60.0 * tg.MICROS)
+        return rows.select(
+            *KEYS, "ts", F.nullif("seq_num", F.lit(state.NO_NUMBER)).alias("seq_num"), F.coalesce("basal_rate", "_rate", F.lit(0.0)).alias("basal_rate"),
+            F.coalesce(F.least(since, F.lit(float(cap))), F.lit(float(cap))).alias("time_since_last_bolus"),
+        )
+
+
+def carry_state(stream: DataFrame, path: str, tile_seconds: int = 86400, cap: int = 1440, keep_ms: int | None = None, **layout: int) -> DataFrame:
     """T-7: at every event the basal rate in force and the minutes since the last dose, across batches.
 
-    Batches are stored as they come, and the carry is resolved over all of them by time: an event that arrives late changes the
-    state of the events behind it, so no state taken in order of arrival could be right.  The tiled carry reduces a busy
-    device to a row per tile.
+    An event that arrives late changes the state of the events behind it; those, and no others, are written again.  Events without a time
+    are left out; of equal times the lower sequence number comes first, a missing one before all.
     """
-    rows = run_partials(stream, path, lambda batch: batch.select(*KEYS, "ts", "seq_num", "stream", "value"))
-    order = F.struct("ts", "seq_num")
-    basal = tiles.Prev({"value": F.col("value")}, order, F.col("stream") == "basal")
-    dose = tiles.Prev({"ts": F.col("ts")}, order, (F.col("stream") == "bolus") & (F.col("value") > 0))
-    carried = tiles.with_carry(tiles.add_tile(rows, tile_seconds), {"_b": basal, "_d": dose})
-    upto = tiles.in_tile(KEYS, ["ts", "seq_num"]).rowsBetween(Window.unboundedPreceding, 0)
-    rate = F.coalesce(F.last(basal.struct(), ignorenulls=True).over(upto), F.col("_b"))["value"]
-    last = F.coalesce(F.last(dose.struct(), ignorenulls=True).over(upto), F.col("_d"))["ts"]
-    minutes = F.least(tg.minutes_between(F.col("ts"), last), F.lit(float(cap)))
-    return carried.select(
-        *KEYS, "ts", "seq_num", F.coalesce(rate, F.lit(0.0)).alias("basal_rate"), F.coalesce(minutes, F.lit(float(cap))).alias("time_since_last_bolus")
-    )
+    table = CarriedState(stream.sparkSession, path, tile_seconds, keep_ms, **layout)
+    table.run(stream)
+    return table.read(cap)
 
 
 def guarded(stream: DataFrame, path: str, now: dt.datetime) -> tuple[DataFrame, DataFrame]:
