@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import random
 
 from conftest import at, ordered
 from pyspark.sql import functions as F
@@ -146,3 +147,40 @@ def test_dedup_keeps_numbered_rows_and_never_loses_a_value(spark):
     frame = spark.createDataFrame(rows, "pump_serial long, ts timestamp, stream string, seq_num long, value double")
     assert {(r.ts, r.seq_num, r.value) for r in ev.dedup_last(frame).collect()} == {(at(0), None, 5.0), (at(5), 3, 6.0)}
     assert {(r.ts, r.seq_num, r.value) for r in ev.dedup_first(frame).collect()} == {(at(0), None, 5.0), (at(5), 1, 8.0)}
+
+
+def ranges_of(spark, rows, side):
+    return spark.createDataFrame(rows, f"pump_serial long, {side} long, {side}_start timestamp, {side}_end timestamp")
+
+
+def test_overlap_join_by_brute_force(spark):
+    rnd = random.Random(9)
+
+    def make(n, length):
+        rows = []
+        for i in range(n):
+            start = rnd.choice([rnd.uniform(0, 5000), 100.0, 101.0])
+            rows.append((rnd.choice([1, 1, 1, 2]), i, at(start), at(start + rnd.choice([0, 0, 1, rnd.uniform(0, length)]))))
+        return rows
+
+    left, right = make(160, 4000), make(140, 300)
+    odd = [(1, 998, None, at(5)), (1, 999, at(50), at(40)), (3, 997, at(0), at(1))]
+    expected = sorted((a[0], a[1], b[1]) for a in left for b in right if a[0] == b[0] and a[2] <= b[3] and b[2] <= a[3])
+    for rows_per_cell in (4, 32, 100_000):
+        found = joins.overlap_join(ranges_of(spark, left + odd, "l"), ranges_of(spark, right + odd, "r"), rows_per_cell=rows_per_cell, tile_seconds=36000)
+        assert sorted((r.pump_serial, r.l, r.r) for r in found.collect()) == expected + [(3, 997, 997)]
+
+
+def test_no_key_of_an_overlap_join_is_full(spark):
+    """One device with 10^5 ranges, most of them open at once with many others, and a few quiet devices."""
+    base = spark.range(100_000).select(
+        F.when(F.col("id") % 100 == 0, F.col("id") % 7 + 2).otherwise(1).alias("pump_serial"), F.col("id").alias("n"),
+        F.timestamp_seconds(F.lit(1_700_000_000) + F.floor(F.col("id") / 50)).alias("s"),
+    )
+    long = F.timestamp_seconds(F.unix_seconds("s") + F.when(F.col("n") % 10 == 0, 40).otherwise(2))
+    left = base.filter("n % 2 = 0").select("pump_serial", F.col("n").alias("l"), F.col("s").alias("l_start"), long.alias("l_end"))
+    right = base.filter("n % 2 = 1").select("pump_serial", F.col("n").alias("r"), F.col("s").alias("r_start"), long.alias("r_end"))
+    l, r = joins.overlap_cells(left, right)
+    keys = ["pump_serial", "_cell", "_part"]
+    sizes = [x["count"] for x in l.select(*keys).unionByName(r.select(*keys)).filter("pump_serial = 1").groupBy(*keys).count().collect()]
+    assert len(sizes) > 200 and max(sizes) <= 2 * sum(sizes) / len(sizes)

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tidegrid import tiles
 from tidegrid.config import GridSpec
 from tidegrid.functions import timegrid as tg
+from tidegrid.session import stage
 from tidegrid.tiles import KEYS
 
 
@@ -34,18 +35,57 @@ def overlapping(batches: DataFrame, start: Column, end: Column) -> DataFrame:
     return batches.filter(~((F.col("end_ts") < start) | (F.col("start_ts") > end)))
 
 
-def overlap_join(left: DataFrame, right: DataFrame, on: Sequence[str] = KEYS, bucket_seconds: int = 86400 * 30) -> DataFrame:
-    """J7 for many ranges: both sides are cut into time buckets and joined on them; a pair is kept only in the bucket
-    where the later of the two starts lies, so it appears once."""
+def overlap_cells(
+    left: DataFrame, right: DataFrame, on: Sequence[str] = KEYS, rows_per_cell: int = 512, tile_seconds: int = 86400
+) -> tuple[DataFrame, DataFrame]:
+    """Both sides of an overlap join, dealt to keys (``on``, ``_cell``, ``_part``) such that every pair meets under exactly one.
 
-    def buckets(df: DataFrame, s: str, e: str) -> DataFrame:
-        return df.withColumn("_b", F.explode(F.sequence(tiles.tile_of(F.col(s), bucket_seconds), tiles.tile_of(F.col(e), bucket_seconds))))
-
-    l = buckets(left, "l_start", "l_end")
-    r = buckets(right, "r_start", "r_end")
-    first = F.greatest(tiles.tile_of(F.col("l_start"), bucket_seconds), tiles.tile_of(F.col("r_start"), bucket_seconds))
-    hit = (F.col("l_start") <= F.col("r_end")) & (F.col("r_start") <= F.col("l_end")) & (F.col("_b") == first)
-    return l.join(r, [*on, "_b"]).filter(hit).drop("_b")
+    The starts of both sides are numbered in order of time; ``rows_per_cell`` consecutive ones form a cell, so cells are equally
+    full wherever the ranges lie.  A pair belongs to the cell of the later start.  Part 0 of a cell has its starts.  A range still open when
+    a later cell begins is carried there: the carried ranges of a side are dealt into further parts of about ``rows_per_cell``, each with the
+    starts of the other side.  So no key grows with the number of ranges that are open at once.
+    """
+    sides = {
+        "l": stage(left.filter("l_start <= l_end").withColumn("_id", F.monotonically_increasing_id()), "overlap-left"),
+        "r": stage(right.filter("r_start <= r_end").withColumn("_id", F.monotonically_increasing_id()), "overlap-right"),
+    }
+    ranges = [df.select(*on, F.lit(s).alias("_side"), "_id", F.col(f"{s}_start").alias("_s"), F.col(f"{s}_end").alias("_e")) for s, df in sides.items()]
+    point = F.explode(F.array(F.struct(F.col("_s").alias("at"), F.lit(0).alias("ends")), F.struct(F.col("_e").alias("at"), F.lit(1).alias("ends"))))
+    points = ranges[0].unionByName(ranges[1]).select(*on, "_side", "_id", point.alias("_p")).select(*on, "_side", "_id", "_p.*")
+    # how many starts lie up to each start and up to each end (starts first among equal times)
+    started = F.when(F.col("ends") == 0, 1).otherwise(0)
+    carried = tiles.with_carry(tiles.add_tile(points, tile_seconds, "at"), {"_before": tiles.Running(started)}, by=on)
+    upto = tiles.in_tile(on, ["at", "ends", "_side", "_id"]).rowsBetween(Window.unboundedPreceding, 0)
+    cell = tg.int_div(F.sum(started).over(upto) + F.col("_before") - 1, rows_per_cell)
+    # the number of an end is at least that of its own start, so least and greatest are the cells of start and end
+    spans = carried.withColumn("_at", cell).groupBy(*on, "_side", "_id").agg(F.min("_at").alias("_first"), F.max("_at").alias("_last"))
+    spans = stage(spans, "overlap-spans")
+    later = spans.filter("_last > _first").withColumn("_cell", F.explode(F.sequence(F.col("_first") + 1, F.col("_last"))))
+    parts = later.groupBy(*on, "_cell").pivot("_side", ["l", "r"]).count().select(
+        *on, "_cell", *[F.coalesce(F.ceil(F.col(s) / rows_per_cell), F.lit(0)).cast("int").alias(f"_{s}") for s in sides]
+    )
+    parts = stage(parts, "overlap-parts")
+    out = []
+    for side, other, own_part in (("l", "r", 1), ("r", "l", 2)):
+        # parts of the ranges that this side carries are 2 j + own_part, those of the other side 2 j + 3 - own_part
+        mine = spans.filter(F.col("_side") == side)
+        starts = mine.withColumnRenamed("_first", "_cell").join(parts, [*on, "_cell"], "left")
+        others = F.transform(F.sequence(F.lit(0), F.coalesce(F.col(f"_{other}"), F.lit(0))), lambda j: F.when(j > 0, 2 * j + 1 - own_part).otherwise(0))
+        started_rows = starts.select("_id", "_cell", F.explode(others).alias("_part"))
+        open_rows = later.filter(F.col("_side") == side).join(parts, [*on, "_cell"])
+        open_rows = open_rows.select("_id", "_cell", (2 * F.pmod(F.xxhash64("_id"), F.col(f"_{side}")) + own_part).cast("int").alias("_part"))
+        out.append(sides[side].join(started_rows.unionByName(open_rows), "_id").drop("_id"))
+    return out[0], out[1]
+
+
+def overlap_join(left: DataFrame, right: DataFrame, on: Sequence[str] = KEYS, rows_per_cell: int = 512, tile_seconds: int = 86400) -> DataFrame:
+    """J7 for many ranges: pairs of ``left`` (``l_start``, ``l_end``) and ``right`` (``r_start``, ``r_end``) that share a time.
+
+    A sweep over cells of equally many starts (``overlap_cells``).  Ranges without a start or end, or ending before they start, share no time.
+    """
+    l, r = overlap_cells(left, right, on, rows_per_cell, tile_seconds)
+    hit = (F.col("l_start") <= F.col("r_end")) & (F.col("r_start") <= F.col("l_end"))
+    return l.join(r, [*on, "_cell", "_part"]).filter(hit).drop("_cell", "_part")
 
 
 def not_yet_done(planned: DataFrame, done: DataFrame, on: Sequence[str]) -> DataFrame:
