@@ -85,6 +85,25 @@ def test_windows_stay_inside_segments_and_respect_nulls(grid):
     assert sorted(starts[1]) == list(range(20, 31))
 
 
+def test_windows_with_a_hole_are_dropped(grid):
+    """Bins 10 and 11 are missing; windows start at every third bin of the time axis, whatever is missing."""
+    rows = grid([float(i) for i in range(40)]).withColumn("segment_id", F.lit(1))
+    holed = rows.filter(~F.col("bg").isin(10.0, 11.0))
+    for tile_bins in (7, 12, 2016):
+        out = windows.sliding_windows(holed, GridSpec(tile_bins=tile_bins), ["bg"], params=WindowSpecParams(4, 1, 3)).collect()
+        assert sorted((r.bg, r.target) for r in out) == [
+            ([float(i + k) for k in range(4)], [float(i + 4)]) for i in range(0, 36, 3) if not {10, 11} & set(range(i, i + 5))
+        ]
+
+
+def test_no_row_holds_a_window_and_the_array_it_is_from(grid):
+    rows = grid([1.0] * 300).withColumn("segment_id", F.lit(1))
+    out = windows.sliding_windows(rows, GridSpec(tile_bins=200), ["bg"], params=WindowSpecParams(8, 2, 1))
+    assert out.count() == 291
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "inline" in plan and plan.count("Generate explode") == 2  # halo copies, parts of picked starts
+
+
 def test_latest_window_needs_enough_rows(grid):
     rows = grid([1.0, 2.0, 3.0, 4.0]).unionByName(grid([9.0, 9.0], device=2))
     out = windows.latest_window(rows, SPEC, ["bg"], lookback=3).collect()

@@ -524,6 +524,28 @@ def w16(spark, sf):
     )
 
 
+@query(
+    "w16_five_minute_windows",
+    f"""WITH {aligned_sql(FIVE_MINUTES)}, n AS (SELECT pump_serial, ts, basal_rate, bolus_dose, row_number() OVER {W_SQL} AS rn, count(*) OVER (PARTITION BY pump_serial) AS c,
+      sum(bolus_dose) OVER x AS dose, avg(basal_rate) OVER x AS rate, lead(basal_rate, 288) OVER {W_SQL} AS first_target, lead(basal_rate, 299) OVER {W_SQL} AS last_target
+      FROM grid WINDOW x AS (PARTITION BY pump_serial ORDER BY ts ROWS BETWEEN CURRENT ROW AND 287 FOLLOWING))
+    SELECT pump_serial, ts AS window_start, {r('dose', 'sum_bolus')}, {r('rate', 'mean_basal')}, {r('first_target', 'first_target')}, {r('last_target', 'last_target')}
+    FROM n WHERE (rn - 1) % 36 = 0 AND rn + 299 <= c""",
+)
+def w16_five_minutes(spark, sf):
+    """A day back and an hour ahead on the five-minute grid, every three hours, at the default sizes."""
+    rows = grid.align(signal_events(spark, sf), FIVE_MINUTES).withColumn("segment_id", F.lit(1))
+    out = windows.sliding_windows(rows, FIVE_MINUTES, ["bolus_dose", "basal_rate"], "basal_rate", WindowSpecParams(stride=36))
+
+    def total(col):
+        return F.aggregate(col, F.lit(0.0), lambda a, x: a + x)
+
+    return out.select(
+        "pump_serial", "window_start", total("bolus_dose").alias("sum_bolus"), (total("basal_rate") / F.lit(288.0)).alias("mean_basal"),
+        F.col("target")[0].alias("first_target"), F.col("target")[11].alias("last_target"),
+    )
+
+
 @query(
     "w17_latest_window",
     f"""WITH {HOUR_GRID}, x AS (SELECT *, row_number() OVER (PARTITION BY pump_serial ORDER BY ts DESC) AS rn FROM grid)

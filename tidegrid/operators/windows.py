@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidegrid import tiles
@@ -14,12 +14,11 @@ from tidegrid.functions.quantiles import exact_percentiles
 from tidegrid.tiles import CORE, KEYS, TILE
 
 
-def _field(name: str):
-    return lambda row: row[name]
+WINDOWS_AT_ONCE = 64
 
 
-def _is_null(name: str):
-    return lambda row: row[name].isNull()
+def _field(name: str):
+    return lambda row: row[name]
 
 
 def sliding_windows(
@@ -30,38 +29,53 @@ def sliding_windows(
     params: WindowSpecParams = WindowSpecParams(),
     by: Sequence[str] = ("pump_serial", "segment_id"),
 ) -> DataFrame:
-    """Windows of ``lookback + horizon`` consecutive bins that start every ``stride`` rows of a segment.
+    """Windows of ``lookback + horizon`` consecutive bins that start every ``stride`` bins of a segment.
 
-    Rows of a tile and the following ``lookback + horizon`` rows are collected into one bounded array; windows are
-    slices of it.  So a row is shuffled about once, not once per window it belongs to.  A window is dropped when a
-    target is null or more than the given share of its feature cells is.
+    A window is dropped when a bin is missing from it, a target is null, or more than the given share of its feature cells is.  That is
+    decided row by row, before any array exists: running counts of nulls within the tile and its halo, and the time ``size`` rows
+    on, tell of every start whether its window counts.  Then a tile becomes one row of plain arrays with the list of its picked
+    starts, and the arrays are sliced for those alone, ``WINDOWS_AT_ONCE`` to a row of the intermediate result; a window is never
+    beside the array it is cut from.
     """
     step, look, ahead = spec.freq_seconds, params.lookback, params.horizon
-    size = look + ahead
-    starts = grid.groupBy(*by).agg(F.min("ts").alias("segment_start"))
-    tiled = tiles._halo(grid.select(*by, "ts", *dict.fromkeys([*features, target])), "ts", spec.tile_seconds, 0, size * step)
-    cell = F.struct("ts", CORE, *[F.col(c).cast("double").alias(c) for c in dict.fromkeys([*features, target])])
-    packed = tiled.groupBy(*by, TILE).agg(F.sort_array(F.collect_list(cell)).alias("rows"))
-    placed = packed.join(starts, list(by))
-    position = tg.bins_between(F.col("rows")[0]["ts"], F.col("segment_start"), step)
-    core = F.size(F.filter("rows", lambda x: x[CORE]))
-    # first index in the tile whose position in the segment is a multiple of the stride
-    skip = F.pmod(F.lit(params.stride) - F.pmod(position, F.lit(params.stride)), F.lit(params.stride)).cast("int")
-    last = F.least(core - 1, F.size("rows") - size)
-    indexed = placed.select(*by, "rows", F.when(skip <= last, F.sequence(skip, last, F.lit(params.stride))).alias("_at"))
-    windows = indexed.select(*by, F.explode("_at").alias("_i"), "rows")
-    windows = windows.select(*by, F.slice("rows", F.col("_i") + 1, size).alias("rows"))
-    x, y = F.slice("rows", 1, look), F.slice("rows", look + 1, ahead)
-    windows = windows.select(*by, F.col("rows")[0]["ts"].alias("window_start"), x.alias("_x"), y.alias("_y"))
-    nulls = sum((F.size(F.filter("_x", _is_null(f))) for f in features), F.lit(0))
-    allowed = params.max_null_share * look * len(features)
-    kept = windows.filter((nulls <= allowed) & ~F.exists("_y", _is_null(target)))
-    return kept.select(
-        *by,
-        "window_start",
-        *[F.transform("_x", _field(f)).alias(f) for f in features],
-        F.transform("_y", _field(target)).alias("target"),
+    size, names = look + ahead, list(dict.fromkeys([*features, target]))
+    starts = grid.groupBy(*by).agg(F.min("ts").alias("_from"))
+    rows = tiles._halo(grid.select(*by, "ts", *[F.col(c).cast("double").alias(c) for c in names]), "ts", spec.tile_seconds, 0, size * step)
+    order = tiles.in_tile(by, ["ts"])
+    upto = order.rowsBetween(Window.unboundedPreceding, 0)
+    absent = sum((F.col(f).isNull().cast("int") for f in features), F.lit(0))
+    rows = rows.withColumns({"_absent": absent, "_nulls": F.sum(absent).over(upto), "_blind": F.sum(F.col(target).isNull().cast("int")).over(upto)})
+    nulls = F.lead("_nulls", look - 1).over(order) - F.col("_nulls") + F.col("_absent")
+    blind = F.lead("_blind", size - 1).over(order) - F.lead("_blind", look - 1).over(order)
+    whole = tg.bins_between(F.lead("ts", size - 1).over(order), F.col("ts"), step) == size - 1
+    picked = F.col(CORE) & whole & (nulls <= params.max_null_share * look * len(features)) & (blind == 0)
+    cell = F.struct("ts", F.coalesce("_picked", F.lit(False)).alias("picked"), *names)
+    packed = rows.withColumn("_picked", picked).groupBy(*by, TILE).agg(F.sort_array(F.collect_list(cell)).alias("_rows"), F.count_if("_picked").alias("_any"))
+    placed = packed.filter("_any > 0").join(starts, list(by))
+    at = F.sequence(F.lit(0), F.size("_rows") - 1)
+
+    def starts_here(i: Column) -> Column:
+        row = F.col("_rows")[i]
+        return row["picked"] & (F.pmod(tg.bins_between(row["ts"], F.col("_from"), step), F.lit(params.stride)) == 0)
+
+    arrays = placed.select(
+        *by, F.filter(at, starts_here).alias("_at"), F.transform("_rows", _field("ts")).alias("_ts"),
+        *[F.transform("_rows", _field(c)).alias(f"_{c}") for c in names],
+    ).filter(F.size("_at") > 0)
+    parts = F.transform(
+        F.sequence(F.lit(0), tg.int_div((F.size("_at") - 1).cast("bigint"), WINDOWS_AT_ONCE).cast("int")),
+        lambda k: F.slice("_at", k * WINDOWS_AT_ONCE + 1, F.lit(WINDOWS_AT_ONCE)),
     )
+    some = arrays.withColumn("_part", F.explode(parts)).drop("_at")
+
+    def window(i: Column) -> Column:
+        return F.struct(
+            F.col("_ts")[i].alias("window_start"),
+            *[F.slice(f"_{f}", i + 1, F.lit(look)).alias(f) for f in features],
+            F.slice(f"_{target}", i + look + 1, F.lit(ahead)).alias("target"),
+        )
+
+    return some.select(*by, F.inline(F.transform("_part", window)))
 
 
 def latest_window(grid: DataFrame, spec: GridSpec, features: Sequence[str], lookback: int = 288) -> DataFrame:
