@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import itertools
+import random
 
 import pytest
 from conftest import at, one_column, ordered
@@ -74,6 +75,27 @@ def test_gap_of_exactly_fifteen_hours(spark):
     assert one_column(gaps.with_segments(longer), "segment_id") == [1, 2]
 
 
+def test_segments_and_their_starts_by_brute_force(spark):
+    rnd = random.Random(4)
+    minutes = {d: [0.0] for d in (1, 2, 3)}
+    for d, own in minutes.items():
+        for _ in range(60):
+            own.append(own[-1] + rnd.choice([0, 1, 300, 900, 900.5, 4000]))
+    frame = times(spark, minutes[1]).union(times(spark, minutes[2], 2)).union(times(spark, minutes[3], 3))
+    expected = []
+    for d, own in minutes.items():
+        number, start = 1, own[0]
+        for i, m in enumerate(own):
+            if i and m - own[i - 1] > 900:
+                number, start = number + 1, m
+            expected.append((d, at(m), number, at(start)))
+    for width in (3600, 40000, 10**7):
+        out = gaps.with_segments(frame, tile_seconds=width, start="segment_start")
+        assert sorted((r.pump_serial, r.ts, r.segment_id, r.segment_start) for r in out.collect()) == sorted(expected)
+    plan = gaps.with_segments(frame)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join ") == 1 and plan.count("LogicalRDD") + plan.count("LocalRelation") <= 6  # three unions, read by the rows and by the tiles
+
+
 def test_short_segments_are_dropped(spark):
     minutes = [5 * i for i in range(11)] + [2000 + 5 * i for i in range(12)]
     segmented = gaps.with_segments(times(spark, minutes), tile_seconds=1800)

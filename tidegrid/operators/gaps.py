@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidegrid import tiles
 from tidegrid.config import RAW_TILE_SECONDS, GapRules
 from tidegrid.functions import timegrid as tg
 from tidegrid.functions.quantiles import exact_percentiles
+from tidegrid.session import stage
 from tidegrid.tiles import KEYS, TILE
 
 
@@ -55,17 +56,39 @@ def gap_summary(times: DataFrame, longer_than_seconds: float, tile_seconds: int
 
 
 def with_segments(
-    rows: DataFrame, rules: GapRules = GapRules(), tile_seconds: int = RAW_TILE_SECONDS, first: int = 1
+    rows: DataFrame, rules: GapRules = GapRules(), tile_seconds: int = RAW_TILE_SECONDS, first: int = 1, start: str | None = None
 ) -> DataFrame:
-    """``segment_id`` counted from ``first``: a new segment starts after a gap longer than the limit."""
+    """``segment_id`` counted from ``first``: a new segment starts after a gap longer than the limit; ``start`` names a column for its start.
+
+    One carry: a tile is summed up by its first and last time, the number of openings inside and the last of them.  Two such summaries
+    side by side give that of both, since whether the second opens a segment follows from the last time of one and the first of
+    the other; so one fold along the tiles yields number and start of the segment that every tile comes in with.
+    """
     tiled = tiles.add_tile(rows, tile_seconds)
-    carried = tiles.with_carry(tiled, {"_carry": tiles.Prev({"ts": F.col("ts")}, F.col("ts"))})
-    before = F.coalesce(F.lag("ts").over(tiles.in_tile(KEYS, ["ts"])), F.col("_carry.ts"))
-    opens = F.coalesce(tg.seconds_between(F.col("ts"), before) > rules.max_gap_seconds, F.lit(False))
-    flagged = carried.withColumn("_opens", opens.cast("int")).drop("_carry")
-    counted = tiles.with_carry(flagged, {"_base": tiles.Running(F.col("_opens"))})
-    upto = tiles.in_tile(KEYS, ["ts"]).rowsBetween(tiles.Window.unboundedPreceding, 0)
-    return counted.withColumn("segment_id", F.col("_base") + F.sum("_opens").over(upto) + F.lit(first)).drop("_opens", "_base", TILE)
+    inside = tiles.in_tile(KEYS, ["ts"])
+    gap = tg.seconds_between(F.col("ts"), F.lag("ts").over(inside))
+    flagged = tiled.withColumn("_opens", F.coalesce(gap > rules.max_gap_seconds, F.lit(False)).cast("int"))
+    opened = F.when(F.col("_opens") == 1, F.col("ts"))
+    per_tile = flagged.groupBy(*KEYS, TILE).agg(
+        F.min("ts").alias("_first"), F.max("ts").alias("_last"), F.sum("_opens").alias("_inner"), F.max(opened).alias("_opened")
+    )
+    along = Window.partitionBy(*KEYS).orderBy(TILE)
+    before = F.lag("_last").over(along)
+    # the first row of a device opens its first segment, which is not counted
+    cross = before.isNull() | (tg.seconds_between(F.col("_first"), before) > rules.max_gap_seconds)
+    seen = per_tile.withColumns({"_enters": cross, "_cross": (cross & before.isNotNull()).cast("int")})
+    newest = F.coalesce("_opened", F.when(F.col("_enters"), F.col("_first")))
+    earlier = along.rowsBetween(Window.unboundedPreceding, -1)
+    carried = seen.select(
+        *KEYS, TILE,
+        (F.coalesce(F.sum(F.col("_inner") + F.col("_cross")).over(earlier), F.lit(0)) + F.col("_cross")).alias("_base"),
+        F.when(F.col("_enters"), F.col("_first")).otherwise(F.last(newest, ignorenulls=True).over(earlier)).alias("_from"),
+    )
+    upto = inside.rangeBetween(Window.unboundedPreceding, Window.currentRow)  # rows of one time are of one segment
+    columns = {"segment_id": F.col("_base") + F.sum("_opens").over(upto) + F.lit(first)}
+    if start:
+        columns[start] = F.coalesce(F.max(opened).over(upto), F.col("_from"))
+    return flagged.join(carried, [*KEYS, TILE]).withColumns(columns).drop("_opens", "_base", "_from", TILE)
 
 
 def segment_table(rows: DataFrame, rules: GapRules = GapRules(), keep_short: bool = False) -> DataFrame:
@@ -87,7 +110,11 @@ def segment_summary(segments: DataFrame) -> DataFrame:
 
 
 def keep_long_segments(rows: DataFrame, rules: GapRules = GapRules(), tile_seconds: int = RAW_TILE_SECONDS) -> DataFrame:
-    """Rows of the kept segments only; the lengths travel per (segment, tile), so one long segment is no hot key."""
+    """Rows of the kept segments only; the lengths travel per (segment, tile), so one long segment is no hot key.
+
+    The rows are read twice, for the lengths and beside them, so they are written once.
+    """
+    rows = stage(rows, "segments")
     table = segment_table(rows, rules).withColumnRenamed("n_rows", "segment_rows")
     return tiles.attach_span(rows, table, "segment_start", "segment_end", ["segment_id"], seconds=tile_seconds, how="inner").drop(
         "segment_start", "segment_end"

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -114,7 +114,8 @@ class Alignment:
       ``bg_fill_seconds``; ``unbounded`` carries the last reading (as-of) forever.
     * ``bg_agg``: ``last`` / ``mean`` / ``first`` of the bin ``[t, t + freq)``; with ``bg_asof=True`` the value at *t* is
       the last reading at or before *t* instead.
-    * ``basal_agg``: ``asof`` (last rate at or before *t*), ``last`` or ``mean`` of the bin, then carried forward.
+    * ``basal_agg``: ``asof`` (last rate at or before *t*), ``last`` or ``mean`` of the bin, then carried forward; ``weighted`` is the mean over
+      the minutes of the bin of the rate held in each (with ``until_last``: up to the minute of the last event).
     * ``basal_fill``: ``carry`` (default, to the end of the grid); ``until_last`` stops at the bin of the last event;
       ``tail_only`` fills nothing between events and carries only past the last one.
     * ``basal_default``: value where no rate is known (``None`` keeps null).
@@ -160,7 +161,9 @@ def align(events: DataFrame, spec: GridSpec, how: Alignment = Alignment(), exten
         F.lit(None).cast("double").alias("value"),
         F.col("tile_to"),
     )
-    rows = events.filter(value.isNotNull() & tg.valid_year(F.col("ts"), MIN_VALID_YEAR, MAX_VALID_YEAR)).select(
+    known = events.filter(value.isNotNull() & tg.valid_year(F.col("ts"), MIN_VALID_YEAR, MAX_VALID_YEAR))
+    weighted = how.basal_agg == "weighted"
+    rows = (known.filter(stream != "basal") if weighted else known).select(
         *KEYS,
         at.alias("bin_ts"),
         "ts",
@@ -168,11 +171,17 @@ def align(events: DataFrame, spec: GridSpec, how: Alignment = Alignment(), exten
         F.col("value").cast("double").alias("value"),
         F.lit(None).cast("timestamp").alias("tile_to"),
     )
+    if weighted:
+        steps = _rate_steps(known.filter(stream == "basal"), spec).withColumn("stream", F.lit("basal"))
+        rows, skeleton = (df.unionByName(steps.limit(0), allowMissingColumns=True) for df in (rows, skeleton))
+        rows = rows.unionByName(steps, allowMissingColumns=True)
 
     def of(name: str, col: Column) -> Column:
         return F.when(stream == name, col)
 
     def reduce_stream(name: str, agg: str) -> Column:
+        if agg == "weighted":
+            return F.max(of(name, value))  # one row a bin already
         order = of(name, F.col("ts"))  # a plain time keeps the aggregation hash based
         if agg in ("last", "asof"):
             return F.max_by(value, order)
@@ -189,6 +198,7 @@ def align(events: DataFrame, spec: GridSpec, how: Alignment = Alignment(), exten
             reduce_stream("basal", how.basal_agg).alias("basal"),
             F.sum(of("bolus", value)).alias("bolus"),
             F.max("tile_to").alias("tile_to"),
+            *[F.max(c).alias(c) for c in (RATE_STEPS if weighted else ())],
         )
         .withColumn(TILE, tiles.tile_of(F.col("bin_ts"), spec.tile_seconds))
     )
@@ -227,6 +237,12 @@ def align(events: DataFrame, spec: GridSpec, how: Alignment = Alignment(), exten
             else []
         ),
         tile_to.isNotNull().alias("on_grid"),
+        *(
+            [F.coalesce(F.last(basal_seen.struct(), ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, -1)), F.col("basal_carry")).alias("basal_before")]
+            + [F.col(c) for c in ("basal", *RATE_STEPS)]
+            if weighted
+            else []
+        ),
         *(
             [F.coalesce(F.lag(bin_seen.struct()).over(w), F.col("bin_carry")).alias("bin_before")]
             if how.with_delta
@@ -234,11 +250,19 @@ def align(events: DataFrame, spec: GridSpec, how: Alignment = Alignment(), exten
         ),
     )
     # With a grid taken from some streams only, events outside it have no grid point of their own.
+    if weighted:
+        # minutes of the bin before its first change, at the rate that came in; those held at its last one, cut at the last event of all
+        lead = F.when(F.col("basal_before").isNotNull(), tg.bins_between(F.col("first_minute"), F.col("bin_ts"), 60)).otherwise(0)
+        over = F.when(F.col("bin_ts") == F.col("basal_last"), F.col("last_minutes") - 1).otherwise(0)
+        area = F.col("area") + lead * F.coalesce(F.col("basal_before.v"), F.lit(0.0)) - over * F.col("basal")
+        sparse = sparse.withColumn("own_mean", area / (F.col("minutes") + lead - over))
     inside = sparse.filter(F.col("on_grid") & (F.col("run_to") >= F.col("run_from")))
     dense = inside.withColumn("ts", F.explode(_steps("run_from", "run_to", spec)))
     own = F.col("ts") == F.col("bin_ts")
 
     basal = F.col("basal_now.v")
+    if weighted:
+        basal = F.coalesce(F.when(own, F.col("own_mean")), basal)
     if how.basal_fill == "until_last":
         basal = F.when(F.col("ts") <= F.col("basal_last"), basal)
     elif how.basal_fill == "tail_only":
@@ -271,6 +295,34 @@ def align(events: DataFrame, spec: GridSpec, how: Alignment = Alignment(), exten
     )
 
 
+RATE_STEPS = ("area", "minutes", "first_minute", "last_minutes")
+
+
+def _rate_steps(events: DataFrame, spec: GridSpec) -> DataFrame:
+    """Per device and bin with a change of rate: the last rate, the area and minutes from the first change to the end of the bin, the
+    minute of the first change, and the minutes the last rate holds.
+
+    A rate holds from its minute (rounded up) on; of several in a minute the last counts.
+    """
+    minute, freq = 60, spec.freq_seconds
+    changes = events.groupBy(*KEYS, tg.ceil_to(F.col("ts"), minute).alias("_m")).agg(F.max_by("value", "ts").cast("double").alias("_rate"))
+    changes = changes.withColumn("bin_ts", tg.floor_to(F.col("_m"), freq))
+    following = F.lead("_m").over(Window.partitionBy(*KEYS, "bin_ts").orderBy("_m"))
+    held = tg.bins_between(F.coalesce(following, tg.shift(F.col("bin_ts"), freq)), F.col("_m"), minute)
+    return (
+        changes.withColumn("_held", held.cast("double"))
+        .groupBy(*KEYS, "bin_ts")
+        .agg(
+            F.max_by("_rate", "_m").alias("value"),
+            F.max("_m").alias("ts"),
+            F.sum(F.col("_rate") * F.col("_held")).alias("area"),
+            F.sum("_held").alias("minutes"),
+            F.min("_m").alias("first_minute"),
+            F.max_by("_held", "_m").alias("last_minutes"),
+        )
+    )
+
+
 def asof(events: DataFrame, stream: str, spec: GridSpec, tolerance_seconds: int | None = None) -> DataFrame:
     """At every grid point the last value of one stream at or before it, optionally no older than a limit."""
     fill = "unbounded" if tolerance_seconds is None else "bounded"
@@ -280,25 +332,14 @@ def asof(events: DataFrame, stream: str, spec: GridSpec, tolerance_seconds: int
 
 
 def basal_time_weighted(events: DataFrame, spec: GridSpec, how: str = "mean") -> DataFrame:
-    """The rate carried over whole minutes, then mean (or last) of each bin.
+    """The rate carried over whole minutes, then mean (or last) of each bin, up to the minute of the last rate.
 
-    A rate holds from its minute to the minute before the next one, so a bin is the mean of its rates weighted by their
-    minutes; rows are made per rate and bin, not per minute.
+    A step integral: bins with a change of rate get their area from the steps inside and the rate that comes in; the bins between are
+    made last, in place, from one sparse row to the next (``align``).
     """
-    minute, freq = 60, spec.freq_seconds
-    rates = (
-        _one_stream(events, "basal")
-        .groupBy(*KEYS, tg.ceil_to(F.col("ts"), minute).alias("from_ts"))
-        .agg(F.max_by("value", "ts").alias("rate"))
-    )
-    tiled = tiles.add_tile(rates, spec.tile_seconds, "from_ts")
-    carried = tiles.with_carry(tiled, {"_next": tiles.Next({"ts": F.col("from_ts")}, F.col("from_ts"))})
-    following = F.coalesce(F.lead("from_ts").over(tiles.in_tile(KEYS, ["from_ts"])), F.col("_next.ts"))
-    held = carried.select(*KEYS, "rate", "from_ts", F.coalesce(tg.shift(following, -minute), F.col("from_ts")).alias("to_ts"))
-    bounds = held.withColumns({"_a": tg.floor_to(F.col("from_ts"), freq), "_z": tg.floor_to(F.col("to_ts"), freq)})
-    bins = bounds.withColumn("bin_ts", F.explode(_steps("_a", "_z", spec)))
-    low = F.greatest(F.col("from_ts"), F.col("bin_ts"))
-    high = F.least(F.col("to_ts"), tg.shift(F.col("bin_ts"), freq - minute))
-    weighted = bins.withColumn("_n", tg.bins_between(high, low, minute) + 1)
-    value = F.sum(F.col("rate") * F.col("_n")) / F.sum("_n") if how == "mean" else F.max_by("rate", "from_ts")
-    return weighted.groupBy(*KEYS, "bin_ts").agg(value.alias("value")).withColumnRenamed("bin_ts", "ts")
+    rates = _one_stream(events, "basal")
+    if how == "last":  # by minutes, of which the last event decides
+        rates = rates.groupBy(*KEYS, "stream", tg.ceil_to(F.col("ts"), 60).alias("_m")).agg(F.max_by("value", "ts").alias("value")).withColumnRenamed("_m", "ts")
+    how_to = Alignment(basal_agg="weighted" if how == "mean" else "last", basal_fill="until_last", basal_default=None)
+    out = align(rates, replace(spec, pad_seconds=0), how_to)
+    return out.filter(F.col("basal_rate").isNotNull()).select(*KEYS, "ts", F.col("basal_rate").alias("value"))

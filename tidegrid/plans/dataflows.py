@@ -198,18 +198,21 @@ def gap_aware_grid(
 
 
 def organised_grid(events: DataFrame, spec: GridSpec = GridSpec(pad_seconds=0), ranges: Ranges = Ranges(), bg_how: str = "mean") -> DataFrame:
-    """Q6 up to the fill: resampled streams, out-of-range values nulled, the fill chain."""
-    clean = ev.dedup_last(events)
-    limits = {"cgm": ranges.bg_valid, "basal": (0.0, ranges.basal_max_organised), "bolus": (0.0, ranges.bolus_max_organised)}
-    bg = gr.resample(clean, "cgm", spec, bg_how)
-    basal = gr.basal_time_weighted(clean, spec)
-    bolus = gr.bin_sum(clean, "bolus", spec)
-    frames = {}
-    for name, (stream, frame) in {"bg": ("cgm", bg), "basal_rate": ("basal", basal), "bolus_dose": ("bolus", bolus)}.items():
-        frames[name] = frame.withColumn("value", ev.null_out_of_range("value", *limits[stream]))
-    points = gr.master_grid(gr.extents(clean, spec), spec)
-    joined = stage(gr.join_on_grid(points, frames, {"bolus_dose": 0.0}), "organised")
-    return runs.fill_chain(joined, spec)
+    """Q6 up to the fill: resampled streams, out-of-range values nulled, the fill chain.
+
+    The grid comes sparse first (``grid.align``), with the time-weighted basal rate; only the median of the readings, where it is
+    asked for, is joined.
+    """
+    clean = stage(ev.dedup_last(events), "clean")
+    median = bg_how == "median"
+    how = gr.Alignment(bg_agg="last" if median else bg_how, basal_agg="weighted", basal_fill="until_last", basal_default=None)
+    out = gr.align(clean, spec, how)
+    if median:
+        out = gr.join_on_grid(out.drop("bg"), {"bg": gr.bin_median(clean, "cgm", spec)})
+    limits = {"bg": ranges.bg_valid, "basal_rate": (0.0, ranges.basal_max_organised), "bolus_dose": (0.0, ranges.bolus_max_organised)}
+    valid = {name: ev.null_out_of_range(name, *borders) for name, borders in limits.items()}
+    valid["bolus_dose"] = F.coalesce(valid["bolus_dose"], F.lit(0.0))
+    return runs.fill_chain(stage(out.withColumns(valid), "organised"), spec)
 
 
 def organised_features(filled: DataFrame, spec: GridSpec) -> DataFrame:
