@@ -118,6 +118,29 @@ def test_columns_by_header_name_and_device_by_path(spark, tmp_path):
         csv_files.read_streams(spark, str(tmp_path))
 
 
+@pytest.mark.parametrize("few", [0, 64])
+def test_layouts_are_scanned_apart_and_joined_by_name(spark, tmp_path, monkeypatch, few):
+    """Reordered, missing and repeated columns, header blocks and repeated header lines; directly and by Spark."""
+    monkeypatch.setattr(csv_files, "FEW_FILES", few)
+    texts = {
+        "a.csv": "# made: x\n\ntimestamp,bg,basal_rate\n2024-01-01 00:00:00,100.5,1\n2024-01-01 00:05:00, ,bad\ntimestamp,bg,basal_rate\n",
+        "b.csv": 'basal_rate , "timestamp" ,bg\n2,2024-01-02 00:00:00,90\n',
+        "c.csv": "timestamp,bg,bg,extra\n2024-01-03 00:00:00,80,70,z\n\n2024-01-03 00:05:00,81\n",
+        "d.csv": "# only a comment\n",
+    }
+    for name, text in texts.items():
+        (tmp_path / name).write_text(text)
+    assert len(csv_files.layouts(spark, str(tmp_path))) == 3
+    out = csv_files.read_merged(spark, str(tmp_path)).select(F.col("timestamp").cast("string"), "bg", "basal_rate").collect()
+    assert sorted(map(tuple, out)) == [
+        ("2024-01-01 00:00:00", 100.5, 1.0), ("2024-01-01 00:05:00", None, None), ("2024-01-02 00:00:00", 90.0, 2.0),
+        ("2024-01-03 00:00:00", 80.0, None), ("2024-01-03 00:05:00", 81.0, None),
+    ]
+    (tmp_path / "e.csv").write_text("time,bg\n1,2\n")
+    with pytest.raises(ValueError, match="required columns"):
+        csv_files.read_merged(spark, str(tmp_path))
+
+
 def test_newest_file_of_each_device_and_stream(spark, tmp_path):
     for k, (serial, name) in enumerate([(7, "cgmreading_20240301_a"), (7, "cgmreading_20240201_b"), (8, "cgmreading_20240301_a")]):
         (tmp_path / f"pump_{serial}").mkdir(exist_ok=True)

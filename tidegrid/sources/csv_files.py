@@ -3,13 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidegrid.operators.events import parse_date
-from tidegrid.session import stage
 from tidegrid.tiles import KEYS
 
 # Columns of the three stream files, the name each value gets, and the word in the file name.
@@ -32,6 +32,10 @@ MERGED_SCHEMA = T.StructType(
 )
 
 
+FEW_FILES = 64
+COMPRESSED = (".gz", ".bz2", ".zst", ".snappy", ".lz4", ".deflate", ".xz")
+
+
 def _lines(spark: SparkSession, path) -> DataFrame:
     """Lines with their file and a number that grows along the file (a line is at least a byte long)."""
     raw = spark.read.text(path).withColumnRenamed("value", "_line")
@@ -40,31 +44,84 @@ def _lines(spark: SparkSession, path) -> DataFrame:
     return raw.select("*", F.col("_metadata.file_path").alias("file_path"), block.alias("_block"), (block + in_task).alias("place"))
 
 
+def _names(line: str) -> tuple[str, ...]:
+    return tuple(x.replace('"', "").strip() for x in line.split(","))
+
+
+def _first_lines(spark: SparkSession, files: Sequence[str]) -> dict[str, str]:
+    """The header line of a few files, read from their beginning; a file without one is left out."""
+    jvm, out = spark.sparkContext._jvm, {}
+    for file in files:
+        path = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(file))
+        stream = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).open(path)
+        try:
+            reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, "UTF-8"))
+            while (line := reader.readLine()) is not None:
+                if line.strip() and not line.startswith("#"):
+                    out[file] = line
+                    break
+        finally:
+            stream.close()
+    return out
+
+
+def layouts(spark: SparkSession, path) -> dict[tuple[str, ...], list[str]]:
+    """The layout catalogue: the files of every sequence of column names, by their header lines.
+
+    Of at most ``FEW_FILES`` plain files the first lines are read directly; of more, or compressed ones, Spark reads the first split of
+    each.  The driver gets names and paths, as in any listing.
+    """
+    files = list(spark.read.text(path).inputFiles())
+    if len(files) <= FEW_FILES and not any(f.lower().endswith(COMPRESSED) for f in files):
+        first = _first_lines(spark, files)
+    else:
+        lines = _lines(spark, path).filter(~F.col("_line").startswith("#") & (F.trim("_line") != "") & (F.col("_block") == 0))
+        first = {r["file_path"]: r["_header"] for r in lines.groupBy("file_path").agg(F.min_by("_line", "place").alias("_header")).toLocalIterator()}
+    found: dict[tuple[str, ...], list[str]] = {}
+    for file, line in first.items():
+        found.setdefault(_names(line), []).append(file)
+    return found
+
+
 def read_by_name(spark: SparkSession, path, types: dict[str, T.DataType], required: Sequence[str]) -> DataFrame:
     """CSV files whose columns are found by the header line of each file, whatever their order; ``#`` lines are skipped.
 
-    Adds ``file_path`` and ``place``.  A column that a file does not have is null, unless it is required: then reading fails.
-    Columns of partition folders count as well.
+    Files of one layout are one native CSV scan that parses only the wanted columns; the layouts are unioned by name.  Adds ``file_path``
+    and ``place``, a number that grows along a file.  A column that a file does not have is null, unless it is required: then
+    reading fails.  Columns of partition folders count as well.
     """
-    lines = _lines(spark, path).filter(~F.col("_line").startswith("#") & (F.trim("_line") != ""))
-    folders = [c for c in lines.columns if c in types]
-    first = lines.filter("_block = 0").groupBy("file_path").agg(F.min_by("_line", "place").alias("_header"))
-    names = F.transform(F.split("_header", ","), lambda x: F.trim(F.replace(x, F.lit('"'), F.lit(""))))
-    headers = stage(first.withColumn("_names", names), "csv-headers")
+    folders = [c for c in spark.read.text(path).columns if c != "value" and c in types]
+    found = layouts(spark, path)
     wanted = [r for r in required if r not in folders]
-    lacking = headers.filter(F.size(F.array_except(F.array(*[F.lit(r) for r in wanted]).cast("array<string>"), "_names")) > 0) if wanted else None
-    if lacking is not None and (bad := lacking.limit(3).collect()):
-        raise ValueError(f"required columns {wanted} missing: " + "; ".join(f"{r.file_path} has {r['_names']}" for r in bad))
-    width = headers.agg(F.max(F.size("_names"))).first()[0] or 1
-    cells = F.from_csv("_line", ", ".join(f"c{i} string" for i in range(width)))
-    rows = lines.join(headers, "file_path").filter(F.col("_line") != F.col("_header")).withColumn("_cells", cells)
-    listed = F.array(*[F.col(f"_cells.c{i}") for i in range(width)])
+    if bad := [(files[0], names) for names, files in found.items() if not set(wanted) <= set(names)]:
+        raise ValueError(f"required columns {wanted} missing: " + "; ".join(f"{file} has {list(names)}" for file, names in bad[:3]))
+    parts = [_one_layout(spark, path, files if len(found) > 1 else None, names, types, folders) for names, files in found.items()]
+    if not parts:
+        schema = T.StructType([*(T.StructField(n, k) for n, k in types.items()), T.StructField("file_path", T.StringType()), T.StructField("place", T.LongType())])
+        return spark.createDataFrame([], schema)
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return out
+
+
+def _one_layout(spark: SparkSession, path, files: list[str] | None, names: Sequence[str], types: dict[str, T.DataType], folders: Sequence[str]) -> DataFrame:
+    """The files (all of ``path`` if None) that have the columns ``names``; a name that comes twice is its first column."""
+    reader = spark.read.schema(", ".join(f"_c{i} string" for i in range(len(names)))).option("header", True).option("comment", "#")
+    if files is not None and folders:
+        reader = reader.option("basePath", path)
+    raw = reader.csv(path if files is None else files)
+    column = {name: F.trim(F.col(f"_c{i}")) for i, name in reversed(list(enumerate(names)))}
 
     def named(name: str, kind: T.DataType):
-        text = F.col(name).cast("string") if name in folders else F.trim(F.get(listed, F.array_position("_names", F.lit(name)).cast("int") - 1))
+        text = F.col(name).cast("string") if name in folders else column.get(name, F.lit(None).cast("string"))
         return (parse_date(text) if isinstance(kind, T.TimestampType) else text.try_cast(kind)).alias(name)
 
-    return rows.select(*[named(n, k) for n, k in types.items()], "file_path", "place")
+    # a header line repeated further down, as files put together have it, is no row
+    again = [F.coalesce(column[n], F.lit("")) == n for n in types if n in column and n not in folders]
+    rows = raw if not again else raw.filter(~reduce(lambda a, b: a & b, again))
+    place = F.col("_metadata.file_block_start") + F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1)
+    return rows.select(*[named(n, k) for n, k in types.items()], F.col("_metadata.file_path").alias("file_path"), place.alias("place"))
 
 
 def read_merged(spark: SparkSession, path, schema: T.StructType = MERGED_SCHEMA) -> DataFrame:
