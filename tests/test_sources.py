@@ -10,8 +10,9 @@ import pytest
 from conftest import at, ordered
 from pyspark.sql import functions as F
 
+from tidegrid.operators import summary
 from tidegrid.plans import dataflows
-from tidegrid.sources import csv_files, history_log, store
+from tidegrid.sources import csv_files, history_log, published, store
 
 
 def record(code, seconds, seq, payload, source=2):
@@ -193,3 +194,65 @@ def test_replace_partitions_is_idempotent(events, spark, tmp_path):
 def test_union_keeps_missing_columns_null(grid):
     both = store.union_sources({"a": grid([1.0]), "b": grid([2.0]).drop("bolus_dose")})
     assert sorted((r.source, r.bolus_dose) for r in both.collect()) == [("a", 0.0), ("b", None)]
+
+
+def test_gate_routes_rows_in_one_pass_and_readers_see_whole_versions(events, spark, tmp_path):
+    rows = events([(d, 5 * i, "cgm", d) for d in (1, 2, 3) for i in range(4)])
+    verdicts = spark.createDataFrame([(1, True), (2, False), (2, True)], "pump_serial long, is_valid boolean")
+    table = published.publish_accepted(rows, verdicts, str(tmp_path / "gate"))
+    found = {(r.pump_serial, r.place, r["count"]) for r in table.read().groupBy("pump_serial", "place").count().collect()}
+    assert found == {(1, "accepted", 4), (2, "quarantine", 4), (3, "quarantine", 4)}
+    publish, table.manifest.publish = table.manifest.publish, lambda *_: 1 / 0
+    with pytest.raises(ZeroDivisionError):  # killed after its files and before the switch
+        table.write(rows.limit(2).withColumn("place", F.lit("accepted")))
+    assert table.read().count() == 12
+    table.manifest.publish = publish
+    table.write(rows.filter("pump_serial = 3").withColumn("place", F.lit("accepted")), "append")
+    assert table.read().filter("place = 'accepted'").count() == 8
+
+
+def test_published_partitions_are_replaced_or_appended(events, spark, tmp_path):
+    rows = events([(d, 5 * i, "cgm", d) for d in (1, 2) for i in range(3)])
+    table = published.Published(spark, str(tmp_path / "t"), rows.schema, ["pump_serial"])
+    assert table.read().count() == 0
+    table.write(rows)
+    table.write(rows.filter("pump_serial = 2").withColumn("value", F.lit(9.0)), "touched")
+    assert sorted((r.pump_serial, r.value) for r in table.read().collect()) == [(1, 1.0)] * 3 + [(2, 9.0)] * 3
+    table.write(rows.filter("pump_serial = 1"), "append")
+    assert table.read().count() == 9 and table.manifest.versions() == [0, 1, 2]
+
+
+def test_sorted_files_do_not_overlap_and_zones_skip_files(events, spark, tmp_path):
+    rows = events([(1 if i % 3 else 2 + i % 7, 5.0 * i, "cgm", i) for i in range(600)])
+    table = published.SortedTable(spark, str(tmp_path / "sorted"), rows.schema)
+    table.write(rows, files=12)
+    zones = sorted(table.zones().collect(), key=lambda z: (z.low_key, z.low_ts))
+    assert len(zones) > 6 and sum(z.n_rows for z in zones) == 600
+    assert all((a.high_key, a.high_ts) < (b.low_key, b.low_ts) for a, b in zip(zones[:-1], zones[1:], strict=True))
+    everything = rows.collect()
+    for start, end, key in ((at(500), at(700), 1), (at(500), at(700), None), (None, at(100), 3), (at(2900), None, None), (at(0), at(1), 99)):
+        wanted = {
+            r.seq_num for r in everything if (start is None or r.ts >= start) and (end is None or r.ts <= end) and (key is None or r.pump_serial == key)
+        }
+        assert {r.seq_num for r in table.between(start, end, key).collect()} == wanted
+        assert table.zones_between(start, end, key).count() < len(zones)
+    assert table.zones_of_latest(20).count() < len(zones)
+    latest = {r.seq_num for r in table.latest(20).collect()}
+    for device in {r.pump_serial for r in everything}:
+        own = sorted(r.seq_num for r in everything if r.pump_serial == device)
+        assert set(own[-20:]) <= latest
+
+
+def test_distinct_sketches_merge_within_their_bound(spark):
+    rows = spark.range(60000).select(
+        (F.col("id") % 3).alias("pump_serial"), (F.col("id") % 5).alias("month"),
+        F.when(F.col("id") % 11 > 0, F.pmod(F.xxhash64("id"), F.when(F.col("id") % 3 == 0, 50).otherwise(20000)).cast("double")).alias("bg"),
+    )
+    found = summary.distinct_estimates(summary.distinct_sketches(rows, "bg", ["pump_serial", "month"]))
+    exact = {r.pump_serial: (r.n, r.d) for r in rows.groupBy("pump_serial").agg(F.count("bg").alias("n"), F.count_distinct("bg").alias("d")).collect()}
+    for r in found.collect():
+        n, d = exact[r.pump_serial]
+        assert r.n_values == n and abs(r.n_distinct - d) <= 0.05 * d
+    profile = summary.value_profile(rows, "bg")
+    assert {r.pump_serial: r.n_distinct for r in profile.collect()} == {k: d for k, (_, d) in exact.items()}
+    assert "SortAggregate" not in profile._jdf.queryExecution().executedPlan().toString()

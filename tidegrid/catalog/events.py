@@ -11,7 +11,9 @@ from tidegrid.catalog.base import HOURLY, LABELLED_SQL, SIG_SQL, W_SQL, aligned_
 from tidegrid.functions import timegrid as tg
 from tidegrid.operators import events as ev
 from tidegrid.operators import features, grid
+from tidegrid.session import scratch_dir
 from tidegrid.signals import labelled_events, read_table, signal_events
+from tidegrid.sources.published import SortedTable
 
 NOW = dt.datetime(2024, 1, 20)
 NOW_SQL = "TIMESTAMP '2024-01-20 00:00:00'"
@@ -306,6 +308,18 @@ def p23(spark, sf):
     return ev.in_range(signal_events(spark, sf), "2024-01-05", "2024-01-12 12:00:00").select("pump_serial", "seq_num")
 
 
+@query(
+    "p23_range_of_sorted_files",
+    f"""WITH {SIG_SQL} SELECT pump_serial, seq_num FROM sig WHERE ts >= TIMESTAMP '2024-01-05' AND ts <= TIMESTAMP '2024-01-12 12:00:00'""",
+)
+def p23_sorted(spark, sf):
+    """The range from a sink sorted by device and time; files that cannot have it are not opened."""
+    events = signal_events(spark, sf)
+    table = SortedTable(spark, scratch_dir(spark, "sorted"), events.schema)
+    table.write(events)
+    return table.between("2024-01-05", "2024-01-12 12:00:00").select("pump_serial", "seq_num")
+
+
 @query(
     "p23_since_last_sync",
     f"""WITH {SIG_SQL}, s AS (SELECT pump_serial, max(ts) AS t FROM sig WHERE stream = 'basal' GROUP BY 1)

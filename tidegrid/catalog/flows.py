@@ -18,7 +18,7 @@ from tidegrid.plans import dataflows, merge
 from tidegrid.quality import placeholder
 from tidegrid.session import scratch_dir
 from tidegrid.signals import labelled_events, read_table, signal_events
-from tidegrid.sources import csv_files, history_log, store
+from tidegrid.sources import csv_files, history_log, published, store
 from tidegrid.streaming import jobs as streams
 
 HOUR = GridSpec(freq_seconds=3600, pad_seconds=0, tile_bins=336)
@@ -461,6 +461,18 @@ def s12(spark, sf):
     return spark.read.parquet(path).select(*events.columns)
 
 
+@query("s12_published_table", ALL_SIG)
+def s12_published(spark, sf):
+    """Written whole, one stream replaced by half of its rows, and the other half appended."""
+    events = signal_events(spark, sf)
+    table = published.Published(spark, scratch_dir(spark, "published"), events.schema, ["stream"])
+    table.write(events)
+    cgm = events.filter(F.col("stream") == "cgm")
+    table.write(cgm.filter("seq_num % 2 = 0"), "touched")
+    table.write(cgm.filter("seq_num % 2 = 1"), "append")
+    return table.read().select(*events.columns)
+
+
 @query(
     "s13_sequence_sink",
     f"""WITH {SEQ_SQL} SELECT pump_serial, segment_id, count(*) AS n_rows, {r('avg((bg IS NOT NULL)::INT)', 'bg_coverage')} FROM sx GROUP BY 1, 2""",
@@ -536,10 +548,7 @@ def s16(spark, sf):
 def s17(spark, sf):
     path = scratch_dir(spark, "gate")
     rows = readings(spark, sf)
-    store.write_accepted(rows, placeholder.score_batches(rows), path)
-    schema = T.StructType([T.StructField("ts", T.TimestampType()), T.StructField("bg", T.DoubleType()), T.StructField("pump_serial", T.LongType())])
-    parts = [spark.read.schema(schema).parquet(f"{path}/{p}").withColumn("place", F.lit(p)) for p in ("accepted", "quarantine")]
-    return parts[0].unionByName(parts[1])
+    return published.publish_accepted(rows, placeholder.score_batches(rows), path).read().select("pump_serial", "ts", "bg", "place")
 
 
 EVENT_SCHEMA = T.StructType(

@@ -8,7 +8,9 @@ from tidegrid.catalog.base import DAILY, HOURLY, SIG_SQL, SIX_HOURLY, W_SQL, ali
 from tidegrid.catalog.events import HOUR_GRID, ORDER_SQL, hour_grid, order_events
 from tidegrid.catalog.grids import SIX_SQL, STEP_SQL, readings, six_grid
 from tidegrid.operators import constant_runs, events as ev, gaps, grid, summary, windows
+from tidegrid.session import scratch_dir
 from tidegrid.signals import labelled_events, read_table, signal_events
+from tidegrid.sources.published import SortedTable
 
 CGM_SQL = f"{SIG_SQL}, cgm AS (SELECT pump_serial, ts, value AS bg FROM sig WHERE stream = 'cgm')"
 # Bulk readings: one device per supplier, the quantity as value.
@@ -91,6 +93,20 @@ def a13(spark, sf):
     return summary.value_profile(bulk(spark, sf), "bg").select("pump_serial", "n_distinct", "n_rows")
 
 
+@query(
+    "a13_distinct_sketches",
+    f"""WITH {BULK_SQL}, b AS (SELECT pump_serial, bg FROM bulk WHERE bg IS NOT NULL)
+    SELECT pump_serial, count(*) AS n_values, true AS within_five_percent FROM b GROUP BY 1""",
+)
+def a13_sketches(spark, sf):
+    """Sketches per device and month, merged per device, beside the exact count."""
+    rows = bulk(spark, sf)
+    exact = summary.value_profile(rows, "bg").select("pump_serial", F.col("n_distinct").alias("exact"))
+    sketches = summary.distinct_sketches(rows.withColumn("month", F.date_format("ts", "yyyyMM")), "bg", ["pump_serial", "month"])
+    near = F.abs(F.col("n_distinct") - F.col("exact")) <= 0.05 * F.col("exact")
+    return summary.distinct_estimates(sketches).join(exact, "pump_serial").filter("exact > 0").select("pump_serial", "n_values", near.alias("within_five_percent"))
+
+
 @query(
     "a14_band_shares",
     f"""WITH {BULK_SQL} SELECT pump_serial, {r('avg((bg BETWEEN 95 AND 105)::INT)', 'narrow_share')}, {r('avg((bg = 100)::INT)', 'exact_100_share')},
@@ -442,6 +458,15 @@ def l01(spark, sf):
     return signal_events(spark, sf).select("pump_serial", "ts", "stream", "value").orderBy("pump_serial", "ts")
 
 
+@query("l01_sorted_files", f"WITH {SIG_SQL} SELECT pump_serial, ts, stream, round(value, 6) AS value FROM sig")
+def l01_files(spark, sf):
+    """L1 on write: the rows of a sink whose files follow each other in device and time."""
+    rows = signal_events(spark, sf).select("pump_serial", "ts", "stream", "value")
+    table = SortedTable(spark, scratch_dir(spark, "sorted"), rows.schema)
+    table.write(rows)
+    return table.read()
+
+
 @query("l02_first_issues", f"WITH {SIG_SQL} SELECT seq_num, pump_serial FROM sig WHERE stream = 'cgm' AND value < 20 ORDER BY seq_num LIMIT 20")
 def l02(spark, sf):
     low = signal_events(spark, sf).filter((F.col("stream") == "cgm") & (F.col("value") < 20))

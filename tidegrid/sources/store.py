@@ -1,4 +1,4 @@
-"""Parquet and CSV sinks, batch store, fingerprints, quality gate."""
+"""Parquet and CSV sinks, batch store, fingerprints, (S8-S13, S16, U1); the quality gate is in `published`."""
 
 from __future__ import annotations
 
@@ -8,7 +8,6 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidegrid.session import stage
 from tidegrid.tiles import KEYS
 
 # File roles and the standard name of each.
@@ -120,10 +119,3 @@ def write_split(rows: DataFrame, summary: DataFrame, path: str) -> None:
     by = ["pump_serial", "subset"]
     rows.repartition(*by, _month()).write.mode("overwrite").partitionBy(*by).parquet(f"{path}/rows")
     summary.write.mode("overwrite").json(f"{path}/summary")
-
-
-def write_accepted(rows: DataFrame, verdicts: DataFrame, path: str, by: Sequence[str] = KEYS) -> None:
-    """Batches judged valid go to the dataset, the others to quarantine; nothing is deleted."""
-    valid = stage(verdicts.filter("is_valid").select(*by), "valid-batches")
-    for place, how in (("accepted", "left_semi"), ("quarantine", "left_anti")):
-        _by_folder(rows.join(valid, list(by), how), by).write.mode("overwrite").partitionBy(*by).parquet(f"{path}/{place}")
