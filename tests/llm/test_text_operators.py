@@ -180,11 +180,27 @@ def test_outliers_of_a_group_go_and_the_rest_stays(docs):
     noisy = [(1000 + i, " ".join(f"w{i}x{j}###" for j in range(80)), "a", "en") for i in range(5)]
     rare = [(2000, " ".join(f"u{j}" for j in range(60)), "rare", None)]
     frame = docs(plain + noisy + rare)
-    kept = quality_rules.keep(frame, min_docs=50)
+    kept = quality_rules.keep(frame, prior=(25, 25))
     assert kept.dtypes == frame.dtypes
     assert sorted(r.doc_id for r in kept.collect()) == [*range(300), 2000]
 
 
+def test_thresholds_change_by_one_text_at_every_size(docs):
+    """A source unlike the rest of its language grows from 199 to 200 texts; its limits move as much as with any one text more."""
+
+    def limits(n):
+        usual = [(i, " ".join(f"w{i}x{j}" for j in range(60)), "usual", "en") for i in range(400)]
+        own = [(1000 + i, " ".join(f"{'#' * (1 + i % 3)} t{i}x{j}" for j in range(60)), "tables", "en") for i in range(n)]
+        light = docs(usual + own).select("text", "lang", "source")
+        figures, names = quality_rules.measured(light)
+        cells = quality_rules.sketches(figures, names, F.col("lang"), F.col("source"))
+        return {r.source: r.limits for r in quality_rules.thresholds(cells).collect()}["tables"]
+
+    at = {n: limits(n) for n in (150, 151, 199, 200)}
+    for before, after, base, step in zip(at[199], at[200], at[150], at[151], strict=True):
+        assert abs(after - before) <= max(2 * abs(step - base), 0.02 * abs(before))
+
+
 def test_verdicts_on_awkward_rows(docs, messy):
     rows = quality_rules.verdicts(docs(messy)).collect()
     assert len(rows) == len(messy)

@@ -3,9 +3,10 @@
 Each text gets a few whole-number measures.  Per (language, source) the distribution of each measure is kept as a quantile sketch:
 a log-linear histogram (64 exact cells, then 32 cells per power of two, so a cell is at most 1/32 of its value wide).  Sketches
 merge by adding cell counts, so they are one hash aggregation with map-side combine, exact in any order, and the sketch of a language is the sum of
-those of its sources.  A threshold is a far-out fence, ``q3 + spread * (q3 - q1) + slack``, read from the
-sketch of the group; groups with fewer than ``min_docs`` texts use their language's sketch, and below that the one of all.
-Rows are then joined with the thresholds of their group and filtered.
+those of its sources.  A far-out fence, ``q3 + spread * (q3 - q1) + slack``, is read from the sketch of the group, of its
+language and of all; the threshold is their mean, weighted by the group's number of texts, ``PRIOR_LANG`` and ``PRIOR_ALL``.  So a
+large group follows its own texts, a small one mostly its language, and one text more moves a threshold a little at every size.  Rows
+are then joined with the thresholds of their group and filtered.
 
 Fences replace fixed cutoffs: they follow what is normal for a group and reject no fixed share of it; ``slack`` keeps a group whose
 texts are all alike from rejecting the first one that differs a little.
@@ -31,7 +32,7 @@ from tidegrid.session import stage
 
 MEASURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_stray")
 MIN_WORDS = 50
-MIN_DOCS = 200
+PRIOR_LANG, PRIOR_ALL = 100, 10
 _SYMBOL = np.zeros(256, dtype=bool)
 _SYMBOL[[ord(c) for c in "#*$%&|<>"]] = True
 _STRAY = np.zeros(256, dtype=bool)
@@ -163,13 +164,13 @@ def fences(cells: DataFrame, keys: Sequence[str], rules: Sequence[Rule] = RULES)
     return quartiles.select(*keys, "rule", "docs", (F.col("q3") + own["spread"] * (F.col("q3") - F.col("q1")) + own["slack"]).alias("fence"))
 
 
-def thresholds(cells: DataFrame, rules: Sequence[Rule] = RULES, min_docs: int = MIN_DOCS) -> DataFrame:
+def thresholds(cells: DataFrame, rules: Sequence[Rule] = RULES, prior: tuple[int, int] = (PRIOR_LANG, PRIOR_ALL)) -> DataFrame:
     """``lang, source, limits`` (an array in the order of ``rules``) for every group."""
     own = fences(cells, ["lang", "source"], rules).alias("o")
     by_lang = fences(cells, ["lang"], rules).alias("l")
     overall = fences(cells, [], rules).alias("a")
     joined = own.join(by_lang, F.expr("o.lang <=> l.lang AND o.rule = l.rule")).join(overall, F.expr("o.rule = a.rule"))
-    fence = F.expr(f"CASE WHEN o.docs >= {min_docs} THEN o.fence WHEN l.docs >= {min_docs} THEN l.fence ELSE a.fence END")
+    fence = F.expr(f"(o.docs * o.fence + {prior[0]} * l.fence + {prior[1]} * a.fence) / (o.docs + {sum(prior)})")
     each = joined.select("o.lang", "o.source", "o.rule", fence.alias("fence"))
     by_rule = [F.max(F.when(F.col("rule") == k, F.col("fence"))) for k in range(len(rules))]
     return each.groupBy("lang", "source").agg(F.array(*by_rule).alias("limits"))
@@ -187,23 +188,23 @@ def judged(figures: DataFrame, names: dict[str, str], limits: DataFrame, lang: C
     return joined.withColumn(kept, verdict).drop(the_lang, the_source, the_limits)
 
 
-def keep(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", source_col: str = "source", min_docs: int = MIN_DOCS) -> DataFrame:
+def keep(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", source_col: str = "source", prior: tuple[int, int] = (PRIOR_LANG, PRIOR_ALL)) -> DataFrame:
     """The rows of ``docs`` that pass, with their columns.  Texts are measured twice rather than moved."""
     light = docs.select(col(text_col).alias("text"), col(lang_col).alias("lang"), col(source_col).alias("source"))
     lit, lit_names = measured(light)
     cells = stage(sketches(lit, lit_names, F.col("lang"), F.col("source")), "rules-cells")
-    limits = stage(thresholds(cells, min_docs=min_docs), "rules-limits")
+    limits = stage(thresholds(cells, prior=prior), "rules-limits")
     full, names = measured(docs, text_col)
     (kept,) = fresh(full, "_kept")
     return judged(full, names, limits, col(lang_col), col(source_col), kept).filter(F.col(kept)).select(*[col(c) for c in docs.columns])
 
 
-def verdicts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", source_col: str = "source", min_docs: int = MIN_DOCS) -> DataFrame:
+def verdicts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", source_col: str = "source", prior: tuple[int, int] = (PRIOR_LANG, PRIOR_ALL)) -> DataFrame:
     """One row per document: id, measures, ``base_failed`` and ``kept``; texts are measured once and not kept."""
     light = docs.select(col(id_col).alias("doc_id"), col(text_col).alias("text"), col(lang_col).alias("lang"), col(source_col).alias("source"))
     figures, names = measured(light)
     figures = stage(figures.drop("text"), "rules-figures")
     cells = stage(sketches(figures, names, F.col("lang"), F.col("source")), "rules-cells")
-    limits = stage(thresholds(cells, min_docs=min_docs), "rules-limits")
+    limits = stage(thresholds(cells, prior=prior), "rules-limits")
     out = judged(figures, names, limits, F.col("lang"), F.col("source"), "kept")
     return out.withColumn("base_failed", base_failed(names)).select("doc_id", "lang", "source", *MEASURES, "base_failed", "kept")

@@ -235,7 +235,7 @@ settings(rule, spread, slack) AS (VALUES {settings}),
 {fence("own", "lang, source")},
 {fence("lan", "lang")},
 {fence("every", "")},
-each AS (SELECT o.lang, o.source, o.rule, CASE WHEN o.docs >= {quality_rules.MIN_DOCS} THEN o.fence WHEN l.docs >= {quality_rules.MIN_DOCS} THEN l.fence ELSE a.fence END AS fence
+each AS (SELECT o.lang, o.source, o.rule, (o.docs * o.fence + {quality_rules.PRIOR_LANG} * l.fence + {quality_rules.PRIOR_ALL} * a.fence) / (o.docs + {quality_rules.PRIOR_LANG + quality_rules.PRIOR_ALL}) AS fence
   FROM own o JOIN lan l ON o.lang IS NOT DISTINCT FROM l.lang AND o.rule = l.rule JOIN every a ON o.rule = a.rule),
 limits AS (SELECT lang, source, {", ".join(f"max(fence) FILTER (WHERE rule = {k}) AS f{k}" for k in range(len(rules)))} FROM each GROUP BY lang, source),
 judged AS (SELECT m.*, NOT base_failed AND {inside} AS kept
