@@ -226,15 +226,8 @@ def q09(spark, sf):
 
 
 NOW = dt.datetime(2024, 1, 25)
-Q10_SQL = (
-    V7_SQL.replace(V7_GRID, f"{ORG_SQL}, q AS (SELECT * FROM grid)")
-    .replace("100.0::DOUBLE AS basal_pct", "avg((basal_rate IS NOT NULL)::INT) * 100 AS basal_pct")
-    .replace(
-        "'completeness_basal', 'PASS', 'LOW', basal_pct",
-        "'completeness_basal', CASE WHEN basal_pct < 90 THEN 'WARN' ELSE 'PASS' END, CASE WHEN basal_pct < 90 THEN 'MEDIUM' ELSE 'LOW' END, basal_pct",
-    )
-)
-Q10_REPORT = V8_OUT.replace(" basal_pct, ", f" {r('basal_pct', 'basal_pct')}, ", 1)
+Q10_SQL = V7_SQL.replace(V7_GRID, f"{ORG_SQL}, q AS (SELECT * FROM grid)")
+Q10_REPORT = V8_OUT
 
 
 @query("q10_validation_run", f"WITH {Q10_SQL}, {Q10_REPORT}")
@@ -288,21 +281,28 @@ def q13(spark, sf):
     return rows.select("pump_serial", "segment_id", "ts", "bg", "basal_rate", "mask_label")
 
 
-Q14_SIG = f"""sig AS (WITH {HOUR_GRID}, o AS (SELECT * FROM grid WHERE bg IS NOT NULL OR bolus_dose > 0)
-  SELECT pump_serial, ts, 0 AS seq_num, 'cgm' AS stream, bg AS value FROM o WHERE bg IS NOT NULL
-  UNION ALL SELECT pump_serial, ts, 0, 'basal', basal_rate FROM o UNION ALL SELECT pump_serial, ts, 0, 'bolus', bolus_dose FROM o WHERE bolus_dose > 0)"""
+Q14_SIG = f"""sig AS (WITH {SIG_SQL} SELECT pump_serial, ts, 0 AS seq_num, stream, value FROM sig)"""
+Q14_SQL = f"""WITH {Q14_SIG}{SEQ_SQL[len(SIG_SQL):]}, t AS (SELECT pump_serial, segment_id, min(ts) AS segment_start, count(*) AS n_rows, avg((bg IS NOT NULL)::INT) AS cov FROM sx GROUP BY 1, 2),
+    x AS (SELECT *, row_number() OVER (PARTITION BY pump_serial ORDER BY segment_start) AS rn, count(*) OVER (PARTITION BY pump_serial) AS n FROM t),
+    y AS (SELECT *, CASE WHEN rn <= (n * 70) // 100 THEN 'train' WHEN rn <= (n * 85) // 100 THEN 'validate' ELSE 'test' END AS subset FROM x)"""
 
 
-@query(
-    "q14_resequenced_and_split",
-    f"""WITH {Q14_SIG}{SEQ_SQL[len(SIG_SQL):]}, t AS (SELECT pump_serial, segment_id, min(ts) AS segment_start, count(*) AS n_rows, avg((bg IS NOT NULL)::INT) AS cov FROM sx GROUP BY 1, 2),
-    x AS (SELECT *, row_number() OVER (PARTITION BY pump_serial ORDER BY segment_start) AS rn, count(*) OVER (PARTITION BY pump_serial) AS n FROM t)
-    SELECT pump_serial, segment_id, segment_start, n_rows, {r('cov', 'bg_coverage')}, CASE WHEN rn <= (n * 70) // 100 THEN 'train' WHEN rn <= (n * 85) // 100 THEN 'validate' ELSE 'test' END AS subset FROM x""",
-)
+def merged_files(spark, sf):
+    """All events as merged files have them: a row per observed time, null where a stream has no event."""
+    of = {name: F.max(F.when(F.col("stream") == name, F.col("value"))) for name in ("cgm", "basal", "bolus")}
+    names = {"cgm": "bg", "basal": "basal_rate", "bolus": "bolus_dose"}
+    return signal_events(spark, sf).groupBy("pump_serial", "ts").agg(*[of[s].alias(n) for s, n in names.items()])
+
+
+@query("q14_resequenced_and_split", f"{Q14_SQL} SELECT pump_serial, segment_id, segment_start, n_rows, {r('cov', 'bg_coverage')}, subset FROM y")
 def q14(spark, sf):
-    merged = hour_grid(spark, sf)
-    observed = merged.filter(F.col("bg").isNotNull() | (F.col("bolus_dose") > 0))
-    return dataflows.resequenced(observed, HOURLY)[1]
+    return dataflows.resequenced(merged_files(spark, sf), HOURLY)[1]
+
+
+@query("q14_split_rows", f"{Q14_SQL} SELECT sx.pump_serial, sx.segment_id, ts, round(bg, 6) AS bg, round(basal_rate, 6) AS basal_rate, subset FROM sx JOIN y USING (pump_serial, segment_id)")
+def q14_rows(spark, sf):
+    rows = dataflows.resequenced(merged_files(spark, sf), HOURLY)[0]
+    return rows.select("pump_serial", "segment_id", "ts", "bg", "basal_rate", "subset")
 
 
 def write_stream_files(spark, sf, label):

@@ -58,7 +58,7 @@ def v02(spark, sf):
 # Sequences: the 6-hour grid with one segment per device and masks from the imputation.
 SEQ_RULES_SQL = f"""{SIX_SQL}, {RUN_SQL},
 fq AS (SELECT *, CASE WHEN bg IS NOT NULL THEN bg WHEN run_len <= 12 AND p_ts IS NOT NULL AND n_ts IS NOT NULL THEN
-    p_bg + (n_bg - p_bg) * date_diff('second', p_ts, ts) / date_diff('second', p_ts, n_ts) END AS v FROM m),
+    p_bg + (n_bg - p_bg) * ((epoch_us(ts) - epoch_us(p_ts)) / 1000000.0) / date_diff('second', p_ts, n_ts) END AS v FROM m),
 sq AS (SELECT pump_serial, CAST(ts AS DATE) AS d0, ts, CASE WHEN v IS NOT NULL THEN greatest(least(v, 600.0), 20.0) END AS bg, basal_rate, bolus_dose,
     bg IS NULL AS mask_bg, v IS NULL AS mask_label, date_diff('day', DATE '2024-01-01', CAST(ts AS DATE)) // 7 AS segment_id FROM fq)"""
 
@@ -102,7 +102,19 @@ def v03b(spark, sf):
     return sequences.sequence_report(sequences.sequence_checks(weekly_sequences(spark, sf), SIX_HOURLY))
 
 
-GRID_STEP_SQL = f"""gs AS (SELECT pump_serial, ts, date_diff('second', lag(ts) OVER {W_SQL}, ts) AS s FROM q)"""
+# Every observed time of a device with what was recorded then; a signal that was not is null, a dose that was not is 0.
+OBSERVED_SQL = f"""{SIG_SQL}, q AS (SELECT pump_serial, ts, max(value) FILTER (WHERE stream = 'cgm') AS bg, max(value) FILTER (WHERE stream = 'basal') AS basal_rate,
+    coalesce(max(value) FILTER (WHERE stream = 'bolus'), 0.0) AS bolus_dose FROM sig GROUP BY 1, 2)"""
+
+
+def observed(spark, sf):
+    of = {name: F.max(F.when(F.col("stream") == name, F.col("value"))) for name in ("cgm", "basal", "bolus")}
+    return signal_events(spark, sf).groupBy("pump_serial", "ts").agg(
+        of["cgm"].alias("bg"), of["basal"].alias("basal_rate"), F.coalesce(of["bolus"], F.lit(0.0)).alias("bolus_dose")
+    )
+
+
+GRID_STEP_SQL = f"""gs AS (SELECT pump_serial, ts, ((epoch_us(ts) - epoch_us(lag(ts) OVER {W_SQL})) / 1000000.0) AS s FROM q)"""
 SIGNALS = ("bg", "basal_rate", "bolus_dose")
 V4_AGG = ", ".join(
     f"{r(f'avg(({s} IS NULL)::INT) * 100', f'{s}_missing_pct')}, {r(f'min({s})', f'{s}_min')}, {r(f'max({s})', f'{s}_max')}, {r(f'avg({s})', f'{s}_mean')}, {r(f'stddev_samp({s})', f'{s}_std')}"
@@ -112,20 +124,19 @@ V4_AGG = ", ".join(
 
 @query(
     "v04_quality_check",
-    f"""WITH {HOUR_GRID}, q AS (SELECT * FROM grid WHERE bg IS NOT NULL OR bolus_dose > 0 OR hour(ts) = 0), {GRID_STEP_SQL},
-    a AS (SELECT pump_serial, count(*) AS n_rows, min(ts) AS first_ts, max(ts) AS last_ts, {V4_AGG}, avg((bg IS NULL)::INT) * 100 / 3 AS mm FROM q GROUP BY 1),
+    f"""WITH {OBSERVED_SQL}, {GRID_STEP_SQL},
+    a AS (SELECT pump_serial, count(*) AS n_rows, min(ts) AS first_ts, max(ts) AS last_ts, {V4_AGG}, (avg((bg IS NULL)::INT) + avg((basal_rate IS NULL)::INT) + avg((bolus_dose IS NULL)::INT)) * 100 / 3 AS mm FROM q GROUP BY 1),
     g AS (SELECT pump_serial, count(*) FILTER (WHERE s > 7200) AS n_gaps, {r('coalesce(max(s) / 3600, 0)', 'max_gap_hours')} FROM gs GROUP BY 1)
     SELECT a.* EXCLUDE (mm), n_gaps, max_gap_hours, CASE WHEN mm > 50 THEN 'poor' WHEN mm > 20 THEN 'fair' ELSE 'good' END AS status
     FROM a JOIN g ON g.pump_serial = a.pump_serial""",
 )
 def v04(spark, sf):
-    rows = hour_grid(spark, sf)
-    return checks.quality_check(rows.filter(F.col("bg").isNotNull() | (F.col("bolus_dose") > 0) | (F.hour("ts") == 0)), HOURLY.tile_seconds)
+    return checks.quality_check(observed(spark, sf), HOURLY.tile_seconds)
 
 
 @query(
     "v05_suggestions",
-    f"""WITH {HOUR_GRID}, q AS (SELECT * FROM grid WHERE bg IS NOT NULL OR bolus_dose > 0), {GRID_STEP_SQL},
+    f"""WITH {OBSERVED_SQL}, {GRID_STEP_SQL},
     g AS (SELECT pump_serial, count(*) FILTER (WHERE s > 7200) AS n FROM gs GROUP BY 1),
     a AS (SELECT pump_serial, count(*) FILTER (WHERE bg IS NULL) AS mi, count(*) FILTER (WHERE bg < 70) AS lo, count(*) FILTER (WHERE bg > 400) AS hi FROM q GROUP BY 1)
     SELECT a.pump_serial, coalesce(nullif(concat_ws('; ', CASE WHEN mi > 0 THEN 'Consider interpolating ' || mi || ' missing BG values' END,
@@ -134,8 +145,7 @@ def v04(spark, sf):
     FROM a JOIN g ON g.pump_serial = a.pump_serial""",
 )
 def v05(spark, sf):
-    rows = hour_grid(spark, sf)
-    return checks.suggestions(rows.filter(F.col("bg").isNotNull() | (F.col("bolus_dose") > 0)), HOURLY.tile_seconds)
+    return checks.suggestions(observed(spark, sf), HOURLY.tile_seconds)
 
 
 @query(
@@ -151,28 +161,27 @@ def v06(spark, sf):
     return sequences.placeholder_analysis(plateau_grid(spark, sf), DAILY)
 
 
-# The checks run over a grid whose rows without any signal are left out, so gaps and rates have something to find.
-V7_GRID = f"""{aligned_sql(NO_PAD)}, q AS (SELECT * FROM grid WHERE bg IS NOT NULL OR bolus_dose > 0)"""
+# The checks run over all observed times, so gaps, rates and missing signals are there to find.
+V7_GRID = OBSERVED_SQL
 NOW = dt.datetime(2024, 1, 25)
 
 
 def check_rows(spark, sf):
-    rows = grid.align(signal_events(spark, sf), NO_PAD)
-    return stage(rows.filter(F.col("bg").isNotNull() | (F.col("bolus_dose") > 0)), "checked")
+    return stage(observed(spark, sf), "checked")
 
 
 V7_SQL = f"""{V7_GRID},
-m1 AS (SELECT pump_serial, count(*) AS n_rows, avg((bg IS NOT NULL)::INT) * 100 AS cgm_pct, 100.0::DOUBLE AS basal_pct, avg((bolus_dose > 0)::INT) * 100 AS bolus_pct, count(bg) AS n_bg,
+m1 AS (SELECT pump_serial, count(*) AS n_rows, avg((bg IS NOT NULL)::INT) * 100 AS cgm_pct, avg((basal_rate IS NOT NULL)::INT) * 100 AS basal_pct, avg((bolus_dose > 0)::INT) * 100 AS bolus_pct, count(bg) AS n_bg,
     count(*) FILTER (WHERE bg < 40 OR bg > 600) AS cgm_extreme, count(*) FILTER (WHERE bg < 70 OR bg > 180) AS cgm_not_normal,
     count(*) FILTER (WHERE basal_rate < 0 OR basal_rate > 10) AS basal_extreme, count(*) FILTER (WHERE bolus_dose > 0) AS n_bolus, count(*) FILTER (WHERE bolus_dose > 50) AS bolus_extreme,
-    count(*) FILTER (WHERE ts > TIMESTAMP '2024-01-25') AS n_future, date_diff('second', min(ts), max(ts)) / 3600.0 AS span_hours, avg(bg) AS bg_mean, stddev_samp(bg) AS bg_std,
+    count(*) FILTER (WHERE ts > TIMESTAMP '2024-01-25') AS n_future, ((epoch_us(max(ts)) - epoch_us(min(ts))) / 1000000.0) / 3600.0 AS span_hours, avg(bg) AS bg_mean, stddev_samp(bg) AS bg_std,
     count(*) FILTER (WHERE bolus_dose >= 2) AS n_large FROM q GROUP BY 1),
 {GRID_STEP_SQL},
 m2 AS (SELECT pump_serial, count(*) FILTER (WHERE s > 600) AS n_gaps, max(CASE WHEN s > 600 THEN s / 60.0 END) AS max_gap FROM gs GROUP BY 1),
 qb AS (SELECT pump_serial, ts, bg FROM q WHERE bg IS NOT NULL),
 {ANOMALY_SQL.format(src='qb')},
 rt AS (SELECT pump_serial, CASE WHEN mm BETWEEN 4 AND 16 THEN abs(d / mm) END AS rate FROM (SELECT pump_serial, bg - lag(bg) OVER {W_SQL} AS d,
-    date_diff('second', lag(ts) OVER {W_SQL}, ts) / 60.0 AS mm FROM qb)),
+    ((epoch_us(ts) - epoch_us(lag(ts) OVER {W_SQL})) / 1000000.0) / 60.0 AS mm FROM qb)),
 m4 AS (SELECT pump_serial, count(rate) AS n_rates, count(*) FILTER (WHERE rate > 10) AS n_extreme FROM rt GROUP BY 1),
 co AS (SELECT pump_serial, bg, lag(bolus_dose, 6) OVER {W_SQL} AS d FROM q),
 co2 AS (SELECT pump_serial, corr(bg, d) AS cr FROM co GROUP BY 1),
@@ -188,7 +197,7 @@ mx AS (SELECT m1.*, n_gaps, max_gap, anomalies, anomaly_pct, n_rates, n_extreme,
 ck AS (
   SELECT pump_serial, 'schema' AS check_name, 'PASS' AS status, 'LOW' AS severity, n_rows::DOUBLE AS value FROM mx
   UNION ALL SELECT pump_serial, 'completeness_cgm', CASE WHEN cgm_pct < 85 THEN 'FAIL' WHEN cgm_pct < 95 THEN 'WARN' ELSE 'PASS' END, CASE WHEN cgm_pct < 85 THEN 'HIGH' WHEN cgm_pct < 95 THEN 'MEDIUM' ELSE 'LOW' END, cgm_pct FROM mx
-  UNION ALL SELECT pump_serial, 'completeness_basal', 'PASS', 'LOW', basal_pct FROM mx
+  UNION ALL SELECT pump_serial, 'completeness_basal', CASE WHEN basal_pct < 90 THEN 'WARN' ELSE 'PASS' END, CASE WHEN basal_pct < 90 THEN 'MEDIUM' ELSE 'LOW' END, basal_pct FROM mx
   UNION ALL SELECT pump_serial, 'completeness_bolus', CASE WHEN bolus_pct > 20 THEN 'WARN' ELSE 'PASS' END, CASE WHEN bolus_pct > 20 THEN 'MEDIUM' ELSE 'LOW' END, bolus_pct FROM mx
   UNION ALL SELECT pump_serial, 'range_cgm_extreme', 'FAIL', 'HIGH', cgm_extreme FROM mx WHERE cgm_extreme > 0
   UNION ALL SELECT pump_serial, 'range_cgm_normal', CASE WHEN cgm_not_normal / n_bg * 100 > 50 THEN 'WARN' ELSE 'PASS' END, CASE WHEN cgm_not_normal / n_bg * 100 > 50 THEN 'MEDIUM' ELSE 'LOW' END, cgm_not_normal / n_bg * 100 FROM mx WHERE cgm_not_normal > 0
@@ -220,10 +229,10 @@ V8_OUT = f"""rp AS (SELECT pump_serial, count(*) AS total_checks, count(*) FILTE
     count(*) FILTER (WHERE severity = 'HIGH') AS n_high, count(*) FILTER (WHERE severity = 'CRITICAL') AS n_critical,
     count(*) FILTER (WHERE check_name LIKE 'temporal\\_%' ESCAPE '\\' AND status = 'WARN') + 3 * count(*) FILTER (WHERE check_name LIKE 'temporal\\_%' ESCAPE '\\' AND status = 'FAIL') AS pen
   FROM ck GROUP BY 1)
-SELECT rp.* EXCLUDE (pen), n_rows, {r('cgm_pct', 'cgm_pct')}, basal_pct, {r('bolus_pct', 'bolus_pct')}, {r('greatest(0, least(100, n_pass / total_checks * 100 - n_fail / total_checks * 200))', 'overall_score')},
+SELECT rp.* EXCLUDE (pen), n_rows, {r('cgm_pct', 'cgm_pct')}, {r('basal_pct', 'basal_pct')}, {r('bolus_pct', 'bolus_pct')}, {r('greatest(0, least(100, n_pass / total_checks * 100 - n_fail / total_checks * 200))', 'overall_score')},
   CASE WHEN n_fail > 0 AND n_critical > 0 THEN 'CRITICAL_FAILURE' WHEN n_fail > 0 THEN 'FAILURE' WHEN n_warn > 0 AND n_high > 0 THEN 'WARNING_HIGH' WHEN n_warn > 0 THEN 'WARNING' ELSE 'PASS' END AS overall_status,
   {r('''(CASE WHEN cgm_pct > 0 THEN cgm_pct * 0.7 ELSE 0 END + basal_pct * 0.2 + CASE WHEN bolus_pct > 0 THEN least(bolus_pct * 5, 100) * 0.1 ELSE 0 END)
-    / ((cgm_pct > 0)::INT + 1 + (bolus_pct > 0)::INT)''', 'continuity_score')}, greatest(0, 100 - pen * 10)::DOUBLE AS temporal_score
+    / nullif((cgm_pct > 0)::INT + (basal_pct > 0)::INT + (bolus_pct > 0)::INT, 0)''', 'continuity_score')}, greatest(0, 100 - pen * 10)::DOUBLE AS temporal_score
 FROM rp JOIN mx ON mx.pump_serial = rp.pump_serial"""
 
 
@@ -247,8 +256,8 @@ def v09(spark, sf):
 
 @query(
     "v10_quality_report",
-    f"""WITH {HOUR_GRID}, q AS (SELECT * FROM grid WHERE bg IS NOT NULL OR bolus_dose > 0), {GRID_STEP_SQL},
-    t AS (SELECT pump_serial, count(*) AS n_rows, count(*) FILTER (WHERE s > 64800) AS n_gaps, max(s)::DOUBLE AS max_step_seconds, date_diff('second', min(ts), max(ts)) / 3600.0 AS e FROM gs GROUP BY 1),
+    f"""WITH {OBSERVED_SQL}, {GRID_STEP_SQL},
+    t AS (SELECT pump_serial, count(*) AS n_rows, count(*) FILTER (WHERE s > 64800) AS n_gaps, max(s)::DOUBLE AS max_step_seconds, ((epoch_us(max(ts)) - epoch_us(min(ts))) / 1000000.0) / 3600.0 AS e FROM gs GROUP BY 1),
     x AS (SELECT pump_serial, bg, basal_rate, abs(basal_rate - lag(basal_rate) OVER {W_SQL}) AS jb, abs(bg - lag(bg) OVER {W_SQL}) AS jg FROM q),
     p AS (SELECT pump_serial, count(*) FILTER (WHERE basal_rate IN (21, 10)) AS suspicious_values, count(*) FILTER (WHERE jb > 2) AS large_changes, count(*) FILTER (WHERE bg > 400) AS very_high_values,
       count(*) FILTER (WHERE jg > 50) AS rapid_changes FROM x GROUP BY 1),
@@ -257,8 +266,7 @@ def v09(spark, sf):
       CASE WHEN n_issues = 0 THEN 'GOOD' ELSE 'NEEDS_ATTENTION' END AS overall_quality FROM z""",
 )
 def v10(spark, sf):
-    rows = hour_grid(spark, sf)
-    return checks.quality_report(rows.filter(F.col("bg").isNotNull() | (F.col("bolus_dose") > 0)), HOURLY)
+    return checks.quality_report(observed(spark, sf), HOURLY)
 
 
 @query(
@@ -335,7 +343,7 @@ def v15(spark, sf):
 
 @query(
     "v16_file_rules",
-    f"""WITH {PLATEAU_SQL}, b AS (SELECT pump_serial, avg((bg IS NULL)::INT) * 100 AS mp, date_diff('second', min(ts), max(ts)) / 86400.0 AS sd,
+    f"""WITH {PLATEAU_SQL}, b AS (SELECT pump_serial, avg((bg IS NULL)::INT) * 100 AS mp, ((epoch_us(max(ts)) - epoch_us(min(ts))) / 1000000.0) / 86400.0 AS sd,
       count(*) FILTER (WHERE basal_rate NOT BETWEEN 0 AND 8) AS basal_violations, count(*) FILTER (WHERE bolus_dose NOT BETWEEN 0 AND 25) AS bolus_violations FROM pl GROUP BY 1),
     l AS (SELECT pump_serial, count(*) AS n FROM rr WHERE run_len > 10 GROUP BY 1)
     SELECT b.pump_serial, {r('mp', 'missing_pct')}, sd::DOUBLE AS span_days, basal_violations, bolus_violations, 0::BIGINT AS n_duplicates, coalesce(n, 0) AS long_runs, 100.0 - mp > 70 AS coverage_ok,
