@@ -118,6 +118,7 @@ def states(found):
     return {r.seq_num: (r.basal_rate, r.time_since_last_bolus) for r in found.collect()}
 
 
+@pytest.mark.parametrize("arrivals", [("by_device", 1), ("shuffled", 1), ("by_time", 1000)], ids=lambda p: f"{p[0]}-{p[1]}", indirect=True)
 def test_carry_state_is_by_time_not_by_arrival(arrivals, tmp_path):
     frame, stream = arrivals
     assert states(jobs.carry_state(stream(), str(tmp_path / "carry"), tile_seconds=86400)) == carried(frame)
@@ -183,7 +184,7 @@ def test_merge_tree_keeps_the_newest_and_few_runs(spark, tmp_path):
     schema = spark.createDataFrame([], "pump_serial long, ts timestamp, seq_num long, value double").schema
     table = MergeTree(spark, str(tmp_path / "tree"), schema, ["pump_serial", "ts"], ["seq_num"], buckets=2, files=2, max_runs=3)
     everything = []
-    for batch in range(9):
+    for batch in range(6):
         # even batches touch every month, odd ones the first only
         rows = [((rnd.randint(1, 4), at(1440.0 * 25 * rnd.randrange(4 if batch % 2 == 0 else 1))), rnd.randint(0, 9), batch, rnd.random()) for _ in range(20)]
         rows = [(k, o, b, v) for k, o, b, v in {(k, o): (k, o, b, v) for k, o, b, v in rows}.values()]
