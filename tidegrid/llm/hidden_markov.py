@@ -39,6 +39,7 @@ from tidegrid.session import stage, unstage
 
 FOLDS, HELD_FOLD = 7, 2
 STATES, ITERATIONS, SEGMENT = 8, 5, 256
+SIDE_BY_SIDE = 4096  # segments that one recursion takes
 WORD_ITERATIONS, PRIOR = 3, 1.0
 FREQUENT = 2e-5
 FREQUENT_CLASSES, FORM_CLASSES = 4096, 4096
@@ -108,12 +109,13 @@ def _tell(asked: pa.Table) -> pa.Table:
     return tt.table(rows, _TELL)
 
 
-def _forms(w: tb.Words) -> np.ndarray:
-    """A class from a word's last three bytes."""
-    out = np.zeros(len(w.starts), np.uint64)
+def _forms(w: tb.Words, some: np.ndarray) -> np.ndarray:
+    """A class from the last three bytes of some words."""
+    starts, ends = w.starts[some], w.ends[some]
+    out = np.zeros(len(some), np.uint64)
     for back in (1, 2, 3):
-        at = w.ends - back
-        byte = np.where(at >= w.starts, w.data[np.maximum(at, 0)], 0).astype(np.uint64)
+        at = ends - back
+        byte = np.where(at >= starts, w.data[np.maximum(at, 0)], 0).astype(np.uint64)
         out = out * np.uint64(257) + byte
     return (tb.mix(out) % np.uint64(FORM_CLASSES)).astype(np.int64)
 
@@ -128,24 +130,29 @@ def _encode(tokens: int, train_docs: int, buckets: int):
         tile = documents.column("tile")[0].as_py()
         ids = documents.column("doc_id").to_numpy()
         found = list(_words_of(documents))
-        words = np.unique(np.concatenate([w.hashes for _, w, _ in found]))
+        words, places = np.unique(np.concatenate([w.hashes for _, w, _ in found]), return_inverse=True)
         order = np.argsort(told.column("bucket").to_numpy())
         answers = told.column("counts").to_pylist()
         known = np.frombuffer(b"".join(answers[i] for i in order), np.int64)
         end_next, end_log = math.log10(train_docs + 1), 0.0
-        rows, trained, kinds = [], np.zeros(len(words), np.uint32), np.empty(len(words), np.uint16)
-        for row, w, held in found:
-            place = np.searchsorted(words, w.hashes)
-            count = known[place] if len(place) else np.empty(0, np.int64)
-            often = (w.hashes % np.uint64(FREQUENT_CLASSES)).astype(np.int64)
-            classes = np.where(count >= frequent, often, FREQUENT_CLASSES + _forms(w))
-            classes = np.where(count > 0, classes, UNKNOWN).astype(np.uint16)
-            numbers = np.where(count > 0, place + OWN_WORDS, OWN_UNKNOWN).astype(np.uint32)
-            kinds[place] = classes
+        first = np.empty(len(words), np.int64)  # where each word of the tile stands first
+        first[places[::-1]] = np.arange(len(places))[::-1]
+        kinds = np.where(known >= frequent, (words % np.uint64(FREQUENT_CLASSES)).astype(np.int64), UNKNOWN)
+        ends = np.cumsum([len(w.hashes) for _, w, _ in found])
+        for (_, w, _), end in zip(found, ends, strict=True):
+            here = np.flatnonzero((known > 0) & (known < frequent) & (first < end) & (first >= end - len(w.hashes)))
+            kinds[here] = FREQUENT_CLASSES + _forms(w, first[here] - (end - len(w.hashes)))
+        kinds = kinds.astype(np.uint16)
+        own_number = np.where(known > 0, np.arange(len(words)) + OWN_WORDS, OWN_UNKNOWN).astype(np.uint32)
+        log_next, log_count = np.log10(known + 1.0), np.log10(np.maximum(known, 1))
+        rows, trained = [], np.zeros(len(words), np.uint32)
+        for (row, w, held), end in zip(found, ends, strict=True):
+            place = places[end - len(w.hashes) : end]
+            classes, numbers = kinds[place], own_number[place]
             trained += np.bincount(place[~held[w.text_of()]], minlength=len(words)).astype(np.uint32)
-            logs = np.append(0.0, np.cumsum(np.log10(count + 1.0)))
-            shares = np.append(0.0, np.cumsum(np.log10(np.maximum(count, 1))))
-            seen = np.append(0, np.cumsum(count > 0))
+            logs = np.append(0.0, np.cumsum(log_next[place]))
+            shares = np.append(0.0, np.cumsum(log_count[place]))
+            seen = np.append(0, np.cumsum(known[place] > 0))
             for text, is_held in enumerate(held):
                 a, b = w.first[text], w.first[text + 1]
                 own = np.append(classes[a:b], np.uint16(END))
@@ -179,7 +186,7 @@ def encoded(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
         words = texts = 0
         for batch in batches:
             for _, _, data, offsets in tb.chunks(batch.column(0)):
-                words += len(tb.words(data, offsets).hashes)
+                words += tb.number_of_words(data, offsets)
                 texts += len(offsets) - 1
         yield pa.RecordBatch.from_arrays([pa.array([words]), pa.array([texts])], names=["words", "texts"])
 
@@ -219,43 +226,63 @@ def normalised(counts: dict[str, np.ndarray], smoothing: float = SMOOTHING) -> M
     return Model(start / start.sum(), overall / overall.sum(), step / step.sum(axis=1, keepdims=True), emit / emit.sum(axis=0))
 
 
+def side_by_side(sequences: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Sequences by falling length, all first tokens, then all second ones and so on without padding: their order, how many
+    sequences reach each step, where each step begins, and the tokens."""
+    lengths = np.array([len(s) for s in sequences])
+    order = np.argsort(-lengths, kind="stable")
+    lengths = lengths[order]
+    active = np.searchsorted(-lengths, -np.arange(1, int(lengths[0]) + 1), side="right")
+    begin = np.append(0, np.cumsum(active))
+    step = np.arange(begin[-1]) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+    tokens = np.empty(begin[-1], np.int64)
+    tokens[begin[step] + np.repeat(np.arange(len(order)), lengths)] = np.concatenate([sequences[i] for i in order])
+    return order, active, begin, tokens
+
+
+def emitted(emit: np.ndarray, tokens: np.ndarray, dtype) -> np.ndarray:
+    """(states, tokens): what every state gives each token."""
+    out = np.empty((emit.shape[1], len(tokens)), dtype)
+    for j, of_state in enumerate(emit.T):
+        np.take(np.ascontiguousarray(of_state, dtype), tokens, out=out[j], mode="clip")
+    return out
+
+
 def expected_counts(model: Model, sequences: list[np.ndarray], begins: np.ndarray) -> tuple[dict[str, np.ndarray], float]:
-    """Baum-Welch counts of sequences; ``begins`` tells which begin a text.  Padding is handled by sorting by length."""
-    order = np.argsort([-len(s) for s in sequences], kind="stable")
-    lengths = np.array([len(sequences[i]) for i in order])
-    longest, states = int(lengths[0]), len(model.start)
-    grid = np.zeros((longest, len(order)), np.int64)
-    for column, i in enumerate(order):
-        grid[: lengths[column], column] = sequences[i]
-    active = np.searchsorted(-lengths, -np.arange(1, longest + 1), side="right")
+    """Baum-Welch counts of sequences; ``begins`` tells which begin a text.
+
+    States are rows and tokens columns, step after step, so that every operation runs along many sequences.
+    """
+    order, active, begin, tokens = side_by_side(sequences)
+    states = len(model.start)
+    seen = emitted(model.emit, tokens, np.float32)
     step = model.step.astype(np.float32)
-    seen = model.emit.astype(np.float32)[grid]
-    alpha = np.zeros((longest, len(order), states), np.float32)
-    scale = np.ones((longest, len(order)), np.float32)
-    now = np.where(begins[order][:, None], model.start, model.overall).astype(np.float32) * seen[0]
-    for t in range(longest):
-        n = active[t]
+    into = np.ascontiguousarray(step.T)
+    alpha, scale = np.empty_like(seen), np.empty(len(tokens), np.float32)
+    for t, n in enumerate(active):
+        here = slice(begin[t], begin[t] + n)
+        now = alpha[:, here]
         if t:
-            now = (alpha[t - 1, :n] @ step) * seen[t, :n]
-        scale[t, :n] = now.sum(axis=1)
-        alpha[t, :n] = now / scale[t, :n, None]
+            np.matmul(into, alpha[:, begin[t - 1] : begin[t - 1] + n], out=now)
+        else:
+            now[:] = np.where(begins[order], model.start[:, None], model.overall[:, None])
+        now *= seen[:, here]
+        now /= np.add.reduce(now, axis=0, out=scale[here])
+    seen /= scale
     transitions = np.zeros((states, states))
-    gamma = alpha  # overwritten from the end
-    beta = np.ones((len(order), states), np.float32)
-    for t in range(longest - 1, -1, -1):
-        n = active[t]
-        posterior = gamma[t, :n] * beta[:n]
-        posterior /= posterior.sum(axis=1, keepdims=True)
+    beta = np.ones((states, len(order)), np.float32)
+    for t in range(len(active) - 1, -1, -1):
+        here, later = slice(begin[t], begin[t + 1]), beta[:, : active[t]]
+        posterior, back = alpha[:, here], seen[:, here]
+        back *= later
+        posterior *= later
+        posterior /= np.add.reduce(posterior, axis=0)
         if t:
-            back = seen[t, :n] * beta[:n] / scale[t, :n, None]
-            transitions += gamma[t - 1, :n].T @ back
-            beta[:n] = back @ step.T
-        gamma[t, :n] = posterior
-    valid = np.arange(len(order))[None, :] < active[:, None]
-    flat, weight = grid[valid], gamma[valid]
-    emit = np.stack([np.bincount(flat, weights=weight[:, j], minlength=len(model.emit)) for j in range(states)], axis=1)
-    counts = {"emit": emit, "step": transitions * model.step, "start": gamma[0][begins[order]].sum(axis=0).astype(np.float64)}
-    return counts, float(np.log(scale[valid]).sum())
+            transitions += alpha[:, begin[t - 1] : begin[t - 1] + active[t]] @ back.T
+            np.matmul(step, back, out=later)
+    emit = np.stack([np.bincount(tokens, weights=of_state, minlength=len(model.emit)) for of_state in alpha], axis=1)
+    start = alpha[:, : len(order)][:, begins[order]].sum(axis=1, dtype=np.float64)
+    return {"emit": emit, "step": transitions * model.step, "start": start}, float(np.log(scale).sum(dtype=np.float64))
 
 
 def _segments(texts: list[bytes], size: int, kind=np.uint16) -> tuple[list[np.ndarray], np.ndarray]:
@@ -344,8 +371,8 @@ def train_model(rows: DataFrame, totals: np.ndarray, states: int = STATES, itera
             total = {"emit": np.zeros((CLASSES, states)), "step": np.zeros((states, states)), "start": np.zeros(states), "extra": np.zeros(1)}
             for batch in batches:
                 sequences, begins = _segments(batch.column(1).to_pylist(), segment)
-                for at in range(0, len(sequences), 1024):
-                    counts, likelihood = expected_counts(model, sequences[at : at + 1024], begins[at : at + 1024])
+                for at in range(0, len(sequences), SIDE_BY_SIDE):
+                    counts, likelihood = expected_counts(model, sequences[at : at + SIDE_BY_SIDE], begins[at : at + SIDE_BY_SIDE])
                     for name, value in counts.items():
                         total[name] += value
                     total["extra"] += likelihood
@@ -440,8 +467,8 @@ def _expect(model: Model, words: np.ndarray, end: np.ndarray, segment: int):
         own = model._replace(emit=emit)
         total, step, start, likelihood = np.zeros(emit.shape), np.zeros((states, states)), np.zeros(states), 0.0
         sequences, begins = _segments(texts.column("words").to_pylist(), segment, np.uint32)
-        for at in range(0, len(sequences), 1024):
-            counts, more = expected_counts(own, sequences[at : at + 1024], begins[at : at + 1024])
+        for at in range(0, len(sequences), SIDE_BY_SIDE):
+            counts, more = expected_counts(own, sequences[at : at + SIDE_BY_SIDE], begins[at : at + SIDE_BY_SIDE])
             total += counts["emit"]
             step += counts["step"]
             start += counts["start"]
@@ -500,20 +527,15 @@ def train_words(corpus: Corpus, model: Model, iterations: int = WORD_ITERATIONS,
 
 def log10_likelihood(model: Model, emit: np.ndarray, sequences: list[np.ndarray]) -> np.ndarray:
     """Exact scaled forward recursion over whole sequences, all of a batch side by side."""
-    order = np.argsort([-len(s) for s in sequences], kind="stable")
-    lengths = np.array([len(sequences[i]) for i in order])
-    first = np.append(0, np.cumsum(lengths))[:-1]
-    flat = np.concatenate([sequences[i] for i in order]).astype(np.int64)
+    order, active, begin, tokens = side_by_side(sequences)
     total = np.zeros(len(order))
-    alpha = model.start[None, :] * emit[flat[first]]
-    active = np.searchsorted(-lengths, -np.arange(1, lengths[0] + 1), side="right")
-    for t in range(int(lengths[0])):
-        n = active[t]
-        if t:
-            alpha = (alpha[:n] @ model.step) * emit[flat[first[:n] + t]]
-        scale = alpha.sum(axis=1)
+    into, by_state = np.ascontiguousarray(model.step.T), np.ascontiguousarray(emit.T)
+    for t, n in enumerate(active):
+        before = into @ alpha[:, :n] if t else model.start[:, None]
+        alpha = before * by_state[:, tokens[begin[t] : begin[t + 1]]]
+        scale = alpha.sum(axis=0)
         total[:n] += np.log10(scale)
-        alpha /= scale[:, None]
+        alpha /= scale
     out = np.empty(len(order))
     out[order] = total
     return out

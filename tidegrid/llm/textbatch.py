@@ -129,6 +129,16 @@ def words(data: np.ndarray, offsets: np.ndarray, lower: bool = False, separators
     return Words(mix(hashes + (ends - starts).astype(_U)), first, starts, ends, data)
 
 
+def number_of_words(data: np.ndarray, offsets: np.ndarray) -> int:
+    """How many words the texts have, without fingerprints."""
+    inside = ~_SPACE[data]
+    begins = inside.copy()
+    begins[1:] &= ~inside[:-1]
+    heads = offsets[:-1][offsets[:-1] < len(data)]
+    begins[heads] = inside[heads]
+    return int(np.count_nonzero(begins))
+
+
 def runs(hashes: np.ndarray, length: int) -> np.ndarray:
     """Fingerprints of all runs of ``length`` consecutive words, the first at word 0; short runs by addition."""
     n = len(hashes) - length + 1
