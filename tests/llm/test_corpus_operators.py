@@ -334,6 +334,26 @@ def test_counts_and_likelihood_by_hand(small_model):
     np.testing.assert_allclose(found, [math.log10(by_hand(small_model, s)[2]) for s in sequences], rtol=1e-9)
 
 
+@given(st.lists(st.text(alphabet="aZ \t\n\x0b\x1f\u00a0\u00e9", max_size=12), max_size=6))
+@settings(max_examples=60, deadline=None)
+def test_words_are_counted_as_they_are_found(texts):
+    data, offsets = tb.utf8(pa.array(texts, pa.string()))
+    assert tb.number_of_words(data, offsets) == len(tb.words(data, offsets).hashes) == sum(len(WORD.findall(t)) for t in texts)
+
+
+def test_counts_do_not_depend_on_which_sequences_stand_side_by_side(small_model):
+    rng = np.random.default_rng(6)
+    sequences = [rng.integers(0, 9, n) for n in rng.integers(1, 40, 60)]
+    begins = rng.random(60) < 0.5
+    whole, likelihood = hidden_markov.expected_counts(small_model, sequences, begins)
+    parts = [hidden_markov.expected_counts(small_model, sequences[at : at + 7], begins[at : at + 7]) for at in range(0, 60, 7)]
+    assert likelihood == pytest.approx(sum(x for _, x in parts), rel=1e-5)
+    for name, value in whole.items():
+        np.testing.assert_allclose(value, sum(c[name] for c, _ in parts), rtol=1e-4, atol=1e-5)
+    one = [hidden_markov.log10_likelihood(small_model, small_model.emit, [s])[0] for s in sequences]
+    np.testing.assert_allclose(hidden_markov.log10_likelihood(small_model, small_model.emit, sequences), one, rtol=1e-12)
+
+
 def test_emissions_of_single_words_add_up(small_model):
     counts = np.random.default_rng(5).integers(0, 4, (hidden_markov.WORD_CLASSES, 3))
     totals = np.append(counts.sum(axis=1), [7, 0]).astype(float)

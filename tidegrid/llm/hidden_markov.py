@@ -39,7 +39,7 @@ from tidegrid.session import stage, unstage
 
 FOLDS, HELD_FOLD = 7, 2
 STATES, ITERATIONS, SEGMENT = 8, 5, 256
-SIDE_BY_SIDE = 4096  # segments that one recursion takes
+SIDE_BY_SIDE, TEXTS_BY_SIDE = 4096, 1024  # segments and whole texts that one recursion takes: memory against calls
 WORD_ITERATIONS, PRIOR = 3, 1.0
 FREQUENT = 2e-5
 FREQUENT_CLASSES, FORM_CLASSES = 4096, 4096
@@ -87,8 +87,10 @@ def _ask(buckets: int):
         for _, w, held in _words_of(documents):
             keys.append(w.hashes)
             train.append(~held[w.text_of()])
-        words, place = np.unique(np.concatenate(keys), return_inverse=True)
-        counts = np.bincount(place[np.concatenate(train)], minlength=len(words)).astype(np.uint32)
+        keys, train = np.concatenate(keys), np.concatenate(train)  # the parts go before sorting takes its memory
+        words, place = np.unique(keys, return_inverse=True)
+        del keys
+        counts = np.bincount(place[train], minlength=len(words)).astype(np.uint32)
         return tt.table(tt.sent(documents.column("tile")[0].as_py(), buckets, words, counts), _ASK)
 
     return ask
@@ -130,24 +132,29 @@ def _encode(tokens: int, train_docs: int, buckets: int):
         tile = documents.column("tile")[0].as_py()
         ids = documents.column("doc_id").to_numpy()
         found = list(_words_of(documents))
-        words, places = np.unique(np.concatenate([w.hashes for _, w, _ in found]), return_inverse=True)
+        keys = np.concatenate([w.hashes for _, w, _ in found])
+        for _, w, _ in found:
+            w.hashes = keys[:0]  # one copy of the fingerprints is enough
+        words, places = np.unique(keys, return_inverse=True)
+        del keys
+        places = places.astype(np.int32)
         order = np.argsort(told.column("bucket").to_numpy())
         answers = told.column("counts").to_pylist()
         known = np.frombuffer(b"".join(answers[i] for i in order), np.int64)
         end_next, end_log = math.log10(train_docs + 1), 0.0
         first = np.empty(len(words), np.int64)  # where each word of the tile stands first
-        first[places[::-1]] = np.arange(len(places))[::-1]
+        first[places[::-1]] = np.arange(len(places) - 1, -1, -1, dtype=np.int32)
         kinds = np.where(known >= frequent, (words % np.uint64(FREQUENT_CLASSES)).astype(np.int64), UNKNOWN)
-        ends = np.cumsum([len(w.hashes) for _, w, _ in found])
+        ends = np.cumsum([len(w.starts) for _, w, _ in found])
         for (_, w, _), end in zip(found, ends, strict=True):
-            here = np.flatnonzero((known > 0) & (known < frequent) & (first < end) & (first >= end - len(w.hashes)))
-            kinds[here] = FREQUENT_CLASSES + _forms(w, first[here] - (end - len(w.hashes)))
+            here = np.flatnonzero((known > 0) & (known < frequent) & (first < end) & (first >= end - len(w.starts)))
+            kinds[here] = FREQUENT_CLASSES + _forms(w, first[here] - (end - len(w.starts)))
         kinds = kinds.astype(np.uint16)
         own_number = np.where(known > 0, np.arange(len(words)) + OWN_WORDS, OWN_UNKNOWN).astype(np.uint32)
         log_next, log_count = np.log10(known + 1.0), np.log10(np.maximum(known, 1))
         rows, trained = [], np.zeros(len(words), np.uint32)
         for (row, w, held), end in zip(found, ends, strict=True):
-            place = places[end - len(w.hashes) : end]
+            place = places[end - len(w.starts) : end]
             classes, numbers = kinds[place], own_number[place]
             trained += np.bincount(place[~held[w.text_of()]], minlength=len(words)).astype(np.uint32)
             logs = np.append(0.0, np.cumsum(log_next[place]))
@@ -555,7 +562,7 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", state
     def run(texts: pa.Table, told: pa.Table) -> pa.Table:
         emit, _ = _own_emissions(told, model, words, end, unknown)
         own = [np.frombuffer(x, np.uint32) for x in texts.column("words").to_pylist()]
-        scores = np.concatenate([log10_likelihood(model, emit, own[at : at + 4096]) for at in range(0, len(own), 4096)] or [np.empty(0)])
+        scores = np.concatenate([log10_likelihood(model, emit, own[at : at + TEXTS_BY_SIDE]) for at in range(0, len(own), TEXTS_BY_SIDE)] or [np.empty(0)])
         return texts.select(facts).append_column("score", pa.array(scores + texts.column("log_count").to_numpy()))
 
     rows = corpus.rows.select("tile", *facts, "log_count", "words")
