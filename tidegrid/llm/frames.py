@@ -9,11 +9,15 @@ from pathlib import Path
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidegrid.session import stage
+
 BROADCAST_ROWS = 200_000
 BATCH_ROWS = 1024
 SPACES = r"[\x20\x09-\x0D]+"
 WORD = r"[^\x20\x09-\x0D]+"
 
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 _SHIPPED: set[str] = set()
 
 
@@ -64,3 +68,21 @@ def checked_broadcast(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
 
 def ascii_lower(c: Column) -> Column:
     return F.translate(c, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+
+def stage_only(df: DataFrame, label: str) -> DataFrame:
+    """``stage`` whose shuffle files go when the write is done, not when the driver happens to collect its garbage."""
+    conf = df.sparkSession.conf
+    before = conf.get(SHUFFLE_CLEANUP)
+    conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        return stage(df, label)
+    finally:
+        conf.set(SHUFFLE_CLEANUP, before)
+
+
+def unstage(df: DataFrame) -> None:
+    """Remove a table written by ``stage`` that nothing will read again."""
+    for folder in {file.rsplit("/", 1)[0] for file in df.inputFiles()}:
+        path = df.sparkSession.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(df.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(path, True)

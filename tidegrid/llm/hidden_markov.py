@@ -34,8 +34,7 @@ from pyspark.sql import functions as F
 
 from tidegrid.llm import textbatch as tb
 from tidegrid.llm import tiles_of_text as tt
-from tidegrid.llm.frames import col
-from tidegrid.session import stage, unstage
+from tidegrid.llm.frames import col, stage_only, unstage
 
 FOLDS, HELD_FOLD = 7, 2
 STATES, ITERATIONS, SEGMENT = 8, 5, 256
@@ -204,7 +203,7 @@ def encoded(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     texts = texts.withColumn("doc_id", F.coalesce("doc_id", F.lit(int(tt.NO_ID))))
     told = texts.groupBy("tile").applyInArrow(_ask(buckets), _ASK_DDL).groupBy("bucket").applyInArrow(_tell, _TELL_DDL)
     rows = texts.groupBy("tile").cogroup(told.groupBy("tile")).applyInArrow(_encode(words + train_docs, train_docs, buckets), _DOC_DDL)
-    rows = stage(rows, "hmm-encoded", drop_shuffles=True)
+    rows = stage_only(rows, "hmm-encoded")
     distinct, once = rows.filter("classes IS NULL AND bucket IS NULL").agg(F.sum("distinct"), F.sum("once")).first()
     asked = rows.filter("bucket IS NOT NULL").select("bucket", "tile", "keys", "counts", "kinds")
     texts = rows.filter("classes IS NOT NULL").drop("distinct", "once", *asked.columns[2:], "bucket")
@@ -503,7 +502,7 @@ def train_words(corpus: Corpus, model: Model, iterations: int = WORD_ITERATIONS,
 
     def updated(sent: DataFrame) -> tuple[DataFrame, np.ndarray]:
         both = corpus.asked.groupBy("bucket").cogroup(sent.groupBy("bucket"))
-        told = stage(both.applyInArrow(_update(prior, weight), _TOLD_DDL), "hmm-told", drop_shuffles=True)
+        told = stage_only(both.applyInArrow(_update(prior, weight), _TOLD_DDL), "hmm-told")
         return told, _sums(told.filter("tile = -1"), "sums", states)
 
     told, words = updated(none)
@@ -512,7 +511,7 @@ def train_words(corpus: Corpus, model: Model, iterations: int = WORD_ITERATIONS,
     width = states * states + 2 * states + 1
     for _ in range(iterations if corpus.tokens else 0):
         sent = train.groupBy("tile").cogroup(told.filter("tile >= 0").groupBy("tile")).applyInArrow(_expect(model, words, end, segment), _SENT_DDL)
-        sent = stage(sent, "hmm-sent", drop_shuffles=True)
+        sent = stage_only(sent, "hmm-sent")
 
         def unpack(batches):
             for batch in batches:
