@@ -172,14 +172,27 @@ def byte_bpe():
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(queries.vocabulary())
-    tokenizer.encode_special_tokens = True
-    return lambda text: tokenizer.encode(text, add_special_tokens=False).ids
+
+    def ids(text, literal=False):
+        tokenizer.encode_special_tokens = literal
+        return tokenizer.encode(text, add_special_tokens=False).ids
+
+    return ids
+
+
+PIECES = ["<|endoftext|>", "<|endoftext|", "|>", " ", "  ", "\n", "a", "It's", "é9"]
 
 
 @settings(max_examples=300, deadline=None)
-@given(st.text(max_size=60) | st.text(alphabet="aé' \t\n\x0b\x1c\x1f\x85\xa0 sdI'll<|endoftext>9٣😀", max_size=60))
+@given(st.text(max_size=60) | st.text(alphabet="aé' \t\n\x0b\x1c\x1f\x85\xa0 sdI'll<|endoftext>9٣😀", max_size=60) | st.lists(st.sampled_from(PIECES), max_size=12).map("".join))
 def test_ids_are_those_of_the_tokenizer(byte_bpe, text):
-    assert next(iter(tokens.encoder(queries.vocabulary())([text]))).tolist() == byte_bpe(text)
+    for literal in (False, True):
+        assert next(iter(tokens.encoder(queries.vocabulary(), literal)([text]))).tolist() == byte_bpe(text, literal)
+
+
+def test_an_added_token_inside_a_text_is_one_id(byte_bpe):
+    found = next(iter(tokens.encoder(queries.vocabulary())(["hello <|endoftext|> world"]))).tolist()
+    assert found == byte_bpe("hello <|endoftext|> world") == [31373, 220, 50256, 995]
 
 
 def check_pieces(pieces, expected, length):
