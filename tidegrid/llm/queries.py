@@ -96,7 +96,7 @@ def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _mix_sql(offsets: int = mixing.OFFSETS, seed: str = mixing.SEED, most: int = mixing.MAX_COPIES) -> str:
+def _mix_sql(seed: str = mixing.SEED, most: int = mixing.MAX_COPIES) -> str:
     copies = "(floor((rank + 1) * rate + u) - floor(rank * rate + u))"
     return rf"""
 WITH d AS (SELECT doc_id, source, len({WORDS_SQL})::BIGINT AS size FROM documents),
@@ -110,13 +110,9 @@ t AS (SELECT source, source_size, least(cap::DOUBLE, coalesce(weight * (SELECT a
 p AS (SELECT d.doc_id, d.source, d.size, t.source_size, t.target, CASE WHEN t.source_size > 0 THEN t.target / t.source_size ELSE 0.0 END::DOUBLE AS rate,
     row_number() OVER (PARTITION BY d.source ORDER BY d.size, md5(coalesce(d.doc_id::VARCHAR, '')), d.doc_id) - 1 AS rank
   FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source),
-u AS (SELECT source, k, ('0x' || substr(md5('{seed}/' || k || '/' || coalesce('=' || source, 'null')), 1, 8))::BIGINT::DOUBLE / 4294967296.0::DOUBLE AS u
-  FROM s, range({offsets}) o(k)),
-m AS (SELECT p.source, u.k, any_value(u.u) AS u, abs(sum({copies}::BIGINT * size) - any_value(target)) AS miss
-  FROM p JOIN u ON p.source IS NOT DISTINCT FROM u.source GROUP BY p.source, u.k),
-c AS (SELECT source, arg_min(u, (miss, k)) AS u FROM m GROUP BY source)
+u AS (SELECT source, ('0x' || substr(md5('{seed}/' || coalesce('=' || source, 'null')), 1, 8))::BIGINT::DOUBLE / 4294967296.0::DOUBLE AS u FROM s)
 SELECT doc_id, size, source_size, target, ({copies}::BIGINT * size)::BIGINT AS taken
-FROM p JOIN c ON p.source IS NOT DISTINCT FROM c.source"""
+FROM p JOIN u ON p.source IS NOT DISTINCT FROM u.source"""
 
 
 @register(_mix_sql())
