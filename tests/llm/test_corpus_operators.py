@@ -89,6 +89,44 @@ def test_common_signatures_lose_no_link(docs, common, block):
     assert near_found(docs(rows), common=common, block=block) == Counter(linked_groups(rows))
 
 
+def pages(n: int, shared: int, own: int, first: int = 0, seed: int = 900):
+    """Pages of one template: ``shared`` words of it, then words of their own; every tenth has a near copy."""
+    template, rows = words(seed, shared), []
+    for k in range(n):
+        rows.append((first + 2 * k, f"{template} {words(seed + 1 + k, own)}"))
+        if k % 10 == 0:
+            rows.append((first + 2 * k + 1, f"{rows[-1][1]} copy{k} of{k}"))
+    return rows
+
+
+@pytest.mark.parametrize(("common", "block"), [(2, 4), (4, 16)])
+def test_templates_lose_no_link(docs, common, block):
+    """Templates below three quarters of a page, between that and six sevenths, and above; sections of one template; bags of stock sentences."""
+    rows = pages(60, 84, 36) + pages(40, 110, 25, 1000, 1300) + pages(20, 130, 15, 2000, 1500)
+    for section in range(4):
+        middle = words(1700 + section, 40)
+        rows += [(3000 + 100 * section + k, f"{words(1699, 60)} {middle} {words(1800 + 50 * section + k, 14)}") for k in range(15)]
+    rng = random.Random(3)
+    stock = [words(2500 + k, 12) for k in range(14)]
+    rows += [(4000 + k, " ".join(rng.sample(stock, 9))) for k in range(60)]
+    assert near_found(docs(rows), common=common, block=block) == Counter(linked_groups(rows))
+
+
+@pytest.mark.parametrize("shared", [84, 110])
+def test_template_pages_are_not_compared_in_blocks(docs, monkeypatch, shared):
+    left = []
+    in_blocks = ngram_join._Join.in_blocks
+
+    def counted(self, clusters):
+        left.append((clusters.count(), clusters.filter("narrow").count()))
+        return in_blocks(self, clusters)
+
+    monkeypatch.setattr(ngram_join._Join, "in_blocks", counted)
+    rows = pages(150, shared, 25 if shared > 84 else 36)
+    assert near_found(docs(rows), block=32) == Counter(linked_groups(rows))
+    assert all(narrow == 0 for _, narrow in left) and (left or shared == 84)
+
+
 @pytest.mark.parametrize("n", [1, 2, 3, 5, 7, 8, 14, 15, 26, 27, 60, 156, 157, 279, 280, 300, 497, 700, 1500])
 def test_similar_sets_share_a_signature_and_pass_the_sketch(n):
     rng = np.random.default_rng(n)

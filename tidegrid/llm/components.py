@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidegrid.session import stage
+from tidegrid.tiles import lookup
 
 MAX_ROUNDS = 60
 
@@ -25,8 +26,9 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
             break
         # large star: the larger neighbours of a node are tied to the smallest node around it
         both = edges.unionByName(edges.select(F.col("high").alias("low"), F.col("low").alias("high")))
-        least = both.groupBy(F.col("low").alias("center")).agg(F.min("high").alias("m")).select("center", F.least("center", "m").alias("m"))
-        large = both.join(least, F.col("low") == F.col("center")).filter("high > low").select(F.col("m").alias("low"), "high").filter("low <> high").distinct()
+        least = both.groupBy("low").agg(F.min("high").alias("m")).select("low", F.least("low", "m").alias("m"))
+        upward = lookup(edges, least, ["low"], salt_by=["high"], how="inner")
+        large = upward.select(F.col("m").alias("low"), "high").filter("low <> high").distinct()
         large = stage(large, "components-large")
         # small star: a node and its smaller neighbours are tied to the smallest of them
         low = large.groupBy(F.col("high").alias("center")).agg(F.min("low").alias("m"))

@@ -2,8 +2,8 @@
 
 Texts are equal when they are identical after replacing every run of ``[\\x20\\x09-\\x0D]`` by one space.  Each round groups
 only the rows that still share everything seen so far; the whole text is hashed only for rows whose length and prefix
-hash are shared.  Groups are counted by hash aggregation (combined before the shuffle), and the figures return by a join on the
-whole key, which adaptive execution splits where one group holds a large part of the rows.
+hash are shared.  Groups are counted by hash aggregation (combined before the shuffle), and the figures return by broadcast or, beyond
+a counted number of groups, by a salted join, so that a group with a large part of the rows is read by many tasks.
 
 Defined cases: a null text counts as empty; a null id sorts after every id; of repeated rows (same id, equal text) exactly one
 stays; an empty table gives an empty table; other columns, whatever their names, pass through untouched.
@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from tidegrid.llm.frames import SPACES, checked_broadcast, col, fresh
 from tidegrid.session import stage
+from tidegrid.tiles import lookup
 
 PREFIX_CHARS = 128
 
@@ -67,7 +68,7 @@ def classify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", pr
     )
     first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row")).alias("first")
     groups = keyed.groupBy("chars", "text_hash").agg(first, F.count(F.lit(1)).alias("group_size"))
-    members = keyed.join(groups.filter("group_size > 1"), ["chars", "text_hash"]).select(
+    members = lookup(keyed, groups.filter("group_size > 1"), ["chars", "text_hash"], salt_by=["row"], how="inner").select(
         "doc_id", "row_hash", "row", F.col("first.doc_id").alias("keep_id"), "group_size", (F.col("row") == F.col("first.row")).alias("kept")
     )
     alone = light.join(members.select("row"), "row", "left_anti").select(

@@ -11,8 +11,11 @@ Three refinements keep this exact and bounded:
   set that does not (tiny ones, by bad luck) sends those too.
 * A signature that many sets have (a passage found everywhere) does not make all pairs.  A set with more usable groups than k plus
   its common signatures shares a rare signature with every similar set, so rare signatures suffice for it.  Only sets that are *not* so
-  covered meet again, where common signatures tie them together and components are still apart: their sketches are compared block by
-  block, each pair of blocks in a task of its own, and only pairs that may link are written.
+  covered meet again, where common signatures tie them together into clusters and components are still apart. A cluster of one block is
+  compared sketch by sketch. A larger one (pages of one template) is enumerated once more, with its domain cut so finely that each
+  feature is a partition of its own: features that many of the cluster have are common again, and the rest of two similar sets meets unless
+  common features alone could make them similar. Only sets of which that is true are compared block by block, each pair of blocks in a
+  task of its own, and only pairs that may link are written.
 * Candidates are thinned by parity sketches (bit j is the parity of the features hashed to j; sketches of similar sets differ in at most k
   bits), then verified on the whole sets.
 
@@ -41,6 +44,7 @@ from tidegrid.llm import tiles_of_text as tt
 from tidegrid.llm.components import components
 from tidegrid.llm.frames import checked_broadcast, col
 from tidegrid.session import stage
+from tidegrid.tiles import lookup
 
 SHINGLE = 5
 #: two sets link when ``UNION_PARTS * intersection >= SHARED_PARTS * union``
@@ -301,6 +305,8 @@ _SETS = pa.schema(
 _SETS_DDL = "node long, n long, f1 long, f2 long, own int, up int, down int, sketch binary"
 _SENT = pa.schema([("bucket", pa.int32()), ("marks", pa.binary()), ("nodes", pa.binary())])
 _SENT_DDL = "bucket int, marks binary, nodes binary"
+_FINEST = pa.schema([("cluster", pa.int64()), ("node", pa.int64()), ("n", pa.int64()), ("merged", pa.int64()), ("marks", pa.binary())])
+_FINEST_DDL = "cluster long, node long, n long, merged long, marks binary"
 _MET = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("mark", pa.int64())])
 _MET_DDL = "a long, b long, mark long"
 
@@ -328,8 +334,8 @@ def _describe(shingle: int):
     return describe
 
 
-def _send(shingle: int, buckets: int, common: int):
-    """Packed (bucket, marks, nodes) rows; of equal sets in a batch only the smallest node's is sent.
+def _sent(marks: list[np.ndarray], nodes: list[np.ndarray], buckets: int, common: int) -> list[pa.RecordBatch]:
+    """Packed (bucket, marks, nodes) rows.
 
     Of a signature that is common within a batch already, its bucket gets just enough nodes to see that; the others go, with the whole
     signature, to a bucket below zero, which any task may take.  So a signature that every document has does not gather them in
@@ -343,20 +349,23 @@ def _send(shingle: int, buckets: int, common: int):
         packed = mark.view(np.int64) if wide else mark.astype(np.uint32)
         return [(int(bucket[i]), tb.pack(packed[i:j]), _pack_nodes(node[i:j])) for i, j in zip(heads, np.append(heads[1:], len(bucket)), strict=True)]
 
-    def flush(marks, nodes):
-        mark, node = np.concatenate(marks), np.concatenate(nodes)
-        bucket = (((mark >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)).astype(np.int64)
-        order = np.lexsort((node, mark))
-        mark, node, bucket = mark[order], node[order], bucket[order]
-        heads = np.flatnonzero(np.append(True, mark[1:] != mark[:-1]))
-        counts = np.diff(np.append(heads, len(mark)))
-        spare = np.arange(len(mark)) - np.repeat(heads, counts) > common
-        rows = rows_of(mark[~spare], node[~spare], bucket[~spare], False)
-        if spare.any():
-            wide = (bucket[spare].astype(np.uint64) << np.uint64(32)) | (mark[spare] & np.uint64(0xFFFFFFFF))
-            aside = -1 - (node[spare] % buckets)
-            rows += rows_of(wide, node[spare], aside, True)
-        return rows
+    mark, node = np.concatenate(marks), np.concatenate(nodes)
+    bucket = (((mark >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)).astype(np.int64)
+    order = np.lexsort((node, mark))
+    mark, node, bucket = mark[order], node[order], bucket[order]
+    heads = np.flatnonzero(np.append(True, mark[1:] != mark[:-1]))
+    counts = np.diff(np.append(heads, len(mark)))
+    spare = np.arange(len(mark)) - np.repeat(heads, counts) > common
+    rows = rows_of(mark[~spare], node[~spare], bucket[~spare], False)
+    if spare.any():
+        wide = (bucket[spare].astype(np.uint64) << np.uint64(32)) | (mark[spare] & np.uint64(0xFFFFFFFF))
+        aside = -1 - (node[spare] % buckets)
+        rows += rows_of(wide, node[spare], aside, True)
+    return tt.table(rows, _SENT).to_batches()
+
+
+def _send(shingle: int, buckets: int, common: int):
+    """The signatures of all sets; of equal sets in a batch only the smallest node's are sent."""
 
     def send(batches):
         marks, nodes, held, seen = [], [], 0, {}
@@ -376,11 +385,48 @@ def _send(shingle: int, buckets: int, common: int):
                 nodes.append(own[row:to][fresh][owner])
                 held += len(mark)
                 if held >= _FLUSH:
-                    for out in tt.table(flush(marks, nodes), _SENT).to_batches():
-                        yield out
+                    yield from _sent(marks, nodes, buckets, common)
                     marks, nodes, held, seen = [], [], 0, {}
         if held:
-            yield from tt.table(flush(marks, nodes), _SENT).to_batches()
+            yield from _sent(marks, nodes, buckets, common)
+
+    return send
+
+
+def _finest(shingle: int):
+    """(cluster, node, n, merged, marks): each feature as a signature of its cluster; ``merged``: by how much the distinct marks may be fewer
+    than the features, since 32 bits of a mark and its bucket travel."""
+
+    def finest(batches):
+        for batch in batches:
+            for row, to, data, offsets in tb.chunks(batch.column(1)):
+                cluster = batch.column(2).slice(row, to - row)
+                sets = shingle_sets(data, offsets, shingle)
+                owner = np.repeat(np.arange(len(sets.sizes)), sets.sizes)
+                marks = tb.mix(sets.features + tb.mix(cluster.to_numpy().view(np.uint64))[owner])
+                low = marks & np.uint64(0xFFFFFFFF)
+                order = np.lexsort((low, owner))
+                again = (low[order][1:] == low[order][:-1]) & (owner[1:] == owner[:-1])
+                merged = np.bincount(owner[1:][again], minlength=len(sets.sizes)).astype(np.int64)
+                packed = pa.array([tb.pack(marks[a:b]) for a, b in zip(sets.first[:-1], sets.first[1:], strict=True)], pa.binary())
+                yield pa.RecordBatch.from_arrays([cluster, batch.column(0).slice(row, to - row), pa.array(sets.sizes), pa.array(merged), packed], schema=_FINEST)
+
+    return finest
+
+
+def _send_finest(buckets: int, common: int):
+    def send(batches):
+        marks, nodes, held = [], [], 0
+        for batch in batches:
+            for node, packed in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                marks.append(np.frombuffer(packed, np.uint64))
+                nodes.append(np.full(len(marks[-1]), node, np.int64))
+                held += len(marks[-1])
+                if held >= _FLUSH:
+                    yield from _sent(marks, nodes, buckets, common)
+                    marks, nodes, held = [], [], 0
+        if held:
+            yield from _sent(marks, nodes, buckets, common)
 
     return send
 
@@ -474,7 +520,8 @@ class _Join:
         # equal sets are one: a star around the smallest node
         groups = sized.groupBy("f1", "f2", "n").agg(F.min("node").alias("first"), F.max("node").alias("last"))
         groups = groups.filter("first < last").select("f1", "f2", "n", "first")
-        self.copies = stage(sized.join(groups, ["f1", "f2", "n"]).filter("node > first").select("node", "first").distinct(), "join-copies")
+        copies = lookup(sized.select("node", "f1", "f2", "n"), groups, ["f1", "f2", "n"], salt_by=["node"], how="inner")
+        self.copies = stage(copies.filter("node > first").select("node", "first").distinct(), "join-copies")
         several = sized.select("node", "f1", "f2").distinct().groupBy("node").count().filter("count > 1").select("node")
         self.moved = stage(self.copies.join(several, "node", "left_anti"), "join-moved")
         self.sketches = stage(sized.select("node", "n", "sketch").distinct(), "join-sketches")
@@ -565,7 +612,7 @@ class _Join:
         return marked.join(short, ["node", "kind"], "left_semi").select("mark", "node")
 
     def meet_again(self, often: DataFrame) -> None:
-        """Uncovered nodes against each other: all pairs across components of a cluster, in blocks of sketches.
+        """Uncovered nodes against each other, across components of a cluster.
 
         A cluster is what common signatures tie together, so it holds every pair that shares one.
         """
@@ -577,17 +624,53 @@ class _Join:
         tied = stage(components(apart.select("hub", "c_node").distinct(), "hub", "c_node"), "join-clusters")
         if tied.count() == 0:
             return
-        nodes = apart.select("node", "c_node").distinct()
-        clusters = nodes.join(tied.withColumnRenamed("node", "c_node"), "c_node").select("node", "c_node", "component")
-        sizes = clusters.groupBy("component").agg(F.ceil(F.count(F.lit(1)) / self.block).cast("int").alias("blocks"))
-        placed = clusters.join(sizes, "component").withColumnRenamed("component", "cluster")
-        own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
-        other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-        dealt = placed.withColumn("own", own).withColumn("other", other)
+        known = tied.select(F.col("node").alias("c_node"), F.col("component").alias("cluster"))
+        clusters = apart.select("node", "c_node").distinct().join(checked_broadcast(known), "c_node").select("cluster", "node", "c_node")
+        clusters = stage(clusters, "join-clustered")
+        large = stage(clusters.groupBy("cluster").count().filter(F.col("count") > self.block).select("cluster"), "join-large")
+        left = clusters.join(checked_broadcast(large), "cluster", "left_anti").withColumn("narrow", F.lit(True))
+        if large.count():
+            left = left.unionByName(self.enumerated_again(clusters.join(checked_broadcast(large), "cluster", "left_semi")))
+        self.settle(self.in_blocks(stage(left, "join-left")))
+
+    def enumerated_again(self, clusters: DataFrame) -> DataFrame:
+        """Settle the pairs of large clusters that share a feature few others of the cluster have; the nodes that may have further links.
+
+        A missed pair shares only common features, so those of either set are as many as the pair must share: three quarters of the set
+        at least, and six sevenths if it is the smaller one (``narrow``).  Pairs without a narrow set need no comparison.
+        """
+        nodes = stage(clusters.select("node", "cluster"), "join-again")
+        texts = self.light.join(checked_broadcast(nodes), "node").select("node", "text", "cluster")
+        finest = stage(texts.mapInArrow(_finest(self.shingle), _FINEST_DDL), "join-finest")
+        buckets = tt.parts(self.light, 2)
+        sent = finest.select("node", "marks").mapInArrow(_send_finest(buckets, self.common), _SENT_DDL)
+        met = stage(sent.groupBy("bucket").applyInArrow(_meet(self.common), _MET_DDL), "join-met-again")
+        apart = self.named(met.filter("mark < 0").select("a", "b").distinct(), "a", "b").filter("c_a <> c_b")
+        self.settle(apart.select("a", "b"))
+        often = met.filter("mark >= 0").groupBy(F.col("a").alias("node")).agg(F.count(F.lit(1)).alias("often"))
+        may = F.col("often") + F.col("merged")
+        short = finest.join(often, "node").filter(UNION_PARTS * may >= SHARED_PARTS * F.col("n"))
+        short = short.groupBy("cluster", "node").agg(F.max((SHARED_PARTS + UNION_PARTS) * may >= 2 * SHARED_PARTS * F.col("n")).alias("narrow"))
+        short = stage(self.named(short, "node"), "join-short")
+        facts = short.groupBy("cluster").agg(F.min("c_node").alias("x"), F.max("c_node").alias("y"), F.max("narrow").alias("some"))
+        open_ = stage(facts.filter("x < y AND some").select("cluster"), "join-open")
+        return short.join(checked_broadcast(open_), "cluster", "left_semi").select("cluster", "node", "c_node", "narrow")
+
+    def in_blocks(self, clusters: DataFrame) -> DataFrame:
+        """Pairs of staged (cluster, node, c_node, narrow) rows with a narrow node that their sketches allow: blocks of narrow nodes against
+        all blocks, two blocks a task."""
+        narrow = F.count_if("narrow")
+        sizes = clusters.groupBy("cluster").agg(
+            F.ceil(narrow / self.block).cast("int").alias("first"), F.ceil((F.count(F.lit(1)) - narrow) / self.block).cast("int").alias("more")
+        )
+        placed = clusters.join(checked_broadcast(stage(sizes, "join-blocks")), "cluster").filter("first > 0")
+        hashed = F.xxhash64("node")
+        own = F.when(F.col("narrow"), F.pmod(hashed, F.col("first"))).otherwise(F.col("first") + F.pmod(hashed, F.greatest("more", F.lit(1))))
+        last = F.col("first") - 1 + F.when(F.col("narrow"), F.col("more")).otherwise(0)
+        dealt = placed.withColumn("own", own.cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), last.cast("int"))))
         dealt = dealt.withColumns({"low": F.least("own", "other"), "high": F.greatest("own", "other")}).join(self.sketches, "node")
         dealt = dealt.select("cluster", "low", "high", "own", "node", "c_node", "n", "sketch")
-        pairs = dealt.groupBy("cluster", "low", "high").applyInArrow(_compare_blocks, "a long, b long")
-        self.settle(pairs)
+        return dealt.groupBy("cluster", "low", "high").applyInArrow(_compare_blocks, "a long, b long")
 
     def result(self) -> DataFrame:
         named = F.col("c_node")
@@ -605,7 +688,8 @@ def near_duplicates(
 ) -> DataFrame:
     """One row per row of ``docs``: ``doc_id, n_shingles, component_id, node, component``.
 
-    ``common``: from how many sets on a signature counts as common; ``block``: uncovered sets per block.  Both change the work, not
+    ``common``: from how many sets on a signature counts as common; ``block``: uncovered sets per block, and per cluster that is not
+    enumerated again.  Both change the work, not
     the result.
     """
     return _Join(docs, id_col, text_col, shingle, common, block).run()
