@@ -90,6 +90,11 @@ def write_dataset(df: DataFrame, path: str, role: str, by: Sequence[str] = ("pum
     dataset_metadata(df, role, by).write.mode("overwrite").parquet(f"{path}/metadata")
 
 
+def _neighbours(df: DataFrame, by: Sequence[str], folders: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """Rows of one key ``by`` (and month) in one task, beside each other within their folder, in order."""
+    return df.repartition(*by, _month()).sortWithinPartitions(*folders, *[c for c in by if c not in folders], *order)
+
+
 def _by_folder(df: DataFrame, partitions: Sequence[str]) -> DataFrame:
     """Rows of a folder (and month) together, so that a folder gets a file per month and not one per task."""
     return df.repartition(*partitions, *([_month()] if "ts" in df.columns else []))
@@ -114,8 +119,8 @@ def write_sequences(rows: DataFrame, segments: DataFrame, path: str) -> None:
     segments.write.mode("overwrite").json(f"{path}/segments")
 
 
-def write_split(rows: DataFrame, summary: DataFrame, path: str) -> None:
-    """S16."""
-    by = ["pump_serial", "subset"]
-    rows.repartition(*by, _month()).write.mode("overwrite").partitionBy(*by).parquet(f"{path}/rows")
+def write_split(rows: DataFrame, summary: DataFrame, path: str, folders: Sequence[str] = (*KEYS, "subset")) -> None:
+    """S16; with many devices ``folders`` names the subset alone."""
+    placed = _neighbours(rows, [*KEYS, "subset"], folders, ["ts"])
+    placed.write.mode("overwrite").partitionBy(*folders).parquet(f"{path}/rows")
     summary.write.mode("overwrite").json(f"{path}/summary")
