@@ -110,12 +110,13 @@ def replace_partitions(df: DataFrame, path: str, partitions: Sequence[str]) -> N
     _by_folder(df, partitions).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partitions).parquet(path)
 
 
-def write_sequences(rows: DataFrame, segments: DataFrame, path: str) -> None:
+def write_sequences(rows: DataFrame, segments: DataFrame, path: str, folders: Sequence[str] = (*KEYS, "month")) -> None:
     """Sequence rows in folders by device and month, sorted by segment and time inside, so that a segment's rows are
-    found by the file statistics; one JSON record per sequence beside them."""
+    found by the file statistics; one JSON record per sequence beside them.  With many devices ``folders`` names the month alone:
+    a device's rows are then neighbours in a file of its month."""
     dated = rows.withColumn("month", _month())
-    by = [*KEYS, "month"]
-    dated.repartition(*by).sortWithinPartitions(*by, "segment_id", "ts").write.mode("overwrite").partitionBy(*by).parquet(f"{path}/rows")
+    placed = _neighbours(dated, [*KEYS, "month"], folders, ["segment_id", "ts"])
+    placed.write.mode("overwrite").partitionBy(*folders).parquet(f"{path}/rows")
     segments.write.mode("overwrite").json(f"{path}/segments")
 
 
