@@ -84,9 +84,15 @@ def dataset_metadata(df: DataFrame, role: str, by: Sequence[str] = ("pump_serial
     )
 
 
-def write_dataset(df: DataFrame, path: str, role: str, by: Sequence[str] = ("pump_serial", "month")) -> None:
-    """CSV partitions with a header line, and the metadata as a side table."""
-    df.repartition(*by, _month()).write.mode("overwrite").option("header", True).partitionBy(*by).csv(f"{path}/data")
+def write_dataset(
+    df: DataFrame, path: str, role: str, by: Sequence[str] = ("pump_serial", "month"), folders: Sequence[str] | None = None
+) -> None:
+    """CSV partitions with a header line, and the metadata as a side table.
+
+    ``folders`` (``by`` if None) get folders of their own; the rest of ``by`` stay columns, and their rows neighbours in one file.
+    """
+    folders = list(by if folders is None else folders)
+    _neighbours(df, by, folders, ["ts"]).write.mode("overwrite").option("header", True).partitionBy(*folders).csv(f"{path}/data")
     dataset_metadata(df, role, by).write.mode("overwrite").parquet(f"{path}/metadata")
 
 
