@@ -24,11 +24,19 @@ def _month():
     return F.date_format("ts", "yyyyMM")
 
 
-def store_batch(df: DataFrame, path: str, partitions: Sequence[str] = KEYS) -> None:
+def store_batch(df: DataFrame, path: str, partitions: Sequence[str] = KEYS, folders: bool = True) -> None:
     """Compressed Parquet; a partition is written month by month, so a busy device is no single task and a quiet one
-    does not fall into many small files."""
+    does not fall into many small files.
+
+    ``folders=False`` is for keys of many values, such as devices: a folder each would cost more than the rows in it.  Rows of a partition
+    are then neighbours in one file, sorted, and filters on the key prune by the statistics of its pages.
+    """
     spread = df.repartition(*partitions, _month()) if "ts" in df.columns else df
-    spread.write.mode("overwrite").option("compression", "gzip").partitionBy(*partitions).parquet(path)
+    if folders:
+        spread.write.mode("overwrite").option("compression", "gzip").partitionBy(*partitions).parquet(path)
+    else:
+        spread = spread.sortWithinPartitions(*partitions, *[c for c in ("ts",) if c in df.columns])
+        spread.write.mode("overwrite").option("compression", "gzip").parquet(path)
 
 
 def load_batch(spark: SparkSession, path: str, schema=None) -> DataFrame:
