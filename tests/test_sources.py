@@ -256,3 +256,35 @@ def test_distinct_sketches_merge_within_their_bound(spark):
     profile = summary.value_profile(rows, "bg")
     assert {r.pump_serial: r.n_distinct for r in profile.collect()} == {k: d for k, (_, d) in exact.items()}
     assert "SortAggregate" not in profile._jdf.queryExecution().executedPlan().toString()
+
+
+def many_devices(events, n=300):
+    return events([(d, 60.0 * k, s, 1.0 + d) for d in range(n) for k, s in enumerate(("cgm", "basal", "bolus"))]).withColumn("segment_id", F.lit(1).cast("long"))
+
+
+def parts(folder):
+    return [str(f.relative_to(folder)) for f in folder.rglob("part-*")]
+
+
+def test_sinks_of_many_devices_write_few_files(events, spark, tmp_path):
+    """A folder per device was a file per device: 300 of each."""
+    rows = many_devices(events)
+    wanted = ordered(rows, "pump_serial", "ts", "value")
+    store.store_batch(rows, str(tmp_path / "batch"), folders=False)
+    store.write_sequences(rows, rows.groupBy("pump_serial", "segment_id").count(), str(tmp_path / "sequences"), folders=["month"])
+    store.write_split(rows.withColumn("subset", F.lit("train")), rows.groupBy("pump_serial").count(), str(tmp_path / "split"), folders=["subset"])
+    gate = published.publish_accepted(rows, rows.select("pump_serial", F.lit(True).alias("is_valid")), str(tmp_path / "gate"), folders=["place"])
+    store.write_dataset(rows.withColumn("month", F.lit("202403")), str(tmp_path / "dataset"), "merged", folders=["month"])
+    for folder, rows_again in (
+        ("batch", store.load_batch(spark, str(tmp_path / "batch"))),
+        ("sequences/rows", spark.read.parquet(str(tmp_path / "sequences" / "rows"))),
+        ("split/rows", spark.read.parquet(str(tmp_path / "split" / "rows"))),
+        ("gate", gate.read()),
+        ("dataset/data", spark.read.option("header", True).schema(rows.select(*rows.columns).schema).csv(str(tmp_path / "dataset" / "data"))),
+    ):
+        assert len(parts(tmp_path / folder)) <= 8, folder
+        if folder != "dataset/data":
+            assert ordered(rows_again, "pump_serial", "ts", "value") == wanted, folder
+        assert rows_again.count() == len(wanted)
+    meta = spark.read.parquet(str(tmp_path / "dataset" / "metadata"))
+    assert meta.count() == 300 and {r.record_count for r in meta.collect()} == {3}
