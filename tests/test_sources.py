@@ -288,3 +288,13 @@ def test_sinks_of_many_devices_write_few_files(events, spark, tmp_path):
         assert rows_again.count() == len(wanted)
     meta = spark.read.parquet(str(tmp_path / "dataset" / "metadata"))
     assert meta.count() == 300 and {r.record_count for r in meta.collect()} == {3}
+
+
+def test_newest_file_of_each_device_where_files_hold_several(spark, tmp_path):
+    """The newest file of all is not the newest of a device that it does not have."""
+    texts = {"cgmreading_20240201_a": "7,2024-03-01 00:00:00,100\n8,2024-03-01 00:00:00,101\n", "cgmreading_20240301_b": "7,2024-03-01 00:05:00,102\n"}
+    for k, (name, text) in enumerate(texts.items()):
+        (tmp_path / f"{name}.csv").write_text(f"pump_serial,created_at,sgv\n{text}")
+        os.utime(tmp_path / f"{name}.csv", (1_700_000_000 + k, 1_700_000_000 + k))
+    rows = dataflows.newest_files_grid(spark, str(tmp_path)).filter("bg IS NOT NULL").collect()
+    assert {(r.pump_serial, r.bg) for r in rows} == {(7, 102.0), (8, 101.0)}

@@ -86,8 +86,8 @@ def layouts(spark: SparkSession, path) -> dict[tuple[str, ...], list[str]]:
 def read_by_name(spark: SparkSession, path, types: dict[str, T.DataType], required: Sequence[str]) -> DataFrame:
     """CSV files whose columns are found by the header line of each file, whatever their order; ``#`` lines are skipped.
 
-    Files of one layout are one native CSV scan that parses only the wanted columns; the layouts are unioned by name.  Adds ``file_path``
-    and ``place``, a number that grows along a file.  A column that a file does not have is null, unless it is required: then
+    Files of one layout are one native CSV scan that parses only the wanted columns; the layouts are unioned by name.  Adds ``file_path``,
+    ``file_time`` (its modification) and ``place``, a number that grows along a file.  A column that a file does not have is null, unless it is required: then
     reading fails.  Columns of partition folders count as well.
     """
     folders = [c for c in spark.read.text(path).columns if c != "value" and c in types]
@@ -97,7 +97,8 @@ def read_by_name(spark: SparkSession, path, types: dict[str, T.DataType], requir
         raise ValueError(f"required columns {wanted} missing: " + "; ".join(f"{file} has {list(names)}" for file, names in bad[:3]))
     parts = [_one_layout(spark, path, files if len(found) > 1 else None, names, types, folders) for names, files in found.items()]
     if not parts:
-        schema = T.StructType([*(T.StructField(n, k) for n, k in types.items()), T.StructField("file_path", T.StringType()), T.StructField("place", T.LongType())])
+        added = {"file_path": T.StringType(), "file_time": T.TimestampType(), "place": T.LongType()}
+        schema = T.StructType([T.StructField(n, k) for n, k in (types | added).items()])
         return spark.createDataFrame([], schema)
     out = parts[0]
     for part in parts[1:]:
@@ -121,7 +122,8 @@ def _one_layout(spark: SparkSession, path, files: list[str] | None, names: Seque
     again = [F.coalesce(column[n], F.lit("")) == n for n in types if n in column and n not in folders]
     rows = raw if not again else raw.filter(~reduce(lambda a, b: a & b, again))
     place = F.col("_metadata.file_block_start") + F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1)
-    return rows.select(*[named(n, k) for n, k in types.items()], F.col("_metadata.file_path").alias("file_path"), place.alias("place"))
+    file = [F.col("_metadata.file_path").alias("file_path"), F.col("_metadata.file_modification_time").alias("file_time")]
+    return rows.select(*[named(n, k) for n, k in types.items()], *file, place.alias("place"))
 
 
 def read_merged(spark: SparkSession, path, schema: T.StructType = MERGED_SCHEMA) -> DataFrame:
@@ -145,11 +147,14 @@ def serial_of(path):
     return F.regexp_extract(path, r"^.*pump(?:_serial)?[_=](\w+?)(?:/|_|\.|$)", 1)
 
 
-def read_stream(spark: SparkSession, path, stream: str, serial_type: T.DataType = T.LongType()) -> DataFrame:
+FILE = ("file_path", "file_time")
+
+
+def read_stream(spark: SparkSession, path, stream: str, serial_type: T.DataType = T.LongType(), files: bool = False) -> DataFrame:
     """S3: stream files (a time and one value column) as ``(pump_serial, created_at, seq_num, value, stream)``.
 
     The device comes from the path and the sequence from the order in the file, unless the file has such columns.  A
-    missing value is 0 except for glucose.
+    missing value is 0 except for glucose.  ``files`` adds the file of each row, ``file_path`` and ``file_time``.
     """
     types = {"pump_serial": serial_type, "created_at": T.StringType(), "seq_num": T.LongType(), ROLE_COLUMNS[stream]: T.DoubleType()}
     raw = read_by_name(spark, path, types, ["created_at", ROLE_COLUMNS[stream]])
@@ -158,14 +163,15 @@ def read_stream(spark: SparkSession, path, stream: str, serial_type: T.DataType
         value = F.coalesce(value, F.lit(0.0))
     serial = F.coalesce("pump_serial", serial_of(F.col("file_path")).try_cast(serial_type))
     return raw.select(
-        serial.alias("pump_serial"), "created_at", F.coalesce("seq_num", "place").alias("seq_num"), value.alias("value"), F.lit(stream).alias("stream")
-    )
+        serial.alias("pump_serial"), "created_at", F.coalesce("seq_num", "place").alias("seq_num"), value.alias("value"), F.lit(stream).alias("stream"),
+        *(FILE if files else ()),
+    )
 
 
 def normalise(frame: DataFrame) -> DataFrame:
     """Times parsed as UTC, rows without a readable time dropped.  Order is left to whoever needs it."""
     parsed = frame.withColumn("ts", parse_date(F.col("created_at")))
-    return parsed.filter(F.col("ts").isNotNull()).select(*KEYS, "ts", "seq_num", "stream", "value")
+    return parsed.filter(F.col("ts").isNotNull()).select(*KEYS, "ts", "seq_num", "stream", "value", *[c for c in FILE if c in frame.columns])
 
 
 def reject_counts(frame: DataFrame) -> DataFrame:
@@ -201,6 +207,17 @@ def most_recent(files: DataFrame, by: Sequence[str] = ("stream",)) -> DataFrame:
     return files.groupBy(*by).agg(F.max_by("path", newest).alias("path"), F.max("modificationTime").alias("modificationTime"))
 
 
+def newest_file_rows(rows: DataFrame) -> DataFrame:
+    """S6 for files that hold several devices: of every device and stream the rows of the newest file that has any of them.
+
+    ``rows`` has the file of each row (``read_stream``); the path decides ties, as in ``most_recent``.
+    """
+    by = [*KEYS, "stream"]
+    newest = rows.groupBy(*by).agg(F.max(F.struct("file_time", "file_path"))["file_path"].alias("file_path"))
+    same = " AND ".join(f"r.{c} <=> n.{c}" for c in [*by, "file_path"])
+    return rows.alias("r").join(newest.alias("n"), F.expr(same), "left_semi").drop(*FILE)
+
+
 def read_config(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
     """``{"pumps": [{...}]}`` to one row per device."""
     device = T.StructType([T.StructField("serial", T.StringType()), T.StructField("device_id", T.StringType())])
