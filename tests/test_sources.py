@@ -298,3 +298,22 @@ def test_newest_file_of_each_device_where_files_hold_several(spark, tmp_path):
         os.utime(tmp_path / f"{name}.csv", (1_700_000_000 + k, 1_700_000_000 + k))
     rows = dataflows.newest_files_grid(spark, str(tmp_path)).filter("bg IS NOT NULL").collect()
     assert {(r.pump_serial, r.bg) for r in rows} == {(7, 102.0), (8, 101.0)}
+
+
+def test_stream_files_of_many_devices_are_few(spark, tmp_path, monkeypatch):
+    from tidegrid.catalog import flows
+
+    source = spark.range(900).select(
+        F.col("id").alias("event_id"), F.timestamp_seconds(1_704_067_200 + F.col("id")).cast("timestamp_ntz").alias("ts"), (F.col("id") % 300).alias("user_id"),
+        F.element_at(F.array(*map(F.lit, ("view", "click", "purchase"))), (F.floor(F.col("id") / 300) + 1).cast("int")).alias("event_type"), F.lit(40.0).alias("value"),
+    )
+    source.write.parquet(str(tmp_path / "events.parquet"))
+    monkeypatch.setattr(flows, "scratch_dir", lambda _, label: str(tmp_path / label))
+    root = flows.write_stream_files(spark, str(tmp_path), "streams")
+    assert len(parts(tmp_path / "streams")) <= 12  # a file per device and stream were 900
+    rows = csv_files.read_streams(spark, root)
+    assert rows.select("pump_serial", "stream").distinct().count() == 900
+    assert flows.s02(spark, str(tmp_path)).filter("record_count = 3 AND tz_handling = 'stored_in=UTC'").count() == 300
+    assert len(parts(tmp_path / "headers")) <= 4
+    assert flows.s01(spark, str(tmp_path)).select("pump_serial").distinct().count() == 300
+    assert len(parts(tmp_path / "merged")) <= 8

@@ -32,7 +32,7 @@ MERGED_SCHEMA = T.StructType(
 )
 
 
-FEW_FILES = 64
+FEW_FILES = 512
 COMPRESSED = (".gz", ".bz2", ".zst", ".snappy", ".lz4", ".deflate", ".xz")
 
 
