@@ -49,11 +49,22 @@ def rolling_cols(w: WindowSpec, basal: str = "basal_rate", bolus: str = "bolus_d
     return means | {f"bolus_sum_{k}": F.sum(bolus).over(trailing(k)) for k in (6, 12, 24)}
 
 
-def insulin_on_board_col(w: WindowSpec, bolus: str = "bolus_dose") -> Column:
-    """Decayed sum of the last 72 rows, age 1 for the current row: ``sum(x_i * e^(-k * age_i))`` over an array of at most 72."""
-    doses = F.collect_list(F.coalesce(bolus, F.lit(0.0))).over(w.rowsBetween(-(IOB_ROWS - 1), 0))
-    decayed = F.transform(doses, lambda x, i: x * F.exp(F.lit(-IOB_DECAY) * (F.size(doses) - i)))
-    return F.aggregate(decayed, F.lit(0.0), lambda a, x: a + x)
+def with_insulin_on_board(rows: DataFrame, w: WindowSpec, name: str, bolus: str = "bolus_dose") -> DataFrame:
+    """Decayed sum of the last 72 rows, age 1 for the current row: ``sum(x_i * e^(-k * age_i))``, by two plain sums over those rows.
+
+    Rows are counted in blocks of 72 and a dose is weighed by its place in the block, so no weight exceeds e^(72 k) however long the tile.  A
+    frame reaches over two blocks at most: one sum has the doses of even blocks, the other those of odd ones.
+    """
+    place = F.row_number().over(w) - 1
+    at, odd = F.col("_place") % IOB_ROWS, F.floor(F.col("_place") / IOB_ROWS) % 2 == 1
+    weighed = F.coalesce(bolus, F.lit(0.0)) * F.exp(F.lit(IOB_DECAY) * at)
+    rows = rows.withColumn("_place", place).withColumns({"_odd": F.when(odd, weighed).otherwise(0.0), "_even": F.when(odd, 0.0).otherwise(weighed)})
+    frame = w.rowsBetween(-(IOB_ROWS - 1), 0)
+    rows = rows.withColumns({"_odd": F.sum("_odd").over(frame), "_even": F.sum("_even").over(frame)})
+    own, before = F.when(odd, F.col("_odd")).otherwise(F.col("_even")), F.when(odd, F.col("_even")).otherwise(F.col("_odd"))
+    age = F.lit(-IOB_DECAY) * (at + 1)
+    board = own * F.exp(age) + before * F.exp(age - F.lit(IOB_DECAY * IOB_ROWS))
+    return rows.withColumn(name, board).drop("_place", "_odd", "_even")
 
 
 def clip_cols(col: str, low: float, high: float, flag: str) -> dict[str, Column]:
@@ -104,7 +115,8 @@ def add_slopes(grid: DataFrame, spec: GridSpec) -> DataFrame:
 
 
 def add_insulin_on_board(grid: DataFrame, spec: GridSpec) -> DataFrame:
-    return _on_tiles(grid, spec, IOB_ROWS, lambda w: {"iob": insulin_on_board_col(w)})
+    build = lambda rows, w: with_insulin_on_board(rows, w, "iob")
+    return tiles.with_halo(grid, build, seconds=spec.tile_seconds, before=IOB_ROWS * spec.freq_seconds)
 
 
 def add_trend(grid: DataFrame, spec: GridSpec) -> DataFrame:

@@ -78,9 +78,12 @@ def sliding_windows(
     return some.select(*by, F.inline(F.transform("_part", window)))
 
 
-def latest_window(grid: DataFrame, spec: GridSpec, features: Sequence[str], lookback: int = 288) -> DataFrame:
-    """The last ``lookback`` rows of each device as arrays in time order; devices with fewer rows are left out."""
-    last = grid.groupBy(*KEYS).agg(F.max("ts").alias("last_ts"))
+def latest_window(grid: DataFrame, spec: GridSpec, features: Sequence[str], lookback: int = 288, last: DataFrame | None = None) -> DataFrame:
+    """The last ``lookback`` rows of each device as arrays in time order; devices with fewer rows are left out.
+
+    ``last`` may give the last time of every device (``last_ts``) where that is cheaper to get than from ``grid``.
+    """
+    last = grid.groupBy(*KEYS).agg(F.max("ts").alias("last_ts")) if last is None else last
     joined = tiles.lookup(grid.select(*KEYS, "ts", *features), last, KEYS, salt_by=["ts"], how="inner")
     recent = joined.filter(F.col("ts") > tg.shift(F.col("last_ts"), -lookback * spec.freq_seconds))
     cell = F.struct("ts", *[F.col(c).cast("double").alias(c) for c in features])
