@@ -151,3 +151,12 @@ def test_minutes_since_bolus(grid):
     doses = [0.0, 1.0] + [0.0] * 30
     out = features.add_minutes_since_bolus(grid([100.0] * 32, bolus=doses), SPEC, cap=60)
     assert one_column(out, "time_since_last_bolus") == [60.0] + [float(min(60, 5 * i)) for i in range(31)]
+
+
+def test_insulin_on_board_over_blocks_needs_no_arrays(grid):
+    """Frames that reach over a border of 72 rows; no list of doses per row."""
+    doses = [float(i * 7 % 5) for i in range(300)]
+    found = features.add_insulin_on_board(grid([100.0] * 300, bolus=doses), SPEC)
+    expected = [sum(doses[j] * math.exp(-0.0144 * (i - j + 1)) for j in range(max(0, i - 71), i + 1)) for i in range(300)]
+    assert one_column(found, "iob") == pytest.approx(expected, abs=1e-9)
+    assert "collect_list" not in found._jdf.queryExecution().executedPlan().toString()
