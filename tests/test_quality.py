@@ -148,3 +148,18 @@ def test_job_statistics(spark):
     assert (row.duration_median, row.duration_mean) == (2.0, 3.0)
     assert row.duration_std == pytest.approx((14 / 3) ** 0.5)  # population
     assert summary.session_status(jobs).collect()[0].session_status == "completed"
+
+
+def test_registered_checks_see_every_point_of_the_grid(spark, tmp_path):
+    """Neither rows with a rate alone nor empty ones are left out: 11 hours of one device, padded by an hour on both sides where the grid is."""
+    from tidegrid import catalog
+
+    times = [("click", 0, 50.0), ("view", 60, 50.0), ("click", 300, 50.0), ("purchase", 600, 40.0)]
+    rows = [(k, at(m), 7, kind, v) for k, (kind, m, v) in enumerate(times)]
+    spark.createDataFrame(rows, "event_id long, ts timestamp_ntz, user_id long, event_type string, value double").write.parquet(str(tmp_path / "events.parquet"))
+    run = {name: catalog.queries()[name](spark, str(tmp_path)).collect() for name in ("v04_quality_check", "v05_suggestions", "v07_dataset_checks", "v08_validation_report", "v10_quality_report", "q14_resequenced_and_split")}
+    assert [r.n_rows for r in run["v04_quality_check"]] == [13] and [r.n_rows for r in run["v10_quality_report"]] == [13]
+    assert "12 missing BG values" in run["v05_suggestions"][0].suggestions
+    assert {r.check_name: r.value for r in run["v07_dataset_checks"]}["schema"] == 121
+    assert [r.n_rows for r in run["v08_validation_report"]] == [121]
+    assert [r.n_rows for r in run["q14_resequenced_and_split"]] == [13]
