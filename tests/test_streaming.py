@@ -223,3 +223,11 @@ def test_a_batch_that_failed_before_its_manifest_changes_nothing(spark, tmp_path
     table.manifest.publish = publish
     table.upsert(late, 1)
     assert sorted(r.value for r in table.read().collect()) == [2.0, 3.0]
+
+
+def test_a_later_batch_beats_an_earlier_merge_of_equal_order(spark, tmp_path):
+    schema = spark.createDataFrame([], "pump_serial long, ts timestamp, seq_num long, value double").schema
+    table = MergeTree(spark, str(tmp_path / "tree"), schema, ["pump_serial", "ts"], ["seq_num"], buckets=1, max_runs=2)
+    for batch in range(5):
+        table.upsert(spark.createDataFrame([(1, at(0), 1, float(batch))], schema), batch)
+        assert [r.value for r in table.read().collect()] == [float(batch)]

@@ -142,7 +142,9 @@ class MergeTree:
 
     def _newest(self, rows: DataFrame, later: list[str]) -> DataFrame:
         """Keys are told apart within months and buckets, so a device with a third of all rows is spread over its keys."""
-        newest = [F.col(c).desc_nulls_last() for c in [*self.order, *later]] or [F.lit(1)]
+        # runs by their number: "merge-3" has older rows than "batch-4", whatever their names
+        age = [F.substring_index(c, "-", -1).desc() for c in later]
+        newest = [*[F.col(c).desc_nulls_last() for c in self.order], *age] or [F.lit(1)]
         rank = F.row_number().over(Window.partitionBy(*self.keys).orderBy(*newest))
         return rows.withColumn("_rank", rank).filter(F.col("_rank") == 1).drop("_rank")
 
