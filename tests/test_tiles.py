@@ -138,3 +138,29 @@ def test_hot_device_is_spread_over_tiles(events):
     largest = tiled.groupBy("pump_serial", tiles.TILE).count().agg(F.max("count")).collect()[0][0]
     assert largest <= NARROW.tile_bins
     assert at(0) <= aligned.agg(F.min("ts")).collect()[0][0]
+
+
+def plan_of(frame):
+    return frame._jdf.queryExecution().executedPlan().toString()
+
+
+def test_rows_are_never_the_hashed_side_of_a_carry(spark, tmp_path):
+    """A dense grid lies in few bytes; judged by them, it was broadcast whole to the one task with all summaries."""
+    spark.range(2000).selectExpr("id % 3 pump_serial", "timestamp_seconds(id * 300) ts", "double(id) bg").write.parquet(str(tmp_path / "rows"))
+    rows = spark.read.parquet(str(tmp_path / "rows"))
+    out = tiles.previous_row(rows, ["bg"], seconds=86400)
+    plan = plan_of(out)
+    assert "ShuffledHashJoin" in plan and "BuildRight" in plan
+    assert "BroadcastHashJoin" not in plan and "REPARTITION_BY_NUM" in plan
+    assert [r.prev.bg if r.prev else None for r in out.filter("pump_serial = 1").orderBy("ts").collect()] == [None, *range(1, 1997, 3)]
+
+
+def test_halo_deals_rows_to_a_set_number_of_tasks(grid):
+    """Left to adaptive coalescing, rows that compress tenfold were packed into few tasks."""
+    out = features.add_delta(random_grid(grid), NARROW, "bg", "delta")
+    assert "REPARTITION_BY_NUM" in plan_of(out)
+
+
+def test_wide_projections_are_compiled(spark):
+    """HotSpot interprets methods beyond 8000 bytes of code; such plans must fall back to expressions compiled apart."""
+    assert spark.conf.get("spark.sql.codegen.hugeMethodLimit") == "8000"
