@@ -133,6 +133,23 @@ def test_response_after_dose(grid):
     assert [(r.pre_bg, r.min_bg, r.drop_bg) for r in out] == [(150.0, 93.0, 57.0)]  # four hours are 48 rows
 
 
+def test_response_scans_only_rows_behind_a_dose(grid):
+    rnd = random.Random(8)
+    n, reach = 400, 48
+    bg = [None if rnd.random() < 0.3 else rnd.uniform(60, 300) for _ in range(n)]
+    bolus = [rnd.choice([2.0, 4.5, 1.0]) if rnd.random() < 0.02 or i in (0, 390, n - 1) else 0.0 for i in range(n)]
+    out = joins.response_after_dose(grid(bg, bolus=bolus), GridSpec(tile_bins=70))
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("_dose") > plan.count("bolus_dose")  # the filter before the frame
+    expected = []
+    for i in range(n):
+        behind = bg[i + 1 : i + 1 + reach]
+        if bolus[i] >= 2 and len(behind) >= 12:
+            low = min((v for v in behind if v is not None), default=None)
+            expected.append((at(5 * i), bolus[i], bg[i], low))
+    assert ordered(out, "ts", "bolus_dose", "pre_bg", "min_bg") == expected
+
+
 def test_chunks_and_schedule(spark):
     days = spark.createDataFrame([(1, dt.date(2024, 1, 1), dt.date(2024, 1, 20))], "pump_serial long, first_day date, last_day date")
     chunks = joins.date_chunks(days, 7).orderBy("chunk").collect()
