@@ -6,13 +6,13 @@ import random
 
 import pytest
 from conftest import at, ordered
-from pyspark.sql import Window
+from pyspark.sql import Row, Window
 from pyspark.sql import functions as F
 
 from tidegrid.config import GridSpec
 from tidegrid.operators import events as ev, grid as gr
 from tidegrid.sources.merge_tree import MergeTree
-from tidegrid.streaming import jobs
+from tidegrid.streaming import jobs, state
 
 
 def feed(events, tmp_path, parts=3, overlap=False):
@@ -231,3 +231,24 @@ def test_a_later_batch_beats_an_earlier_merge_of_equal_order(spark, tmp_path):
     for batch in range(5):
         table.upsert(spark.createDataFrame([(1, at(0), 1, float(batch))], schema), batch)
         assert [r.value for r in table.read().collect()] == [float(batch)]
+
+
+def test_tile_processor_takes_and_gives_rows():
+    """A tile gets a handful of rows a batch; as frames they cost far more than the work on them."""
+
+    class Value:
+        held = None
+
+        def get(self):
+            return self.held
+
+        def update(self, value):
+            self.held = value
+
+    processor = state.tile_processor()
+    processor.events = Value()
+    event = Row("pump_serial", "_tile", "us", "seq_num", "stream", "value")
+    first = list(processor.handleInputRows((1, 0), iter([event(1, 0, 50, 2, "basal", 1.5), event(1, 0, 60, 3, "basal", float("nan"))]), None))
+    assert [(r.us, r.basal_rate, r.dose_us, r.fresh) for r in first] == [(50, 1.5, None, True), (60, 1.5, None, True), (None, 1.5, None, True)]
+    late = list(processor.handleInputRows((1, 0), iter([event(1, 0, 55, 1, "bolus", 2.0)]), None))
+    assert [(r.us, r.basal_rate, r.dose_us, r.fresh) for r in late] == [(55, 1.5, 55, False), (60, 1.5, 55, False), (None, 1.5, 55, False)]

@@ -167,7 +167,7 @@ class CarriedState:
         ).filter("us IS NOT NULL")
         mode = "none" if self.keep_ms is None else "processingTime"
         keyed = events.groupBy(*KEYS, tiles.TILE)
-        changes = keyed.transformWithStateInPandas(state.tile_processor(self.keep_ms), state.OUTPUT, "Update", mode)
+        changes = keyed.transformWithState(state.tile_processor(self.keep_ms), state.OUTPUT, "Update", mode)
         before = self.spark.conf.get(state.PROVIDER)
         self.spark.conf.set(state.PROVIDER, state.ROCKSDB)
         try:
