@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import datetime as dt
 import math
 import random
 
@@ -11,7 +12,7 @@ from pyspark.sql import functions as F
 from tidegrid import tiles
 from tidegrid.config import GridSpec, SplitRules, WindowSpecParams
 from tidegrid.functions.quantiles import exact_percentiles, in_buckets
-from tidegrid.operators import features, windows
+from tidegrid.operators import features, grid as gr, windows
 from tidegrid.plans import dataflows
 
 SPEC = GridSpec(pad_seconds=0, tile_bins=30)
@@ -104,6 +105,26 @@ def test_no_row_holds_a_window_and_the_array_it_is_from(grid):
     assert "inline" in plan and plan.count("Generate explode") == 2  # halo copies, parts of picked starts
 
 
+@pytest.mark.parametrize("how", [
+    gr.Alignment(bg_fill="bounded", bg_fill_seconds=1500, basal_fill="until_last", basal_default=None), gr.Alignment(bg_asof=True, bg_fill="unbounded"),
+])
+def test_stretches_of_equal_rows_give_the_grid_and_its_windows(spark, how):
+    """A grid as stretches has the rows of the grid, and its windows are those of the rows, whatever the tiles."""
+    rnd, start = random.Random(3), dt.datetime(2024, 3, 1)
+    times = {d: sorted(rnd.sample(range(3000), 25)) for d in (1, 2)}
+    rows = [(d, start + dt.timedelta(minutes=m), i, rnd.choice(["cgm", "basal", "bolus"]), float(rnd.randint(1, 90))) for d in times for i, m in enumerate(times[d])]
+    events = spark.createDataFrame(rows, "pump_serial long, ts timestamp, seq_num long, stream string, value double")
+    spec, params = GridSpec(pad_seconds=0, tile_bins=40), WindowSpecParams(6, 2, 3, max_null_share=0.2)
+    plain, runs = gr.align(events, spec, how), gr.align(events, spec, how, until="until")
+    points = runs.withColumn("ts", F.explode(F.expr("sequence(ts, until, interval 300 seconds)"))).drop("until")
+    assert runs.count() < plain.count() / 4
+    assert sorted(map(repr, points.collect())) == sorted(map(repr, plain.collect()))
+    one = lambda df, s, **more: sorted(map(repr, windows.sliding_windows(df.withColumn("segment_id", F.lit(1)), s, ["bolus_dose", "bg"], "basal_rate", params, **more).collect()))
+    found = one(runs, spec, until="until")
+    assert found == one(plain, GridSpec(pad_seconds=0, tile_bins=2016))
+    assert how.bg_fill != "unbounded" or found
+
+
 def test_latest_window_needs_enough_rows(grid):
     rows = grid([1.0, 2.0, 3.0, 4.0]).unionByName(grid([9.0, 9.0], device=2))
     out = windows.latest_window(rows, SPEC, ["bg"], lookback=3).collect()

@@ -11,7 +11,7 @@ from tidegrid import tiles
 from tidegrid.config import GridSpec, SplitRules, WindowSpecParams
 from tidegrid.functions import timegrid as tg
 from tidegrid.functions.quantiles import exact_percentiles
-from tidegrid.tiles import CORE, KEYS, TILE
+from tidegrid.tiles import KEYS, TILE
 
 
 WINDOWS_AT_ONCE = 64
@@ -21,6 +21,10 @@ def _field(name: str):
     return lambda row: row[name]
 
 
+def _repeated(name: str):
+    return lambda row: F.array_repeat(row[name], row["_n"])
+
+
 def sliding_windows(
     grid: DataFrame,
     spec: GridSpec,
@@ -28,54 +32,95 @@ def sliding_windows(
     target: str = "bg",
     params: WindowSpecParams = WindowSpecParams(),
     by: Sequence[str] = ("pump_serial", "segment_id"),
+    until: str | None = None,
 ) -> DataFrame:
     """Windows of ``lookback + horizon`` consecutive bins that start every ``stride`` bins of a segment.
 
-    A window is dropped when a bin is missing from it, a target is null, or more than the given share of its feature cells is.  That is
-    decided row by row, before any array exists: running counts of nulls within the tile and its halo, and the time ``size`` rows
-    on, tell of every start whether its window counts.  Then a tile becomes one row of plain arrays with the list of its picked
-    starts, and the arrays are sliced for those alone, ``WINDOWS_AT_ONCE`` to a row of the intermediate result; a window is never
-    beside the array it is cut from.
+    A window is dropped when a bin is missing from it, a target is null, or more than the given share of its feature cells is.
+    ``until`` names a column for grids that come as stretches of equal rows (``grid.align``): a row then stands for all bins
+    from ``ts`` to there.
+
+    Only rows as they come are shuffled and sorted.  A tile and its halo become one row of plain arrays, in which stretches are as long as
+    their bins; running counts of nulls tell of a start whether its window counts, and are left out where nothing is null.  A row per picked
+    start is then cut from the arrays in generated code, which copies a window and no more.
     """
     step, look, ahead = spec.freq_seconds, params.lookback, params.horizon
     size, names = look + ahead, list(dict.fromkeys([*features, target]))
-    starts = grid.groupBy(*by).agg(F.min("ts").alias("_from"))
-    rows = tiles._halo(grid.select(*by, "ts", *[F.col(c).cast("double").alias(c) for c in names]), "ts", spec.tile_seconds, 0, size * step)
-    order = tiles.in_tile(by, ["ts"])
-    upto = order.rowsBetween(Window.unboundedPreceding, 0)
+    step_us, tile_us = step * tg.MICROS, spec.tile_seconds * tg.MICROS
+    one_step = F.lit(step_us).cast("bigint")
+    starts = tiles.add_tile(grid.select(*by, "ts"), spec.tile_seconds)
+    starts = tiles.summarise(starts, by, TILE, {"_from": tiles.Total(F.min("ts"), F.min)})
+    last = F.col(until or "ts")
+    rows = grid.select(*by, "ts", last.alias("_last"), *[F.col(c).cast("double").alias(c) for c in names])
+    reach = F.sequence(tiles.tile_of(tg.shift(F.col("ts"), -size * step), spec.tile_seconds), tiles.tile_of(F.col("_last"), spec.tile_seconds))
+    rows = rows.withColumn(TILE, F.explode(reach))
+    # the part of a stretch inside the tile and its halo: its first time and its number of bins
+    ts, low = tg.micros(F.col("ts")), F.col(TILE) * F.lit(tile_us)
+    begin = ts + F.greatest(tg.int_div(low - ts + one_step - 1, step_us), F.lit(0)) * one_step
+    end = F.least(tg.micros(F.col("_last")), low + F.lit(tile_us + size * step_us - 1))
     absent = sum((F.col(f).isNull().cast("int") for f in features), F.lit(0))
-    rows = rows.withColumns({"_absent": absent, "_nulls": F.sum(absent).over(upto), "_blind": F.sum(F.col(target).isNull().cast("int")).over(upto)})
-    nulls = F.lead("_nulls", look - 1).over(order) - F.col("_nulls") + F.col("_absent")
-    blind = F.lead("_blind", size - 1).over(order) - F.lead("_blind", look - 1).over(order)
-    whole = tg.bins_between(F.lead("ts", size - 1).over(order), F.col("ts"), step) == size - 1
-    picked = F.col(CORE) & whole & (nulls <= params.max_null_share * look * len(features)) & (blind == 0)
-    cell = F.struct("ts", F.coalesce("_picked", F.lit(False)).alias("picked"), *names)
-    packed = rows.withColumn("_picked", picked).groupBy(*by, TILE).agg(F.sort_array(F.collect_list(cell)).alias("_rows"), F.count_if("_picked").alias("_any"))
-    placed = packed.filter("_any > 0").join(starts, list(by))
-    at = F.sequence(F.lit(0), F.size("_rows") - 1)
-
-    def starts_here(i: Column) -> Column:
-        row = F.col("_rows")[i]
-        return row["picked"] & (F.pmod(tg.bins_between(row["ts"], F.col("_from"), step), F.lit(params.stride)) == 0)
+    rows = rows.select(*by, TILE, begin.alias("_us"), end.alias("_end"), absent.alias("_absent"), F.col(target).isNull().cast("int").alias("_blind"), *names)
+    rows = rows.withColumn("_n", tg.int_div(F.col("_end") - F.col("_us"), step_us).cast("int") + 1).drop("_end")
+    # the start of the segment reaches a tile as one more row of it; by device and tile, as a constant key would hide the order
+    rows = tiles.spread(rows.unionByName(starts, allowMissingColumns=True).dropna(subset=list(by)), by[:1])
+    earlier = tiles.in_tile(by, ["_us"]).rowsBetween(Window.unboundedPreceding, -1)
+    rows = rows.withColumns({f"{c}_before": F.coalesce(F.sum(F.col(c) * F.col("_n")).over(earlier), F.lit(0)) for c in ("_absent", "_blind")})
+    joined = F.lag(F.col("_us") + F.col("_n") * one_step).over(tiles.in_tile(by, ["_us"])) == F.col("_us")
+    rows = rows.withColumn("_joined", F.coalesce(joined, F.lit(True)))
+    piece = F.struct("_us", "_n", "_absent", "_blind", "_absent_before", "_blind_before", *names)
+    packed = rows.groupBy(*by, TILE).agg(
+        F.sort_array(F.collect_list(F.when(F.col("_us").isNotNull(), piece))).alias("_rows"),
+        F.max(F.col("_absent") + F.col("_blind") > 0).alias("_any_null"),
+        F.max("_from").alias("_from"),
+        F.min("_joined").alias("_regular"),
+    )
+    placed = packed.filter(F.col("_from").isNotNull())  # else a halo only
+
+    def bins(each, one) -> Column:
+        """An array with an item per bin: ``one`` of a row, or the array ``each`` of a stretch."""
+        return F.transform("_rows", one) if until is None else F.flatten(F.transform("_rows", each))
+
+    def counted(c: str) -> Column:
+        upto = lambda r, j: r[f"{c}_before"] + r[c] * j
+        return F.when(F.col("_any_null"), bins(lambda r: F.transform(F.sequence(F.lit(1), r["_n"]), lambda j: upto(r, j)), lambda r: upto(r, F.lit(1))))
 
     arrays = placed.select(
-        *by, F.filter(at, starts_here).alias("_at"), F.transform("_rows", _field("ts")).alias("_ts"),
-        *[F.transform("_rows", _field(c)).alias(f"_{c}") for c in names],
-    ).filter(F.size("_at") > 0)
+        *by, TILE, "_any_null", "_regular", tg.micros(F.col("_from")).alias("_from"),
+        bins(lambda r: F.sequence(r["_us"], r["_us"] + (r["_n"] - 1) * one_step, one_step), _field("_us")).alias("_us"),
+        *[bins(_repeated(c), _field(c)).alias(f"_{c}") for c in names],
+        counted("_absent").alias("_nulls_upto"), counted("_blind").alias("_blind_upto"),
+    )
+
+    def counts(i: Column) -> Column:
+        at, after = F.get("_us", i), F.get("_us", i + size - 1)
+        core = (at >= F.col(TILE) * F.lit(tile_us)) & (at < (F.col(TILE) + 1) * F.lit(tile_us))
+        own = sum((F.get(f"_{f}", i).isNull().cast("int") for f in features), F.lit(0))
+        nulls = F.get("_nulls_upto", i + look - 1) - F.get("_nulls_upto", i) + own
+        blind = F.get("_blind_upto", i + size - 1) - F.get("_blind_upto", i + look - 1)
+        seen = ~F.col("_any_null") | ((nulls <= params.max_null_share * look * len(features)) & (blind == 0))
+        on_stride = F.pmod(tg.int_div(at - F.col("_from"), step_us), F.lit(params.stride)) == 0
+        return on_stride & core & (tg.int_div(after - at, step_us) == size - 1) & seen
+
+    # bins without a hole: only every stride-th is asked
+    first = F.pmod(tg.int_div(F.col("_from") - F.get("_us", F.lit(0)), step_us), F.lit(params.stride)).cast("int")
+    first, each = (F.when(F.col("_regular"), x).otherwise(other) for x, other in ((first, F.lit(0)), (F.lit(params.stride), F.lit(1))))
+    at = F.when(F.size("_us") >= first + size, F.filter(F.sequence(first, F.size("_us") - size, each), counts))
+    starts_here = F.transform("_at", lambda i: F.struct(i.alias("_i")))
     parts = F.transform(
         F.sequence(F.lit(0), tg.int_div((F.size("_at") - 1).cast("bigint"), WINDOWS_AT_ONCE).cast("int")),
-        lambda k: F.slice("_at", k * WINDOWS_AT_ONCE + 1, F.lit(WINDOWS_AT_ONCE)),
+        lambda k: F.slice(starts_here, k * WINDOWS_AT_ONCE + 1, F.lit(WINDOWS_AT_ONCE)),
+    )
+    kept = [*by, "_us", *[f"_{c}" for c in names]]
+    # outer, since of a plain explode Spark infers a filter that would make the arrays anew for every bin
+    some = arrays.withColumn("_at", F.coalesce(at, F.array().cast("array<int>"))).select(*kept, F.explode_outer(parts).alias("_part"))
+    picked = some.select(*kept, F.inline("_part"))
+    i = F.col("_i")
+    return picked.select(
+        *by,
+        F.timestamp_micros(F.get("_us", i)).alias("window_start"),
+        *[F.slice(f"_{f}", i + 1, F.lit(look)).alias(f) for f in features],
+        F.slice(f"_{target}", i + look + 1, F.lit(ahead)).alias("target"),
     )
-    some = arrays.withColumn("_part", F.explode(parts)).drop("_at")
-
-    def window(i: Column) -> Column:
-        return F.struct(
-            F.col("_ts")[i].alias("window_start"),
-            *[F.slice(f"_{f}", i + 1, F.lit(look)).alias(f) for f in features],
-            F.slice(f"_{target}", i + look + 1, F.lit(ahead)).alias("target"),
-        )
-
-    return some.select(*by, F.inline(F.transform("_part", window)))
 
 
 def latest_window(grid: DataFrame, spec: GridSpec, features: Sequence[str], lookback: int = 288, last: DataFrame | None = None) -> DataFrame:
