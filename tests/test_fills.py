@@ -5,10 +5,10 @@ from __future__ import annotations
 import random
 
 import pytest
-from conftest import one_column, ordered
+from conftest import EVENTS, at, one_column, ordered
 
 from tidegrid.config import GridSpec
-from tidegrid.operators import grid as gr, runs
+from tidegrid.operators import events as ev, grid as gr, runs
 
 SPEC = GridSpec(pad_seconds=0, tile_bins=50)
 
@@ -175,3 +175,20 @@ def test_time_weighted_basal_equals_minute_carry(events):
     for how, pick in (("mean", lambda x: sum(x) / len(x)), ("last", lambda x: x[-1])):
         out = one_column(gr.basal_time_weighted(rows, GridSpec(pad_seconds=0, tile_bins=6), how), "value")
         assert close(out, [pick(per_bin[k]) for k in sorted(per_bin)])
+
+
+@pytest.mark.parametrize("tile_bins", [3, 50])
+def test_fill_chain_of_stretches_equals_that_of_their_points(spark, tile_bins):
+    rnd = random.Random(tile_bins)
+    rows = [(d, at(rnd.randrange(20_000)), k, rnd.choice(["cgm", "basal", "bolus"]), rnd.uniform(0, 90)) for k in range(60) for d in (1, 2)]
+    rows += [(3, at(1_000_000), 0, "bolus", 1.0), (4, at(7), 0, "cgm", 90.0)]
+    events, spec = spark.createDataFrame(rows, EVENTS), GridSpec(pad_seconds=0, tile_bins=tile_bins)
+    how = gr.Alignment(bg_agg="mean", basal_agg="weighted", basal_fill="until_last", basal_default=None)
+    clean = ev.dedup_last(events)
+    points = runs.fill_chain(gr.align(clean, spec, how), spec)
+    stretches = gr.align(clean, spec, how, until="until")
+    out = runs.fill_chain(stretches, spec, until="until")
+    assert stretches.count() < points.count() / 5 or tile_bins == 3
+    assert out.columns == points.columns and sorted(out.collect()) == sorted(points.collect())
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Generate explode(sequence") < plan.index("Window")  # points are made after the last sort

@@ -1,14 +1,16 @@
 from __future__ import annotations
 
 import datetime as dt
+import random
 
 import pytest
-from conftest import at
+from conftest import GRID, at
 from pyspark.sql import functions as F
 
 from tidegrid.config import GridSpec
-from tidegrid.operators import summary
+from tidegrid.operators import gaps, joins, summary
 from tidegrid.quality import checks, placeholder, sequences
+from tidegrid.session import stage
 
 SPEC = GridSpec(pad_seconds=0, tile_bins=100)
 
@@ -163,3 +165,53 @@ def test_registered_checks_see_every_point_of_the_grid(spark, tmp_path):
     assert {r.check_name: r.value for r in run["v07_dataset_checks"]}["schema"] == 121
     assert [r.n_rows for r in run["v08_validation_report"]] == [121]
     assert [r.n_rows for r in run["q14_resequenced_and_split"]] == [13]
+
+
+@pytest.mark.parametrize("tile_bins", [4, 30])
+def test_checks_share_one_layout_of_the_rows(spark, tile_bins):
+    rnd = random.Random(tile_bins)
+    rows = []
+    for device in (1, 2, 3):
+        minutes = sorted(rnd.sample(range(0, 12_000, 5), 500 if device < 3 else 4))
+        rows += [(device, at(m), None if rnd.random() < 0.3 else rnd.uniform(60, 250), 1.0, rnd.choice([0.0, 0.0, 1.0, 3.0])) for m in minutes]
+    rows += [(r[0], r[1], None, None, None) for r in rows[::50]]  # a time that comes twice
+    rows += [(4, None, 100.0, 1.0, 0.0), (None, at(0), 100.0, 1.0, 0.0)]
+    frame, spec = spark.createDataFrame(rows, GRID), GridSpec(pad_seconds=0, tile_bins=tile_bins)
+    laid = stage(checks.with_history(frame, spec), "test-history")
+    assert laid.count() == len(rows) - 2
+
+    # rows with equal times have no order among them, so only what does not depend on it is held against plain lists
+    steps = gaps.steps(gaps.observed_times(laid, "_before"), spec.tile_seconds, "_before")
+    assert sorted(steps.collect(), key=str) == sorted(gaps.steps(gaps.observed_times(frame), spec.tile_seconds).collect(), key=str)
+    for device in (1, 2, 3):
+        mine = sorted(r for r in rows[:1004] if r[0] == device)
+        reads = [r for r in mine if r[2] is not None]
+        got = sorted((r for r in laid.filter(f"pump_serial = {device} AND bg IS NOT NULL").collect()), key=lambda r: r.ts)
+        assert [(r._read_ts, r._read_bg) for r in got] == [(None, None)] + [(r[1], r[2]) for r in reads[:-1]]
+        assert [(r.rn, r.n_values) for r in got] == [(k + 1, len(reads)) for k in range(len(reads))]
+        assert [r._dosed for r in got] == [max((d[1] for d in mine if d[4] >= 2 and d[1] <= r.ts), default=None) for r in got]
+
+
+@pytest.mark.parametrize("tile_bins", [4, 30])
+def test_metrics_equal_those_of_every_check_by_itself(spark, tile_bins):
+    rnd = random.Random(tile_bins)
+    minutes = sorted(rnd.sample(range(0, 12_000, 5), 800))
+    rows = [(m % 2, at(m), None if rnd.random() < 0.1 else rnd.uniform(60, 250), 1.0, rnd.choice([0.0, 0.0, 1.0, 3.0])) for m in minutes]
+    frame, spec = spark.createDataFrame(rows, GRID), GridSpec(pad_seconds=0, tile_bins=tile_bins)
+    apart = gaps.rate_report(frame).join(summary.dose_correlation(frame, spec, regular=False), "pump_serial", "left")
+    apart = apart.join(gaps.sensor_trend(frame), "pump_serial", "left")
+    drops = joins.response_after_dose(frame, spec).groupBy("pump_serial").agg(F.avg("drop_bg").alias("avg_drop"))
+    names = ["n_rates", "n_extreme", "max_rate", "correlation", "avg_drop", "mean_slope", "std_slope"]
+    expected = {r.pump_serial: r for r in apart.join(drops, "pump_serial", "left").collect()}
+    found = checks.dataset_metrics(frame, spec, "comprehensive", dt.datetime(2025, 1, 1)).collect()
+    assert len(found) == len(expected) == 2 and any(r.avg_drop is not None for r in found)
+    for row in found:
+        assert [row[n] for n in names] == pytest.approx([expected[row.pump_serial][n] for n in names])
+
+
+def test_the_checks_sort_the_rows_once(grid, spark, tmp_path):
+    grid([100.0 + k % 50 for k in range(400)], bolus=[3.0 if k % 40 == 0 else 0.0 for k in range(400)]).write.parquet(str(tmp_path / "filled"))
+    metrics = checks.dataset_metrics(spark.read.parquet(str(tmp_path / "filled")), SPEC, "comprehensive", dt.datetime(2025, 1, 1))
+    plan = metrics._jdf.queryExecution().optimizedPlan().toString()
+    # by itself every check dealt and sorted all rows in tiles; now only those behind a dose are dealt again
+    assert plan.count("RepartitionByExpression") == 1
