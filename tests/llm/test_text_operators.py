@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import math
 import re
 from collections import Counter, defaultdict
 
@@ -136,6 +137,19 @@ def test_mix_is_near_its_targets_and_repeats(docs):
     assert all(abs(r.t - r.goal) <= 0.02 * r.goal for r in totals)
 
 
+def test_each_source_takes_the_offset_nearest_to_its_target(docs):
+    rows = [(i, "w " * (1 + (i * i * 37) % 400), ("a", "b", None)[i % 3]) for i in range(60)]
+    plan = mixing.plan(docs(rows)).collect()
+    for source in ("a", "b", None):
+        own = sorted((r for r in plan if r.source == source), key=lambda r: (r.size, hashlib.md5(str(r.doc_id).encode()).hexdigest(), r.doc_id))
+        rate, name, tried = own[0].target / own[0].source_size, "null" if source is None else f"={source}", []
+        for k in range(32):
+            u = int(hashlib.md5(f"mix-1/{k}/{name}".encode()).hexdigest()[:8], 16) / 2**32
+            copies = [math.floor((n + 1) * rate + u) - math.floor(n * rate + u) for n in range(len(own))]
+            tried.append((abs(sum(c * r.size for c, r in zip(copies, own, strict=True)) - own[0].target), k, copies))
+        assert [r.copies for r in own] == min(tried)[2]
+
+
 def test_mixed_rows_are_the_planned_copies(docs, messy):
     frame = docs(messy)
     out = mixing.mix(frame)

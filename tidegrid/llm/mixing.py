@@ -3,8 +3,8 @@
 Every document of a source has the same expected number of copies, target / source size.  Documents are ordered within
 their source by (size, hash of the id, id), the expected copies are summed up along that order, one offset in [0, 1) is
 added, and a document is emitted once per whole number that its stretch crosses.  Ordering by size keeps the words taken
-close to the target: neighbouring documents are about equally long.  The offset of a source is drawn once, from the seed and the
-source's name, so reruns agree.
+close to the target: neighbouring documents are about equally long.  The offset of a source is drawn from a small,
+fixed set of pseudo-random offsets: the one whose words come nearest to the target.
 
 The running position is a distributed prefix sum: rows (without their texts) are range-partitioned by the order, counted per
 partition and source, and the counts are folded; no task sees a whole source.
@@ -26,6 +26,7 @@ from tidegrid.llm.frames import WORD, checked_broadcast, col, fresh
 from tidegrid.session import stage
 
 MAX_COPIES = 3
+OFFSETS = 32
 SEED = "mix-1"
 
 
@@ -64,6 +65,7 @@ def plan(
     text_col: str = "text",
     source_col: str = "source",
     max_copies: int = MAX_COPIES,
+    offsets: int = OFFSETS,
     seed: str = SEED,
 ) -> DataFrame:
     """One row per document: ``doc_id, source, size, source_size, target, copies, taken``."""
@@ -80,18 +82,25 @@ def plan(
     earlier = Window.partitionBy("source").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     pieces = stage(pieces.withColumn("base", F.coalesce(F.sum("n").over(earlier), F.lit(0)) - F.col("first_line")), "mix-pieces")
     targets = stage(source_targets(pieces.groupBy("source").agg(F.sum("words").alias("source_size")), max_copies), "mix-targets")
-    known = stage(
-        pieces.alias("p")
-        .join(targets.alias("t"), F.expr("p.source <=> t.source"))
-        .select("p.source", "p.part", "p.base", "t.source_size", "t.target", F.expr("if(t.source_size > 0, t.target / t.source_size, 0.0D)").alias("rate")),
-        "mix-known",
-    )
-    placed = lined.alias("d").join(checked_broadcast(known).alias("k"), F.expr("d.part = k.part AND d.source <=> k.source"))
-    placed = placed.select("d.doc_id", "d.source", "d.size", "k.source_size", "k.target", "k.rate", (F.col("d.line") + F.col("k.base")).alias("rank"))
-
-    offset = hex_fraction(F.concat(F.lit(f"{seed}/"), F.coalesce(F.concat(F.lit("="), "source"), F.lit("null"))))
-    crossed = F.floor((F.col("rank") + 1) * F.col("rate") + F.col("offset")) - F.floor(F.col("rank") * F.col("rate") + F.col("offset"))
-    drawn = placed.withColumn("offset", offset).withColumn("copies", crossed.cast("long"))
+    draws = [hex_fraction(F.concat(F.lit(f"{seed}/{k}/"), F.coalesce(F.concat(F.lit("="), "source"), F.lit("null")))) for k in range(offsets)]
+    known = pieces.alias("p").join(targets.alias("t"), F.expr("p.source <=> t.source"))
+    known = known.select("p.source", "p.part", "p.base", "t.source_size", "t.target", F.expr("if(t.source_size > 0, t.target / t.source_size, 0.0D)").alias("rate"))
+    known = stage(known.withColumn("draws", F.array(*draws)), "mix-known")
+
+    def placed(known: DataFrame, extra: str) -> DataFrame:
+        rows = lined.alias("d").join(checked_broadcast(known).alias("k"), F.expr("d.part = k.part AND d.source <=> k.source"))
+        return rows.select("d.doc_id", "d.source", "d.size", "k.source_size", "k.target", "k.rate", f"k.{extra}", (F.col("d.line") + F.col("k.base")).alias("rank"))
+
+    def copies(offset: Column) -> Column:
+        return (F.floor((F.col("rank") + 1) * F.col("rate") + offset) - F.floor(F.col("rank") * F.col("rate") + offset)).cast("long")
+
+    taken = [F.sum(copies(F.col("draws")[k]) * F.col("size")).alias(f"taken_{k}") for k in range(offsets)]
+    tried = placed(known, "draws").groupBy("source").agg(F.first("target").alias("target"), *taken)
+    options = F.array(*[F.struct(F.abs(F.col(f"taken_{k}") - F.col("target")).alias("miss"), F.lit(k).alias("k"), draw.alias("offset")) for k, draw in enumerate(draws)])
+    chosen = stage(tried.select("source", F.array_min(options)["offset"].alias("offset")), "mix-offsets")
+    # the offset goes to the rows by (source, part), so a source with most rows is no hot key
+    known = known.drop("draws").alias("k").join(checked_broadcast(chosen).alias("c"), F.expr("k.source <=> c.source")).select("k.*", "c.offset")
+    drawn = placed(stage(known, "mix-drawn"), "offset").withColumn("copies", copies(F.col("offset")))
     return drawn.select("doc_id", "source", "size", "source_size", "target", "copies", (F.col("copies") * F.col("size")).alias("taken"))
 
 
