@@ -2,9 +2,10 @@ from __future__ import annotations
 
 import itertools
 import random
+import time
 
 import pytest
-from conftest import at, one_column, ordered
+from conftest import EVENTS, at, one_column, ordered
 from pyspark.sql import functions as F
 
 from tidegrid.config import GridSpec
@@ -142,3 +143,39 @@ def test_segments_on_grid(events):
     first = out.filter(F.col("segment_id") == 2).orderBy("ts").collect()[0]
     assert (first.basal_delta, first.bg_slope_15min, first.bg) == (0.0, 0.0, 200.0)
     assert ordered(out.filter("mask_label"), "ts") == []
+
+
+@pytest.mark.parametrize("tile_bins", [7, 40])
+def test_lean_sequences_are_the_same(spark, tile_bins):
+    """Points of several tiles, gaps longer than a segment allows, repeated events, events without device, time or value, years out of range."""
+    rnd = random.Random(tile_bins)
+    rows = []
+    for device in (1, 2, None):
+        minutes = rnd.sample(range(0, 6000, 5), 300) + rnd.sample(range(9000, 9400), 60)
+        rows += [(device, at(m), k, rnd.choice(["cgm", "cgm", "basal", "bolus"]), rnd.choice([None, 0.5, 80.0, 120.0])) for k, m in enumerate(minutes)]
+    rows += [(d, ts, k + 1000, s, 99.0) for d, ts, k, s, _ in rows[::9]]
+    rows += [(1, None, 1, "cgm", 90.0), (2, None, 2, "basal", None), (3, None, 1, "cgm", 90.0), (2, at(-60 * 24 * 365 * 20), 3, "cgm", 90.0)]
+    frame = spark.createDataFrame(rows, EVENTS)
+    spec = GridSpec(tile_bins=tile_bins)
+    plain, lean = (dataflows.raw_sequences(frame, spec, repair=False, lean=lean) for lean in (False, True))
+    assert sorted(plain.columns) == sorted(lean.columns)
+    found = sorted(map(str, lean.select(*plain.columns).collect()))
+    assert len(found) > 1000 and found == sorted(map(str, plain.collect()))
+
+
+def shuffle_files(spark):
+    files = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    return {name for name in (files.apply(k).getName() for k in range(files.size())) if name.startswith("shuffle_")}
+
+
+def test_resequencing_leaves_no_shuffles_behind(spark, grid):
+    """A dense grid is shuffled by every step; each step's files go when its rows are written."""
+    merged = grid([100.0 + k % 9 for k in range(400)]).union(grid([None, 90.0] * 200, device=2)).repartition(4)
+    before = shuffle_files(spark)
+    rows, table = dataflows.resequenced(merged, SPEC)
+    left, until = shuffle_files(spark) - before, time.time() + 20
+    while left and time.time() < until:  # files go in the background
+        time.sleep(0.5)
+        left = shuffle_files(spark) - before
+    assert not left
+    assert [(r.pump_serial, r.n_rows) for r in table.orderBy("pump_serial").collect()] == [(1, 400), (2, 400)] and rows.count() == 800
